@@ -5,7 +5,7 @@ from importlib import import_module
 
 from .base import ORACLES, QUERIES
 
-MODULES = ["market", "quotes_bi", "logs_media", "metrics_quality", "learning", "risk_options"]
+MODULES = ["market", "quotes_bi", "logs_media", "metrics_quality", "learning", "risk_options", "io", "streams"]
 
 for _m in MODULES:
     import_module(f"{__name__}.{_m}")

@@ -113,10 +113,15 @@ query(
 
 
 def _known(s):
-    strike = (F.col("k") + 1).cast("int")
-    return s.events.groupBy(
-        F.date_format("ts", "yyyyMM").alias("ymcode"), F.date_trunc("hour", "ts").alias("ts"), strike.alias("strike")
-    ).agg(F.avg(F.when(F.col("strike") % 3 == 0, F.col("value"))).alias("iv"))
+    rows = s.events.select(
+        F.date_format("ts", "yyyyMM").alias("ymcode"),
+        F.date_trunc("hour", "ts").alias("ts"),
+        (F.col("k") + 1).cast("int").alias("strike"),
+        "value",
+    )
+    return rows.groupBy("ymcode", "ts", "strike").agg(
+        F.avg(F.when(F.col("strike") % 3 == 0, F.col("value"))).alias("iv")
+    )
 
 
 @query("implied_vol_greeks")

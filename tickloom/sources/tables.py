@@ -21,9 +21,12 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def create_tables(spark: SparkSession, database: str, names: Sequence[str] | None = None) -> None:
+def create_tables(
+    spark: SparkSession, database: str, names: Sequence[str] | None = None, location: str | None = None
+) -> None:
     """Create the database and its partitioned parquet tables where they are missing."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
     for name in names or TABLES:
         columns, partitions = TABLES[name]
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet PARTITIONED BY ({partitions})")
@@ -65,8 +68,7 @@ def recreate_table(spark: SparkSession, table: str, columns: str, partitions: st
 def overwrite_partitions(df: DataFrame, target: str, partition_by: Sequence[str]) -> None:
     """Replace just the partitions of a stored table (a path) that occur in `df`.
 
-    Rows are spread by the partition columns plus a hash of the row, so that one hot partition is written by many
-    tasks while adaptive execution keeps small ones together.
+    Rows are written where they are: a hot partition is written by many tasks and nothing is shuffled.
     """
     (
         df.write.mode("overwrite")
@@ -91,8 +93,12 @@ def apply_retention(df: DataFrame, date_col: str, as_of: dt.date, days: int = 30
 
 def drop_old_partitions(spark: SparkSession, table: str, date_col: str, as_of: dt.date, days: int = 30) -> None:
     """Drop the expired partitions of a catalog table; works on the partition list, not on the rows."""
-    cut = as_of - dt.timedelta(days=days)
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({date_col} < '{cut.isoformat()}')")
+    cut = (as_of - dt.timedelta(days=days)).isoformat()
+    day = F.regexp_extract("partition", rf"(?:^|/){date_col}=([^/]+)", 1)
+    expired = spark.sql(f"SHOW PARTITIONS {table}").select(day.alias("day")).where(F.col("day") < cut).distinct()
+    specs = ", ".join(f"PARTITION ({date_col}='{r.day}')" for r in expired.collect())  # one entry per expired day
+    if specs:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
 
 def backfill(
