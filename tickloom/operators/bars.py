@@ -137,7 +137,12 @@ def fill_gaps(bars: DataFrame, interval_s: int, method: str = "ffill") -> DataFr
         return rows.withColumn("_next_ts", F.lead("bar_ts").over(w)).withColumn("_next_c", F.lead("c").over(w))
 
     spaced = over_rows(
-        bars.select(*ENTITY, "bar_ts", "c"), ENTITY, ["bar_ts"], compute, segment=time_segment("bar_ts"), after=1
+        bars.select(*ENTITY, "bar_ts", "c"),
+        ENTITY,
+        ["bar_ts"],
+        compute,
+        segment=time_segment("bar_ts", 1440 * interval_s),
+        after=1,
     )
     t0, t1 = F.unix_seconds("bar_ts"), F.unix_seconds("_next_ts")
     step = F.lit(interval_s).cast("long")

@@ -1,6 +1,7 @@
 """Rolling features, labels and indicators over bars.
 
 Row-based functions count bars, time-based functions count elapsed time; both are exact when bars are missing.
+`bar_s`, the length of a bar in seconds, only sizes the time slices that share the work; results do not depend on it.
 """
 from __future__ import annotations
 
@@ -15,9 +16,17 @@ from ..schemas import ENTITY, FEATURE_COLS
 US = 1_000_000
 
 
-def _by_row(bars: DataFrame, compute: Callable, before: int = 0, after: int = 0, by_day: bool = False) -> DataFrame:
+def bar_segment(bar_s: int, reach: int) -> Column:
+    """Time slices that hold many times the rows a frame reaches: at least 1,440 bar lengths and 50 times the reach."""
+    return time_segment("bar_ts", bar_s * max(1440, 50 * reach))
+
+
+def _by_row(
+    bars: DataFrame, compute: Callable, bar_s: int, before: int = 0, after: int = 0, by_day: bool = False
+) -> DataFrame:
     keys = [*ENTITY, "trade_date"] if by_day else ENTITY
-    return over_rows(bars, keys, ["bar_ts"], compute, segment=time_segment("bar_ts"), before=before, after=after)
+    segment = bar_segment(bar_s, before + after)
+    return over_rows(bars, keys, ["bar_ts"], compute, segment=segment, before=before, after=after)
 
 
 def change(col: str, n: int, w: WindowSpec) -> Column:
@@ -26,7 +35,7 @@ def change(col: str, n: int, w: WindowSpec) -> Column:
     return (F.try_divide(here, other) if n > 0 else F.try_divide(other, here)) - 1.0
 
 
-def features(bars: DataFrame, by_day: bool = False) -> DataFrame:
+def features(bars: DataFrame, by_day: bool = False, bar_s: int = 60) -> DataFrame:
     """The seven model features. Frames cross day boundaries unless `by_day`; early frames emit partial values."""
 
     def compute(rows: DataFrame, w: WindowSpec) -> DataFrame:
@@ -46,7 +55,7 @@ def features(bars: DataFrame, by_day: bool = False) -> DataFrame:
         )
 
     # 19 rows of returns need one more row for the oldest return
-    return _by_row(bars, compute, before=20, by_day=by_day).select(
+    return _by_row(bars, compute, bar_s, before=20, by_day=by_day).select(
         *ENTITY,
         F.col("bar_ts").alias("asof_ts"),
         "f_ret_1",
@@ -60,9 +69,9 @@ def features(bars: DataFrame, by_day: bool = False) -> DataFrame:
     )
 
 
-def feature(bars: DataFrame, name: str) -> DataFrame:
+def feature(bars: DataFrame, name: str, bar_s: int = 60) -> DataFrame:
     """One feature column; Catalyst prunes the window expressions of the others."""
-    return features(bars).select(*ENTITY, "asof_ts", name)
+    return features(bars, bar_s=bar_s).select(*ENTITY, "asof_ts", name)
 
 
 def range_1(bars: DataFrame) -> DataFrame:
@@ -100,13 +109,13 @@ def features_time(bars: DataFrame, unit_s: int = 60) -> DataFrame:
     return out.select(*ENTITY, F.col("bar_ts").alias("asof_ts"), *cols, "trade_date")
 
 
-def labels(bars: DataFrame) -> DataFrame:
+def labels(bars: DataFrame, bar_s: int = 60) -> DataFrame:
     """Forward returns over 5 and 15 bars; computed from the bars directly, so NULL keys keep their labels."""
 
     def compute(rows: DataFrame, w: WindowSpec) -> DataFrame:
         return rows.withColumns({f"y_fwd_ret_{n}": change("c", -n, w) for n in (5, 15)})
 
-    return _by_row(bars, compute, after=15).select(
+    return _by_row(bars, compute, bar_s, after=15).select(
         *ENTITY, F.col("bar_ts").alias("asof_ts"), "y_fwd_ret_5", "y_fwd_ret_15", "trade_date"
     )
 
@@ -135,8 +144,10 @@ def max_favourable_return(bars: DataFrame, horizon_s: int = 1200) -> DataFrame:
     return out.select(*ENTITY, F.col("bar_ts").alias("asof_ts"), "max_fav_ret")
 
 
-def _indicator(bars: DataFrame, compute: Callable, names: Sequence[str], before: int, after: int = 0) -> DataFrame:
-    return _by_row(bars, compute, before=before, after=after).select(*ENTITY, "bar_ts", *names)
+def _indicator(
+    bars: DataFrame, compute: Callable, names: Sequence[str], bar_s: int, before: int, after: int = 0
+) -> DataFrame:
+    return _by_row(bars, compute, bar_s, before=before, after=after).select(*ENTITY, "bar_ts", *names)
 
 
 def _full(value: Column, n: int, w: WindowSpec) -> Column:
@@ -144,16 +155,16 @@ def _full(value: Column, n: int, w: WindowSpec) -> Column:
     return F.when(F.count(F.lit(1)).over(w.rowsBetween(-(n - 1), 0)) == n, value)
 
 
-def moving_average(bars: DataFrame, n: int) -> DataFrame:
+def moving_average(bars: DataFrame, n: int, bar_s: int = 60) -> DataFrame:
     """Mean close of the last n bars, NULL until n bars exist."""
 
     def compute(rows, w):
         return rows.withColumn(f"ma_{n}", _full(F.avg("c").over(w.rowsBetween(-(n - 1), 0)), n, w))
 
-    return _indicator(bars, compute, [f"ma_{n}"], n - 1)
+    return _indicator(bars, compute, [f"ma_{n}"], bar_s, n - 1)
 
 
-def bollinger(bars: DataFrame, n: int = 20, k: float = 2.0) -> DataFrame:
+def bollinger(bars: DataFrame, n: int = 20, k: float = 2.0, bar_s: int = 60) -> DataFrame:
     """Moving average and the band k sample deviations around it."""
 
     def compute(rows, w):
@@ -164,10 +175,10 @@ def bollinger(bars: DataFrame, n: int = 20, k: float = 2.0) -> DataFrame:
             {"bb_mid": _full(mid, n, w), "bb_upper": _full(mid + k * dev, n, w), "bb_lower": _full(mid - k * dev, n, w)}
         )
 
-    return _indicator(bars, compute, ["bb_mid", "bb_upper", "bb_lower"], n - 1)
+    return _indicator(bars, compute, ["bb_mid", "bb_upper", "bb_lower"], bar_s, n - 1)
 
 
-def rsi(bars: DataFrame, n: int = 14) -> DataFrame:
+def rsi(bars: DataFrame, n: int = 14, bar_s: int = 60) -> DataFrame:
     """100 - 100 / (1 + mean gain / mean loss) over n changes; 100 without losses, NULL until n changes exist."""
 
     def compute(rows, w):
@@ -180,7 +191,7 @@ def rsi(bars: DataFrame, n: int = 14) -> DataFrame:
         return rows.withColumn("rsi", F.when(F.col("_n") == n, value))
 
     # greatest() skips NULL, so the first bar of an entity must not count as a zero change: _n guards it
-    return _indicator(bars, compute, ["rsi"], n)
+    return _indicator(bars, compute, ["rsi"], bar_s, n)
 
 
 def _ewm(col: str, span: int, rows_back: int, w: WindowSpec) -> Column:
@@ -193,7 +204,7 @@ def _ewm(col: str, span: int, rows_back: int, w: WindowSpec) -> Column:
     return num / den
 
 
-def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, rows_back: int = 200) -> DataFrame:
+def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, rows_back: int = 200, bar_s: int = 60) -> DataFrame:
     """Difference of two exponential means, its own exponential mean (signal) and their distance.
 
     Frames hold `rows_back` rows, a fixed bound; the weight left out is below 1e-6 for a span of 26.
@@ -203,11 +214,11 @@ def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, rows_
         rows = rows.withColumn("macd", _ewm("c", fast, rows_back, w) - _ewm("c", slow, rows_back, w))
         return rows.withColumn("macd_signal", _ewm("macd", signal, rows_back, w))
 
-    out = _indicator(bars, compute, ["macd", "macd_signal"], 2 * rows_back)
+    out = _indicator(bars, compute, ["macd", "macd_signal"], bar_s, 2 * rows_back)
     return out.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
 
 
-def momentum(bars: DataFrame, n: int = 10) -> DataFrame:
+def momentum(bars: DataFrame, n: int = 10, bar_s: int = 60) -> DataFrame:
     """Relative and absolute change against the close n bars back."""
 
     def compute(rows, w):
@@ -215,25 +226,25 @@ def momentum(bars: DataFrame, n: int = 10) -> DataFrame:
             {f"mom_rel_{n}": change("c", n, w), f"mom_abs_{n}": F.col("c") - F.lag("c", n).over(w)}
         )
 
-    return _indicator(bars, compute, [f"mom_rel_{n}", f"mom_abs_{n}"], n)
+    return _indicator(bars, compute, [f"mom_rel_{n}", f"mom_abs_{n}"], bar_s, n)
 
 
-def smooth(bars: DataFrame, n: int = 5) -> DataFrame:
+def smooth(bars: DataFrame, n: int = 5, bar_s: int = 60) -> DataFrame:
     """Rolling median of the last n closes (fewer at the start)."""
 
     def compute(rows, w):
         return rows.withColumn("c_smooth", F.percentile("c", F.lit(0.5)).over(w.rowsBetween(-(n - 1), 0)))
 
-    return _indicator(bars, compute, ["c_smooth"], n - 1)
+    return _indicator(bars, compute, ["c_smooth"], bar_s, n - 1)
 
 
-def lag_features(bars: DataFrame, cols: Sequence[str], lags: Sequence[int]) -> DataFrame:
+def lag_features(bars: DataFrame, cols: Sequence[str], lags: Sequence[int], bar_s: int = 60) -> DataFrame:
     """One column `<col>_lag_<n>` per column and lag."""
 
     def compute(rows, w):
         return rows.withColumns({f"{c}_lag_{n}": F.lag(c, n).over(w) for c in cols for n in lags})
 
-    return _indicator(bars, compute, [f"{c}_lag_{n}" for c in cols for n in lags], max(lags))
+    return _indicator(bars, compute, [f"{c}_lag_{n}" for c in cols for n in lags], bar_s, max(lags))
 
 
 def seasonal_decompose(bars: DataFrame, period: int = 24, step_s: int = 3600) -> DataFrame:
@@ -248,7 +259,7 @@ def seasonal_decompose(bars: DataFrame, period: int = 24, step_s: int = 3600) ->
         whole = F.count(F.lit(1)).over(frame) == 2 * half + 1
         return rows.withColumn("trend", F.when(whole, F.avg("c").over(frame)))
 
-    parts = _indicator(bars, compute, ["c", "trend"], half, half).withColumn(
+    parts = _indicator(bars, compute, ["c", "trend"], step_s, half, half).withColumn(
         "phase", F.pmod(F.floor(F.unix_seconds("bar_ts") / step_s), F.lit(period)).cast("int")
     )
     # at most `period` rows per entity; the join is left to adaptive execution

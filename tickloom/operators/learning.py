@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import decide
 from ..plans.segments import over_rows, positions, time_segment
+from .features import bar_segment
 from ..schemas import ENTITY, FEATURE_COLS
 
 
@@ -78,15 +79,14 @@ def regime_labels(features: DataFrame, codes: DataFrame) -> DataFrame:
     )
 
 
-def make_sequences(bars: DataFrame, n: int = 60, col: str = "c") -> DataFrame:
+def make_sequences(bars: DataFrame, n: int = 60, col: str = "c", bar_s: int = 60) -> DataFrame:
     """Samples of n consecutive values and the value that follows them, per entity in time order."""
 
     def compute(rows: DataFrame, w: WindowSpec) -> DataFrame:
         return rows.withColumn("sequence", F.collect_list(col).over(w.rowsBetween(-n, -1)))
 
-    out = over_rows(
-        bars.select(*ENTITY, "bar_ts", col), ENTITY, ["bar_ts"], compute, segment=time_segment("bar_ts"), before=n
-    )
+    rows = bars.select(*ENTITY, "bar_ts", col)
+    out = over_rows(rows, ENTITY, ["bar_ts"], compute, segment=bar_segment(bar_s, n), before=n)
     return out.where(F.size("sequence") == n).select(*ENTITY, "bar_ts", "sequence", F.col(col).alias("target"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..plans.quantiles import exact_quantiles
-from ..plans.segments import over_rows, running, time_segment
+from ..plans.segments import DAY, over_rows, running, time_segment
 from ..schemas import ENTITY
 
 
@@ -26,7 +26,7 @@ def _with_change(pnl: DataFrame) -> DataFrame:
         prev = F.coalesce(F.lag("position").over(w), F.lit(0))
         return rows.withColumn("change", F.abs(F.col("position") - prev))
 
-    return over_rows(pnl, ENTITY, ["ts"], compute, segment=time_segment("ts"), before=1)
+    return over_rows(pnl, ENTITY, ["ts"], compute, segment=time_segment("ts", 30 * DAY), before=1)
 
 
 def strategy_returns(pnl: DataFrame, cost: float = 0.0005) -> DataFrame:

@@ -27,13 +27,12 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     wanted rank leave the executors' rows.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running(counts, keys, [value], value_segment(F.col(value)), {"_upto": ("sum", F.col("_n"))})
-    k = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
-    totals = counts.groupBy(k.alias("_k")).agg((F.sum("_n") - 1).alias("_last"))
-    ranked = ranked.withColumn("_k", k).join(totals, "_k")
+    specs = {"_upto": ("sum", F.col("_n")), "_all": ("total", F.col("_n"))}
+    ranked = running(counts, keys, [value], value_segment(F.col(value)), specs)
+    ranked = ranked.withColumn("_k", F.struct(*keys) if keys else F.struct(F.lit(0).alias("all")))
     aggs = []
     for i, p in enumerate(probs):
-        rank = F.col("_last") * F.lit(p)
+        rank = (F.col("_all") - 1) * F.lit(p)
         for name, r in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
             holds = (F.col("_upto") > r) & (F.col("_upto") - F.col("_n") <= r)
             aggs.append(F.max(F.when(holds, F.col(value))).alias(f"_{name}{i}"))

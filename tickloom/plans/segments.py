@@ -1,17 +1,18 @@
 """Window evaluation that splits one hot key over many tasks.
 
 A plain `Window.partitionBy(key)` sorts all rows of a key in one task, so a key that holds a third of the data
-decides the run time. The helpers here cut every key into segments or blocks of bounded size and give each of them
-exactly the neighbour rows (or the carried state) that its frames need. Results equal the plain window.
+decides the run time. The helpers here cut every key into segments and give each segment exactly the neighbour rows
+(or the carried state) that its frames need. Results equal the plain window.
 
 * `over_rows`  - frames counted in rows (lag, lead, rolling rows)
 * `over_time`  - frames counted in time (range frames)
 * `running`    - frames that reach back to the first or forward to the last row (running sum, fill forward, ...)
 * `positions`  - row number within the key
 
-`segment` is a column that never decreases along the order (a day number, a price bucket, ...). Per key and segment
-only one small aggregate row is shuffled to combine the segments. The input is read twice, once for those aggregates,
-so pass a stored table or a cheap scan.
+`segment` is a column that never decreases along the order (a day number, a price bucket, ...). Each helper shuffles
+the rows once, by key and segment. What passes between segments is reduced before its own shuffle: one aggregate row
+per key and segment, or the few rows at a segment's edge. The input is read a second time for it, so pass a stored
+table or a cheap scan.
 """
 from __future__ import annotations
 
@@ -21,7 +22,6 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 DAY = 86_400
-BLOCK_ROWS = 500_000
 _NULL_SEGMENT = -(2**62)
 
 
@@ -35,9 +35,19 @@ def time_segment(ts: str | Column, seconds: int = DAY) -> Column:
 
 
 def _keyed(df: DataFrame, keys: Sequence[str], segment: Column) -> DataFrame:
-    # a struct compares NULL fields as equal, so NULL keys stay one group in joins as in windows
+    """Rows with their keys packed into `_key`, and `_seg`.
+
+    A struct compares NULL fields as equal, so NULL keys stay one group in joins as in windows.
+    """
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
-    return df.withColumn("_key", key).withColumn("_seg", F.coalesce(segment, F.lit(_NULL_SEGMENT)))
+    rest = [c for c in df.columns if c not in keys]
+    return df.select(key.alias("_key"), F.coalesce(segment, F.lit(_NULL_SEGMENT)).alias("_seg"), *rest)
+
+
+def _unpacked(df: DataFrame, keys: Sequence[str], first: Sequence[str]) -> DataFrame:
+    """Key columns restored, columns in the order of `first`, added ones after them, helper columns gone."""
+    added = [c for c in df.columns if c not in first and not c.startswith("_key") and c not in ("_seg", "_home")]
+    return df.select(*[F.col(f"_key.{c}").alias(c) if c in keys else F.col(c) for c in (*first, *added)])
 
 
 def _order(order: Sequence[str | Column]) -> list[Column]:
@@ -47,23 +57,41 @@ def _order(order: Sequence[str | Column]) -> list[Column]:
 def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], segment: Column) -> DataFrame:
     """Adds `_pos`, the 0-based row number within the key, and `_total`, the rows of the key."""
     keyed = _keyed(df, keys, segment)
-    by_seg = Window.partitionBy("_key").orderBy("_seg")
+    earlier = Window.partitionBy("_key").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         keyed.groupBy("_key", "_seg")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(
             "_key",
             "_seg",
-            F.coalesce(F.sum("_n").over(by_seg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
             F.sum("_n").over(Window.partitionBy("_key")).alias("_total"),
         )
     )
     within = Window.partitionBy("_key", "_seg").orderBy(*_order(order))
+    numbered = keyed.withColumn("_rn", F.row_number().over(within)).join(offsets, ["_key", "_seg"])
+    numbered = numbered.withColumn("_pos", F.col("_before") + F.col("_rn") - 1).drop("_rn", "_before")
+    return _unpacked(numbered, keys, df.columns)
+
+
+def _lent(keyed: DataFrame, order: list[Column], k: int, ahead: bool) -> DataFrame:
+    """Copies of edge rows, addressed to the segments whose frames reach them.
+
+    Per key and segment only the k rows at its edge can be needed elsewhere; Spark applies that limit before the
+    shuffle. In the sequence of these edge rows a segment needs the k that lie directly before its own first one, so
+    each row looks k rows along that sequence for the starts of segments. Gaps and short segments need no rule.
+    """
+    edge = [c.asc() for c in order] if ahead else [c.desc() for c in order]
+    edges = keyed.withColumn(
+        "_rn", F.row_number().over(Window.partitionBy("_key", "_seg").orderBy(*edge))
+    ).where(F.col("_rn") <= k)
+    line = Window.partitionBy("_key").orderBy(F.col("_seg").desc() if ahead else F.col("_seg").asc(), F.col("_rn").desc())
+    starts = F.when(~F.col("_seg").eqNullSafe(F.lag("_seg").over(line)), F.col("_seg"))
     return (
-        keyed.withColumn("_rn", F.row_number().over(within))
-        .join(offsets, ["_key", "_seg"])
-        .withColumn("_pos", F.col("_before") + F.col("_rn") - 1)
-        .drop("_rn", "_before", "_seg")
+        edges.withColumn("_start", starts)
+        .withColumn("_to", F.collect_list("_start").over(line.rowsBetween(1, k)))
+        .withColumn("_seg", F.explode("_to"))
+        .drop("_rn", "_start", "_to")
     )
 
 
@@ -76,26 +104,20 @@ def over_rows(
     segment: Column,
     before: int = 0,
     after: int = 0,
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Apply `compute(rows, window)` where frames reach at most `before` rows back and `after` rows ahead.
 
-    Rows are numbered per key and cut into blocks; rows near a block edge are copied to the neighbour block, and the
-    copies are removed from the result. `compute` may add columns but must keep every row.
+    Rows at the edge of a segment are copied to the segments that need them, and the copies are removed from the
+    result. `compute` may add columns but must keep every row. Segments should hold many times `before + after` rows.
     """
-    size = F.lit(block_rows).cast("long")
-    home = F.floor(F.col("_pos") / size)
-    last = F.floor((F.col("_total") - 1) / size)
-    first_block = F.greatest(F.floor((F.col("_pos") - after) / size), F.lit(0).cast("long"))
-    last_block = F.least(F.floor((F.col("_pos") + before) / size), last)
-    rows = (
-        positions(df, keys, order, segment)
-        .withColumn("_home", home)
-        .withColumn("_block", F.explode(F.sequence(first_block, last_block)))
-    )
-    window = Window.partitionBy("_key", "_block").orderBy("_pos")
-    out = compute(rows, window).where("_home = _block")
-    return out.drop("_key", "_pos", "_total", "_home", "_block")
+    cols = _order(order)
+    keyed = _keyed(df, keys, segment)
+    rows = keyed.withColumn("_home", F.lit(True))
+    for k, ahead in ((before, False), (after, True)):
+        if k:
+            rows = rows.unionByName(_lent(keyed, cols, k, ahead).withColumn("_home", F.lit(False)))
+    window = Window.partitionBy("_key", "_seg").orderBy(*cols)
+    return _unpacked(compute(rows, window).where("_home"), keys, df.columns)
 
 
 def over_time(
@@ -110,27 +132,52 @@ def over_time(
 ) -> DataFrame:
     """Apply `compute(rows, window)` where frames reach at most `before_s` back and `after_s` ahead in time.
 
-    The window is ordered by microseconds, so range frames are given in microseconds. One shuffle; a row is copied
-    only when it lies within the reach of another time slice. Rows without a time are dropped.
+    The window is ordered by microseconds, so range frames are given in microseconds. One shuffle and one read; a row
+    is copied only when it lies within the reach of another time slice. Rows without a time are dropped.
     """
     width = max(width_s, before_s, after_s) * 1_000_000
-    us = F.col("_us")
+    us = epoch_us(ts)
+    first = F.floor((us - after_s * 1_000_000) / width)
+    last = F.floor((us + before_s * 1_000_000) / width)
     rows = (
-        _keyed(df, keys, F.lit(0))
+        _keyed(df, keys, F.floor(us / width))
+        .where(F.col(ts).isNotNull())
+        .withColumn("_us", us)
+        .withColumn("_to", F.explode(F.sequence(first, last)))
+        .withColumn("_home", F.col("_seg") == F.col("_to"))
         .drop("_seg")
-        .withColumn("_us", epoch_us(ts))
-        .where("_us is not null")
-        .withColumn("_home", F.floor(us / width))
-        .withColumn(
-            "_block",
-            F.explode(
-                F.sequence(F.floor((us - after_s * 1_000_000) / width), F.floor((us + before_s * 1_000_000) / width))
-            ),
-        )
+        .withColumnRenamed("_to", "_seg")
     )
-    window = Window.partitionBy("_key", "_block").orderBy("_us")
-    out = compute(rows, window).where("_home = _block")
-    return out.drop("_key", "_us", "_home", "_block")
+    window = Window.partitionBy("_key", "_seg").orderBy("_us")
+    return _unpacked(compute(rows, window).where("_home").drop("_us"), keys, df.columns)
+
+
+# kind -> (reduce a segment, combine the reduced rows of other segments, value inside the own segment)
+_KINDS = {
+    "sum": (lambda e, known: F.sum(e), lambda p, w: F.sum(p).over(w["earlier"]), lambda e, w: F.sum(e).over(w["upto"])),
+    "max": (lambda e, known: F.max(e), lambda p, w: F.max(p).over(w["earlier"]), lambda e, w: F.max(e).over(w["upto"])),
+    "min": (lambda e, known: F.min(e), lambda p, w: F.min(p).over(w["earlier"]), lambda e, w: F.min(e).over(w["upto"])),
+    "last": (
+        lambda e, known: F.max_by(e, known),
+        lambda p, w: F.last(p, ignorenulls=True).over(w["earlier"]),
+        lambda e, w: F.last(e, ignorenulls=True).over(w["upto"]),
+    ),
+    "next": (
+        lambda e, known: F.min_by(e, known),
+        lambda p, w: F.first(p, ignorenulls=True).over(w["later"]),
+        lambda e, w: F.first(e, ignorenulls=True).over(w["onward"]),
+    ),
+    "total": (lambda e, known: F.sum(e), lambda p, w: F.sum(p).over(w["all"]), lambda e, w: F.lit(None).cast("long")),
+}
+
+
+def _merge(kind: str, own: Column, carried: Column) -> Column:
+    if kind == "sum":
+        known = own.isNotNull() | carried.isNotNull()
+        return F.when(known, F.coalesce(own, F.lit(0)) + F.coalesce(carried, F.lit(0)))
+    if kind in ("max", "min"):
+        return (F.greatest if kind == "max" else F.least)(own, carried)
+    return carried if kind == "total" else F.coalesce(own, carried)
 
 
 def running(
@@ -143,62 +190,30 @@ def running(
     """Adds running values whose frames have no bound on one side.
 
     `specs` maps an output name to (kind, expression); kinds: `sum`, `max`, `min`, `last` (latest non-NULL value up to
-    the row) and `next` (first non-NULL value from the row on). Each segment is reduced to one row, the carried value
-    is worked out over those rows, and every row combines it with the value inside its own segment.
+    the row), `next` (first non-NULL value from the row on) and `total` (sum over the whole key). Each segment is
+    reduced to one row, the carried value is worked out over those rows, and every row combines it with the value
+    inside its own segment.
     """
     keyed = _keyed(df, keys, segment)
-    names = list(specs)
     cols = _order(order)
     rank = cols[0] if len(cols) == 1 else F.struct(*cols)
-    partial = []
-    for i, (kind, expr) in enumerate(specs.values()):
-        known = F.when(expr.isNotNull(), rank)
-        agg = {
-            "sum": lambda: F.sum(expr),
-            "max": lambda: F.max(expr),
-            "min": lambda: F.min(expr),
-            "last": lambda: F.max_by(expr, known),
-            "next": lambda: F.min_by(expr, known),
-        }[kind]()
-        partial.append(agg.alias(f"_p{i}"))
     by_seg = Window.partitionBy("_key").orderBy("_seg")
-    earlier = by_seg.rowsBetween(Window.unboundedPreceding, -1)
-    later = by_seg.rowsBetween(1, Window.unboundedFollowing)
-    carried = []
-    for i, (kind, _) in enumerate(specs.values()):
-        p = f"_p{i}"
-        carried.append(
-            {
-                "sum": lambda: F.sum(p).over(earlier),
-                "max": lambda: F.max(p).over(earlier),
-                "min": lambda: F.min(p).over(earlier),
-                "last": lambda: F.last(p, ignorenulls=True).over(earlier),
-                "next": lambda: F.first(p, ignorenulls=True).over(later),
-            }[kind]().alias(f"_c{i}")
-        )
-    carry = keyed.groupBy("_key", "_seg").agg(*partial).select("_key", "_seg", *carried)
     within = Window.partitionBy("_key", "_seg").orderBy(*cols)
-    upto = within.rowsBetween(Window.unboundedPreceding, 0)
-    onward = within.rowsBetween(0, Window.unboundedFollowing)
-    local = {}
-    for i, (kind, expr) in enumerate(specs.values()):
-        local[f"_l{i}"] = {
-            "sum": lambda: F.sum(expr).over(upto),
-            "max": lambda: F.max(expr).over(upto),
-            "min": lambda: F.min(expr).over(upto),
-            "last": lambda: F.last(expr, ignorenulls=True).over(upto),
-            "next": lambda: F.first(expr, ignorenulls=True).over(onward),
-        }[kind]()
-    out = keyed.withColumns(local).join(carry, ["_key", "_seg"])
-    merged = {}
-    for i, (name, (kind, _)) in enumerate(specs.items()):
-        loc, car = F.col(f"_l{i}"), F.col(f"_c{i}")
-        merged[name] = {
-            "sum": F.when(loc.isNotNull() | car.isNotNull(), F.coalesce(loc, F.lit(0)) + F.coalesce(car, F.lit(0))),
-            "max": F.greatest(loc, car),
-            "min": F.least(loc, car),
-            "last": F.coalesce(loc, car),
-            "next": F.coalesce(loc, car),
-        }[kind]
-    scratch = [f"_{t}{i}" for i in range(len(names)) for t in "lc"]
-    return out.withColumns(merged).drop("_key", "_seg", *scratch)
+    w = {
+        "earlier": by_seg.rowsBetween(Window.unboundedPreceding, -1),
+        "later": by_seg.rowsBetween(1, Window.unboundedFollowing),
+        "all": Window.partitionBy("_key"),
+        "upto": within.rowsBetween(Window.unboundedPreceding, 0),
+        "onward": within.rowsBetween(0, Window.unboundedFollowing),
+    }
+    reduced, carried, own, merged = [], [], {}, {}
+    for i, (name, (kind, expr)) in enumerate(specs.items()):
+        reduce_seg, combine, inside = _KINDS[kind]
+        reduced.append(reduce_seg(expr, F.when(expr.isNotNull(), rank)).alias(f"_p{i}"))
+        carried.append(combine(f"_p{i}", w).alias(f"_c{i}"))
+        own[f"_l{i}"] = inside(expr, w)
+        merged[name] = _merge(kind, F.col(f"_l{i}"), F.col(f"_c{i}"))
+    carry = keyed.groupBy("_key", "_seg").agg(*reduced).select("_key", "_seg", *carried)
+    out = keyed.withColumns(own).join(carry, ["_key", "_seg"]).withColumns(merged)
+    scratch = [f"_{t}{i}" for i in range(len(specs)) for t in "lc"]
+    return _unpacked(out.drop(*scratch), keys, df.columns)

@@ -60,7 +60,7 @@ query(
     "from {bars_v}) where len(q) = 60",
     "seq_first seq_last seq_sum target",
 )(
-    lambda s: L.make_sequences(s.bars, 60).select(
+    lambda s: L.make_sequences(s.bars, 60, bar_s=3600).select(
         *ENTITY,
         "bar_ts",
         F.size("sequence").alias("seq_len"),

@@ -13,6 +13,7 @@ from .base import E_, W_, query
 
 BAR_COLS = f"{E_}, bar_ts, o, h, l, c, v, tick_count, oi_last, trade_date"
 FEATS = "f_ret_1, f_ret_5, f_vol_20, f_range_5, f_oi_chg_5, f_spread_proxy, f_iv_proxy"
+H = 3600  # seconds per bar of the hourly bars
 FEATS_D = FEATS.replace(",", "")
 
 
@@ -70,11 +71,11 @@ query(
 )(lambda s: B.hourly_volatility(s.features).withColumn("hour", F.col("hour").cast("long")))
 
 for _f in ["f_ret_1", "f_ret_5", "f_oi_chg_5", "f_vol_20", "f_range_5", "f_spread_proxy", "f_iv_proxy"]:
-    query(_f, f"select {E_}, asof_ts, {_f} from {{features_v}}", _f)(lambda s, f=_f: X.feature(s.bars, f))
+    query(_f, f"select {E_}, asof_ts, {_f} from {{features_v}}", _f)(lambda s, f=_f: X.feature(s.bars, f, H))
 query("range_1", f"select {E_}, bar_ts asof_ts, range_1 from {{rets_v}}", "range_1")(lambda s: X.range_1(s.bars))
 
 query("features", f"select {E_}, asof_ts, {FEATS}, trade_date from {{features_v}}", FEATS_D)(
-    lambda s: X.features(s.bars)
+    lambda s: X.features(s.bars, bar_s=H)
 )
 _D = f"(partition by {E_}, trade_date order by bar_ts"
 query(
@@ -83,7 +84,7 @@ query(
     f"stddev_samp(f_ret_1) over {_D} rows 19 preceding) f_vol_20, avg(rg) over {_D} rows 4 preceding) f_range_5 "
     f"from (select *, c / nullif(lag(c) over {_D}), 0) - 1 f_ret_1, (h - l) / nullif(c, 0) rg from {{bars_v}})",
     "f_ret_1 f_ret_5 f_vol_20 f_range_5",
-)(lambda s: X.features(s.bars, by_day=True).select(*ENTITY, "asof_ts", "f_ret_1", "f_ret_5", "f_vol_20", "f_range_5"))
+)(lambda s: X.features(s.bars, by_day=True, bar_s=H).select(*ENTITY, "asof_ts", "f_ret_1", "f_ret_5", "f_vol_20", "f_range_5"))
 
 
 def _back(n: int, col: str = "c") -> str:
@@ -104,16 +105,16 @@ query(
 )(lambda s: X.features_time(s.bars, unit_s=3600))
 
 query("y_fwd_ret_5", f"select {E_}, asof_ts, y_fwd_ret_5 from {{labels_v}}", "y_fwd_ret_5")(
-    lambda s: X.labels(s.bars).select(*ENTITY, "asof_ts", "y_fwd_ret_5")
+    lambda s: X.labels(s.bars, bar_s=H).select(*ENTITY, "asof_ts", "y_fwd_ret_5")
 )
 query("y_fwd_ret_15", f"select {E_}, asof_ts, y_fwd_ret_15 from {{labels_v}}", "y_fwd_ret_15")(
-    lambda s: X.labels(s.bars).select(*ENTITY, "asof_ts", "y_fwd_ret_15")
+    lambda s: X.labels(s.bars, bar_s=H).select(*ENTITY, "asof_ts", "y_fwd_ret_15")
 )
 query(
     "labels",
     f"select {E_}, asof_ts, y_fwd_ret_5, y_fwd_ret_15, trade_date from {{labels_v}}",
     "y_fwd_ret_5 y_fwd_ret_15",
-)(lambda s: X.labels(s.bars))
+)(lambda s: X.labels(s.bars, bar_s=H))
 
 
 def _ahead(n: int) -> str:
@@ -142,7 +143,7 @@ for _n in (20, 50):
         f"select {E_}, bar_ts, case when count(*) over (partition by {E_} order by bar_ts rows {_n - 1} preceding) = {_n} "
         f"then avg(c) over (partition by {E_} order by bar_ts rows {_n - 1} preceding) end ma_{_n} from {{bars_v}}",
         f"ma_{_n}",
-    )(lambda s, n=_n: X.moving_average(s.bars, n))
+    )(lambda s, n=_n: X.moving_average(s.bars, n, bar_s=H))
 
 query(
     "bollinger",
@@ -150,7 +151,7 @@ query(
     f"case when n = 20 then m - 2 * sd end bb_lower from (select *, count(*) over w n, avg(c) over w m, "
     f"stddev_samp(c) over w sd from {{bars_v}} window w as (partition by {E_} order by bar_ts rows 19 preceding))",
     "bb_mid bb_upper bb_lower",
-)(lambda s: X.bollinger(s.bars))
+)(lambda s: X.bollinger(s.bars, bar_s=H))
 
 query(
     "rsi",
@@ -160,7 +161,7 @@ query(
     f"from (select *, c - lag(c) over {W_} d from {{bars_v}}) "
     f"window w as (partition by {E_} order by bar_ts rows 13 preceding))",
     "rsi",
-)(lambda s: X.rsi(s.bars))
+)(lambda s: X.rsi(s.bars, bar_s=H))
 
 _EWM = (
     "(select sum(x * pow({b}, j)) / sum(pow({b}, j)) from (select unnest(list_reverse({l})) x, "
@@ -182,14 +183,14 @@ query(
     f"select *, {_ewm(12, 'cl')} - {_ewm(26, 'cl')} macd from (select {E_}, bar_ts, "
     f"list(c) over (partition by {E_} order by bar_ts rows 199 preceding) cl from {{bars_v}})))",
     "macd macd_signal macd_hist",
-)(lambda s: X.macd(s.bars))
+)(lambda s: X.macd(s.bars, bar_s=H))
 
 query(
     "momentum",
     f"select {E_}, bar_ts, c / nullif(lag(c, 10) over {W_}, 0) - 1 mom_rel_10, c - lag(c, 10) over {W_} mom_abs_10 "
     "from {bars_v}",
     "mom_rel_10 mom_abs_10",
-)(lambda s: X.momentum(s.bars, 10))
+)(lambda s: X.momentum(s.bars, 10, bar_s=H))
 
 _GRID = (
     f"select {E_}, g.t grid_ts, {{value}} c, g.t <> bar_ts filled from (select *, lead(bar_ts) over {W_} nx, "
@@ -208,7 +209,7 @@ query(
     f"select {E_}, bar_ts, quantile_cont(c, 0.5) over (partition by {E_} order by bar_ts rows 4 preceding) c_smooth "
     "from {bars_v}",
     "c_smooth",
-)(lambda s: X.smooth(s.bars))
+)(lambda s: X.smooth(s.bars, bar_s=H))
 
 query(
     "lag_features",
@@ -216,7 +217,7 @@ query(
     + ", ".join(f"lag({c}, {n}) over {W_} {c}_lag_{n}" for c in ("c", "v") for n in (1, 2, 3))
     + " from {bars_v}",
     "c_lag_1 c_lag_2 c_lag_3",
-)(lambda s: X.lag_features(s.bars, ["c", "v"], [1, 2, 3]))
+)(lambda s: X.lag_features(s.bars, ["c", "v"], [1, 2, 3], bar_s=H))
 
 query(
     "seasonal_decompose",

@@ -46,7 +46,7 @@ query(
 )
 def _features(s):
     out, state, check = (scratch_path(s.spark, n) for n in ("stream-features", "stream-tails", "stream-features-cp"))
-    M.stream_features(M.stream_bars(_streamed(s).silver, "1 hour"), out, state, check)
+    M.stream_features(M.stream_bars(_streamed(s).silver, "1 hour"), out, state, check, bar_s=3600)
     return s.spark.read.parquet(out).drop("batch")
 
 
@@ -80,8 +80,9 @@ query(
     "late_data",
     "select b batch_id, count(*) row_count, count(*) filter (ts < prior - interval 10 minute) late_rows, max(ts) max_ts, "
     "coalesce(max(epoch(date_trunc('second', prior))::bigint) - min(epoch(date_trunc('second', ts))::bigint) > 3600, false) conservative from "
-    "(select e.ts, e.event_id % 4 b, (select max(p.ts) from events p where p.event_id % 4 < e.event_id % 4) prior "
-    "from events e) group by 1",
+    "(select ts, event_id % 4 b, prior from events join (select b, max(m) over (order by b rows between unbounded "
+    "preceding and 1 preceding) prior from (select event_id % 4 b, max(ts) m from events group by 1)) p "
+    "on p.b = event_id % 4) group by 1",
 )
 def _late(s):
     """Events delivered out of order in four files, one file per micro-batch."""

@@ -85,11 +85,11 @@ class Inputs:
 
     @cached_property
     def features(self) -> DataFrame:
-        return self.stored("gold_features_1h", lambda: X.features(self.bars))
+        return self.stored("gold_features_1h", lambda: X.features(self.bars, bar_s=3600))
 
     @cached_property
     def labels(self) -> DataFrame:
-        return self.stored("gold_labels_1h", lambda: X.labels(self.bars))
+        return self.stored("gold_labels_1h", lambda: X.labels(self.bars, bar_s=3600))
 
     @cached_property
     def training(self) -> DataFrame:

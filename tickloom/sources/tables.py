@@ -79,7 +79,7 @@ def overwrite_partitions(df: DataFrame, target: str, partition_by: Sequence[str]
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {database}").select("namespace", "tableName")
+    return spark.sql(f"SHOW TABLES IN {database}").where("not isTemporary").select("namespace", "tableName")
 
 
 def list_databases(spark: SparkSession) -> DataFrame:

@@ -28,7 +28,7 @@ def stream_bars(silver: DataFrame, interval: str = "1 minute", watermark: str =
     )
 
 
-def stream_features(bars: DataFrame, out: str, state: str, checkpoint: str) -> None:
+def stream_features(bars: DataFrame, out: str, state: str, checkpoint: str, bar_s: int = 60) -> None:
     """Features of each finished bar, appended to `out/batch=<id>`.
 
     A micro-batch joins its bars with the last 20 stored bars of each entity, which is all the rolling features read;
@@ -45,7 +45,7 @@ def stream_features(bars: DataFrame, out: str, state: str, checkpoint: str) -> N
         rows = new if before is None else new.unionByName(before.withColumn("_new", F.lit(False)))
         fresh = new.select(F.struct(*ENTITY, F.col("bar_ts").alias("asof_ts")).alias("_k"))
         out_rows = (
-            features(rows.drop("_new")).withColumn("_k", F.struct(*ENTITY, "asof_ts")).join(fresh, "_k", "left_semi").drop("_k")
+            features(rows.drop("_new"), bar_s=bar_s).withColumn("_k", F.struct(*ENTITY, "asof_ts")).join(fresh, "_k", "left_semi").drop("_k")
         )
         out_rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
         newest = Window.partitionBy(*ENTITY).orderBy(F.desc("bar_ts"))
