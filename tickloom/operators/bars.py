@@ -1,10 +1,10 @@
 """Silver ticks, contract dimension, bars, and the aggregates that read bars."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.segments import positions, time_segment
+from ..plans.segments import over_rows, positions, time_segment
 from ..schemas import ENTITY
 
 
@@ -45,18 +45,22 @@ def tick_order(unique_ts: bool = False) -> Column:
 
 
 def ohlc_bars(silver: DataFrame, interval: str = "1 minute", *, volume: str = "ccnt", unique_ts: bool = False) -> DataFrame:
-    """One bar per entity, interval and trade date. One shuffle of partial aggregates; no ranking windows."""
+    """One bar per entity, interval and trade date. One shuffle of partial aggregates; no ranking windows.
+
+    The bar start leads the grouping keys: where Spark aggregates by sort, it then compares times before strings.
+    """
+    start = F.window("ts", interval).start.alias("bar_ts")
     return (
-        silver.groupBy(*ENTITY, F.window("ts", interval).alias("w"), "trade_date")
+        silver.groupBy(start, *reversed(ENTITY), "trade_date")
         .agg(*bar_aggregates(order=tick_order(unique_ts), volume=volume))
-        .select(*ENTITY, F.col("w.start").alias("bar_ts"), "o", "h", "l", "c", "v", "tick_count", "oi_last", "trade_date")
+        .select(*ENTITY, "bar_ts", "o", "h", "l", "c", "v", "tick_count", "oi_last", "trade_date")
     )
 
 
 def rollup_bars(bars: DataFrame, interval: str) -> DataFrame:
     """Coarser bars from finer bars; equals `ohlc_bars` on the ticks when the intervals nest."""
     return (
-        bars.groupBy(*ENTITY, F.window("bar_ts", interval).alias("w"), "trade_date")
+        bars.groupBy(F.window("bar_ts", interval).start.alias("start_ts"), *ENTITY, "trade_date")
         .agg(
             F.min_by("o", "bar_ts").alias("o"),
             F.max("h").alias("h"),
@@ -66,7 +70,7 @@ def rollup_bars(bars: DataFrame, interval: str) -> DataFrame:
             F.sum("tick_count").alias("tick_count"),
             F.max_by("oi_last", "bar_ts").alias("oi_last"),
         )
-        .select(*ENTITY, F.col("w.start").alias("bar_ts"), "o", "h", "l", "c", "v", "tick_count", "oi_last", "trade_date")
+        .select(*ENTITY, F.col("start_ts").alias("bar_ts"), "o", "h", "l", "c", "v", "tick_count", "oi_last", "trade_date")
     )
 
 
@@ -131,8 +135,6 @@ def fill_gaps(bars: DataFrame, interval_s: int, method: str = "ffill") -> DataFr
     Every bar spans the grid from itself to the next bar, so the grid is generated next to the data: no join with a
     grid, and an entity with many bars is spread over its time segments.
     """
-    from ..plans.segments import over_rows
-
     def compute(rows: DataFrame, w) -> DataFrame:
         return rows.withColumn("_next_ts", F.lead("bar_ts").over(w)).withColumn("_next_c", F.lead("c").over(w))
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..plans.segments import DAY, over_rows, over_time, time_segment
@@ -194,28 +194,40 @@ def rsi(bars: DataFrame, n: int = 14, bar_s: int = 60) -> DataFrame:
     return _indicator(bars, compute, ["rsi"], bar_s, n)
 
 
-def _ewm(col: str, span: int, rows_back: int, w: WindowSpec) -> Column:
-    """Exponentially weighted mean of the last `rows_back` values, weights normalised."""
-    alpha = 2.0 / (span + 1.0)
-    values = F.reverse(F.collect_list(col).over(w.rowsBetween(-(rows_back - 1), 0)))
-    weight = lambda i: F.pow(F.lit(1.0 - alpha), i.cast("double"))
-    num = F.aggregate(F.transform(values, lambda x, i: x * weight(i)), F.lit(0.0), lambda a, x: a + x)
-    den = F.aggregate(F.transform(values, lambda x, i: weight(i)), F.lit(0.0), lambda a, x: a + x)
-    return num / den
+def _ewm(rows: DataFrame, col: str, out: str, span: int, n: int, w: WindowSpec) -> DataFrame:
+    """Adds the exponentially weighted mean of the last n values, weights normalised.
+
+    Values are scaled by growing powers of the row number `_i` and summed from the start of the segment; the sum n rows
+    back is taken off again. That costs the same for every n. Recent rows dominate the sum, so nothing cancels.
+    """
+    keep = 1.0 - 2.0 / (span + 1.0)
+    summed = F.sum(F.col(col) * F.pow(F.lit(1.0 / keep), F.col("_i"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("_p", summed)
+    recent = F.col("_p") - F.coalesce(F.lag("_p", n).over(w), F.lit(0.0))
+    held = F.least(F.col("_i"), F.lit(n))
+    weights = (1.0 - F.pow(F.lit(keep), held)) / (1.0 - keep)
+    return rows.withColumn(out, recent * F.pow(F.lit(keep), F.col("_i")) / weights).drop("_p")
 
 
-def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, rows_back: int = 200, bar_s: int = 60) -> DataFrame:
+def macd(
+    bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, rows_back: int = 200, bar_s: int = 60
+) -> DataFrame:
     """Difference of two exponential means, its own exponential mean (signal) and their distance.
 
-    Frames hold `rows_back` rows, a fixed bound; the weight left out is below 1e-6 for a span of 26.
+    Means reach `rows_back` rows back; the weight left out is below 1e-6 for a span of 26. A segment spans 1,440 bar
+    lengths, which together with the rows lent to it keeps the powers far below the largest double.
     """
 
     def compute(rows, w):
-        rows = rows.withColumn("macd", _ewm("c", fast, rows_back, w) - _ewm("c", slow, rows_back, w))
-        return rows.withColumn("macd_signal", _ewm("macd", signal, rows_back, w))
-
-    out = _indicator(bars, compute, ["macd", "macd_signal"], bar_s, 2 * rows_back)
-    return out.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+        rows = rows.withColumn("_i", F.row_number().over(w))
+        rows = _ewm(_ewm(rows, "c", "_fast", fast, rows_back, w), "c", "_slow", slow, rows_back, w)
+        return _ewm(rows.withColumn("macd", F.col("_fast") - F.col("_slow")), "macd", "macd_signal", signal, rows_back, w)
+
+    segment = time_segment("bar_ts", 1440 * bar_s)
+    out = over_rows(bars, ENTITY, ["bar_ts"], compute, segment=segment, before=2 * rows_back)
+    return out.select(
+        *ENTITY, "bar_ts", "macd", "macd_signal", (F.col("macd") - F.col("macd_signal")).alias("macd_hist")
+    )
 
 
 def momentum(bars: DataFrame, n: int = 10, bar_s: int = 60) -> DataFrame:

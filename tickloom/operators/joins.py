@@ -115,7 +115,7 @@ def assign_folds(df: DataFrame, folds: DataFrame, date_col: str) -> DataFrame:
         ),
     )
     days = parts.select("fold", "part", F.explode(F.sequence("_from", F.date_sub("_to", 1))).alias(date_col))
-    return df.join(days, date_col)
+    return df.join(F.broadcast(days), date_col)  # folds times days, whatever the number of rows
 
 
 def federated_join(lake: DataFrame, external: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:

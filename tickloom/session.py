@@ -52,7 +52,7 @@ def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None)
     path = scratch_path(df.sparkSession, name)
     writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import LOG_JSON
+from .tables import gathered
 
 # MIME type per file extension.
 MIME = {
@@ -29,7 +30,7 @@ FLUSH_BYTES = 64 * 1024 * 1024
 def write_raw_json(df: DataFrame, base: str, date: str | Column) -> None:
     """Append rows unchanged as JSON lines below `date=YYYY-MM-DD/`."""
     day = F.lit(date) if isinstance(date, str) else date
-    df.withColumn("date", day).write.mode("append").partitionBy("date").json(base)
+    gathered(df.withColumn("date", day), ["date"]).write.mode("append").partitionBy("date").json(base)
 
 
 def read_raw_json(spark: SparkSession, path: str, schema: str = LOG_JSON) -> DataFrame:

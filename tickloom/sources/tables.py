@@ -38,12 +38,21 @@ def with_partition_date(df: DataFrame, table: str) -> DataFrame:
     return df if column is None or column in df.columns else df.withColumn(column, F.to_date(ts))
 
 
+def gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows brought together by partition columns before a write, so that not every task writes to every partition.
+
+    The rebalance hint lets adaptive execution split a partition that holds far more rows than the others.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def append(df: DataFrame, table: str) -> None:
     """Append by column name, whatever the order; columns missing in `df` become NULL."""
     df = with_partition_date(df, table)
     spark = df.sparkSession
+    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition and c.name in df.columns]
     cols = ", ".join(f"`{c}`" for c in df.columns)
-    spark.sql(f"INSERT INTO {table} BY NAME SELECT {cols} FROM {{rows}}", rows=df)
+    spark.sql(f"INSERT INTO {table} BY NAME SELECT {cols} FROM {{rows}}", rows=gathered(df, partitions))
 
 
 def append_or_create(df: DataFrame, table: str, wait_s: float = 2.0) -> None:
@@ -66,12 +75,10 @@ def recreate_table(spark: SparkSession, table: str, columns: str, partitions: st
 
 
 def overwrite_partitions(df: DataFrame, target: str, partition_by: Sequence[str]) -> None:
-    """Replace just the partitions of a stored table (a path) that occur in `df`.
-
-    Rows are written where they are: a hot partition is written by many tasks and nothing is shuffled.
-    """
+    """Replace just the partitions of a stored table (a path) that occur in `df`."""
     (
-        df.write.mode("overwrite")
+        gathered(df, partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(target)
