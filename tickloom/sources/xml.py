@@ -5,6 +5,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import instant
 from ..schemas import CODE_XML, TICK_XML
@@ -22,15 +23,25 @@ def detect_row_tag(spark: SparkSession, path: str) -> str:
 
 
 def read_xml(spark: SparkSession, paths: str | list[str], row_tag: str, schema: str) -> DataFrame:
-    """Elements `row_tag` as typed rows; fields that do not parse become NULL and the row text is kept."""
-    return (
+    """Elements `row_tag` as typed rows; a field that does not parse becomes NULL and the row's text is kept.
+
+    Fields are read as text and cast one by one, because the typed reader gives up the rest of a row after its first
+    bad field.
+    """
+    fields = T.StructType.fromDDL(schema).fields
+    texts = ", ".join(f"`{f.name}` STRING" for f in fields)
+    rows = (
         spark.read.format("xml")
         .option("rowTag", row_tag)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .schema(f"{schema}, _corrupt_record STRING")
+        .schema(f"{texts}, _corrupt_record STRING")
         .load(paths)
     )
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields]
+    failed = [F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull() for f in fields]
+    text = F.when(F.array_contains(F.array(*failed), True), F.to_json(F.struct(*[f.name for f in fields])))
+    return rows.select(*typed, F.coalesce("_corrupt_record", text).alias("_corrupt_record"))
 
 
 def add_provenance(df: DataFrame, side: str, ingest_ts: dt.datetime | None = None) -> DataFrame:
