@@ -28,29 +28,24 @@ def late_data(rows: DataFrame, ts: str, delay_s: int, max_lag_s: int, out: str,
     Late rows are counted on the input against the newest time of earlier batches, because the engine's own counter
     sees rows only after partial aggregation.
     """
-    spark = rows.sparkSession
-    seen = Versions(spark, state)
+    stats_of = Versions(rows.sparkSession, out)
+    seen = Versions(rows.sparkSession, state)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         before = seen.read_before(batch_id, "max_ts TIMESTAMP")
-        prior = before.first()[0] if before is not None else None  # one row
-        floor = F.lit(None).cast("timestamp") if prior is None else F.lit(prior) - F.expr(f"interval {delay_s} seconds")
-        late = F.coalesce(F.col(ts) < floor, F.lit(False))
-        stats = batch.agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.count(F.when(late, 1)).alias("late_rows"),
-            F.max(ts).alias("max_ts"),
-            F.min(ts).alias("_min"),
+        prior = F.lit(before.first()[0] if before is not None else None).cast("timestamp")  # one row
+        late = F.coalesce(F.col(ts) < prior - F.expr(f"interval {delay_s} seconds"), F.lit(False))
+        lag = F.unix_seconds(prior) - F.unix_seconds(F.min(ts))
+        stats = stats_of.write(
+            batch.agg(
+                F.lit(batch_id).cast("long").alias("batch_id"),
+                F.count(F.lit(1)).alias("row_count"),
+                F.count(F.when(late, 1)).alias("late_rows"),
+                F.max(ts).alias("max_ts"),
+                F.coalesce(lag > max_lag_s, F.lit(False)).alias("conservative"),
+            ),
+            batch_id,
         )
-        lag = F.unix_seconds(F.lit(prior).cast("timestamp")) - F.unix_seconds("_min")
-        stats.select(
-            F.lit(batch_id).cast("long").alias("batch_id"),
-            "row_count",
-            "late_rows",
-            "max_ts",
-            F.coalesce(lag > max_lag_s, F.lit(False)).alias("conservative"),
-        ).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        newest = F.greatest(F.max(ts), F.lit(prior).cast("timestamp"))
-        seen.write(batch.agg(newest.alias("max_ts")), batch_id)
+        seen.write(stats.select(F.greatest("max_ts", prior).alias("max_ts")), batch_id)
 
     run_batches(rows, step, checkpoint)

@@ -29,41 +29,39 @@ def stream_bars(silver: DataFrame, interval: str = "1 minute", watermark: str =
 
 
 def stream_features(bars: DataFrame, out: str, state: str, checkpoint: str, bar_s: int = 60) -> None:
-    """Features of each finished bar, appended to `out/batch=<id>`.
+    """Features of each finished bar, written to `out/batch=<id>`.
 
     A micro-batch joins its bars with the last 20 stored bars of each entity, which is all the rolling features read;
     the next 20 are stored for the batch after it. Input bars must arrive in time order per entity, as they do from
     `stream_bars`.
     """
-    spark = bars.sparkSession
-    tails = Versions(spark, state)
+    arrived, tails = Versions(bars.sparkSession, f"{state}/bars"), Versions(bars.sparkSession, f"{state}/tails")
+    results = Versions(bars.sparkSession, out)
     schema = bars.schema
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        new = batch.withColumn("_new", F.lit(True))
+        new = arrived.write(batch, batch_id)
         before = tails.read_before(batch_id, schema)
-        rows = new if before is None else new.unionByName(before.withColumn("_new", F.lit(False)))
+        rows = new if before is None else new.unionByName(before)
         fresh = new.select(F.struct(*ENTITY, F.col("bar_ts").alias("asof_ts")).alias("_k"))
-        out_rows = (
-            features(rows.drop("_new"), bar_s=bar_s).withColumn("_k", F.struct(*ENTITY, "asof_ts")).join(fresh, "_k", "left_semi").drop("_k")
-        )
-        out_rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        keyed = features(rows, bar_s=bar_s).withColumn("_k", F.struct(*ENTITY, "asof_ts"))
+        results.write(keyed.join(fresh, "_k", "left_semi").drop("_k"), batch_id)
         newest = Window.partitionBy(*ENTITY).orderBy(F.desc("bar_ts"))
-        tail = rows.drop("_new").withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= LOOKBACK)
+        tail = rows.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= LOOKBACK)
         tails.write(tail.drop("_rn"), batch_id)
 
     run_batches(bars, step, checkpoint)
 
 
 def recent_window(rows: DataFrame, ts: str, minutes: float, state: str, checkpoint: str) -> None:
-    """Keep the rows of the last minutes of stream time; the newest state folder is the window."""
-    spark = rows.sparkSession
-    kept = Versions(spark, state)
+    """Keep the rows of the last minutes of stream time in `state/window`, one folder per micro-batch."""
+    arrived, kept = Versions(rows.sparkSession, f"{state}/rows"), Versions(rows.sparkSession, f"{state}/window")
     schema = rows.schema
 
     def step(batch: DataFrame, batch_id: int) -> None:
+        new = arrived.write(batch, batch_id)
         before = kept.read_before(batch_id, schema)
-        known = batch if before is None else batch.unionByName(before)
+        known = new if before is None else new.unionByName(before)
         newest = known.agg(F.max(ts).alias("_max"))  # one row
         age = F.unix_micros("_max") - F.unix_micros(ts)
         kept.write(known.crossJoin(F.broadcast(newest)).where(age < int(minutes * 60_000_000)).drop("_max"), batch_id)
@@ -72,7 +70,8 @@ def recent_window(rows: DataFrame, ts: str, minutes: float, state: str, checkpoi
 
 
 def latest_state(spark: SparkSession, state: str, schema) -> DataFrame:
-    """Rows of the newest state folder."""
+    """Rows of the newest window."""
+    state = f"{state}/window"
     last = spark.read.option("basePath", state).parquet(state).agg(F.max("batch")).first()[0]
     if last is None:
         return spark.createDataFrame([], schema)

@@ -17,17 +17,9 @@ def run_to_parquet(stream: DataFrame, path: str, checkpoint: str, partition_by:
 
 
 def run_batches(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
-    """Process what is available, one call per micro-batch; the batch is kept while its call reads it repeatedly."""
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            fn(batch, batch_id)
-        finally:
-            batch.unpersist()
-
+    """Process what is available, one call per micro-batch."""
     query = (
-        stream.writeStream.foreachBatch(step)
+        stream.writeStream.foreachBatch(fn)
         .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -45,7 +37,7 @@ def collect_stream(stream: DataFrame, name: str) -> DataFrame:
 
 
 class Versions:
-    """Small state of a `foreachBatch` job: one folder per micro-batch, so a repeated batch overwrites its own."""
+    """Stored state of a `foreachBatch` job: one folder per micro-batch, so a repeated batch overwrites its own."""
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base
@@ -53,5 +45,8 @@ class Versions:
     def read_before(self, batch_id: int, schema) -> DataFrame | None:
         return None if batch_id == 0 else self.spark.read.schema(schema).parquet(f"{self.base}/batch={batch_id - 1}")
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.base}/batch={batch_id}")
+    def write(self, df: DataFrame, batch_id: int) -> DataFrame:
+        """Store the rows and read them back, so that later steps do not run the batch again."""
+        path = f"{self.base}/batch={batch_id}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
