@@ -15,6 +15,39 @@ def instant(when: dt.datetime | dt.date) -> Column:
     return F.lit(when.isoformat()).cast("timestamp")
 
 
+def time_range(
+    df: DataFrame,
+    ts: str,
+    start: dt.datetime | None = None,
+    end: dt.datetime | None = None,
+    date_col: str | None = None,
+) -> DataFrame:
+    """Rows from `start` up to but not at `end`.
+
+    Both limits are literals on the time itself, so file statistics prune; where the table has a derived date
+    partition column, the same range on it prunes partitions.
+    """
+    if start is not None:
+        df = df.where(F.col(ts) >= instant(start))
+    if end is not None:
+        df = df.where(F.col(ts) < instant(end))
+    if date_col and date_col in df.columns:
+        if start is not None:
+            df = df.where(F.col(date_col) >= F.lit(start.date()))
+        if end is not None:
+            df = df.where(F.col(date_col) <= F.lit(end.date()))
+    return df
+
+
+def midnight(day: dt.date, add: int = 0) -> dt.datetime:
+    return dt.datetime.combine(day, dt.time()) + dt.timedelta(days=add)
+
+
+def one_value(df: DataFrame, value: Column) -> Column:
+    """An aggregate over all of `df` as a scalar subquery, for use in another query without any join."""
+    return df.agg(value.alias("value")).scalar()
+
+
 def decide(pred: str | Column, limit: float = 0.001) -> Column:
     """BUY above the limit, SELL below its negative, HOLD between (limits included)."""
     p = F.col(pred) if isinstance(pred, str) else pred
@@ -60,10 +93,10 @@ def kst_to_utc(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
     return df.withColumn(out_col, F.to_utc_timestamp(F.try_to_timestamp(F.col(text_col)), "Asia/Seoul"))
 
 
-def daily_slice(df: DataFrame, ts: str, ds: str) -> DataFrame:
-    """Rows of one date, as a range on the time itself so that file statistics prune."""
-    day = F.lit(ds).cast("timestamp")
-    return df.where((F.col(ts) >= day) & (F.col(ts) < day + F.expr("interval 1 day")))
+def daily_slice(df: DataFrame, ts: str, ds: str, date_col: str | None = "trade_date") -> DataFrame:
+    """Rows of one date."""
+    day = dt.date.fromisoformat(ds)
+    return time_range(df, ts, midnight(day), midnight(day, 1), date_col)
 
 
 def is_image(mime: str = "mime_type", path: str = "s3_path") -> Column:

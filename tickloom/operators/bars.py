@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import one_value
 from ..plans.segments import over_rows, positions, time_segment
 from ..schemas import ENTITY
 
@@ -116,10 +117,8 @@ def volume_profile(bars: DataFrame, bucket: float = 10.0) -> DataFrame:
     grouped = bars.groupBy(
         F.hour("bar_ts").alias("hour"), F.floor(F.col("c") / bucket).cast("long").alias("price_bucket")
     ).agg(F.sum("v").alias("volume"))
-    total = bars.agg(F.sum("v").alias("all_volume"))  # one row
-    return grouped.crossJoin(F.broadcast(total)).select(
-        "hour", "price_bucket", "volume", F.try_divide(F.col("volume").cast("double"), "all_volume").alias("share")
-    )
+    share = F.try_divide(F.col("volume").cast("double"), one_value(bars, F.sum("v")))
+    return grouped.select("hour", "price_bucket", "volume", share.alias("share"))
 
 
 def hourly_volatility(features: DataFrame) -> DataFrame:

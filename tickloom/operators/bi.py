@@ -10,25 +10,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import instant
+from ..functions.scalars import midnight, one_value, time_range
+
+
+DATE = "quote_date"  # derived partition column of the quote table
 
 
 def since(df: DataFrame, ts: str, as_of: dt.datetime, span: dt.timedelta, date_col: str | None = None) -> DataFrame:
-    """Rows not older than `span` before `as_of`; a derived date partition column, when given, prunes partitions."""
-    start = as_of - span
-    out = df.where(F.col(ts) >= instant(start))
-    if date_col and date_col in df.columns:
-        out = out.where(F.col(date_col) >= F.lit(start.date()))
-    return out
+    """Rows not older than `span` before `as_of`."""
+    return time_range(df, ts, as_of - span, date_col=date_col)
 
 
 def price_series(quotes: DataFrame, as_of: dt.datetime, days: int = 7) -> DataFrame:
-    rows = since(quotes, "timestamp", as_of, dt.timedelta(days=days), "quote_date")
+    rows = since(quotes, "timestamp", as_of, dt.timedelta(days=days), DATE)
     return rows.select("timestamp", "symbol", "last_price").orderBy(F.desc("timestamp"))
 
 
 def symbol_window_scan(quotes: DataFrame, symbol: str, as_of: dt.datetime, days: int = 1) -> DataFrame:
-    rows = since(quotes, "timestamp", as_of, dt.timedelta(days=days), "quote_date")
+    rows = since(quotes, "timestamp", as_of, dt.timedelta(days=days), DATE)
     return rows.where(F.col("symbol") == symbol)
 
 
@@ -40,10 +39,9 @@ def dashboard_filters(
     **members: Sequence[str] | None,
 ) -> DataFrame:
     """Shared filters of a dashboard: dates (both included) and allowed values per column; None restricts nothing."""
-    if date_from is not None:
-        df = df.where(F.col(ts) >= instant(dt.datetime.combine(date_from, dt.time())))
-    if date_to is not None:
-        df = df.where(F.col(ts) < instant(dt.datetime.combine(date_to + dt.timedelta(days=1), dt.time())))
+    start = None if date_from is None else midnight(date_from)
+    end = None if date_to is None else midnight(date_to, 1)
+    df = time_range(df, ts, start, end, DATE)
     for column, allowed in members.items():
         if allowed is not None:
             df = df.where(F.col(column).isin(list(allowed)))
@@ -59,7 +57,7 @@ def symbol_counts(quotes: DataFrame) -> DataFrame:
 
 
 def symbol_volume(quotes: DataFrame, as_of: dt.datetime, days: int = 7) -> DataFrame:
-    rows = since(quotes, "timestamp", as_of, dt.timedelta(days=days), "quote_date")
+    rows = since(quotes, "timestamp", as_of, dt.timedelta(days=days), DATE)
     return rows.groupBy("symbol").agg(F.sum("volume").alias("total_volume")).orderBy(F.desc("total_volume"))
 
 
@@ -70,13 +68,13 @@ def _daily(quotes: DataFrame) -> DataFrame:
 
 
 def daily_symbol_stats(quotes: DataFrame, as_of: dt.datetime, days: int = 30) -> DataFrame:
-    rows = since(quotes, "timestamp", as_of, dt.timedelta(days=days), "quote_date")
+    rows = since(quotes, "timestamp", as_of, dt.timedelta(days=days), DATE)
     return _daily(rows).select("day", "symbol", "avg_price", "total_volume").orderBy(F.desc("day"), "symbol")
 
 
 def daily_pivot(quotes: DataFrame, as_of: dt.datetime, symbols: Sequence[str], days: int = 30) -> DataFrame:
     """Daily statistics with one column pair per symbol; the symbols are given, so no extra job lists them."""
-    rows = since(quotes, "timestamp", as_of, dt.timedelta(days=days), "quote_date")
+    rows = since(quotes, "timestamp", as_of, dt.timedelta(days=days), DATE)
     return (
         rows.groupBy(F.to_date("timestamp").alias("day"))
         .pivot("symbol", list(symbols))
@@ -87,7 +85,7 @@ def daily_pivot(quotes: DataFrame, as_of: dt.datetime, symbols: Sequence[str], d
 def symbol_24h(quotes: DataFrame, as_of: dt.datetime, top: int = 20) -> DataFrame:
     """Count, mean, extremes per symbol in the last day; the `top` busiest symbols, name as tie-break."""
     return (
-        since(quotes, "timestamp", as_of, dt.timedelta(days=1), "quote_date")
+        since(quotes, "timestamp", as_of, dt.timedelta(days=1), DATE)
         .groupBy("symbol")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -103,6 +101,7 @@ def symbol_24h(quotes: DataFrame, as_of: dt.datetime, top: int = 20) -> DataFram
 def daily_stats(quotes: DataFrame, days: Sequence[dt.date] | None = None) -> DataFrame:
     """Rows of the stored daily table, for all or only the given days."""
     if days is not None:
+        quotes = time_range(quotes, "timestamp", midnight(min(days)), midnight(max(days), 1), DATE)
         quotes = quotes.where(F.to_date("timestamp").isin(list(days)))
     return _daily(quotes)
 
@@ -115,9 +114,7 @@ def refresh_daily_stats(quotes: DataFrame, path: str, days: Sequence[dt.date]) -
 
 
 def avg_price_prev_day(quotes: DataFrame, as_of: dt.datetime) -> DataFrame:
-    end = dt.datetime.combine(as_of.date(), dt.time())
-    start = end - dt.timedelta(days=1)
-    rows = quotes.where((F.col("timestamp") >= instant(start)) & (F.col("timestamp") < instant(end)))
+    rows = time_range(quotes, "timestamp", midnight(as_of.date(), -1), midnight(as_of.date()), DATE)
     return rows.groupBy("symbol").agg(F.avg("last_price").alias("avg_price"))
 
 
@@ -161,9 +158,8 @@ def preview(df: DataFrame, n: int = 10) -> DataFrame:
 
 def page(df: DataFrame, order: Sequence[Column], page_no: int, size: int = 20) -> DataFrame:
     """Rows of one page (1-based) of an order that has no ties, with the number of pages."""
-    pages = df.agg((F.floor((F.count(F.lit(1)) - 1) / size) + 1).cast("long").alias("total_pages"))
-    rows = df.orderBy(*order).offset((page_no - 1) * size).limit(size)
-    return rows.crossJoin(F.broadcast(pages))  # one row
+    pages = one_value(df, (F.floor((F.count(F.lit(1)) - 1) / size) + 1).cast("long"))
+    return df.orderBy(*order).offset((page_no - 1) * size).limit(size).withColumn("total_pages", pages)
 
 
 def page_after(df: DataFrame, key: str, last_key, size: int = 20) -> DataFrame:

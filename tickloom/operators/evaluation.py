@@ -100,10 +100,14 @@ def _roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
         [],
         [-F.col("score")],
         -value_segment(F.col("score")),
-        {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))},
+        {
+            "tp": ("sum", F.col("pos")),
+            "fp": ("sum", F.col("neg")),
+            "all_pos": ("total", F.col("pos")),
+            "all_neg": ("total", F.col("neg")),
+        },
     )
-    totals = counts.agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))  # one row
-    return summed.crossJoin(F.broadcast(totals))
+    return summed
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.segments import DAY, running, time_segment
+from ..plans.segments import running, time_segment
 
 
 def union_sides(call: DataFrame, put: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def pit_join(
     on: Sequence[str],
     ts: str,
     tolerance_s: int | None = None,
-    width_s: int = DAY,
+    width_s: int = 3600,
 ) -> DataFrame:
     """For each left row the latest right row of its key at or before its time, NULL when there is none.
 
@@ -48,10 +48,12 @@ def pit_join(
 def nearest_strike(surface: DataFrame, quotes: DataFrame) -> DataFrame:
     """Surface value at the strike nearest to each quoted strike of the same (ymcode, ts); lower strike on ties.
 
-    Instead of joining all pairs, the surface strikes are carried up and down to the quoted strikes of their group.
+    Instead of joining all pairs, the surface strikes are carried up and down to the distinct quoted strikes of their
+    group; the quotes then look their strike up.
     """
     keys = ["ymcode", "ts"]
-    stacked = quotes.select(*keys, "strike", F.lit(None).cast("struct<strike:int,iv:double>").alias("_s")).unionByName(
+    wanted = quotes.select(*keys, "strike").distinct()
+    stacked = wanted.select(*keys, "strike", F.lit(None).cast("struct<strike:int,iv:double>").alias("_s")).unionByName(
         surface.select(*keys, "strike", F.struct("strike", "iv").alias("_s"))
     )
     near = running(
@@ -71,11 +73,12 @@ def nearest_strike(surface: DataFrame, quotes: DataFrame) -> DataFrame:
     ).where("_s is null")
     up, down = F.col("_hi.strike") - F.col("strike"), F.col("strike") - F.col("_lo.strike")
     best = F.when(F.col("_lo").isNull() | (up < down), F.col("_hi")).otherwise(F.col("_lo"))
-    return (
+    found = (
         near.withColumn("_b", best)
         .where("_b is not null")
         .select(*keys, "strike", F.col("_b.strike").alias("near_strike"), F.col("_b.iv").alias("near_iv"))
     )
+    return quotes.join(found, [*keys, "strike"])
 
 
 def parity_diff(batch: DataFrame, stream: DataFrame, keys: Sequence[str], value: str, tolerance: float = 1e-9) -> DataFrame:

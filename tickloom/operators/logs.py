@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import instant
+from ..functions.scalars import time_range
 
 META = "struct<user:string,order_id:string>"
 
@@ -27,8 +27,8 @@ def log_json_extract(logs: DataFrame) -> DataFrame:
 
 
 def recent_errors(logs: DataFrame, as_of: dt.datetime, hours: float = 1) -> DataFrame:
-    start = as_of - dt.timedelta(hours=hours)
-    return logs.where((F.col("level") == "ERROR") & (F.col("event_time") >= instant(start))).orderBy(F.desc("event_time"))
+    rows = time_range(logs, "event_time", as_of - dt.timedelta(hours=hours), date_col="log_date")
+    return rows.where("level = 'ERROR'").orderBy(F.desc("event_time"))
 
 
 def logs_by_user(logs: DataFrame, user: str) -> DataFrame:

@@ -6,7 +6,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import instant, is_image
+from ..functions.scalars import is_image, midnight, one_value, time_range
 
 # Sort modes of the gallery.
 SORTS = {
@@ -31,9 +31,7 @@ def filter_media(
     if tag is not None:
         images = images.where(F.col("tag") == tag)
     if dates is not None:
-        start = dt.datetime.combine(dates[0], dt.time())
-        end = dt.datetime.combine(dates[1] + dt.timedelta(days=1), dt.time())
-        images = images.where((F.col("upload_time") >= instant(start)) & (F.col("upload_time") < instant(end)))
+        images = time_range(images, "upload_time", midnight(dates[0]), midnight(dates[1], 1), "upload_date")
     if kb_range is not None:
         images = images.where(F.col("file_size").between(int(kb_range[0] * 1024), int(kb_range[1] * 1024)))
     return images
@@ -69,15 +67,13 @@ def upload_timeline(images: DataFrame) -> DataFrame:
 
 def size_histogram(images: DataFrame, bins: int = 20) -> DataFrame:
     """Equal-width size buckets with counts, empty buckets included; the greatest size falls into the last bucket."""
-    span = images.agg(F.min("file_size").alias("lo"), F.max("file_size").alias("hi"))  # one row
-    pos = F.try_divide((F.col("file_size") - F.col("lo")) * F.lit(float(bins)), F.col("hi") - F.col("lo"))
+    lo, hi = one_value(images, F.min("file_size")), one_value(images, F.max("file_size"))
+    pos = F.try_divide((F.col("file_size") - lo) * F.lit(float(bins)), hi - lo)
     bucket = F.least(F.floor(F.coalesce(pos, F.lit(0.0))), F.lit(bins - 1)).cast("int")
     counts = (
-        images.where("file_size is not null")
-        .crossJoin(F.broadcast(span))
-        .groupBy(bucket.alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        images.where("file_size is not null").select(bucket.alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     )
+    span = images.agg(F.min("file_size").alias("lo"), F.max("file_size").alias("hi"))  # one row
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     grid = span.where("lo is not null").select(
         F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bucket"), "lo", width.alias("_w")

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from ..plans.segments import DAY, over_time, running, time_segment
+from ..plans.segments import over_time, running, time_segment
 
 US = 1_000_000
 
@@ -31,7 +31,7 @@ def counter_rate(samples: DataFrame, window_s: int = 300) -> DataFrame:
 
     keyed = series_key(samples)
     out = over_time(
-        keyed, ["metric", "instance", "series"], "ts", compute, before_s=window_s, width_s=max(DAY, 10 * window_s)
+        keyed, ["metric", "instance", "series"], "ts", compute, before_s=window_s, width_s=max(3600, 12 * window_s)
     )
     return out.select("metric", "instance", "labels", "ts", "rate")
 
@@ -69,7 +69,7 @@ def mem_used_pct(samples: DataFrame, total: str = "size", avail: str = "avail")
     return _side_by_side(samples, total, avail).select("instance", "ts", value.alias("used_pct"))
 
 
-def islands(df: DataFrame, keys: list[str], ts: str, bad: str, segment_s: int = DAY) -> DataFrame:
+def islands(df: DataFrame, keys: list[str], ts: str, bad: str, segment_s: int = 3600) -> DataFrame:
     """Adds `_since`, the last time at or before the row where `bad` held; rows of one run share it."""
     return running(
         df, keys, [ts], time_segment(ts, segment_s), {"_since": ("last", F.when(F.expr(bad), F.col(ts)))}

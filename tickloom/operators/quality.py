@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
+from ..functions.scalars import one_value
 from ..plans.segments import over_rows, time_segment
 from ..schemas import ENTITY
 
@@ -43,8 +44,11 @@ def drop_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return counts.withColumn("null_percentage", (1.0 - kept) * 100.0)
 
 
-def price_outliers(silver: DataFrame, jump: float = 0.5) -> DataFrame:
-    """Ticks with a zero or negative price, or a jump beyond the share `jump` against the tick before."""
+def price_outliers(silver: DataFrame, jump: float = 0.5, slice_s: int = 60) -> DataFrame:
+    """Ticks with a zero or negative price, or a jump beyond the share `jump` against the tick before.
+
+    Raw ticks of one instrument are cut into slices of `slice_s` seconds.
+    """
 
     def compute(rows: DataFrame, w: WindowSpec) -> DataFrame:
         prev = F.lag("price").over(w)
@@ -58,7 +62,7 @@ def price_outliers(silver: DataFrame, jump: float = 0.5) -> DataFrame:
         )
 
     ticks = silver.select(*ENTITY, "ts", "tcnt", "price")
-    flagged = over_rows(ticks, ENTITY, ["ts", "tcnt"], compute, segment=time_segment("ts", 3600), before=1)
+    flagged = over_rows(ticks, ENTITY, ["ts", "tcnt"], compute, segment=time_segment("ts", slice_s), before=1)
     return flagged.where("zero_price or negative_price or price_jump")
 
 
@@ -120,10 +124,10 @@ def feature_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def layer_metrics(bronze: DataFrame, clean: DataFrame, gold: DataFrame, symbol: str = "code") -> DataFrame:
     """Key/value figures of one pipeline run; each layer is reduced to one row first."""
-    b = bronze.agg(F.count(F.lit(1)).cast("double").alias("i"), F.countDistinct(symbol).cast("double").alias("u"))
-    c = clean.agg(F.count(F.lit(1)).cast("double").alias("c"))
-    g = gold.agg(F.count(F.lit(1)).cast("double").alias("g"))
-    one = b.crossJoin(F.broadcast(c)).crossJoin(F.broadcast(g))  # one row each
+    rows = F.count(F.lit(1)).cast("double")
+    one = bronze.agg(rows.alias("i"), F.countDistinct(symbol).cast("double").alias("u")).withColumns(
+        {"c": one_value(clean, rows), "g": one_value(gold, rows)}
+    )
     filtered = F.col("i") - F.col("c")
     pairs = [
         ("bronze", "rows_ingested", F.col("i")),

@@ -63,10 +63,9 @@ def max_drawdown(port: DataFrame) -> DataFrame:
 
 def cvar(port: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Mean of the returns at or below the alpha quantile."""
-    cut = exact_quantiles(port, [], "r", [alpha])  # one row
-    return port.crossJoin(F.broadcast(cut)).where("r <= q0").agg(
-        F.max("q0").alias("var"), F.avg("r").alias("cvar"), F.count(F.lit(1)).alias("n")
-    )
+    cut = exact_quantiles(port, [], "r", [alpha]).scalar()  # one row
+    tail = port.where(F.col("r") <= cut)
+    return tail.agg(F.avg("r").alias("cvar"), F.count(F.lit(1)).alias("n")).select(cut.alias("var"), "cvar", "n")
 
 
 def turnover(pnl: DataFrame) -> DataFrame:

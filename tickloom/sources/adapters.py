@@ -125,8 +125,10 @@ class Inputs:
     @cached_property
     def as_of(self) -> dt.datetime:
         """Latest event time, read from one aggregate row, so that filters against it are literals."""
-        latest = self.table("events").agg(F.max("ts")).first()[0]
-        return latest.replace(tzinfo=None)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, "as_of")
+        if key not in _stored:
+            _stored[key] = self.table("events").agg(F.max("ts")).first()[0].replace(tzinfo=None)
+        return _stored[key]
 
     @cached_property
     def quotes_by_day(self) -> DataFrame:

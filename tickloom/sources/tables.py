@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import instant
+from ..functions.scalars import midnight, time_range
 from ..schemas import PARTITION_DATES, TABLES
 
 
@@ -118,9 +118,7 @@ def backfill(
     partition_by: Sequence[str],
 ) -> None:
     """Recompute the days from `date_from` to `date_to` (both included) and replace only their partitions."""
-    start = dt.datetime.combine(date_from, dt.time())
-    end = dt.datetime.combine(date_to + dt.timedelta(days=1), dt.time())
-    rows = source.where((F.col(ts) >= instant(start)) & (F.col(ts) < instant(end)))
+    rows = time_range(source, ts, midnight(date_from), midnight(date_to, 1), "trade_date")
     overwrite_partitions(recompute(rows), target, partition_by)
 
 

@@ -8,12 +8,18 @@ from ..operators.logs import error_bursts
 from .run import Versions, run_batches
 
 
-def stream_ingest(raw: DataFrame, keys: list[str], ts: str, watermark: str = "1 hour") -> DataFrame:
+def stream_ingest(raw: DataFrame, keys: list[str], ts: str, watermark: str = "1 hour", salts: int = 8) -> DataFrame:
     """Rows of a raw stream, each key once: copies that arrive within the watermark are dropped.
 
-    The file source and its checkpoint give every file exactly once; state holds the keys inside the watermark.
+    The file source and its checkpoint give every file exactly once; state holds the keys inside the watermark. The
+    copies of one key are first dropped in `salts` separate tasks, so that a key with very many copies does not meet in
+    one task; `salts=1` leaves that step out.
     """
-    return raw.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys)
+    rows = raw.withWatermark(ts, watermark)
+    if salts > 1:
+        salted = rows.withColumn("_salt", F.floor(F.rand() * salts))
+        rows = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+    return rows.dropDuplicatesWithinWatermark(keys)
 
 
 def stream_error_bursts(

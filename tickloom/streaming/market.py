@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import decide, feature_key
+from ..functions.scalars import decide, feature_key, one_value
 from ..operators.bars import bar_aggregates, tick_order
 from ..operators.features import features
 from ..schemas import ENTITY
@@ -62,9 +62,8 @@ def recent_window(rows: DataFrame, ts: str, minutes: float, state: str, checkpoi
         new = arrived.write(batch, batch_id)
         before = kept.read_before(batch_id, schema)
         known = new if before is None else new.unionByName(before)
-        newest = known.agg(F.max(ts).alias("_max"))  # one row
-        age = F.unix_micros("_max") - F.unix_micros(ts)
-        kept.write(known.crossJoin(F.broadcast(newest)).where(age < int(minutes * 60_000_000)).drop("_max"), batch_id)
+        age = F.unix_micros(one_value(known, F.max(ts))) - F.unix_micros(ts)
+        kept.write(known.where(age < int(minutes * 60_000_000)), batch_id)
 
     run_batches(rows, step, checkpoint)
 
