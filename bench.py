@@ -12,7 +12,7 @@ import time
 
 from tickloom.registry import QUERIES
 from tickloom.session import build_session
-from tickloom.sources.adapters import Inputs
+from tickloom.sources.adapters import Inputs, forget_stored
 
 HEADLINE = [
     # bars, features, labels and their joins
@@ -54,11 +54,12 @@ def main() -> None:
     Inputs(spark, sf_dir).table("events").count()  # start the executors
 
     def gold() -> None:
+        forget_stored()
         inputs = Inputs(spark, sf_dir)
         for name in ("bars", "bars_1m", "features", "labels", "training", "quotes_by_day"):
             getattr(inputs, name)
 
-    times = {"gold_tables": timed(gold)}
+    times = {"gold_tables": min(timed(gold), timed(gold))}
     for key in HEADLINE:
         run = lambda: QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[key] = min(timed(run), timed(run))

@@ -145,20 +145,22 @@ def feature_drift_psi(
     binned = both.join(F.broadcast(edges), "feature").select(
         "feature", "_cur", F.size(F.filter("edges", lambda e: F.col("value") > e)).alias("bin")
     )
-    counts = binned.groupBy("feature", "bin").agg(
-        F.sum(1 - F.col("_cur")).alias("b"), F.sum("_cur").alias("c")
-    )
-    sums = counts.groupBy("feature").agg(F.sum("b").alias("tb"), F.sum("c").alias("tc"))
-    grid = edges.select("feature", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    p = F.greatest(F.coalesce(_ratio(F.col("b"), F.col("tb")), F.lit(0.0)), F.lit(floor))
-    q = F.greatest(F.coalesce(_ratio(F.col("c"), F.col("tc")), F.lit(0.0)), F.lit(floor))
-    return (
-        grid.join(counts, ["feature", "bin"], "left")
-        .join(sums, "feature")
-        .groupBy("feature")
-        .agg(F.sum((p - q) * F.ln(p / q)).alias("psi"))
+    # one row per feature with the counts of all bins side by side
+    in_bin = lambda i, cur: F.count(F.when((F.col("bin") == i) & (F.col("_cur") == cur), 1))
+    wide = binned.groupBy("feature").agg(
+        *[in_bin(i, cur).alias(f"n{cur}_{i}") for i in range(bins) for cur in (0, 1)],
+        *[F.count(F.when(F.col("_cur") == cur, 1)).alias(f"all{cur}") for cur in (0, 1)],
     )
 
+    def share(i: int, cur: int) -> Column:
+        return F.greatest(F.coalesce(_ratio(F.col(f"n{cur}_{i}"), F.col(f"all{cur}")), F.lit(0.0)), F.lit(floor))
+
+    psi = F.lit(0.0)
+    for i in range(bins):
+        p, q = share(i, 0), share(i, 1)
+        psi = psi + (p - q) * F.ln(p / q)
+    return wide.select("feature", psi.alias("psi"))
+
 
 def dataset_fingerprint(df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
     """Row count and order-independent hashes of the rows, and a hash of the feature list."""

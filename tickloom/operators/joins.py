@@ -56,20 +56,13 @@ def nearest_strike(surface: DataFrame, quotes: DataFrame) -> DataFrame:
     stacked = wanted.select(*keys, "strike", F.lit(None).cast("struct<strike:int,iv:double>").alias("_s")).unionByName(
         surface.select(*keys, "strike", F.struct("strike", "iv").alias("_s"))
     )
+    # surface rows come first at their strike, so `last` is the strike at or below and `next` the one above
     near = running(
         stacked,
         keys,
         ["strike", F.col("_s").isNull()],
         F.floor(F.col("strike") / 1000).cast("long"),
-        {"_lo": ("last", F.col("_s"))},
-    )
-    # ascending order with surface rows first gives the strike at or below; descending order the one above
-    near = running(
-        near,
-        keys,
-        [-F.col("strike"), F.col("_s").isNull()],
-        -F.floor(F.col("strike") / 1000).cast("long"),
-        {"_hi": ("last", F.col("_s"))},
+        {"_lo": ("last", F.col("_s")), "_hi": ("next", F.col("_s"))},
     ).where("_s is null")
     up, down = F.col("_hi.strike") - F.col("strike"), F.col("strike") - F.col("_lo.strike")
     best = F.when(F.col("_lo").isNull() | (up < down), F.col("_hi")).otherwise(F.col("_lo"))

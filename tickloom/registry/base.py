@@ -10,16 +10,20 @@ from ..sources.adapters import Inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+NUDGE = 1e-9
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Doubles to six places, instants to zone-free timestamps, so that both engines show the same values."""
+    """Doubles to six places, instants to zone-free timestamps, so that both engines show the same values.
+
+    A nudge of 1e-9 before rounding keeps exact halves, which the engines round differently, off the limit.
+    """
     cols = []
     for f in df.schema.fields:
         kind = f.dataType.typeName()
         c = F.col(f"`{f.name}`")
         if kind in ("double", "float"):
-            c = (F.round(c.cast("double"), 6) + F.lit(0.0)).alias(f.name)
+            c = (F.round(c.cast("double") + NUDGE, 6) + F.lit(0.0)).alias(f.name)
         elif kind == "timestamp":
             c = c.cast("timestamp_ntz").alias(f.name)
         cols.append(c)
@@ -32,7 +36,12 @@ def query(key: str, sql: str | None = None, doubles: str = ""):
     def register(fn: Callable[[Inputs], DataFrame]):
         if key in QUERIES:
             raise ValueError(f"duplicate query {key}")
-        QUERIES[key] = lambda spark, sf_dir: comparable(fn(Inputs(spark, sf_dir)))
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return comparable(fn(Inputs(spark, sf_dir)))
+
+        QUERIES[key] = run
         if sql is not None:
             ORACLES[key] = oracle(sql, doubles)
         return fn
@@ -43,7 +52,7 @@ def query(key: str, sql: str | None = None, doubles: str = ""):
 def oracle(body: str, doubles: str = "") -> str:
     """Prefix the views that `body` names and round the listed columns."""
     if doubles:
-        rounded = ", ".join(f"round({c}, 6) + 0.0 as {c}" for c in doubles.split())
+        rounded = ", ".join(f"round({c} + 1e-9, 6) + 0.0 as {c}" for c in doubles.split())
         body = f"select * replace ({rounded}) from ({body})"
     needed: list[str] = []
 

@@ -16,6 +16,11 @@ from ..session import materialise
 _stored: dict[tuple, DataFrame] = {}
 
 
+def forget_stored() -> None:
+    """Build stored tables anew on their next use."""
+    _stored.clear()
+
+
 class Inputs:
     """Lazily derived views; derived gold tables are written once per session and read back."""
 
