@@ -54,7 +54,10 @@ def parse_meta(logs: DataFrame) -> DataFrame:
 def search_messages(df: DataFrame, terms: Sequence[str], mode: str = "all", column: str = "message") -> DataFrame:
     """Rows that hold any or all of the words, in any case, anywhere in the whole text."""
     text = F.lower(column)
-    hits = [text.rlike(r"(^|[^a-z0-9])" + re.escape(t.lower()) + r"([^a-z0-9]|$)") for t in terms]
+    # the plain substring test is cheap and spares most rows the regular expression
+    hits = [
+        text.contains(t.lower()) & text.rlike(r"(?<![a-z0-9])" + re.escape(t.lower()) + r"(?![a-z0-9])") for t in terms
+    ]
     cond = hits[0]
     for h in hits[1:]:
         cond = (cond & h) if mode == "all" else (cond | h)

@@ -37,7 +37,8 @@ def time_segment(ts: str | Column, seconds: int = DAY) -> Column:
 def _keyed(df: DataFrame, keys: Sequence[str], segment: Column) -> DataFrame:
     """Rows with their keys packed into `_key`, and `_seg`.
 
-    A struct compares NULL fields as equal, so NULL keys stay one group in joins as in windows.
+    A struct compares NULL fields as equal, so NULL keys stay one group in joins as in windows. Groupings name `_seg`
+    first: it is a number, so sorts settle most comparisons on their eight-byte prefix.
     """
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
     rest = [c for c in df.columns if c not in keys]
@@ -59,7 +60,7 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     keyed = _keyed(df, keys, segment)
     earlier = Window.partitionBy("_key").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        keyed.groupBy("_key", "_seg")
+        keyed.groupBy("_seg", "_key")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(
             "_key",
@@ -68,8 +69,8 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
             F.sum("_n").over(Window.partitionBy("_key")).alias("_total"),
         )
     )
-    within = Window.partitionBy("_key", "_seg").orderBy(*_order(order))
-    numbered = keyed.withColumn("_rn", F.row_number().over(within)).join(offsets, ["_key", "_seg"])
+    within = Window.partitionBy("_seg", "_key").orderBy(*_order(order))
+    numbered = keyed.withColumn("_rn", F.row_number().over(within)).join(offsets, ["_seg", "_key"])
     numbered = numbered.withColumn("_pos", F.col("_before") + F.col("_rn") - 1).drop("_rn", "_before")
     return _unpacked(numbered, keys, df.columns)
 
@@ -83,7 +84,7 @@ def _lent(keyed: DataFrame, order: list[Column], k: int, ahead: bool) -> DataFra
     """
     edge = [c.asc() for c in order] if ahead else [c.desc() for c in order]
     edges = keyed.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy("_key", "_seg").orderBy(*edge))
+        "_rn", F.row_number().over(Window.partitionBy("_seg", "_key").orderBy(*edge))
     ).where(F.col("_rn") <= k)
     line = Window.partitionBy("_key").orderBy(F.col("_seg").desc() if ahead else F.col("_seg").asc(), F.col("_rn").desc())
     starts = F.when(~F.col("_seg").eqNullSafe(F.lag("_seg").over(line)), F.col("_seg"))
@@ -116,7 +117,7 @@ def over_rows(
     for k, ahead in ((before, False), (after, True)):
         if k:
             rows = rows.unionByName(_lent(keyed, cols, k, ahead).withColumn("_home", F.lit(False)))
-    window = Window.partitionBy("_key", "_seg").orderBy(*cols)
+    window = Window.partitionBy("_seg", "_key").orderBy(*cols)
     return _unpacked(compute(rows, window).where("_home"), keys, df.columns)
 
 
@@ -148,7 +149,7 @@ def over_time(
         .drop("_seg")
         .withColumnRenamed("_to", "_seg")
     )
-    window = Window.partitionBy("_key", "_seg").orderBy("_us")
+    window = Window.partitionBy("_seg", "_key").orderBy("_us")
     return _unpacked(compute(rows, window).where("_home").drop("_us"), keys, df.columns)
 
 
@@ -198,7 +199,7 @@ def running(
     cols = _order(order)
     rank = cols[0] if len(cols) == 1 else F.struct(*cols)
     by_seg = Window.partitionBy("_key").orderBy("_seg")
-    within = Window.partitionBy("_key", "_seg").orderBy(*cols)
+    within = Window.partitionBy("_seg", "_key").orderBy(*cols)
     w = {
         "earlier": by_seg.rowsBetween(Window.unboundedPreceding, -1),
         "later": by_seg.rowsBetween(1, Window.unboundedFollowing),
@@ -213,7 +214,7 @@ def running(
         carried.append(combine(f"_p{i}", w).alias(f"_c{i}"))
         own[f"_l{i}"] = inside(expr, w)
         merged[name] = _merge(kind, F.col(f"_l{i}"), F.col(f"_c{i}"))
-    carry = keyed.groupBy("_key", "_seg").agg(*reduced).select("_key", "_seg", *carried)
-    out = keyed.withColumns(own).join(carry, ["_key", "_seg"]).withColumns(merged)
+    carry = keyed.groupBy("_seg", "_key").agg(*reduced).select("_key", "_seg", *carried)
+    out = keyed.withColumns(own).join(carry, ["_seg", "_key"]).withColumns(merged)
     scratch = [f"_{t}{i}" for i in range(len(specs)) for t in "lc"]
     return _unpacked(out.drop(*scratch), keys, df.columns)
