@@ -7,9 +7,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.plans.quantiles import exact_quantiles, value_segment
-from tickloom.plans.segments import over_rows, over_time, positions, running
+from tickloom.plans import segments
+from tickloom.plans.segments import Slices, over_rows, over_time, positions, running
 
-FEW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+FEW = settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 ROWS = st.lists(
     st.tuples(
         st.sampled_from(["a", "a", "a", "b", None]),
@@ -22,6 +23,20 @@ ROWS = st.lists(
 )
 
 
+WIDTHS = st.sampled_from([1, 7, 1000, "slices"])
+
+
+@pytest.fixture(autouse=True)
+def many_hot_keys(monkeypatch):
+    """Small inputs have few rows per key: let every key above the row limit count as hot."""
+    monkeypatch.setattr(segments, "MAX_HOT_KEYS", 10**9)
+
+
+def cut(width):
+    """Fixed segments, or slices of keys with more than four rows."""
+    return Slices(F.col("t"), 4) if width == "slices" else F.floor(F.col("t") / width).cast("long")
+
+
 def frame(spark, rows):
     return spark.createDataFrame(rows, "k STRING, t BIGINT, v INT").withColumn("ts", F.timestamp_seconds("t"))
 
@@ -34,7 +49,7 @@ def same(left, right):
 
 
 @FEW
-@given(ROWS, st.sampled_from([1, 7, 50, 1000]), st.integers(0, 5), st.integers(0, 5))
+@given(ROWS, WIDTHS, st.integers(0, 5), st.integers(0, 5))
 def test_over_rows(spark, rows, width, before, after):
     df = frame(spark, rows)
 
@@ -49,7 +64,7 @@ def test_over_rows(spark, rows, width, before, after):
         )
 
     segmented = over_rows(
-        df, ["k"], ["t"], compute, segment=F.floor(F.col("t") / width).cast("long"), before=before, after=after
+        df, ["k"], ["t"], compute, segment=cut(width), before=before, after=after
     )
     same(segmented, compute(df, Window.partitionBy("k").orderBy("t")))
 
@@ -68,13 +83,13 @@ def test_over_time(spark, rows, width, before, after):
 
 
 @FEW
-@given(ROWS, st.sampled_from([1, 7, 50, 1000]))
+@given(ROWS, WIDTHS)
 def test_running(spark, rows, width):
     df = frame(spark, rows)
     v = F.col("v")
     specs = {"s": "sum", "hi": "max", "lo": "min", "prev": "last", "nxt": "next", "all": "total"}
     segmented = running(
-        df, ["k"], ["t"], F.floor(F.col("t") / width).cast("long"), {n: (kind, v) for n, kind in specs.items()}
+        df, ["k"], ["t"], cut(width), {n: (kind, v) for n, kind in specs.items()}
     )
     w = Window.partitionBy("k").orderBy("t")
     upto, onward = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
@@ -91,7 +106,7 @@ def test_running(spark, rows, width):
 
 
 @FEW
-@given(ROWS, st.sampled_from([1, 7, 50, 1000]))
+@given(ROWS, WIDTHS)
 def test_positions(spark, rows, width):
     df = frame(spark, rows)
     w = Window.partitionBy("k").orderBy("t")
@@ -100,7 +115,7 @@ def test_positions(spark, rows, width):
         (F.row_number().over(w) - 1).cast("long").alias("_pos"),
         F.count(F.lit(1)).over(Window.partitionBy("k")).alias("_total"),
     )
-    same(positions(df, ["k"], ["t"], F.floor(F.col("t") / width).cast("long")), plain)
+    same(positions(df, ["k"], ["t"], cut(width)), plain)
 
 
 @FEW
@@ -134,6 +149,6 @@ def test_hot_key_is_split(spark, share):
         sizes.append(d.groupBy("_key", "_seg").count())
         return d.withColumn("prev", F.lag("v").over(w))
 
-    out = over_rows(df, ["k"], ["ts"], compute, segment=F.floor(F.col("v") / 500).cast("long"), before=1)
+    out = over_rows(df, ["k"], ["ts"], compute, segment=Slices(F.col("v"), 500), before=1)
     assert out.where("k = 'hot' and v > 0 and prev = v - 1").count() == int(n * share) - 1
     assert sizes[0].agg(F.max("count")).first()[0] <= 501

@@ -1,11 +1,11 @@
 """Silver ticks, contract dimension, bars, and the aggregates that read bars."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import one_value
-from ..plans.segments import over_rows, positions, time_segment
+from ..plans.segments import over_rows, time_segment
 from ..schemas import ENTITY
 
 
@@ -78,16 +78,20 @@ def rollup_bars(bars: DataFrame, interval: str) -> DataFrame:
 def tick_rank(silver: DataFrame) -> DataFrame:
     """Rank of each tick within entity and minute, ascending and descending by (ts, tcnt).
 
-    Numbered per second and offset by the seconds before, so a minute with very many ticks is still split.
+    One shuffle and one sort give both. A group is one minute of one entity, so a hot instrument is spread over its
+    minutes.
     """
-    ranked = positions(silver, [*ENTITY, "minute_ts"], ["ts", "tcnt"], time_segment("ts", 1))
-    return ranked.select(
+    group = Window.partitionBy("minute_ts", *ENTITY)
+    asc = F.row_number().over(group.orderBy("ts", "tcnt"))
+    return silver.select(
+        *ENTITY, "minute_ts", "ts", "tcnt", asc.alias("rn_asc"), F.count(F.lit(1)).over(group).alias("_n")
+    ).select(
         *ENTITY,
         "minute_ts",
         "ts",
         "tcnt",
-        (F.col("_pos") + 1).alias("rn_asc"),
-        (F.col("_total") - F.col("_pos")).alias("rn_desc"),
+        F.col("rn_asc").cast("long").alias("rn_asc"),
+        (F.col("_n") - F.col("rn_asc") + 1).alias("rn_desc"),
     )
 
 

@@ -20,7 +20,7 @@ def pit_join(
     on: Sequence[str],
     ts: str,
     tolerance_s: int | None = None,
-    width_s: int = 3600,
+    slice_s: int = 3600,
 ) -> DataFrame:
     """For each left row the latest right row of its key at or before its time, NULL when there is none.
 
@@ -37,7 +37,7 @@ def pit_join(
             allowMissingColumns=True,
         )
     )
-    carried = running(stacked, on, [ts, "_side"], time_segment(ts, width_s), {"_hit": ("last", F.col("_r"))})
+    carried = running(stacked, on, [ts, "_side"], time_segment(ts, slice_s), {"_hit": ("last", F.col("_r"))})
     out = carried.where("_side = 1")
     if tolerance_s is not None:
         age = F.unix_micros(ts) - F.unix_micros(F.col(f"_hit.right_{ts}"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalars import decide
-from ..plans.segments import over_rows, positions, time_segment
+from ..plans.segments import Slices, epoch_us, over_rows, positions
 from .features import bar_segment
 from ..schemas import ENTITY, FEATURE_COLS
 
@@ -23,9 +23,9 @@ from ..schemas import ENTITY, FEATURE_COLS
 def ordered_split(df: DataFrame, fraction: float = 0.8, ts: str = "asof_ts") -> DataFrame:
     """Adds `part`: `train` for the first rows in time order (ties by entity), `valid` for the rest.
 
-    Rows are numbered per hour and offset by the hours before, so there is no global sort in one task.
+    Rows are numbered per time slice and offset by the slices before, so there is no global sort in one task.
     """
-    numbered = positions(df, [], [ts, *ENTITY], time_segment(ts, 3600))
+    numbered = positions(df, [], [ts, *ENTITY], Slices(epoch_us(ts)))
     train = F.col("_pos") < F.floor(F.col("_total") * F.lit(fraction))
     return numbered.withColumn("part", F.when(train, "train").otherwise("valid")).drop("_key", "_pos", "_total")
 

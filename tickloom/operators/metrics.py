@@ -69,10 +69,10 @@ def mem_used_pct(samples: DataFrame, total: str = "size", avail: str = "avail")
     return _side_by_side(samples, total, avail).select("instance", "ts", value.alias("used_pct"))
 
 
-def islands(df: DataFrame, keys: list[str], ts: str, bad: str, segment_s: int = 3600) -> DataFrame:
+def islands(df: DataFrame, keys: list[str], ts: str, bad: str, slice_s: int = 3600) -> DataFrame:
     """Adds `_since`, the last time at or before the row where `bad` held; rows of one run share it."""
     return running(
-        df, keys, [ts], time_segment(ts, segment_s), {"_since": ("last", F.when(F.expr(bad), F.col(ts)))}
+        df, keys, [ts], time_segment(ts, slice_s), {"_since": ("last", F.when(F.expr(bad), F.col(ts)))}
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalars import one_value
-from ..plans.segments import over_rows, time_segment
+from ..plans.segments import Slices, epoch_us, over_rows
 from ..schemas import ENTITY
 
 
@@ -44,11 +44,8 @@ def drop_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return counts.withColumn("null_percentage", (1.0 - kept) * 100.0)
 
 
-def price_outliers(silver: DataFrame, jump: float = 0.5, slice_s: int = 60) -> DataFrame:
-    """Ticks with a zero or negative price, or a jump beyond the share `jump` against the tick before.
-
-    Raw ticks of one instrument are cut into slices of `slice_s` seconds.
-    """
+def price_outliers(silver: DataFrame, jump: float = 0.5) -> DataFrame:
+    """Ticks with a zero or negative price, or a jump beyond the share `jump` against the tick before."""
 
     def compute(rows: DataFrame, w: WindowSpec) -> DataFrame:
         prev = F.lag("price").over(w)
@@ -62,7 +59,7 @@ def price_outliers(silver: DataFrame, jump: float = 0.5, slice_s: int = 60) -> D
         )
 
     ticks = silver.select(*ENTITY, "ts", "tcnt", "price")
-    flagged = over_rows(ticks, ENTITY, ["ts", "tcnt"], compute, segment=time_segment("ts", slice_s), before=1)
+    flagged = over_rows(ticks, ENTITY, ["ts", "tcnt"], compute, segment=Slices(epoch_us("ts")), before=1)
     return flagged.where("zero_price or negative_price or price_jump")
 
 
@@ -82,15 +79,15 @@ def dedupe_ticks(ticks: DataFrame, ts: str = "tdate") -> DataFrame:
     return ticks.groupBy(*keys).agg(newest.alias("_r")).select(*keys, "_r.*").select(*ticks.columns)
 
 
-def time_reversals(silver: DataFrame, sequence_width: int = 100_000) -> DataFrame:
+def time_reversals(silver: DataFrame) -> DataFrame:
     """Ticks whose time is lower than that of the tick with the previous sequence number."""
 
     def compute(rows: DataFrame, w: WindowSpec) -> DataFrame:
         return rows.withColumn("prev_ts", F.lag("ts").over(w))
 
     ticks = silver.select(*ENTITY, "ts", "tcnt")
-    seg = F.floor(F.col("tcnt") / sequence_width).cast("long")
-    return over_rows(ticks, ENTITY, ["tcnt", "ts"], compute, segment=seg, before=1).where("ts < prev_ts")
+    out = over_rows(ticks, ENTITY, ["tcnt", "ts"], compute, segment=Slices(F.col("tcnt")), before=1)
+    return out.where("ts < prev_ts")
 
 
 def _reasons(df: DataFrame, rules: dict[str, tuple[str, bool]]) -> Column:

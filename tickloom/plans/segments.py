@@ -9,22 +9,33 @@ decides the run time. The helpers here cut every key into segments and give each
 * `running`    - frames that reach back to the first or forward to the last row (running sum, fill forward, ...)
 * `positions`  - row number within the key
 
-`segment` is a column that never decreases along the order (a day number, a price bucket, ...). Each helper shuffles
-the rows once, by key and segment. What passes between segments is reduced before its own shuffle: one aggregate row
-per key and segment, or the few rows at a segment's edge. The input is read a second time for it, so pass a stored
-table or a cheap scan.
+`segment` is either a column that never decreases along the order (a day number, a price bucket, ...) or `Slices`, which
+cuts only keys with very many rows. Each helper shuffles the rows once, by key and segment. What passes between segments
+is reduced before its own shuffle: one aggregate row per key and segment, or the few rows at a segment's edge. The input
+is read again for it (twice more for `Slices`), so pass a stored table or a plain scan.
 """
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 DAY = 86_400
+MAX_HOT_KEYS = 100_000
 _NULL_SEGMENT = -(2**62)
 
 
+@dataclass(frozen=True)
+class Slices:
+    """Segments for keys of very unequal size: a key with more than `rows` rows is cut into equal slices of `position`,
+    a whole number that never decreases along the order; other keys stay whole and exchange nothing."""
+
+    position: Column
+    rows: int = 1_000_000
+
+
 def epoch_us(ts: str | Column) -> Column:
     return F.unix_micros(F.col(ts) if isinstance(ts, str) else ts)
 
@@ -34,20 +45,38 @@ def time_segment(ts: str | Column, seconds: int = DAY) -> Column:
     return F.floor(epoch_us(ts) / F.lit(seconds * 1_000_000)).cast("long")
 
 
-def _keyed(df: DataFrame, keys: Sequence[str], segment: Column) -> DataFrame:
-    """Rows with their keys packed into `_key`, and `_seg`.
+def _keyed(df: DataFrame, keys: Sequence[str], segment: Column | Slices) -> DataFrame:
+    """Rows with their keys packed into `_key`, their `_seg`, and `_cut`: whether the key has several segments.
 
     A struct compares NULL fields as equal, so NULL keys stay one group in joins as in windows. Groupings name `_seg`
     first: it is a number, so sorts settle most comparisons on their eight-byte prefix.
     """
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
     rest = [c for c in df.columns if c not in keys]
-    return df.select(key.alias("_key"), F.coalesce(segment, F.lit(_NULL_SEGMENT)).alias("_seg"), *rest)
+    if not isinstance(segment, Slices):
+        seg = F.coalesce(segment, F.lit(_NULL_SEGMENT)).alias("_seg")
+        return df.select(key.alias("_key"), seg, F.lit(True).alias("_cut"), *rest)
+    pos = segment.position.cast("long")
+    sizes = (
+        df.select(key.alias("_key"), pos.alias("_at"))
+        .groupBy("_key")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_lo"), F.max("_at").alias("_hi"))
+    )
+    # at most MAX_HOT_KEYS keys can hold more than that share of all rows, which bounds the broadcast
+    fair = sizes.agg((F.sum("_n") / MAX_HOT_KEYS).alias("fair")).scalar()
+    width = F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.ceil(F.col("_n") / segment.rows))
+    hot = sizes.where((F.col("_n") > segment.rows) & (F.col("_n") > fair)).select("_key", "_lo", width.alias("_width"))
+    slot = F.floor((F.col("_at") - F.col("_lo")) / F.col("_width"))
+    return (
+        df.select(key.alias("_key"), pos.alias("_at"), *rest)
+        .join(F.broadcast(hot), "_key", "left")
+        .select("_key", F.coalesce(slot, F.lit(_NULL_SEGMENT)).alias("_seg"), F.col("_lo").isNotNull().alias("_cut"), *rest)
+    )
 
 
 def _unpacked(df: DataFrame, keys: Sequence[str], first: Sequence[str]) -> DataFrame:
     """Key columns restored, columns in the order of `first`, added ones after them, helper columns gone."""
-    added = [c for c in df.columns if c not in first and not c.startswith("_key") and c not in ("_seg", "_home")]
+    added = [c for c in df.columns if c not in first and not c.startswith("_key") and c not in ("_seg", "_home", "_cut")]
     return df.select(*[F.col(f"_key.{c}").alias(c) if c in keys else F.col(c) for c in (*first, *added)])
 
 
@@ -55,23 +84,30 @@ def _order(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], segment: Column) -> DataFrame:
+def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], segment: Column | Slices) -> DataFrame:
     """Adds `_pos`, the 0-based row number within the key, and `_total`, the rows of the key."""
     keyed = _keyed(df, keys, segment)
     earlier = Window.partitionBy("_key").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        keyed.groupBy("_seg", "_key")
+        keyed.where("_cut")
+        .groupBy("_seg", "_key")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(
             "_key",
             "_seg",
             F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-            F.sum("_n").over(Window.partitionBy("_key")).alias("_total"),
+            F.sum("_n").over(Window.partitionBy("_key")).alias("_all"),
         )
     )
-    within = Window.partitionBy("_seg", "_key").orderBy(*_order(order))
-    numbered = keyed.withColumn("_rn", F.row_number().over(within)).join(offsets, ["_seg", "_key"])
-    numbered = numbered.withColumn("_pos", F.col("_before") + F.col("_rn") - 1).drop("_rn", "_before")
+    within = Window.partitionBy("_seg", "_key")
+    numbered = keyed.withColumn("_rn", F.row_number().over(within.orderBy(*_order(order)))).withColumn(
+        "_own", F.count(F.lit(1)).over(within)
+    )
+    pos = F.coalesce("_before", F.lit(0)) + F.col("_rn") - 1
+    numbered = numbered.join(offsets, ["_seg", "_key"], "left").withColumns(
+        {"_pos": pos, "_total": F.coalesce("_all", "_own")}
+    )
+    numbered = numbered.drop("_rn", "_own", "_before", "_all")
     return _unpacked(numbered, keys, df.columns)
 
 
@@ -83,7 +119,7 @@ def _lent(keyed: DataFrame, order: list[Column], k: int, ahead: bool) -> DataFra
     each row looks k rows along that sequence for the starts of segments. Gaps and short segments need no rule.
     """
     edge = [c.asc() for c in order] if ahead else [c.desc() for c in order]
-    edges = keyed.withColumn(
+    edges = keyed.where("_cut").withColumn(
         "_rn", F.row_number().over(Window.partitionBy("_seg", "_key").orderBy(*edge))
     ).where(F.col("_rn") <= k)
     line = Window.partitionBy("_key").orderBy(F.col("_seg").desc() if ahead else F.col("_seg").asc(), F.col("_rn").desc())
@@ -102,7 +138,7 @@ def over_rows(
     order: Sequence[str | Column],
     compute: Callable[[DataFrame, WindowSpec], DataFrame],
     *,
-    segment: Column,
+    segment: Column | Slices,
     before: int = 0,
     after: int = 0,
 ) -> DataFrame:
@@ -168,7 +204,7 @@ _KINDS = {
         lambda p, w: F.first(p, ignorenulls=True).over(w["later"]),
         lambda e, w: F.first(e, ignorenulls=True).over(w["onward"]),
     ),
-    "total": (lambda e, known: F.sum(e), lambda p, w: F.sum(p).over(w["all"]), lambda e, w: F.lit(None).cast("long")),
+    "total": (lambda e, known: F.sum(e), lambda p, w: F.sum(p).over(w["all"]), lambda e, w: F.sum(e).over(w["own"])),
 }
 
 
@@ -178,14 +214,14 @@ def _merge(kind: str, own: Column, carried: Column) -> Column:
         return F.when(known, F.coalesce(own, F.lit(0)) + F.coalesce(carried, F.lit(0)))
     if kind in ("max", "min"):
         return (F.greatest if kind == "max" else F.least)(own, carried)
-    return carried if kind == "total" else F.coalesce(own, carried)
+    return F.coalesce(carried, own) if kind == "total" else F.coalesce(own, carried)
 
 
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str | Column],
-    segment: Column,
+    segment: Column | Slices,
     specs: dict[str, tuple[str, Column]],
 ) -> DataFrame:
     """Adds running values whose frames have no bound on one side.
@@ -204,6 +240,7 @@ def running(
         "earlier": by_seg.rowsBetween(Window.unboundedPreceding, -1),
         "later": by_seg.rowsBetween(1, Window.unboundedFollowing),
         "all": Window.partitionBy("_key"),
+        "own": Window.partitionBy("_seg", "_key"),
         "upto": within.rowsBetween(Window.unboundedPreceding, 0),
         "onward": within.rowsBetween(0, Window.unboundedFollowing),
     }
@@ -214,7 +251,7 @@ def running(
         carried.append(combine(f"_p{i}", w).alias(f"_c{i}"))
         own[f"_l{i}"] = inside(expr, w)
         merged[name] = _merge(kind, F.col(f"_l{i}"), F.col(f"_c{i}"))
-    carry = keyed.groupBy("_seg", "_key").agg(*reduced).select("_key", "_seg", *carried)
-    out = keyed.withColumns(own).join(carry, ["_seg", "_key"]).withColumns(merged)
+    carry = keyed.where("_cut").groupBy("_seg", "_key").agg(*reduced).select("_key", "_seg", *carried)
+    out = keyed.withColumns(own).join(carry, ["_seg", "_key"], "left").withColumns(merged)
     scratch = [f"_{t}{i}" for i in range(len(specs)) for t in "lc"]
     return _unpacked(out.drop(*scratch), keys, df.columns)

@@ -7,7 +7,6 @@ from ..functions import scalars as S
 from ..operators import bars as B
 from ..operators import features as X
 from ..operators import joins as J
-from ..plans.segments import time_segment
 from ..schemas import ENTITY
 from .base import E_, W_, query
 
