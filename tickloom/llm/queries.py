@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import mixing, packing, quality_rules
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     judged = quality_rules.judged(docs)
     return judged.select("doc_id", *(F.col(f"{quality_rules.OUT}.{n}").alias(n) for n in names))
+
+
+@query()
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.tokenized(read(spark, sf_dir, "documents"))
+    slim = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.packed(slim).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query()
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.decisions(mixing.numbered(read(spark, sf_dir, "documents")))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
