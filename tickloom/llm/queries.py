@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality_rules
+from . import chat, mixing, packing, quality_rules, warc
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,45 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.decisions(mixing.numbered(read(spark, sf_dir, "documents")))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
+
+
+# The payload's SHA-1 in base32: five hexadecimal digits at a time make four characters.
+_BASE32 = (
+    "array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + "
+    "((cast('0x' || substr(h, 1 + 5 * (i // 4), 5) as integer) >> (15 - 5 * (i % 4))) & 31), 1)), '')"
+)
+
+
+@query(f"""
+with p as (select page_id, coalesce(html, '') html from pages),
+h as (select page_id, octet_length(encode(html)) n, sha1(html) h, min(page_id) over (partition by html) f from p)
+select page_id, cast(n as bigint) payload_bytes, {_BASE32} payload_digest,
+  case when page_id = f then 'response' else 'revisit' end record_type, case when page_id <> f then f end refers_to from h
+""")
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    sound = F.when(F.col("problem").isNotNull(), F.raise_error(F.concat_ws(": ", "path", "problem"))).otherwise(F.col("page_id"))
+    return records.select(sound.cast("long").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to")
+
+
+def _sql_escaped(text: str) -> str:
+    text = f"regexp_replace({text}, '{chat.CONTROL}', '<\\\\\\1\\2>', 'g')"
+    return f"regexp_replace({text}, '{chat.CONTROL_SQUARE}', '[\\\\\\1\\2]', 'g')"
+
+
+@query(f"""
+with c as (select conv_id, turn, coalesce(role, '') role, coalesce(text, '') text from conversations union all
+  select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t as (select *, lag(role) over (partition by conv_id order by turn, role, text) is distinct from role as new_run from c)
+select conv_id, count(*) n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) loss_sha256,
+  cast(sum(length({_sql_escaped('text')}) + case when new_run then
+    length({_sql_escaped('role')}) + {len(chat.TURN + chat.TEXT + chat.END)} else {len(chat.PART)} end) as bigint) formatted_chars
+from t group by conv_id
+""")
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    mark = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", mark), (-1, 1, "assistant", mark)], turns.schema)
+    return chat.digests(chat.formatted(turns.unionByName(probe)))
