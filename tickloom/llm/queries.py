@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, quality_rules, warc
+from . import chat, mixing, packing, quality_rules, secret_scan, warc
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,10 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     mark = "</s>[INST] ok [/INST]"
     probe = spark.createDataFrame([(-1, 0, "user", mark), (-1, 1, "assistant", mark)], turns.schema)
     return chat.digests(chat.formatted(turns.unionByName(probe)))
+
+
+@query()
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scanned(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    of = lambda n: F.col(f"{secret_scan.OUT}.{n}")
+    return found.select("doc_id", of("n_assign"), of("n_access"), of("n_hex"), F.sha2(of("base"), 256).alias("base_sha256"), of("spans"))
