@@ -87,6 +87,15 @@ def test_ends():
     assert S.scan(bomb)[0] == []
 
 
+def test_long_runs_take_linear_time():
+    import time
+
+    began = time.time()
+    for run in ("a", "%", "%4", "\\u", "\\", "0", "A", "=", "token", "password ", "/"):
+        S.scan((run * 200_000)[:200_000] + " %41 \\u0041")
+    assert time.time() - began < 60
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     got = S.scanned(odd_docs)
     assert got.columns == [*odd_docs.columns, S.OUT] and got.count() == odd_docs.count()

@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, quality_rules, secret_scan, warc
-from .common import read
+from . import chat, langid, mixing, packing, quality_rules, secret_scan, warc
+from .common import read, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,3 +117,12 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scanned(read(spark, sf_dir, "documents").select("doc_id", "text"))
     of = lambda n: F.col(f"{secret_scan.OUT}.{n}")
     return found.select("doc_id", of("n_assign"), of("n_access"), of("n_hex"), F.sha2(of("base"), 256).alias("base_sha256"), of("spans"))
+
+
+@query()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    known = langid.profiles(docs.filter(~held_out).select("lang", "text"))
+    found = langid.predicted(docs.select("doc_id", "text"), known)
+    return found.select("doc_id", held_out.alias("held_out"), F.col(f"{langid.OUT}.lang_pred").alias("lang_pred"), F.col(f"{langid.OUT}.score").alias("score"))

@@ -46,8 +46,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 SHORTEST_VALUE = 6
 
-PERCENT = re.compile(r"[A-Za-z0-9._~+/=:;,!?@&*()'\"$#-]*(?:%[0-9A-Fa-f]{2}[A-Za-z0-9._~+/=:;,!?@&*()'\"$#-]*)+")
-UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\}|[!-\[\]-~])*(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\})(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\}|[!-\[\]-~])*")
+# Tokens are whole runs, found in one pass; those without an escape are passed over.
+PERCENT = re.compile(r"[A-Za-z0-9._~+/=:;,!?@&*()'\"$#%-]+")
+PERCENT_ESCAPE = re.compile(r"%[0-9A-Fa-f]{2}")
+UNICODE = re.compile(r"[!-~]+")
 ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\u\{([0-9A-Fa-f]{1,6})\}")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 
@@ -64,13 +66,13 @@ def find(text: str) -> list[Span]:
 
 
 class Layer:
-    """A text with the span of the original behind each character."""
+    """A text with the span of the original behind each character; spans are in order."""
 
     def __init__(self, text: str, starts: np.ndarray, ends: np.ndarray):
         self.text, self.starts, self.ends = text, starts, ends
 
     def place(self, start: int, end: int) -> tuple[int, int]:
-        return int(self.starts[start:end].min()), int(self.ends[start:end].max())
+        return int(self.starts[start]), int(self.ends[end - 1])
 
 
 def _readable(raw: bytes) -> str | None:
@@ -109,20 +111,24 @@ def _inflate(raw: bytes) -> bytes | None:
     return None
 
 
+def _cut(token: str, escape: re.Pattern) -> tuple[np.ndarray, np.ndarray]:
+    """First and last place of each character or escape of a token."""
+    whole = np.ones(len(token), bool)
+    spans = [m.span() for m in escape.finditer(token)]
+    for start, end in spans:
+        whole[start + 1 : end] = False
+    first = np.flatnonzero(whole)
+    return first, np.append(first[1:], len(token)) - 1
+
+
 def _percent(layer: Layer) -> Iterator[Layer]:
     if "%" not in layer.text:
         return
     for m in PERCENT.finditer(layer.text):
-        token = m.group()
-        raw = unquote_to_bytes(token)
-        at, starts, ends = m.start(), [], []
-        k = 0
-        while k < len(token):  # the token is ASCII: a character or an escape makes one byte
-            n = 3 if token[k] == "%" else 1
-            starts.append(layer.starts[at + k : at + k + n].min())
-            ends.append(layer.ends[at + k : at + k + n].max())
-            k += n
-        made = _from_bytes(raw, np.array(starts), np.array(ends))
+        if not PERCENT_ESCAPE.search(m.group()):
+            continue
+        first, last = _cut(m.group(), PERCENT_ESCAPE)  # the token is ASCII: a character or an escape makes one byte
+        made = _from_bytes(unquote_to_bytes(m.group()), layer.starts[m.start() + first], layer.ends[m.start() + last])
         if made:
             yield made
 
@@ -131,18 +137,16 @@ def _unicode(layer: Layer) -> Iterator[Layer]:
     if "\\u" not in layer.text and "\\x" not in layer.text:
         return
     for m in UNICODE.finditer(layer.text):
-        token, at = m.group(), m.start()
-        chars, starts, ends, k = [], [], [], 0
-        while k < len(token):
-            e = ESCAPE.match(token, k)
-            n = e.end() - k if e else 1
-            code = int(e.group(1) or e.group(2) or e.group(3), 16) if e else ord(token[k])
-            chars.append(code)
-            starts.append(layer.starts[at + k : at + k + n].min())
-            ends.append(layer.ends[at + k : at + k + n].max())
-            k += n
-        joined, a, b = _joined_surrogates(chars, starts, ends)
-        if joined and not re.search(r"[\x00-\x08\x0e-\x1f\x7f]", joined):
+        token = m.group()
+        if not ESCAPE.search(token):
+            continue
+        first, last = _cut(token, ESCAPE)
+        codes = []
+        for a, b in zip(first.tolist(), last.tolist(), strict=True):
+            e = ESCAPE.match(token, a) if b > a else None
+            codes.append(int(e.group(1) or e.group(2) or e.group(3), 16) if e else ord(token[a]))
+        joined, a, b = _joined_surrogates(codes, layer.starts[m.start() + first].tolist(), layer.ends[m.start() + last].tolist())
+        if not re.search(r"[\x00-\x08\x0e-\x1f\x7f]", joined):
             yield Layer(joined, np.array(a), np.array(b))
 
 
