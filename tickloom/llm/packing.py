@@ -15,6 +15,7 @@ length depends on how the rows are stored; the number of sequences and their fil
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +27,10 @@ from ..session import materialise
 from .common import arrow_rows, utf8
 
 SIZE = 2048
-# Words kept with their ids by each Python worker; some 60 MB. A word beyond is encoded again.
-REMEMBERED = 250_000
+# Words kept with their ids by each Python worker; some 120 MB. A word beyond is encoded again.
+REMEMBERED = 600_000
 LONG_WORD = 64
+SLICE = 256
 
 
 def vocabulary() -> str:
@@ -38,11 +40,18 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# Marks that the vocabulary parts from a letter before them, and words that it takes as one piece of letters.
+_TAIL = b".,!?;:"
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
 class WordIds(dict):
     """The ids of a word as little-endian 32-bit integers.
 
     The vocabulary's rules drop white space and never join across it, so the ids of a text are those of its words, which
-    are cut at ASCII white space; words repeat, and each is encoded once.
+    are cut at ASCII white space; words repeat, and each is encoded once. Marks at the end of a word are pieces of their
+    own, and case does not count, so words that differ in these share one entry. New words of a slice of texts are encoded
+    together.
     """
 
     def __init__(self, path: str):
@@ -51,19 +60,58 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        ends = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[ends] = True
+
+    @staticmethod
+    def core(word: bytes) -> bytes:
+        """The word without its last marks, in lower case, where that changes no id; else the word."""
+        if b"<|" in word:
+            return word
+        core = word.rstrip(_TAIL)
+        if len(core) < len(word) and not core[-1:].isalpha() and not (core and _PLAIN.fullmatch(core.decode()[-1])):
+            core = word
+        return core.lower() if core.isascii() else core
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        made = np.array(ids, "<u4").tobytes()
+        core = self.core(word)
+        if core != word:
+            tail = word[len(core) :]
+            made = self[core] + (self[tail] if tail else b"")
+        else:
+            made = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         if len(word) <= LONG_WORD:
-            if len(self) >= REMEMBERED:
-                self.clear()
             self[word] = made
         return made
 
+    def learn(self, words: set[bytes]) -> None:
+        """Encode the new words that are one piece each, many in one call."""
+        if len(self) >= REMEMBERED:
+            self.clear()
+        cores = {self.core(w) for w in words if w not in self}
+        new = [w for w in cores if w not in self and len(w) <= LONG_WORD and _PLAIN.fullmatch(w.decode())]
+        lines = [new[k : k + 1000] for k in range(0, len(new), 1000)]
+        encoded = self.tokenizer.encode_batch_fast([b" ".join(x).decode() for x in lines], add_special_tokens=False)
+        for line, found in zip(lines, encoded, strict=True):
+            ids = np.array(found.ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(line):  # a vocabulary that cuts such words; each is encoded when it is met
+                continue
+            raw, start = ids.tobytes(), 0
+            for word, end in zip(line, (4 * cuts).tolist(), strict=True):
+                self[word] = raw[start:end]
+                start = end
+
     def of(self, text: bytes) -> bytes:
         return b"".join(map(self.__getitem__, text.split()))
 
+    def of_all(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text; new words of all of them are encoded together."""
+        split = [t.split() for t in texts]
+        self.learn(set().union(*split))
+        return [b"".join(map(self.__getitem__, words)) for words in split]
+
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 
@@ -76,10 +124,10 @@ def tokenized(docs: DataFrame, path: str | None = None, size: int = SIZE, key: s
         words = WordIds(path)
         schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
         for batch in batches:
-            for rows in arrow_rows(batch, 256):
+            for rows in arrow_rows(batch, SLICE):
                 out: list[list] = [[], [], [], [], []]
-                for key_, text_ in zip(rows.column(0).to_pylist(), utf8(rows.column(1)), strict=True):
-                    ids = words.of(text_) + b"\0\0\0\0"
+                for key_, ids in zip(rows.column(0).to_pylist(), words.of_all(utf8(rows.column(1))), strict=True):
+                    ids += b"\0\0\0\0"
                     for piece, at in enumerate(range(0, len(ids), 4 * size)):
                         part = ids[at : at + 4 * size]
                         for column, value in zip(out, (key_, piece, at // 4, len(part) // 4, part), strict=True):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mixing, packing, quality_rules, secret_scan, warc
+from . import chat, embedding_dedup, langid, mixing, packing, quality_model, quality_rules, secret_scan, warc
 from .common import read, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,23 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = langid.profiles(docs.filter(~held_out).select("lang", "text"))
     found = langid.predicted(docs.select("doc_id", "text"), known)
     return found.select("doc_id", held_out.alias("held_out"), F.col(f"{langid.OUT}.lang_pred").alias("lang_pred"), F.col(f"{langid.OUT}.score").alias("score"))
+
+
+@query()
+def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    labels = read(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held_out)
+    found = quality_model.scored(docs, quality_model.trained(docs, labels))
+    return found.select("doc_id", held_out.alias("held_out"), F.col(f"{quality_model.OUT}.score").alias("score"), F.col(f"{quality_model.OUT}.predicted").alias("predicted"))
+
+
+@query("""
+with recursive e as materialized (select vec_id, embedding::double[] v from embeddings),
+l as materialized (select a.vec_id x, b.vec_id y from e a join e b on a.vec_id <> b.vec_id and list_cosine_similarity(a.v, b.v) >= 0.9),
+c(x, r) as (select vec_id, vec_id from e union select l.y, c.r from c join l using (x)),
+m as (select x, min(r) r from c group by x)
+select vec_id, (select count(*) from l where l.x = vec_id) n_links, r component_id, vec_id = r kept from e join m on m.x = e.vec_id
+""")
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
