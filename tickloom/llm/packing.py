@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,17 +41,20 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-# Marks that the vocabulary parts from a letter before them, and words that it takes as one piece of letters.
-_TAIL = b".,!?;:"
+# A mark between a letter or digit and white space is a piece of its own, so white space may stand before it too.
+_MARK = re.compile(rb"[.,!?;:](?:(?<=[A-Za-z0-9].)|(?<=\xC3[\x80-\x96\x98-\xB6\xB8-\xBF].))(?=[\x20\x09-\x0D]|\Z)")
+# Words that the vocabulary takes as one piece.
 _PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+# Lead bytes of combining marks, which the vocabulary joins with letters before it lowers them.
+_COMBINING = (b"\xcc", b"\xcd")
 
 
 class WordIds(dict):
     """The ids of a word as little-endian 32-bit integers.
 
     The vocabulary's rules drop white space and never join across it, so the ids of a text are those of its words, which
-    are cut at ASCII white space; words repeat, and each is encoded once. Marks at the end of a word are pieces of their
-    own, and case does not count, so words that differ in these share one entry. New words of a slice of texts are encoded
+    are cut at ASCII white space; words repeat, and each is encoded once. Case does not count, and marks at the end of a
+    word are pieces of their own, so words that differ in these share an entry. New words of a slice of texts are encoded
     together.
     """
 
@@ -65,22 +69,14 @@ class WordIds(dict):
         self.ends[ends] = True
 
     @staticmethod
-    def core(word: bytes) -> bytes:
-        """The word without its last marks, in lower case, where that changes no id; else the word."""
-        if b"<|" in word:
-            return word
-        core = word.rstrip(_TAIL)
-        if len(core) < len(word) and not core[-1:].isalpha() and not (core and _PLAIN.fullmatch(core.decode()[-1])):
-            core = word
-        return core.lower() if core.isascii() else core
+    def words(text: bytes) -> list[bytes]:
+        """The words whose ids, one after the other, are those of the text."""
+        if b"<|" not in text and not any(b in text for b in _COMBINING):
+            text = _MARK.sub(rb" \g<0>", text.lower())
+        return text.split()
 
     def __missing__(self, word: bytes) -> bytes:
-        core = self.core(word)
-        if core != word:
-            tail = word[len(core) :]
-            made = self[core] + (self[tail] if tail else b"")
-        else:
-            made = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        made = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         if len(word) <= LONG_WORD:
             self[word] = made
         return made
@@ -89,8 +85,7 @@ class WordIds(dict):
         """Encode the new words that are one piece each, many in one call."""
         if len(self) >= REMEMBERED:
             self.clear()
-        cores = {self.core(w) for w in words if w not in self}
-        new = [w for w in cores if w not in self and len(w) <= LONG_WORD and _PLAIN.fullmatch(w.decode())]
+        new = [w for w in words if w not in self and len(w) <= LONG_WORD and _PLAIN.fullmatch(w.decode())]
         lines = [new[k : k + 1000] for k in range(0, len(new), 1000)]
         encoded = self.tokenizer.encode_batch_fast([b" ".join(x).decode() for x in lines], add_special_tokens=False)
         for line, found in zip(lines, encoded, strict=True):
@@ -103,16 +98,19 @@ class WordIds(dict):
                 self[word] = raw[start:end]
                 start = end
 
-    def of(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
-
-    def of_all(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text; new words of all of them are encoded together."""
-        split = [t.split() for t in texts]
+    def of(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text."""
+        split = [self.words(t) for t in texts]
         self.learn(set().union(*split))
         return [b"".join(map(self.__getitem__, words)) for words in split]
 
 
+@lru_cache(1)
+def word_ids(path: str) -> WordIds:
+    """One table per Python worker, which the tasks it runs one after the other share."""
+    return WordIds(path)
+
+
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 
 
@@ -121,12 +119,12 @@ def tokenized(docs: DataFrame, path: str | None = None, size: int = SIZE, key: s
     path = path or vocabulary()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
+        words = word_ids(path)
         schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
         for batch in batches:
             for rows in arrow_rows(batch, SLICE):
                 out: list[list] = [[], [], [], [], []]
-                for key_, ids in zip(rows.column(0).to_pylist(), words.of_all(utf8(rows.column(1))), strict=True):
+                for key_, ids in zip(rows.column(0).to_pylist(), words.of(utf8(rows.column(1))), strict=True):
                     ids += b"\0\0\0\0"
                     for piece, at in enumerate(range(0, len(ids), 4 * size)):
                         part = ids[at : at + 4 * size]

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -74,6 +75,12 @@ class WordHashes(dict):
         return made
 
 
+@lru_cache(1)
+def word_hashes() -> WordHashes:
+    """One table per Python worker, which the tasks it runs one after the other share."""
+    return WordHashes()
+
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -134,7 +141,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     texts = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = word_hashes()
         for batch in batches:
             for part in arrow_rows(batch, 128):
                 made = [features(t, hashes) for t in utf8(part.column("text"))]
@@ -192,7 +199,7 @@ def scored(docs: DataFrame, weights: np.ndarray, text: str = "text", cut: float
     """`docs` with the struct `OUT` of score (0 to 1, higher: better) and predicted (1 where the score reaches `cut`)."""
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        hashes = WordHashes()
+        hashes = word_hashes()
         for texts in batches:
             out = np.empty(len(texts))
             for k, text_ in enumerate(texts):
