@@ -2,8 +2,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.llm import quality_rules
+from tickloom.llm import mixing, near_dedup, packing, quality_rules, secret_scan
 from tickloom.llm.common import read
 from tickloom.session import scratch_path
 
@@ -13,7 +14,34 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
-STAGES = [("quality_rules", quality)]
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return near_dedup.deduplicated(docs)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts replaced; n_chars follows the text."""
+    clean = secret_scan.redacted(docs)
+    return clean.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else clean
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of the sources takes it."""
+    return mixing.mixed(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2048 tokens, with the ids of the documents in them."""
+    return packing.sequences(packing.packed(packing.tokenized(docs)))
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("near_dedup", dedup),
+    ("secret_scan", secrets),
+    ("source_mix", mix),
+    ("best_fit_packing", pack),
+]
 
 # Packing has no SQL form; tests hold every stage against a brute-force version.
 ORACLE_SQL = None

@@ -33,6 +33,15 @@ def remainder(column: Column, by: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % by
 
 
+def smallest_hashes(hash_: str, rows: int, of: int) -> Column:
+    """A filter that some twice `rows` of `of` rows pass, those with the smallest hashes.
+
+    It stands before a limit in the order of the hash, so that a task passes on few rows whatever the number of tasks.
+    """
+    share = min(1.0, (2 * rows + 100) / max(1, of))
+    return F.col(hash_) <= F.lit(min((1 << 63) - 1, int(-(1 << 63) + share * (1 << 64))))
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column, empty for nulls."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

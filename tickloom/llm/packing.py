@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import arrow_rows, utf8
+from .common import arrow_rows, list_array, utf8
 
 SIZE = 2048
 # Words kept with their ids by each Python worker; some 120 MB. A word beyond is encoded again.
@@ -210,28 +210,26 @@ def packed(pieces: DataFrame, size: int = SIZE) -> DataFrame:
 
 
 def sequences(placed: DataFrame) -> DataFrame:
-    """The packed sequences: sequence_id, tokens, ids (array), and the pieces in order as (doc_id, piece, offset, length).
+    """The packed sequences: sequence_id, tokens, ids, doc_ids, and the pieces in order as (doc_id, piece, offset, length).
 
     A sequence holds at most as many pieces as tokens, so a group is small by construction.
     """
     parts = F.sort_array(F.collect_list(F.struct("offset", "doc_id", "piece", "length", "ids")))
-    df = placed.groupBy("sequence_id").agg(F.sum("length").alias("tokens"), parts.alias("_tl_parts"))
-    schema = df.select(
-        "sequence_id", "tokens", F.array().cast("array<int>").alias("ids"),
-        F.transform("_tl_parts", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["piece"].alias("piece"), p["offset"].alias("offset"), p["length"].alias("length"))).alias("pieces"),
-    ).schema
-    joined = df.select(
-        "sequence_id", "tokens", F.array_join(F.transform("_tl_parts", lambda p: F.hex(p["ids"])), "").alias("_tl_hex"),
-        F.transform("_tl_parts", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["piece"].alias("piece"), p["offset"].alias("offset"), p["length"].alias("length"))).alias("pieces"),
-    )
-    raw = joined.select("sequence_id", "tokens", F.unhex("_tl_hex").alias("ids"), "pieces")
+    df = placed.groupBy("sequence_id").agg(F.sum("length").alias("tokens"), parts.alias("pieces"))
+    schema = "sequence_id bigint, tokens bigint, ids array<int>, doc_ids array<bigint>, pieces array<struct<doc_id:bigint,piece:int,offset:bigint,length:bigint>>"
 
-    def as_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blobs = batch.column("ids").to_pylist()
-            values = np.frombuffer(b"".join(blobs), "<u4").astype(np.int32)
-            offsets = np.concatenate([[0], np.cumsum([len(b) // 4 for b in blobs])]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-            yield pa.RecordBatch.from_arrays([batch.column("sequence_id"), batch.column("tokens"), ids, batch.column("pieces")], names=batch.schema.names)
-
-    return raw.mapInArrow(as_lists, schema)
+            rows, pieces = batch.column("pieces").flatten(), batch.column("pieces")
+            offsets = pa.array(pieces.offsets.to_numpy() - pieces.offsets[0].as_py(), pa.int32())
+            column = {f.name: rows.field(k) for k, f in enumerate(rows.type)}
+            ids = np.frombuffer(b"".join(column["ids"].to_pylist()), "<u4").astype(np.int32)
+            names = ["doc_id", "piece", "offset", "length"]
+            kept = pa.StructArray.from_arrays([column[n] for n in names], names)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("sequence_id"), batch.column("tokens"), list_array(ids, batch.column("tokens").to_pylist(), pa.int32()),
+                 pa.ListArray.from_arrays(offsets, column["doc_id"]), pa.ListArray.from_arrays(offsets, kept)],
+                names=["sequence_id", "tokens", "ids", "doc_ids", "pieces"],
+            )
+
+    return df.mapInArrow(join, schema)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import arrow_rows, list_array, text_of, utf8
+from .common import arrow_rows, list_array, smallest_hashes, text_of, utf8
 
 OUT = "_tl_quality"
 BITS = 18
@@ -135,8 +135,8 @@ def probability(margin: float) -> float:
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """Features of the labelled documents to learn from: shard, place in it, label, places, values."""
     order = F.xxhash64("doc_id", F.lit("quality"))
-    chosen = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("label")).dropna().distinct()
-    chosen = chosen.withColumn("_tl_order", order).orderBy("_tl_order", "doc_id", "label").limit(rows)
+    known = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("label")).dropna().withColumn("_tl_order", order)
+    chosen = known.filter(smallest_hashes("_tl_order", rows, known.count())).distinct().orderBy("_tl_order", "doc_id", "label").limit(rows)
     # at most `rows` rows of three numbers, whatever the size of the tables
     texts = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
 

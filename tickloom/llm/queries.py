@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embedding_dedup, langid, mixing, packing, quality_model, quality_rules, secret_scan, warc
+from . import chat, embedding_dedup, langid, mixing, near_dedup, packing, quality_model, quality_rules, secret_scan, warc
 from .common import read, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,8 @@ select vec_id, (select count(*) from l where l.x = vec_id) n_links, r component_
 """)
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))

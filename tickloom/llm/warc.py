@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise, scratch_path
-from .common import arrow_rows, utf8
+from .common import arrow_rows, smallest_hashes, utf8
 
 # Fixed values of the formats.
 SKIPPABLE = 0x184D2A5D
@@ -55,7 +55,8 @@ def digest(payload: bytes) -> str:
 def dictionary(pages: DataFrame, size: int = DICTIONARY_BYTES, payload: str = "html") -> bytes:
     """A Zstandard dictionary from a sample bounded in rows and bytes; empty where there is too little to learn from."""
     head = F.substring(F.col(payload), 1, SAMPLE_CHARS)
-    rows = pages.select(head.alias("head"), F.xxhash64(head).alias("h")).filter(F.length("head") > 0).orderBy("h", "head").limit(SAMPLE_PAGES)
+    rows = pages.select(head.alias("head"), F.xxhash64("page_id", head).alias("h")).filter(F.length("head") > 0)
+    rows = rows.filter(smallest_hashes("h", SAMPLE_PAGES, pages.count())).orderBy("h", "head").limit(SAMPLE_PAGES)
     samples = [r.head.encode() for r in rows.collect()]
     try:
         return zstandard.train_dictionary(min(size, sum(map(len, samples)) // 8), samples).as_bytes() if samples else b""
@@ -262,7 +263,8 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
         yield pa.RecordBatch.from_pylist(held, schema=schema)
 
     listed = archives.select(F.col("path").cast("string"))
-    return listed.repartition(F.col("path")).mapInArrow(read, RECORDS)
+    # a task for each archive, which adaptive execution would put together for the few bytes of their names
+    return listed.repartition(max(1, listed.count())).mapInArrow(read, RECORDS)
 
 
 def round_trip(pages: DataFrame, smallest: int = 0) -> DataFrame:
