@@ -27,6 +27,8 @@ HEADLINE = [
     # metrics, quality, evaluation, risk
     "counter_rate", "sustained_alert", "dedupe_ticks", "price_outliers", "null_rates", "feature_drift_psi", "auc",
     "max_drawdown", "risk_gate", "orderbook_features", "implied_vol_greeks",
+    # models
+    "train_regressor", "random_search", "train_classifier",
     # streaming
     "stream_bars",
 ]

@@ -14,7 +14,7 @@ from tickloom.sources.adapters import Inputs
 from tickloom.sources.tables import explain_plan
 
 # queries whose tasks run Python: the option solver and the two object copiers
-PYTHON = {"implied_vol_greeks", "copy_binaries_to_raw", "fetch_objects"}
+PYTHON = {"implied_vol_greeks", "macd", "copy_binaries_to_raw", "fetch_objects"}
 
 
 @pytest.fixture(scope="module")

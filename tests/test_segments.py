@@ -7,7 +7,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.plans.quantiles import exact_quantiles, value_segment
-from tickloom.plans import segments
 from tickloom.plans.segments import Slices, over_rows, over_time, positions, running
 
 FEW = settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
@@ -26,12 +25,6 @@ ROWS = st.lists(
 WIDTHS = st.sampled_from([1, 7, 1000, "slices"])
 
 
-@pytest.fixture(autouse=True)
-def many_hot_keys(monkeypatch):
-    """Small inputs have few rows per key: let every key above the row limit count as hot."""
-    monkeypatch.setattr(segments, "MAX_HOT_KEYS", 10**9)
-
-
 def cut(width):
     """Fixed segments, or slices of keys with more than four rows."""
     return Slices(F.col("t"), 4) if width == "slices" else F.floor(F.col("t") / width).cast("long")
@@ -152,3 +145,21 @@ def test_hot_key_is_split(spark, share):
     out = over_rows(df, ["k"], ["ts"], compute, segment=Slices(F.col("v"), 500), before=1)
     assert out.where("k = 'hot' and v > 0 and prev = v - 1").count() == int(n * share) - 1
     assert sizes[0].agg(F.max("count")).first()[0] <= 501
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_slices_stay_near_the_target(spark, keys):
+    """One row of 1970 among many of one month does not undo the cuts, with a key or without one."""
+    n, target = 20_000, 1000
+    df = spark.range(n).select(F.lit("hot").alias("k"), (F.lit(1_700_000_000) + F.col("id") * 100).alias("t"))
+    df = df.unionByName(spark.createDataFrame([("hot", 0)], "k STRING, t BIGINT"))
+    sizes = []
+
+    def compute(d, w):
+        sizes.append(d.groupBy("_key", "_seg").count())
+        return d.withColumn("prev", F.lag("t").over(w))
+
+    out = over_rows(df, keys, ["t"], compute, segment=Slices(F.col("t"), target, slot=3600), before=1)
+    assert out.where("prev is null").count() == 1
+    assert sizes[0].agg(F.max("count")).first()[0] <= target + 37  # a slot of an hour holds 36 rows, and one row is lent
+    assert sizes[0].count() >= n // target

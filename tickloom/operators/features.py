@@ -5,10 +5,13 @@ Row-based functions count bars, time-based functions count elapsed time; both ar
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans.segments import DAY, over_rows, over_time, time_segment
 from ..schemas import ENTITY, FEATURE_COLS
@@ -194,37 +197,29 @@ def rsi(bars: DataFrame, n: int = 14, bar_s: int = 60) -> DataFrame:
     return _indicator(bars, compute, ["rsi"], bar_s, n)
 
 
-def _ewm(rows: DataFrame, col: str, out: str, span: int, n: int, w: WindowSpec) -> DataFrame:
-    """Adds the exponentially weighted mean of the last n values, weights normalised.
-
-    Values are scaled by growing powers of the row number `_i` and summed from the start of the segment; the sum n rows
-    back is taken off again. That costs the same for every n. Recent rows dominate the sum, so nothing cancels.
-    """
-    keep = 1.0 - 2.0 / (span + 1.0)
-    summed = F.sum(F.col(col) * F.pow(F.lit(1.0 / keep), F.col("_i"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("_p", summed)
-    recent = F.col("_p") - F.coalesce(F.lag("_p", n).over(w), F.lit(0.0))
-    held = F.least(F.col("_i"), F.lit(n))
-    weights = (1.0 - F.pow(F.lit(keep), held)) / (1.0 - keep)
-    return rows.withColumn(out, recent * F.pow(F.lit(keep), F.col("_i")) / weights).drop("_p")
-
-
-def macd(
-    bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, rows_back: int = 200, bar_s: int = 60
-) -> DataFrame:
+def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, bar_s: int = 60) -> DataFrame:
     """Difference of two exponential means, its own exponential mean (signal) and their distance.
 
-    Means reach `rows_back` rows back; the weight left out is below 1e-6 for a span of 26. A segment spans 1,440 bar
-    lengths, which together with the rows lent to it keeps the powers far below the largest double.
+    Means reach back until the weight left out is below the precision of a double, so results do not depend on how the
+    rows are cut. Every slice of time of an entity is one group, whose means are the plain recursion.
     """
+    reach = lambda span: 1 if span <= 1 else math.ceil(37.0 / -math.log(1.0 - 2.0 / (span + 1.0)))
+    back = max(reach(fast), reach(slow)) + reach(signal)
+
+    def means(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("bar_ts", kind="stable")
+        ewm = lambda x, span: x.ewm(span=max(1, span), adjust=True).mean()
+        pdf["macd"] = ewm(pdf["c"], fast) - ewm(pdf["c"], slow)
+        pdf["macd_signal"] = ewm(pdf["macd"], signal)
+        return pdf
 
     def compute(rows, w):
-        rows = rows.withColumn("_i", F.row_number().over(w))
-        rows = _ewm(_ewm(rows, "c", "_fast", fast, rows_back, w), "c", "_slow", slow, rows_back, w)
-        return _ewm(rows.withColumn("macd", F.col("_fast") - F.col("_slow")), "macd", "macd_signal", signal, rows_back, w)
+        rows = rows.select("_seg", "_key", "_home", "bar_ts", "c")
+        schema = T.StructType([*rows.schema.fields, T.StructField("macd", T.DoubleType()), T.StructField("macd_signal", T.DoubleType())])
+        return rows.groupBy("_seg", "_key").applyInPandas(means, schema)
 
-    segment = time_segment("bar_ts", 1440 * bar_s)
-    out = over_rows(bars, ENTITY, ["bar_ts"], compute, segment=segment, before=2 * rows_back)
+    slim = bars.select(*ENTITY, "bar_ts", F.col("c").cast("double").alias("c"))
+    out = over_rows(slim, ENTITY, ["bar_ts"], compute, segment=time_segment("bar_ts", max(1440, 8 * back) * bar_s), before=back)
     return out.select(
         *ENTITY, "bar_ts", "macd", "macd_signal", (F.col("macd") - F.col("macd_signal")).alias("macd_hist")
     )
@@ -262,14 +257,19 @@ def lag_features(bars: DataFrame, cols: Sequence[str], lags: Sequence[int], bar_
 def seasonal_decompose(bars: DataFrame, period: int = 24, step_s: int = 3600) -> DataFrame:
     """Additive parts of the close: centred moving average, mean detrended value per phase, residual.
 
-    The phase is the time step number modulo the period; the trend is NULL until the centred frame is full.
+    The phase is the time step number modulo the period; the trend is NULL until the centred frame is full. With an even
+    period both ends of the frame weigh one half, so that every phase weighs the same.
     """
     half = period // 2
 
     def compute(rows, w):
         frame = w.rowsBetween(-half, half)
         whole = F.count(F.lit(1)).over(frame) == 2 * half + 1
-        return rows.withColumn("trend", F.when(whole, F.avg("c").over(frame)))
+        if period % 2:
+            mean = F.avg("c").over(frame)
+        else:
+            mean = (F.sum("c").over(frame) - (F.lag("c", half).over(w) + F.lead("c", half).over(w)) / 2) / period
+        return rows.withColumn("trend", F.when(whole, mean))
 
     parts = _indicator(bars, compute, ["c", "trend"], step_s, half, half).withColumn(
         "phase", F.pmod(F.floor(F.unix_seconds("bar_ts") / step_s), F.lit(period)).cast("int")

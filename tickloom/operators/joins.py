@@ -110,7 +110,8 @@ def assign_folds(df: DataFrame, folds: DataFrame, date_col: str) -> DataFrame:
             )
         ),
     )
-    days = parts.select("fold", "part", F.explode(F.sequence("_from", F.date_sub("_to", 1))).alias(date_col))
+    # an empty interval holds no day; a sequence over it would run backwards
+    days = parts.where("_from < _to").select("fold", "part", F.explode(F.sequence("_from", F.date_sub("_to", 1))).alias(date_col))
     return df.join(F.broadcast(days), date_col)  # folds times days, whatever the number of rows
 
 

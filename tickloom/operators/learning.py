@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalars import decide
-from ..plans.segments import Slices, epoch_us, over_rows, positions
+from ..session import materialise
+from ..plans.segments import MINUTE_US, Slices, epoch_us, over_rows, positions
 from .features import bar_segment
 from ..schemas import ENTITY, FEATURE_COLS
 
@@ -25,7 +26,7 @@ def ordered_split(df: DataFrame, fraction: float = 0.8, ts: str = "asof_ts") ->
 
     Rows are numbered per time slice and offset by the slices before, so there is no global sort in one task.
     """
-    numbered = positions(df, [], [ts, *ENTITY], Slices(epoch_us(ts)))
+    numbered = positions(df, [], [ts, *ENTITY], Slices(epoch_us(ts), slot=MINUTE_US))
     train = F.col("_pos") < F.floor(F.col("_total") * F.lit(fraction))
     return numbered.withColumn("part", F.when(train, "train").otherwise("valid")).drop("_key", "_pos", "_total")
 
@@ -58,7 +59,7 @@ def walk_forward_folds(dates: DataFrame, date_col: str, train_days: int, val_day
 def regime_labels(features: DataFrame, codes: DataFrame) -> DataFrame:
     """Per contract month and day: tercile of the mean volatility, and days to expiry in three buckets.
 
-    The ranking runs over one row per day of a contract month.
+    The ranking runs over one row per day of a contract month. A month without a code row has no expiry.
     """
     daily = features.groupBy("ymcode", "trade_date").agg(F.avg("f_vol_20").alias("volatility"))
     expiry = codes.groupBy("ymcode").agg(F.to_date(F.max("lastday").cast("string"), "yyyyMMdd").alias("lastday"))
@@ -67,14 +68,14 @@ def regime_labels(features: DataFrame, codes: DataFrame) -> DataFrame:
     return (
         daily.where("volatility is not null")
         .withColumn("vol_tercile", tercile)
-        .join(expiry, "ymcode")
+        .join(expiry, "ymcode", "left")
         .select(
             "ymcode",
             "trade_date",
             "volatility",
             "vol_tercile",
             dte.alias("days_to_expiry"),
-            F.when(dte <= 7, "near").when(dte <= 30, "mid").otherwise("far").alias("expiry_bucket"),
+            F.when(dte <= 7, "near").when(dte <= 30, "mid").when(dte.isNotNull(), "far").alias("expiry_bucket"),
         )
     )
 
@@ -94,25 +95,28 @@ def _assembler(cols: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(cols), outputCol="features_vec", handleInvalid="skip")
 
 
+# Rounds at most; validation rows end a fit long before.
+MAX_ROUNDS = 2000
+
+
+def _boosted(y: str, max_iter: int, seed: int, **params) -> GBTRegressor:
+    """Boosted trees. Returns are small numbers, so a round must lower the validation error by a small share only."""
+    return GBTRegressor(
+        featuresCol="features_vec", labelCol=y, predictionCol="prediction", maxIter=max_iter, seed=seed, validationTol=1e-3, **params
+    )
+
+
 def train_regressor(
     training: DataFrame,
     y: str = "y_fwd_ret_5",
     cols: Sequence[str] = FEATURE_COLS,
-    max_iter: int = 20,
+    max_iter: int = MAX_ROUNDS,
     seed: int = 42,
     **params,
 ) -> PipelineModel:
     """Boosted regression trees on the ordered split; stops early when the validation rows stop improving."""
     split = ordered_split(training).withColumn("is_valid", F.col("part") == "valid")
-    gbt = GBTRegressor(
-        featuresCol="features_vec",
-        labelCol=y,
-        predictionCol="prediction",
-        validationIndicatorCol="is_valid",
-        maxIter=max_iter,
-        seed=seed,
-        **params,
-    )
+    gbt = _boosted(y, max_iter, seed, validationIndicatorCol="is_valid", **params)
     return Pipeline(stages=[_assembler(cols), gbt]).fit(split)
 
 
@@ -121,47 +125,45 @@ def random_search(
     n_trials: int = 20,
     y: str = "y_fwd_ret_5",
     cols: Sequence[str] = FEATURE_COLS,
-    max_iter: int = 20,
+    max_iter: int = MAX_ROUNDS,
     seed: int = 42,
     parallelism: int = 4,
 ) -> tuple[DataFrame, PipelineModel]:
     """Trials with sampled parameters scored by RMSE on the validation part, and the best one refitted on all rows.
 
-    Learning rate is drawn log-uniformly from 0.001 to 0.2. Each trial is a distributed fit; `parallelism` of them
-    share the cluster.
+    Learning rate is drawn log-uniformly from 0.001 to 0.2. Each trial is a distributed fit that stops when the validation
+    rows stop improving; the refit takes the rounds of the best one. `parallelism` trials share the cluster.
     """
     spark = training.sparkSession
     rng = random.Random(seed)
     draws = [
         {
             "stepSize": 10 ** rng.uniform(-3, math.log10(0.2)),
-            "maxDepth": rng.randint(3, 7),
-            "minInstancesPerNode": rng.randint(10, 100),
-            "featureSubsetStrategy": str(round(rng.uniform(0.6, 1.0), 2)),
-            "subsamplingRate": rng.uniform(0.6, 1.0),
+            "maxDepth": rng.randint(4, 8),
+            "minInstancesPerNode": rng.randint(10, 200),
+            "featureSubsetStrategy": str(round(rng.uniform(0.5, 1.0), 2)),
+            "subsamplingRate": rng.uniform(0.5, 1.0),
         }
         for _ in range(n_trials)
     ]
-    rows = _assembler(cols).transform(ordered_split(training)).select("features_vec", y, "part").persist()
-    try:
-        train, valid = rows.where("part = 'train'"), rows.where("part = 'valid'")
-        gbt = GBTRegressor(featuresCol="features_vec", labelCol=y, maxIter=max_iter, seed=seed)
-        score = RegressionEvaluator(labelCol=y, metricName="rmse")
-
-        def trial(i: int) -> tuple:
-            est = gbt.copy({gbt.getParam(k): v for k, v in draws[i].items()})
-            return (i, float(score.evaluate(est.fit(train).transform(valid))), *draws[i].values())
-
-        with ThreadPool(min(parallelism, n_trials)) as pool:
-            results = pool.map(trial, range(n_trials))
-    finally:
-        rows.unpersist()
-    best = min(results, key=lambda r: r[1])[0]
-    final = GBTRegressor(featuresCol="features_vec", labelCol=y, maxIter=max_iter, seed=seed, **draws[best])
+    split = ordered_split(training).withColumn("is_valid", F.col("part") == "valid")
+    rows = materialise(_assembler(cols).transform(split).select("features_vec", y, "is_valid"), "search-rows")
+    valid = rows.where("is_valid")
+    gbt = _boosted(y, max_iter, seed).setValidationIndicatorCol("is_valid")
+    score = RegressionEvaluator(labelCol=y, metricName="rmse")
+
+    def trial(i: int) -> tuple:
+        fitted = gbt.copy({gbt.getParam(k): v for k, v in draws[i].items()}).fit(rows)
+        return (i, float(score.evaluate(fitted.transform(valid))), *draws[i].values(), fitted.getNumTrees)
+
+    with ThreadPool(min(parallelism, n_trials)) as pool:
+        results = pool.map(trial, range(n_trials))
+    best = min(results, key=lambda r: r[1])
+    final = _boosted(y, best[-1], seed, **draws[best[0]])
     model = Pipeline(stages=[_assembler(cols), final]).fit(training)
     schema = (
         "trial INT, rmse DOUBLE, step_size DOUBLE, max_depth INT, min_instances INT, feature_subset STRING, "
-        "row_fraction DOUBLE"
+        "row_fraction DOUBLE, rounds INT"
     )
     return spark.createDataFrame(results, schema), model
 

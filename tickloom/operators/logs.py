@@ -51,12 +51,15 @@ def parse_meta(logs: DataFrame) -> DataFrame:
     )
 
 
+LETTER = r"[\p{L}\p{N}]"
+
+
 def search_messages(df: DataFrame, terms: Sequence[str], mode: str = "all", column: str = "message") -> DataFrame:
-    """Rows that hold any or all of the words, in any case, anywhere in the whole text."""
+    """Rows that hold any or all of the words, in any case, anywhere in the whole text; letters of any script bound a word."""
     text = F.lower(column)
     # the plain substring test is cheap and spares most rows the regular expression
     hits = [
-        text.contains(t.lower()) & text.rlike(r"(?<![a-z0-9])" + re.escape(t.lower()) + r"(?![a-z0-9])") for t in terms
+        text.contains(t.lower()) & text.rlike(rf"(?<!{LETTER}){re.escape(t.lower())}(?!{LETTER})") for t in terms
     ]
     cond = hits[0]
     for h in hits[1:]:
@@ -100,13 +103,17 @@ def error_rate(logs: DataFrame, grain_s: int = 3600, limit: float = 0.05) -> Dat
 def error_bursts(logs: DataFrame, limit: int = 50, window: str = "10 minutes", slide: str = "1 minute") -> DataFrame:
     """Sliding windows with more than `limit` ERROR rows; works on batch and streaming input alike.
 
-    ERROR rows are first counted per slide in the partial aggregate; the window expansion multiplies rows by
-    window / slide before it, which the partial aggregate reduces again in the same task.
+    ERROR rows of a batch are counted per slide, and the counts, not the rows, are expanded to the windows that hold the
+    slide. A stream keeps one state, so its rows are expanded and reduced again by the partial aggregate of the same task.
     """
+    errors = logs.where("level = 'ERROR'")
+    if errors.isStreaming:
+        counted = errors.groupBy(F.window("event_time", window, slide).alias("w")).agg(F.count(F.lit(1)).alias("errors"))
+    else:
+        slides = errors.groupBy(F.window("event_time", slide)["start"].alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+        counted = slides.groupBy(F.window("_at", window, slide).alias("w")).agg(F.sum("_n").alias("errors"))
     return (
-        logs.where("level = 'ERROR'")
-        .groupBy(F.window("event_time", window, slide).alias("w"))
-        .agg(F.count(F.lit(1)).alias("errors"))
+        counted
         .where(F.col("errors") > limit)
         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "errors")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalars import one_value
-from ..plans.segments import Slices, epoch_us, over_rows
+from ..plans.segments import MINUTE_US, Slices, epoch_us, over_rows
 from ..schemas import ENTITY
 
 
@@ -59,7 +59,7 @@ def price_outliers(silver: DataFrame, jump: float = 0.5) -> DataFrame:
         )
 
     ticks = silver.select(*ENTITY, "ts", "tcnt", "price")
-    flagged = over_rows(ticks, ENTITY, ["ts", "tcnt"], compute, segment=Slices(epoch_us("ts")), before=1)
+    flagged = over_rows(ticks, ENTITY, ["ts", "tcnt"], compute, segment=Slices(epoch_us("ts"), slot=MINUTE_US), before=1)
     return flagged.where("zero_price or negative_price or price_jump")
 
 
@@ -86,7 +86,7 @@ def time_reversals(silver: DataFrame) -> DataFrame:
         return rows.withColumn("prev_ts", F.lag("ts").over(w))
 
     ticks = silver.select(*ENTITY, "ts", "tcnt")
-    out = over_rows(ticks, ENTITY, ["tcnt", "ts"], compute, segment=Slices(F.col("tcnt")), before=1)
+    out = over_rows(ticks, ENTITY, ["tcnt", "ts"], compute, segment=Slices(F.col("tcnt"), slot=1024), before=1)
     return out.where("ts < prev_ts")
 
 

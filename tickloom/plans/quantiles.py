@@ -9,22 +9,27 @@ from pyspark.sql import functions as F
 from .segments import running
 
 _OFFSET = 2_000_000  # above 1000 * ln(largest double)
+_END = 2**40
 
 
 def value_segment(value: Column, per_e_fold: int = 1000) -> Column:
     """Slice number that grows with the value: slices are equally wide in the logarithm, on both sides of zero.
 
-    Java's logarithm never decreases when its argument grows, so the slices follow the order of the values.
+    Java's logarithm never decreases when its argument grows, so the slices follow the order of the values. Infinities
+    have slices of their own at the ends, and NaN one above all, as Spark orders them.
     """
-    size = F.floor(F.ln(F.abs(value)) * per_e_fold) + _OFFSET
-    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0)).cast("long")
+    value = value.cast("double")
+    finite = ~F.isnan(value) & (F.abs(value) < float("inf"))
+    size = F.floor(F.ln(F.when(finite, F.abs(value))) * per_e_fold) + _OFFSET
+    ends = F.when(F.isnan(value), F.lit(_END + 1)).when(value == float("inf"), F.lit(_END)).when(value == float("-inf"), F.lit(-_END))
+    return F.coalesce(ends, F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0))).cast("long")
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """Interpolated quantiles per key as columns `q0`, `q1`, ...
 
     Equal values are counted first, the counts are summed along the value slices, and only the few values around each
-    wanted rank leave the executors' rows.
+    wanted rank leave the executors' rows. NaN counts as the largest value; NULL does not count.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     specs = {"_upto": ("sum", F.col("_n")), "_all": ("total", F.col("_n"))}
@@ -38,8 +43,6 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
             aggs.append(F.max(F.when(holds, F.col(value))).alias(f"_{name}{i}"))
         aggs.append(F.max(rank - F.floor(rank)).alias(f"_f{i}"))
     found = ranked.groupBy("_k").agg(*aggs)
-    cols = [
-        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(f"q{i}")
-        for i in range(len(probs))
-    ]
+    between = lambda lo, hi, f: F.when((lo == hi) | (f == 0), lo).otherwise(lo + (hi - lo) * f)  # noqa: E731  infinities have no difference
+    cols = [between(F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_f{i}")).alias(f"q{i}") for i in range(len(probs))]
     return found.select(*[F.col(f"_k.{c}").alias(c) for c in keys], *cols)

@@ -12,7 +12,7 @@ decides the run time. The helpers here cut every key into segments and give each
 `segment` is either a column that never decreases along the order (a day number, a price bucket, ...) or `Slices`, which
 cuts only keys with very many rows. Each helper shuffles the rows once, by key and segment. What passes between segments
 is reduced before its own shuffle: one aggregate row per key and segment, or the few rows at a segment's edge. The input
-is read again for it (twice more for `Slices`), so pass a stored table or a plain scan.
+is read again for it, and once when `Slices` counts its rows, so pass a stored table or a plain scan.
 """
 from __future__ import annotations
 
@@ -22,18 +22,24 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 DAY = 86_400
-MAX_HOT_KEYS = 100_000
 _NULL_SEGMENT = -(2**62)
 
 
 @dataclass(frozen=True)
 class Slices:
-    """Segments for keys of very unequal size: a key with more than `rows` rows is cut into equal slices of `position`,
-    a whole number that never decreases along the order; other keys stay whole and exchange nothing."""
+    """Segments for keys of very unequal size: a key with more than `rows` rows is cut where the count of its rows along
+    `position`, a whole number that never decreases along the order, passes a multiple of `rows`; other keys stay whole and
+    exchange nothing. Rows are counted per `slot` units of the position, and a slot is never divided."""
 
     position: Column
     rows: int = 1_000_000
+    slot: int = 1
+
+
+MINUTE_US = 60_000_000
 
 
 def epoch_us(ts: str | Column) -> Column:
@@ -56,21 +62,18 @@ def _keyed(df: DataFrame, keys: Sequence[str], segment: Column | Slices) -> Data
     if not isinstance(segment, Slices):
         seg = F.coalesce(segment, F.lit(_NULL_SEGMENT)).alias("_seg")
         return df.select(key.alias("_key"), seg, F.lit(True).alias("_cut"), *rest)
-    pos = segment.position.cast("long")
-    sizes = (
-        df.select(key.alias("_key"), pos.alias("_at"))
-        .groupBy("_key")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_lo"), F.max("_at").alias("_hi"))
-    )
-    # at most MAX_HOT_KEYS keys can hold more than that share of all rows, which bounds the broadcast
-    fair = sizes.agg((F.sum("_n") / MAX_HOT_KEYS).alias("fair")).scalar()
-    width = F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.ceil(F.col("_n") / segment.rows))
-    hot = sizes.where((F.col("_n") > segment.rows) & (F.col("_n") > fair)).select("_key", "_lo", width.alias("_width"))
-    slot = F.floor((F.col("_at") - F.col("_lo")) / F.col("_width"))
-    return (
-        df.select(key.alias("_key"), pos.alias("_at"), *rest)
-        .join(F.broadcast(hot), "_key", "left")
-        .select("_key", F.coalesce(slot, F.lit(_NULL_SEGMENT)).alias("_seg"), F.col("_lo").isNotNull().alias("_cut"), *rest)
+    slot = F.coalesce(F.floor(segment.position.cast("long") / segment.slot), F.lit(_NULL_SEGMENT))
+    rows = df.select(key.alias("_key"), slot.alias("_slot"), *rest)
+    counts = rows.groupBy("_slot", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    line = Window.partitionBy("_key").orderBy("_slot")
+    upto = F.sum("_n").over(line)
+    cuts = counts.withColumns({"_upto": upto, "_all": F.sum("_n").over(Window.partitionBy("_key"))})
+    cuts = cuts.where(F.col("_all") > segment.rows)
+    number = F.floor((F.col("_upto") - F.col("_n")) / segment.rows)
+    # a row per slot of the large keys, stored so that every branch of a plan reads the same cuts
+    cuts = materialise(cuts.select("_key", "_slot", number.alias("_seg")), "slices")
+    return rows.join(cuts, ["_key", "_slot"], "left").select(
+        "_key", F.coalesce("_seg", F.lit(_NULL_SEGMENT)).alias("_seg"), F.col("_seg").isNotNull().alias("_cut"), *rest
     )
 
 
@@ -170,7 +173,8 @@ def over_time(
     """Apply `compute(rows, window)` where frames reach at most `before_s` back and `after_s` ahead in time.
 
     The window is ordered by microseconds, so range frames are given in microseconds. One shuffle and one read; a row
-    is copied only when it lies within the reach of another time slice. Rows without a time are dropped.
+    is copied only when it lies within the reach of another time slice. Rows without a time form a slice of their own,
+    whose rows are peers, as in a plain window.
     """
     width = max(width_s, before_s, after_s) * 1_000_000
     us = epoch_us(ts)
@@ -178,9 +182,8 @@ def over_time(
     last = F.floor((us + before_s * 1_000_000) / width)
     rows = (
         _keyed(df, keys, F.floor(us / width))
-        .where(F.col(ts).isNotNull())
         .withColumn("_us", us)
-        .withColumn("_to", F.explode(F.sequence(first, last)))
+        .withColumn("_to", F.explode(F.coalesce(F.sequence(first, last), F.array(F.lit(_NULL_SEGMENT)))))
         .withColumn("_home", F.col("_seg") == F.col("_to"))
         .drop("_seg")
         .withColumnRenamed("_to", "_seg")

@@ -174,7 +174,7 @@ def _regressor(s):
 
 @query("random_search")
 def _search(s):
-    trials, _ = L.random_search(s.training, max_iter=5)
+    trials, _ = L.random_search(s.training)
     return trials
 
 
@@ -189,7 +189,7 @@ def _classifier(s):
 
 @query("batch_score_model")
 def _score(s):
-    model = L.train_regressor(s.training, max_iter=5)
+    model = L.train_regressor(s.training)
     return L.batch_score(_requests(s), _keyed(s).dropna(subset=FEATURE_COLS), L.score_with(model))
 
 

@@ -48,7 +48,7 @@ query(
 
 
 def _word(t: str) -> str:
-    return f"regexp_matches(lower(text), '(^|[^a-z0-9]){t}([^a-z0-9]|$)')"
+    return f"regexp_matches(lower(text), '(^|[^\\p{{L}}\\p{{N}}]){t}([^\\p{{L}}\\p{{N}}]|$)')"
 
 
 query("search_messages", f"select doc_id, lang from documents where {_word('the')} and {_word('of')}")(
@@ -101,8 +101,8 @@ query(
 )(lambda s: G.media_documents(s.images.unionByName(s.images)))
 query(
     "top_errors",
-    f"select * from {{logs_v}} where {LV} = 'ERROR' order by event_time desc limit 100",
-)(lambda s: Q.latest_rows(s.logs.where("level = 'ERROR'"), [F.desc("event_time")], 100))
+    f"select * from {{logs_v}} where {LV} = 'ERROR' order by event_time desc, meta limit 100",
+)(lambda s: Q.latest_rows(s.logs.where("level = 'ERROR'"), [F.desc("event_time"), F.asc("meta")], 100))
 
 IMG = "image_id, s3_path, file_size, mime_type, upload_time, source_system, tag, checksum, width, height"
 query("filter_media_tag", f"select {IMG} from {{images_v}} where tag = 'en'")(

@@ -178,9 +178,9 @@ def _ewm(span: int, lst: str) -> str:
 query(
     "macd",
     f"select {E_}, bar_ts, macd, {_ewm(9, 'ml')} macd_signal, macd - {_ewm(9, 'ml')} macd_hist from ("
-    f"select *, list(macd) over (partition by {E_} order by bar_ts rows 199 preceding) ml from ("
+    f"select *, list(macd) over (partition by {E_} order by bar_ts rows 599 preceding) ml from ("
     f"select *, {_ewm(12, 'cl')} - {_ewm(26, 'cl')} macd from (select {E_}, bar_ts, "
-    f"list(c) over (partition by {E_} order by bar_ts rows 199 preceding) cl from {{bars_v}})))",
+    f"list(c) over (partition by {E_} order by bar_ts rows 599 preceding) cl from {{bars_v}})))",
     "macd macd_signal macd_hist",
 )(lambda s: X.macd(s.bars, bar_s=H))
 
@@ -221,7 +221,7 @@ query(
 query(
     "seasonal_decompose",
     "with p as materialized (select *, cast((epoch(bar_ts)::bigint // 3600) % 24 as integer) phase, "
-    f"case when count(*) over w = 25 then avg(c) over w end trend from {{bars_v}} "
+    f"case when count(*) over w = 25 then (sum(c) over w - (lag(c, 12) over {W_} + lead(c, 12) over {W_}) / 2) / 24 end trend from {{bars_v}} "
     f"window w as (partition by {E_} order by bar_ts rows between 12 preceding and 12 following)) "
     f"select {E_}, bar_ts, phase, trend, seasonal, c - trend - seasonal residual from p join "
     f"(select {E_}, phase, avg(c - trend) seasonal from p group by {E_}, phase) using ({E_}, phase)",

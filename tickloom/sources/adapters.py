@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import bars as B
 from ..operators import features as X
-from ..plans.segments import Slices, epoch_us, running
+from ..plans.segments import MINUTE_US, Slices, epoch_us, running
 from ..schemas import ENTITY
 from ..session import materialise
 
@@ -178,7 +178,7 @@ class Inputs:
             self.events.select("event_type", "ts", "event_id", "k"),
             ["event_type"],
             ["ts", "event_id"],
-            Slices(epoch_us("ts")),
+            Slices(epoch_us("ts"), slot=MINUTE_US),
             {"value": ("sum", F.col("k"))},
         )
         return total.select(

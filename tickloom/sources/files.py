@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +79,19 @@ def scan_binaries(spark: SparkSession, path: str, glob: str | None = None) -> Da
     return (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full address of a path, so that tasks mean the place that Spark means."""
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return str(named.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(named).toString())
+
+
+def below(spark: SparkSession, root: str) -> Column:
+    """Path of a scanned file below `root`; its bare name when `root` is a pattern or the file itself."""
+    prefix = qualified(spark, root).rstrip("/") + "/"
+    rest = F.substring(F.col("path"), F.lit(len(prefix) + 1), F.length("path"))
+    return F.when(F.startswith(F.col("path"), F.lit(prefix)), rest).otherwise(F.element_at(F.split("path", "/"), -1))
+
+
 def mime_of(path: str) -> Column:
     ext = F.lower(F.regexp_extract(path, r"\.([^./]+)$", 1))
     table = F.create_map(*[F.lit(x) for pair in MIME.items() for x in pair])
@@ -85,10 +99,10 @@ def mime_of(path: str) -> Column:
 
 
 def catalogue_binaries(spark: SparkSession, path: str, source: str, tag: str, checksum: bool = True) -> DataFrame:
-    """One metadata row per file; the content is read only when the checksum is wanted."""
-    name = F.element_at(F.split("path", "/"), -1)
+    """One metadata row per file, whose id is its path below `path`; the content is read only for the checksum."""
+    name = below(spark, path)
     cols = [
-        F.regexp_replace(name, r"\.[^.]*$", "").alias("image_id"),
+        F.regexp_replace(name, r"\.[^./]*$", "").alias("image_id"),
         F.col("path").alias("s3_path"),
         F.col("length").alias("file_size"),
         mime_of("path").alias("mime_type"),
@@ -106,6 +120,7 @@ def write_objects(df: DataFrame, base: str) -> DataFrame:
 
     A file appears under its name only when complete, so a repeated task or a lost executor leaves no partial file.
     """
+    base = qualified(df.sparkSession, base)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
@@ -127,8 +142,9 @@ def write_objects(df: DataFrame, base: str) -> DataFrame:
 
 
 def copy_binaries_to_raw(spark: SparkSession, path: str, raw_base: str, date: str) -> DataFrame:
-    """Copy files unchanged to `raw_base/images/<date>/`; one row per copied file once an action runs."""
-    name = F.concat(F.lit(f"images/{date}/"), F.element_at(F.split("path", "/"), -1))
+    """Copy files unchanged to `raw_base/images/<date>/`, with their path below `path`; one row per copied file once an
+    action runs."""
+    name = F.concat(F.lit(f"images/{date}/"), below(spark, path))
     return write_objects(scan_binaries(spark, path).select(name.alias("name"), "content"), raw_base)
 
 
@@ -142,15 +158,29 @@ def fetch_objects(meta: DataFrame, path: str = "s3_path") -> DataFrame:
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
+        clients: dict[str, fs.FileSystem] = {}
+
+        def opened(uri: str):
+            """A stream of the object; one client for each store and bucket."""
+            if not isinstance(uri, str):
+                raise FileNotFoundError(uri)
+            uri = uri.replace("s3a://", "s3://", 1)
+            scheme, mark, rest = uri.partition("://")
+            store = f"{scheme}{mark}{rest.partition('/')[0]}" if mark else ""
+            if store not in clients:
+                clients[store], name = fs.FileSystem.from_uri(uri)
+            else:
+                name = rest if scheme in ("s3", "gs") else "/" + rest.partition("/")[2] if mark else uri
+            return clients[store].open_input_stream(name)
+
         for pdf in batches:
             content, error, start, held = [], [], 0, 0
             for i, uri in enumerate(pdf[path]):
                 try:
-                    source, name = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-                    with source.open_input_stream(name) as stream:
+                    with opened(uri) as stream:
                         content.append(stream.read())
                     error.append(None)
-                except Exception as e:
+                except (FileNotFoundError, PermissionError, IsADirectoryError, pa.ArrowInvalid) as e:
                     content.append(None)
                     error.append(type(e).__name__)
                 held += len(content[-1] or b"")

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,17 +10,25 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import instant
 from ..schemas import CODE_XML, TICK_XML
-from .tables import append
+from .tables import append, append_or_create
 
 
 def detect_row_tag(spark: SparkSession, path: str) -> str:
-    """Name of the first element below the root; only the head of the file is read, in pieces that end at '>'."""
-    pieces = spark.read.option("lineSep", ">").text(path)
-    tag = F.regexp_extract("value", r"<([A-Za-z_][^\s/>]*)", 1)
-    starts = pieces.select(tag.alias("tag")).where("tag <> ''").head(2)
-    if len(starts) < 2:
-        raise ValueError(f"no row element in {path}")
-    return starts[1].tag
+    """Name of the first element below the root, outside comments, CDATA sections, declarations and instructions.
+
+    Only the head of the file is read, in pieces that end at '>'.
+    """
+    pieces = spark.read.option("lineSep", ">").text(path).select("value")
+    wanted = 64
+    while True:
+        read = [r.value + ">" for r in pieces.head(wanted)]
+        head = re.sub(r"<!--.*?(-->|$)|<!\[CDATA\[.*?(\]\]>|$)|<[!?][^>]*>", "", "".join(read), flags=re.S)
+        starts = re.findall(r"<([A-Za-z_:][^\s/>]*)[^>]*>", head)
+        if len(starts) >= 2:
+            return starts[1]
+        if len(read) < wanted:
+            raise ValueError(f"no row element in {path}")
+        wanted *= 8
 
 
 def read_xml(spark: SparkSession, paths: str | list[str], row_tag: str, schema: str) -> DataFrame:
@@ -70,8 +79,13 @@ def ingest_bronze(
     database: str,
     ingest_ts: dt.datetime | None = None,
 ) -> None:
-    """Append the ticks and codes of four files to `bronze_ticks` and `bronze_codes`."""
+    """Append the ticks and codes of four files to `bronze_ticks` and `bronze_codes`.
+
+    A row with a field that does not parse keeps its other fields there, and its text goes to `bronze_quarantine` too.
+    """
     ticks = bronze_rows(spark, tick_call, tick_put, TICK_XML, ingest_ts)
     codes = bronze_rows(spark, code_call, code_put, CODE_XML, ingest_ts)
-    append(ticks.drop("_corrupt_record"), f"{database}.bronze_ticks")
-    append(codes.drop("_corrupt_record"), f"{database}.bronze_codes")
+    for kind, rows in (("ticks", ticks), ("codes", codes)):
+        append(rows.drop("_corrupt_record"), f"{database}.bronze_{kind}")
+        damaged = rows.where("_corrupt_record is not null")
+        append_or_create(damaged.select(F.lit(kind).alias("kind"), "src_file", "side", "ingest_ts", "_corrupt_record"), f"{database}.bronze_quarantine")
