@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.segments import running, time_segment
+from ..plans.segments import MINUTE_US, Slices, epoch_us, running
 
 
 def union_sides(call: DataFrame, put: DataFrame) -> DataFrame:
@@ -20,12 +20,12 @@ def pit_join(
     on: Sequence[str],
     ts: str,
     tolerance_s: int | None = None,
-    slice_s: int = 3600,
+    rows_per_slice: int = 1_000_000,
 ) -> DataFrame:
     """For each left row the latest right row of its key at or before its time, NULL when there is none.
 
     Both sides are stacked and the right rows are carried forward, so no range join and no pairs of rows arise; a hot
-    key is cut into time slices. Of several right rows at one time the greatest is taken.
+    key is cut where its rows pass a number, other keys stay whole. Of several right rows at one time the greatest is taken.
     """
     values = [c for c in right.columns if c not in (*on, ts)]
     seen = right.groupBy(*on, ts).agg(F.max(F.struct(*values)).alias("_r"))
@@ -37,7 +37,7 @@ def pit_join(
             allowMissingColumns=True,
         )
     )
-    carried = running(stacked, on, [ts, "_side"], time_segment(ts, slice_s), {"_hit": ("last", F.col("_r"))})
+    carried = running(stacked, on, [ts, "_side"], Slices(epoch_us(ts), rows_per_slice, MINUTE_US), {"_hit": ("last", F.col("_r"))})
     out = carried.where("_side = 1")
     if tolerance_s is not None:
         age = F.unix_micros(ts) - F.unix_micros(F.col(f"_hit.right_{ts}"))

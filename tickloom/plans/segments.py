@@ -12,7 +12,7 @@ decides the run time. The helpers here cut every key into segments and give each
 `segment` is either a column that never decreases along the order (a day number, a price bucket, ...) or `Slices`, which
 cuts only keys with very many rows. Each helper shuffles the rows once, by key and segment. What passes between segments
 is reduced before its own shuffle: one aggregate row per key and segment, or the few rows at a segment's edge. The input
-is read again for it, and once when `Slices` counts its rows, so pass a stored table or a plain scan.
+is read again for it, and when `Slices` counts its rows (once per key, and by slot for large keys), so pass a stored table or a plain scan.
 """
 from __future__ import annotations
 
@@ -64,14 +64,15 @@ def _keyed(df: DataFrame, keys: Sequence[str], segment: Column | Slices) -> Data
         return df.select(key.alias("_key"), seg, F.lit(True).alias("_cut"), *rest)
     slot = F.coalesce(F.floor(segment.position.cast("long") / segment.slot), F.lit(_NULL_SEGMENT))
     rows = df.select(key.alias("_key"), slot.alias("_slot"), *rest)
-    counts = rows.groupBy("_slot", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    large = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_all")).where(F.col("_all") > segment.rows)
+    large = materialise(large.select("_key"), "large-keys")
+    if large.isEmpty():
+        return rows.select("_key", F.lit(_NULL_SEGMENT).alias("_seg"), F.lit(False).alias("_cut"), *rest)
+    counts = rows.join(large, "_key", "left_semi").groupBy("_slot", "_key").agg(F.count(F.lit(1)).alias("_n"))
     line = Window.partitionBy("_key").orderBy("_slot")
-    upto = F.sum("_n").over(line)
-    cuts = counts.withColumns({"_upto": upto, "_all": F.sum("_n").over(Window.partitionBy("_key"))})
-    cuts = cuts.where(F.col("_all") > segment.rows)
-    number = F.floor((F.col("_upto") - F.col("_n")) / segment.rows)
+    number = F.floor((F.sum("_n").over(line) - F.col("_n")) / segment.rows)
     # a row per slot of the large keys, stored so that every branch of a plan reads the same cuts
-    cuts = materialise(cuts.select("_key", "_slot", number.alias("_seg")), "slices")
+    cuts = materialise(counts.select("_key", "_slot", number.alias("_seg")), "slices")
     return rows.join(cuts, ["_key", "_slot"], "left").select(
         "_key", F.coalesce("_seg", F.lit(_NULL_SEGMENT)).alias("_seg"), F.col("_seg").isNotNull().alias("_cut"), *rest
     )

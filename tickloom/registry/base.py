@@ -1,11 +1,13 @@
 """Registration of queries and the shared SQL views of their oracles."""
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from ..sources.adapters import Inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +72,13 @@ def oracle(body: str, doubles: str = "") -> str:
     return text
 
 
+def new_database(inputs: Inputs) -> str:
+    """A database of its own below the shared folder."""
+    name = f"tickloom_{uuid.uuid4().hex[:12]}"
+    inputs.spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(inputs.spark, name)}'")
+    return name
+
+
 E_ = "ymcode, side, code, strike"
 W_ = f"(partition by {E_} order by bar_ts)"
 

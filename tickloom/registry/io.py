@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -13,7 +12,7 @@ from ..sources import files as FS
 from ..sources import ingest as N
 from ..sources import tables as T
 from ..sources import xml as X
-from .base import E_, query
+from .base import E_, new_database, query
 
 TAGS = {"CALL": "TICK_CALL", "PUT": "TICK_PUT"}
 STAMP = dt.datetime(2024, 2, 1)
@@ -41,13 +40,6 @@ def _code_xml(s, side: str) -> str:
     return path
 
 
-def _database(s) -> str:
-    """A database of its own below the shared folder."""
-    name = f"tickloom_{uuid.uuid4().hex[:12]}"
-    s.spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(s.spark, name)}'")
-    return name
-
-
 _XML = "select * exclude (side), strftime(tdate + interval 9 hour, '%Y%m%d')::integer idate, " \
     "strftime(tdate + interval 9 hour, '%H%M%S')::integer itime from {ticks_v} where side = 'CALL'"
 query("read_xml", _XML, "c o h l oi")(
@@ -80,7 +72,7 @@ query(
     "c",
 )
 def _ingest(s):
-    db = _database(s)
+    db = new_database(s)
     T.create_tables(s.spark, db, ["bronze_ticks", "bronze_codes"])
     X.ingest_bronze(
         s.spark, _tick_xml(s, "CALL"), _tick_xml(s, "PUT"), _code_xml(s, "CALL"), _code_xml(s, "PUT"), db, STAMP
@@ -112,7 +104,7 @@ def _write_json(s):
 def _load_logs(s):
     path = scratch_path(s.spark, "raw-logs")
     FS.write_raw_json(_log_texts(s), path, F.substring("event_time", 1, 10))
-    db = _database(s)
+    db = new_database(s)
     T.create_tables(s.spark, db, ["raw_logs"])
     T.append(FS.load_logs_bronze(FS.read_raw_json(s.spark, path)), f"{db}.raw_logs")
     return s.spark.table(f"{db}.raw_logs").drop("ingest_time")
@@ -152,7 +144,7 @@ query(
     "bid_price ask_price last_price",
 )
 def _create(s):
-    db = _database(s)
+    db = new_database(s)
     T.create_tables(s.spark, db)
     T.append(s.quotes.drop("event_id"), f"{db}.option_quotes")
     return T.scan_table(s.spark, f"{db}.option_quotes").drop("ingest_time")
@@ -163,7 +155,7 @@ _APPENDED = "select * from {bars_v} union all select * from {bars_v}"
 
 @query("append", _APPENDED, "o h l c oi_last")
 def _append(s):
-    db = _database(s)
+    db = new_database(s)
     T.create_tables(s.spark, db, ["gold_bars_1m"])
     T.append(s.bars, f"{db}.gold_bars_1m")
     T.append(s.bars.select(*sorted(s.bars.columns)), f"{db}.gold_bars_1m")  # another column order
@@ -172,7 +164,7 @@ def _append(s):
 
 @query("append_or_create", _APPENDED, "o h l c oi_last")
 def _append_or_create(s):
-    table = f"{_database(s)}.bars"
+    table = f"{new_database(s)}.bars"
     T.append_or_create(s.bars, table)
     T.append_or_create(s.bars, table)
     return T.scan_table(s.spark, table)
@@ -180,7 +172,7 @@ def _append_or_create(s):
 
 @query("recreate_table", "select event_time, \"level\" from {logs_v}")
 def _recreate(s):
-    table = f"{_database(s)}.logs"
+    table = f"{new_database(s)}.logs"
     for _ in range(2):
         T.recreate_table(s.spark, table, "event_time TIMESTAMP, level STRING")
         T.append(s.logs.select("level", "event_time"), table)
@@ -224,7 +216,7 @@ def _backfill(s):
 @query("list_tables", "select distinct 'quotes_' || symbol \"tableName\" from {quotes_v}")
 def _list_tables(s):
     """One table per symbol, written and listed."""
-    db = _database(s)
+    db = new_database(s)
     for symbol in ("click", "error", "purchase", "signup", "view"):
         T.append_or_create(s.quotes.where(F.col("symbol") == symbol), f"{db}.quotes_{symbol}")
     return T.list_tables(s.spark, db).select("tableName")
@@ -236,7 +228,7 @@ def _list_tables(s):
     "(select cast(max(ts) as date) from events) - 10",
 )
 def _drop_old(s):
-    db = _database(s)
+    db = new_database(s)
     T.create_tables(s.spark, db, ["raw_logs"])
     T.append(s.logs, f"{db}.raw_logs")
     T.drop_old_partitions(s.spark, f"{db}.raw_logs", "log_date", s.as_of.date(), 10)

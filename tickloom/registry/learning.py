@@ -1,6 +1,8 @@
 """Training data, models, evaluation, drift and run tracking."""
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..operators import evaluation as V
@@ -8,7 +10,8 @@ from ..operators import joins as J
 from ..operators import learning as L
 from ..functions import scalars as S
 from ..schemas import ENTITY, FEATURE_COLS
-from .base import E_, query
+from ..sources.tables import append_or_create
+from .base import E_, new_database, query
 
 query(
     "ordered_split",
@@ -199,8 +202,24 @@ _RUNS = (
     "drawdown, max(asof_ts) logged_at from {scored_v} group by 1)"
 )
 _KEYS = ["rmse", "accuracy", "sharpe", "drawdown"]
-query(
+@query(
     "log_metrics",
+    "select 'run-7' run_id, 'fixed' run_name, 'gold' layer, unnest(['n', 'rmse']) \"key\", unnest([count(*), "
+    "sqrt(avg(pow(pred - y_fwd_ret_5, 2)))]) \"value\", 3 step, timestamp '2024-02-01 09:30:00' logged_at from {scored_v}",
+    "value",
+)
+def _logged(s):
+    """Figures of the fixed score, appended to the metrics table and read back."""
+    row = V.regression_metrics(s.scored, "pred", "y_fwd_ret_5").first()
+    at = dt.datetime(2024, 2, 1, 9, 30, tzinfo=dt.timezone.utc)
+    rows = V.log_metrics(s.spark, "run-7", "fixed", "gold", {"n": row.n, "rmse": row.rmse}, 3, at)
+    table = f"{new_database(s)}.metrics"
+    append_or_create(rows, table)
+    return s.spark.table(table)
+
+
+query(
+    "run_summary",
     " union all ".join(
         f"select 'run-' || run_name run_id, run_name, 'gold' layer, '{k}' \"key\", {k} \"value\", 0 step, logged_at from {_RUNS}"
         for k in _KEYS

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import bi as Q
 from ..operators import joins as J
-from ..session import scratch_path
+from ..session import materialise, scratch_path
 from ..sources import tables as T
 from .base import query
 
@@ -130,7 +130,16 @@ query(
     'select * from {quotes_v} order by "timestamp" desc, event_id desc limit 5',
     QD,
 )(lambda s: Q.latest_rows(s.quotes, [F.desc("timestamp"), F.desc("event_id")], 5))
-query("preview")(lambda s: Q.preview(s.quotes, 10))
+
+
+@query("preview", "select least(count(*), 10) n_rows, least(count(*), 10) n_found from {quotes_v}")
+def _preview(s):
+    """Any rows will do, so the answer is how many there are and how many of them the table holds."""
+    shown = materialise(Q.preview(s.quotes, 10), "preview")
+    found = shown.join(s.quotes.select("event_id", F.col("timestamp").alias("_at")), "event_id", "left_semi")
+    return shown.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", found.agg(F.count(F.lit(1))).scalar().alias("n_found"))
+
+
 query(
     "sample_rows",
     "select o_orderkey, o_totalprice from orders order by md5(o_orderkey || ':42') limit 100",

@@ -35,7 +35,7 @@ def late_data(rows: DataFrame, ts: str, delay_s: int, max_lag_s: int, out: str,
     sees rows only after partial aggregation.
     """
     stats_of = Versions(rows.sparkSession, out)
-    seen = Versions(rows.sparkSession, state)
+    seen = Versions(rows.sparkSession, state, 2)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         before = seen.read_before(batch_id, "max_ts TIMESTAMP")

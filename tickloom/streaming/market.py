@@ -35,7 +35,7 @@ def stream_features(bars: DataFrame, out: str, state: str, checkpoint: str, bar_
     the next 20 are stored for the batch after it. Input bars must arrive in time order per entity, as they do from
     `stream_bars`.
     """
-    arrived, tails = Versions(bars.sparkSession, f"{state}/bars"), Versions(bars.sparkSession, f"{state}/tails")
+    arrived, tails = Versions(bars.sparkSession, f"{state}/bars", 2), Versions(bars.sparkSession, f"{state}/tails", 2)
     results = Versions(bars.sparkSession, out)
     schema = bars.schema
 
@@ -54,8 +54,8 @@ def stream_features(bars: DataFrame, out: str, state: str, checkpoint: str, bar_
 
 
 def recent_window(rows: DataFrame, ts: str, minutes: float, state: str, checkpoint: str) -> None:
-    """Keep the rows of the last minutes of stream time in `state/window`, one folder per micro-batch."""
-    arrived, kept = Versions(rows.sparkSession, f"{state}/rows"), Versions(rows.sparkSession, f"{state}/window")
+    """Keep the rows of the last minutes of stream time in `state/window`, in one folder per micro-batch, the two newest."""
+    arrived, kept = Versions(rows.sparkSession, f"{state}/rows", 2), Versions(rows.sparkSession, f"{state}/window", 2)
     schema = rows.schema
 
     def step(batch: DataFrame, batch_id: int) -> None:

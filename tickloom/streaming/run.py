@@ -37,10 +37,14 @@ def collect_stream(stream: DataFrame, name: str) -> DataFrame:
 
 
 class Versions:
-    """Stored state of a `foreachBatch` job: one folder per micro-batch, so a repeated batch overwrites its own."""
+    """Stored rows of a `foreachBatch` job: one folder per micro-batch, so a repeated batch overwrites its own.
 
-    def __init__(self, spark: SparkSession, base: str):
-        self.spark, self.base = spark, base
+    With `keep`, state whose older versions nobody reads, only so many of the newest folders stay. Two are enough to repeat
+    a batch, which reads the one before it.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, keep: int | None = None):
+        self.spark, self.base, self.keep = spark, base, keep
 
     def read_before(self, batch_id: int, schema) -> DataFrame | None:
         return None if batch_id == 0 else self.spark.read.schema(schema).parquet(f"{self.base}/batch={batch_id - 1}")
@@ -49,4 +53,7 @@ class Versions:
         """Store the rows and read them back, so that later steps do not run the batch again."""
         path = f"{self.base}/batch={batch_id}"
         df.write.mode("overwrite").parquet(path)
+        if self.keep is not None and batch_id >= self.keep:
+            old = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/batch={batch_id - self.keep}")
+            old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
         return self.spark.read.schema(df.schema).parquet(path)
