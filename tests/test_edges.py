@@ -102,3 +102,23 @@ def test_bursts_of_counted_slides(spark):
     df = spark.createDataFrame([(t, "ERROR") for t in at], "event_time TIMESTAMP, level STRING")
     got = {r.window_start.minute: r.errors for r in G.error_bursts(df).collect()}
     assert got == {59: 60, 0: 60}
+
+
+def test_damaged_log_lines_go_to_quarantine(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"event_time":"2024-01-01T00:00:00","level":"INFO","message":"m"}\n{"event_time":\n{"event_time":"soon","level":"INFO"}\n')
+    raw = FS.read_raw_json(spark, str(tmp_path), keep_corrupt=True)
+    assert FS.load_logs_bronze(raw).count() == 2
+    bad = {r.reason: r.text for r in FS.damaged_logs(raw).collect()}
+    assert set(bad) == {"broken JSON", "no event time"} and bad["broken JSON"] == '{"event_time":' and "soon" in bad["no event time"]
+    assert FS.damaged_logs(FS.read_raw_json(spark, str(tmp_path))).count() == 2
+
+
+def test_state_of_many_batches_keeps_two_folders(spark, tmp_path):
+    from tickloom.streaming.run import Versions
+
+    kept = Versions(spark, str(tmp_path / "s"), 2)
+    for k in range(10):
+        before = kept.read_before(k, "id BIGINT")
+        assert (before is None) == (k == 0) and (before is None or before.count() == k - 1)
+        kept.write(spark.range(k), k)
+    assert sorted(p.name for p in (tmp_path / "s").iterdir()) == ["batch=8", "batch=9"]

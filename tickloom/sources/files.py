@@ -34,12 +34,37 @@ def write_raw_json(df: DataFrame, base: str, date: str | Column) -> None:
     gathered(df.withColumn("date", day), ["date"]).write.mode("append").partitionBy("date").json(base)
 
 
-def read_raw_json(spark: SparkSession, path: str, schema: str = LOG_JSON) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+CORRUPT = "_corrupt_record"
+
+
+def read_raw_json(spark: SparkSession, path: str, schema: str = LOG_JSON, keep_corrupt: bool = False) -> DataFrame:
+    """JSON lines; with `keep_corrupt` a line that is no JSON object keeps its text in `_corrupt_record`."""
+    if not keep_corrupt:
+        return spark.read.schema(schema).json(path)
+    row = F.from_json("value", f"{schema}, {CORRUPT} STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return spark.read.text(path).where(F.trim("value") != "").select(row.alias("_r")).select("_r.*")
+
+
+def damaged_logs(raw: DataFrame) -> DataFrame:
+    """Rows for quarantine, with the reason and the text of the row: broken JSON, or an event time that does not parse."""
+    broken = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
+    late = F.try_to_timestamp(F.col("event_time")).isNull()
+    text = F.to_json(F.struct(*[c for c in raw.columns if c != CORRUPT]))
+    return raw.select(
+        F.when(broken, "broken JSON").when(late, "no event time").alias("reason"),
+        (F.coalesce(CORRUPT, text) if CORRUPT in raw.columns else text).alias("text"),
+        F.current_timestamp().alias("ingest_time"),
+    ).where("reason is not null")
 
 
 def load_logs_bronze(raw: DataFrame) -> DataFrame:
-    """Event time from text (NULL when it does not parse) and one ingest time; append the result to `raw_logs`."""
+    """Event time from text and one ingest time; append the result to `raw_logs`.
+
+    A row whose time does not parse has NULL there; a line that was no JSON is left out when `_corrupt_record` tells.
+    `damaged_logs` gives both for quarantine.
+    """
+    if CORRUPT in raw.columns:
+        raw = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return raw.withColumns(
         {"event_time": F.try_to_timestamp(F.col("event_time")), "ingest_time": F.current_timestamp()}
     ).select("event_time", "level", "message", "meta", "ingest_time")
