@@ -12,21 +12,26 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 
+ROWS_PER_TASK = 200_000
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+
+def _stored(df: DataFrame, name: str, rows: int) -> DataFrame:
+    """`df`, of at most so many rows, stored in as few files as they need, whatever the number of shuffle partitions."""
+    return materialise(df.coalesce(-(-rows // ROWS_PER_TASK) or 1), name)
+
+
+def _star(edges: DataFrame, large: bool, rows: int) -> DataFrame:
     """One star step on directed edges (a, b), a > b, without repeats."""
     both = edges.select(F.col("b").alias("u"), F.col("a").alias("v")) if large else edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    # the least node that u knows, itself included: of all its neighbours in a large star, of the smaller ones in a small one
-    known = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    least = known.groupBy("u").agg(F.min("v").alias("m"))
+    # the least of the smaller nodes that u knows; a node without any is the least itself
+    least = edges.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
+    least = _stored(least, "cc-least", rows)
     if large:
-        least = materialise(least, "cc-least")
         out = both.join(least, "u", "left").select(F.col("v").alias("a"), F.coalesce("m", "u").alias("b"))
     else:
-        least = materialise(least, "cc-least")
         sent = both.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         out = sent.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-    return materialise(out.filter("a <> b").distinct(), "cc-edges")
+    return _stored(out.filter("a <> b").distinct(), "cc-edges", 2 * rows)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -36,18 +41,18 @@ def components(edges: DataFrame) -> DataFrame:
     """
     df = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     df = materialise(df.filter("a <> b").filter(F.col("a").isNotNull() & F.col("b").isNotNull()).distinct(), "cc-edges")
-    mark = _mark(df)
-    while mark[0]:
-        df = _star(_star(df, large=True), large=False)
-        after = _mark(df)
-        if after == mark:
+    rows, mark = _mark(df)
+    while rows:
+        df = _star(_star(df, True, rows), False, rows)
+        before = mark
+        rows, mark = _mark(df)
+        if mark == before:
             break
-        mark = after
     roots = df.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return df.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """Two sums that tell whether a round changed the edges."""
+def _mark(edges: DataFrame) -> tuple[int, tuple]:
+    """The number of edges, and two sums that tell whether a round changed them."""
     row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-    return row[0], row[1]
+    return row[0], tuple(row)
