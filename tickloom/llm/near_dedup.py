@@ -157,11 +157,17 @@ def _groups(batch: pa.RecordBatch, key: str) -> list[tuple[int, int]]:
 
 def candidate_edges(classes: DataFrame) -> DataFrame:
     """Edges (a, b) between classes (rep, sig, bands) whose similarity is estimated at LIKELY or more."""
-    placed = classes.select("rep", "sig", F.explode("bands").alias("band"))
-    buckets = placed.groupBy("band").agg(F.min("rep").alias("first"), F.count(F.lit(1)).alias("many")).filter("many > 1")
-    buckets = materialise(buckets, "dedup-buckets")
-    shared = materialise(placed.join(buckets, "band"), "dedup-shared")
+    placed = classes.select("rep", F.explode("bands").alias("band"))
+    counted = placed.groupBy("band").agg(F.min("rep").alias("first"), F.max("rep").alias("last"), F.count(F.lit(1)).alias("many"))
+    buckets = materialise(counted.filter("many > 1"), "dedup-buckets")
+    # a bucket of two is known from its ends, and a pair that shares several bands is met once
+    pairs = buckets.filter("many = 2 and first < last").select("first", "last").distinct()
+    pairs = pairs.select(F.xxhash64("first", "last").alias("band"), F.explode(F.array("first", "last")).alias("rep"))
+    shared = materialise(placed.join(buckets.filter("many > 2").drop("last"), "band"), "dedup-shared")
     large = shared.filter(F.col("many") > BUCKET).select(F.col("rep").alias("a"), F.col("first").alias("b"))
+    small = shared.filter(F.col("many") <= BUCKET).select("band", "rep").unionByName(pairs)
+    # signatures travel only to rows that share a bucket
+    small = small.join(classes.select("rep", "sig"), "rep")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in runs(batches, "band"):
@@ -181,7 +187,7 @@ def candidate_edges(classes: DataFrame) -> DataFrame:
                     b.append(rep[start + least[tied]])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
-    dealt = shared.filter(F.col("many") <= BUCKET).select("band", "rep", "sig").repartition("band").sortWithinPartitions("band", "rep")
+    dealt = small.select("band", "rep", "sig").repartition("band").sortWithinPartitions("band", "rep")
     return dealt.mapInArrow(compare, "a bigint, b bigint").unionByName(large)
 
 
@@ -305,7 +311,14 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     usable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     classes = signs.filter(usable).groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.any_value("sig").alias("sig"), F.any_value("bands").alias("bands"))
     classes = materialise(classes, "dedup-classes")
-    roots = components(links(docs, classes, text))
+    edges = links(docs, classes, text)
+    # an id that stands for several sets ties their classes
+    sets = signs.filter(usable).groupBy("doc_id").agg(F.min(F.struct("fp1", "fp2")).alias("lo"), F.max(F.struct("fp1", "fp2")).alias("hi"))
+    several = materialise(sets.filter("lo <> hi").select("doc_id"), "dedup-several")
+    if not several.isEmpty():
+        tied = signs.filter(usable).join(several, "doc_id").join(classes.select("fp1", "fp2", "rep"), ["fp1", "fp2"])
+        edges = edges.unionByName(tied.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    roots = components(edges)
     # only classes of several documents, or with links, differ from their own document
     known = classes.select("fp1", "fp2", "rep", "n").join(roots, classes["rep"] == roots["node"], "left").filter("n > 1 or component is not null")
     known = materialise(known.select("fp1", "fp2", F.coalesce("component", "rep").alias("component_id")), "dedup-known")
