@@ -122,3 +122,16 @@ def test_state_of_many_batches_keeps_two_folders(spark, tmp_path):
         assert (before is None) == (k == 0) and (before is None or before.count() == k - 1)
         kept.write(spark.range(k), k)
     assert sorted(p.name for p in (tmp_path / "s").iterdir()) == ["batch=8", "batch=9"]
+
+
+def test_search_ranks_its_trials(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 6))
+    start = dt.datetime(2024, 1, 1)
+    rows = [("202401", "CALL", "X", 10, start + dt.timedelta(minutes=k), *map(float, v), float(v[0] * 0.01)) for k, v in enumerate(x)]
+    names = [f"x{k}" for k in range(6)]
+    df = spark.createDataFrame(rows, "ymcode STRING, side STRING, code STRING, strike INT, asof_ts TIMESTAMP, " + ", ".join(f"{n} DOUBLE" for n in names) + ", y DOUBLE")
+    trials, model = L.random_search(df, 3, "y", names, max_iter=30)
+    found = trials.orderBy("rmse").collect()
+    assert len(found) == 3 and all(1 <= r.rounds <= 30 for r in found)
+    assert model.stages[-1].getNumTrees == found[0].rounds and found[0].rmse < float(np.std(x[:, 0] * 0.01))
