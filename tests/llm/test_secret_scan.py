@@ -108,3 +108,16 @@ def test_odd_rows(spark, odd_docs, no_docs):
 def test_redacted(spark):
     df = spark.createDataFrame([(1, f"a {SECRET} b"), (2, "see " + base64.b64encode(SECRET.encode()).decode()), (3, None), (4, "fine")], "doc_id int, text string")
     assert {r.doc_id: r.text for r in S.redacted(df).collect()} == {1: "a [assign] b", 2: "see [assign]", 3: None, 4: "fine"}
+
+
+def test_encoded_value_behind_a_plain_key():
+    odd = base64.b64encode(b"my password: ").decode()
+    texts = {
+        "password: %73%33cr%65tvalue": "password: %73%33cr%65tvalue", '{"password": "\\u0068\\u0075nter22x"}': 'password": "\\u0068\\u0075nter22x',
+        "é token = abcdef%67hij é": "token = abcdef%67hij", "%70assword: hunter22x": "%70assword: hunter22x", "p%61ss\\u0077ord : '%68unter22x'": "p%61ss\\u0077ord : '%68unter22x",
+        f"say {odd} hunter22x": f"{odd[4:]} hunter22x", f"token = %41{'b' * 20} %5f": f"token = %41{'b' * 20}",
+    }
+    for text, want in texts.items():
+        a, b = located(text, want)
+        assert any(s == a and e == b and k == "assign" for s, e, k in spans(text)), text
+        assert S.mask_spans(text, S.scan(text)[1]) == text[:a] + "[assign]" + text[b:]

@@ -1,10 +1,12 @@
 """Secret scans with a recursive decoding worklist.
 
-A text is scanned as it stands; then every encoded token in it (percent escapes, Unicode escapes, base64, and compressed
-bytes below base64) is decoded to a layer of its own, which is scanned and searched for tokens in turn, until no layer is
-new. A layer is known by the digest of its content and the part of the text it came from, so cycles end and a layer that
-occurs twice is found at both places. Every layer keeps, for each of its characters, the span of the original text it was
-made from; a finding in a layer is reported as the span of the original that holds it.
+A text is scanned as it stands; then it is decoded to layers, which are scanned and searched for tokens in turn, until no
+layer is new. Percent and Unicode escapes make one layer each, the whole text with its escapes put in place. A base64 token,
+with compressed bytes below it, makes a layer of its decoded text between what stands on both sides, as far as a rule that
+holds the token's edge can reach. So a key and its value are found together, however each is written. A layer is known by the
+digest of its content and the part of the text it came from, so cycles end and a layer that occurs twice is found at both
+places. Every layer keeps, for each of its characters, the span of the original text it was made from; a finding in a layer
+is reported as the span of the original that holds it.
 
 `scanned` adds the findings of the three kinds to each row; `redacted` replaces them in the text. Rows are independent, so
 nothing is shuffled and whole texts are read. An inflated layer is at most `MAX_LAYER` characters; a longer one (an archive
@@ -24,7 +26,7 @@ import lzma
 import re
 import zlib
 from collections.abc import Iterator
-from urllib.parse import unquote_to_bytes
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -46,13 +48,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 SHORTEST_VALUE = 6
 
-# Tokens are whole runs, found in one pass; those without an escape are passed over.
-PERCENT = re.compile(r"[A-Za-z0-9._~+/=:;,!?@&*()'\"$#%-]+")
 PERCENT_ESCAPE = re.compile(r"%[0-9A-Fa-f]{2}")
-UNICODE = re.compile(r"[!-~]+")
 ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\u\{([0-9A-Fa-f]{1,6})\}")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 
+# All that a match which holds the edge of a token can take in beside it.
+REACH = re.compile(r"""[A-Za-z0-9+/_.=-]*[\x20"':=]*[A-Za-z0-9+/_.=-]*""")
+
 Span = tuple[int, int, str]
 
 
@@ -66,14 +68,36 @@ def find(text: str) -> list[Span]:
 
 
 class Layer:
-    """A text with the span of the original behind each character; spans are in order."""
+    """A text with the span of the original behind each character; spans are in order.
+
+    The text from `lo` to `hi` is what the layer adds to those before it; tokens and findings that keep out of it are known.
+    """
 
-    def __init__(self, text: str, starts: np.ndarray, ends: np.ndarray):
-        self.text, self.starts, self.ends = text, starts, ends
+    def __init__(self, text: str, starts: np.ndarray, ends: np.ndarray, lo: int = 0, hi: int | None = None):
+        self.text, self.starts, self.ends, self.lo, self.hi = text, starts, ends, lo, len(text) if hi is None else hi
 
     def place(self, start: int, end: int) -> tuple[int, int]:
         return int(self.starts[start]), int(self.ends[end - 1])
 
+    @cached_property
+    def turned(self) -> str:
+        return self.text[::-1]
+
+    def found(self) -> Iterator[Span]:
+        return ((*self.place(s, e), kind) for s, e, kind in find(self.text) if s < self.hi and e > self.lo)
+
+    def put(self, start: int, end: int, text: str, starts: np.ndarray, ends: np.ndarray) -> Layer:
+        """`text` in the place of start:end, with as much of the text on both sides as a rule can reach."""
+        left = start - REACH.match(self.turned, len(self.text) - start).end() + len(self.text) - start
+        right = REACH.match(self.text, end).end()
+        return Layer(
+            self.text[left:start] + text + self.text[end:right],
+            np.concatenate([self.starts[left:start], starts, self.starts[end:right]]),
+            np.concatenate([self.ends[left:start], ends, self.ends[end:right]]),
+            start - left,
+            start - left + len(text),
+        )
+
 
 def _readable(raw: bytes) -> str | None:
     """The bytes as text; None when they are no UTF-8 or hold control characters."""
@@ -111,62 +135,37 @@ def _inflate(raw: bytes) -> bytes | None:
     return None
 
 
-def _cut(token: str, escape: re.Pattern) -> tuple[np.ndarray, np.ndarray]:
-    """First and last place of each character or escape of a token."""
-    whole = np.ones(len(token), bool)
-    spans = [m.span() for m in escape.finditer(token)]
-    for start, end in spans:
-        whole[start + 1 : end] = False
+def _replaced(layer: Layer, escape: re.Pattern, char) -> Layer:
+    """The whole text with a character in the place of each escape."""
+    whole = np.ones(len(layer.text), bool)
+    for m in escape.finditer(layer.text):
+        whole[m.start() + 1 : m.end()] = False
     first = np.flatnonzero(whole)
-    return first, np.append(first[1:], len(token)) - 1
+    last = np.append(first[1:], len(layer.text)) - 1
+    lo, hi = np.searchsorted(first, [layer.lo, layer.hi]).tolist()
+    return Layer(escape.sub(char, layer.text), layer.starts[first], layer.ends[last], lo, hi)
 
 
 def _percent(layer: Layer) -> Iterator[Layer]:
-    if "%" not in layer.text:
-        return
-    for m in PERCENT.finditer(layer.text):
-        if not PERCENT_ESCAPE.search(m.group()):
-            continue
-        first, last = _cut(m.group(), PERCENT_ESCAPE)  # the token is ASCII: a character or an escape makes one byte
-        made = _from_bytes(unquote_to_bytes(m.group()), layer.starts[m.start() + first], layer.ends[m.start() + last])
-        if made:
-            yield made
+    # a byte is a character: the rules know ASCII alone, and bytes above it part words as the letters they stand for do
+    if "%" in layer.text and PERCENT_ESCAPE.search(layer.text):
+        yield _replaced(layer, PERCENT_ESCAPE, lambda m: chr(int(m.group()[1:], 16)))
+
+
+def _code(m: re.Match) -> str:
+    code = int(m.group(1) or m.group(2) or m.group(3), 16)
+    return "\ufffd" if code > 0x10FFFF or 0xD800 <= code < 0xE000 else chr(code)
 
 
 def _unicode(layer: Layer) -> Iterator[Layer]:
-    if "\\u" not in layer.text and "\\x" not in layer.text:
-        return
-    for m in UNICODE.finditer(layer.text):
-        token = m.group()
-        if not ESCAPE.search(token):
-            continue
-        first, last = _cut(token, ESCAPE)
-        codes = []
-        for a, b in zip(first.tolist(), last.tolist(), strict=True):
-            e = ESCAPE.match(token, a) if b > a else None
-            codes.append(int(e.group(1) or e.group(2) or e.group(3), 16) if e else ord(token[a]))
-        joined, a, b = _joined_surrogates(codes, layer.starts[m.start() + first].tolist(), layer.ends[m.start() + last].tolist())
-        if not re.search(r"[\x00-\x08\x0e-\x1f\x7f]", joined):
-            yield Layer(joined, np.array(a), np.array(b))
-
-
-def _joined_surrogates(codes: list[int], starts: list[int], ends: list[int]) -> tuple[str, list[int], list[int]]:
-    text, a, b, k = [], [], [], 0
-    while k < len(codes):
-        code, n = codes[k], 1
-        if 0xD800 <= code < 0xDC00 and k + 1 < len(codes) and 0xDC00 <= codes[k + 1] < 0xE000:
-            code, n = 0x10000 + ((code - 0xD800) << 10) + codes[k + 1] - 0xDC00, 2
-        if code > 0x10FFFF or 0xD800 <= code < 0xE000:
-            code = 0xFFFD
-        text.append(chr(code))
-        a.append(min(starts[k : k + n]))
-        b.append(max(ends[k : k + n]))
-        k += n
-    return "".join(text), a, b
+    if ("\\u" in layer.text or "\\x" in layer.text) and ESCAPE.search(layer.text):
+        yield _replaced(layer, ESCAPE, _code)
 
 
 def _base64(layer: Layer) -> Iterator[Layer]:
     for m in BASE64.finditer(layer.text):
+        if m.start() >= layer.hi or m.end() <= layer.lo:
+            continue
         token = m.group()
         body = token.rstrip("=").replace("-", "+").replace("_", "/")
         if len(body) % 4 == 1:
@@ -182,7 +181,7 @@ def _base64(layer: Layer) -> Iterator[Layer]:
             text = _readable(inner)
             if text:
                 start, end = layer.place(m.start(), m.end())
-                yield Layer(text, np.full(len(text), start), np.full(len(text), end))
+                yield layer.put(m.start(), m.end(), text, np.full(len(text), start), np.full(len(text), end))
             continue
         # byte k comes from the characters that hold its first and its last bit
         k = np.arange(len(raw))
@@ -191,7 +190,7 @@ def _base64(layer: Layer) -> Iterator[Layer]:
         ends[-1] = max(ends[-1], layer.ends[m.end() - 1])  # with the padding
         made = _from_bytes(raw, np.minimum(layer.starts[low], layer.starts[high]), ends)
         if made:
-            yield made
+            yield layer.put(m.start(), m.end(), made.text, made.starts, made.ends)
 
 
 DECODERS = (_percent, _unicode, _base64)
@@ -211,12 +210,12 @@ def scan(text: str) -> tuple[list[Span], list[Span]]:
             layer = work.pop()
             for decode in DECODERS:
                 for made in decode(layer):
-                    mark = (hashlib.blake2b(made.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), int(made.starts[0]), int(made.ends[-1]))
+                    mark = (hashlib.blake2b(made.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), int(made.starts[0]), int(made.ends[-1]), made.lo, made.hi)
                     if mark in seen or made.text == layer.text:
                         continue
                     seen.add(mark)
                     work.append(made)
-                    every.update((*made.place(s, e), kind) for s, e, kind in find(made.text))
+                    every.update(made.found())
     order = lambda f: (f[0], KINDS.index(f[2]), f[1])
     return sorted(base, key=order), sorted(every, key=order)
 
