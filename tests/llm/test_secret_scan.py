@@ -121,3 +121,20 @@ def test_encoded_value_behind_a_plain_key():
         a, b = located(text, want)
         assert any(s == a and e == b and k == "assign" for s, e, k in spans(text)), text
         assert S.mask_spans(text, S.scan(text)[1]) == text[:a] + "[assign]" + text[b:]
+
+
+def test_unreadable_bytes_bar_no_layer():
+    b64 = lambda x: base64.b64encode(x).decode()
+    packed = gzip.compress(SECRET.encode())
+    texts = {
+        "?q=caf%E9&password%3Dhunter22x": "password%3Dhunter22x", '{"a":"\\u0000\\u001b","password":"\\u0068unter22x"}': 'password":"\\u0068unter22x',
+        b64(SECRET.encode("utf-16-le")): "", b64(SECRET.encode("utf-16-be")): "", b64(SECRET.encode("utf-16")): "", b64(SECRET.encode("utf-32")): "", b64(b"a\0b " + SECRET.encode()): "",
+        quote(packed): "", repr(packed): "", "".join(f"\\x{b:02x}" for b in packed): "", "".join(f"\\u{b:04x}" for b in bz2.compress(SECRET.encode())): "", b64(b"\xff\0" + packed): "",
+        "".join(f"%{b:02X}" for b in SECRET.encode("utf-16-le")): "",
+    }
+    for token, inner in texts.items():
+        text = f"é before {token} after"
+        a, b = located(text, token)
+        if inner:
+            assert (*located(text, inner), "assign") in spans(text), token
+        assert any(k == "assign" for _, _, k in spans(text)) and all(a <= s and e <= b for s, e, _ in spans(text)), token

@@ -2,8 +2,9 @@
 
 A text is scanned as it stands; then it is decoded to layers, which are scanned and searched for tokens in turn, until no
 layer is new. Percent and Unicode escapes make one layer each, the whole text with its escapes put in place. A base64 token,
-with compressed bytes below it, makes a layer of its decoded text between what stands on both sides, as far as a rule that
-holds the token's edge can reach. So a key and its value are found together, however each is written. A layer is known by the
+and compressed bytes in what any of them gave, make a layer of their content between what stands on both sides, as far as a
+rule that holds the edge can reach. So a key and its value are found together, however each is written. Decoded bytes are
+read as one character each, for the rules know ASCII alone; no byte bars a layer, and the zeros of UTF-16 are left out. A layer is known by the
 digest of its content and the part of the text it came from, so cycles end and a layer that occurs twice is found at both
 places. Every layer keeps, for each of its characters, the span of the original text it was made from; a finding in a layer
 is reported as the span of the original that holds it.
@@ -12,20 +13,18 @@ is reported as the span of the original that holds it.
 nothing is shuffled and whole texts are read. An inflated layer is at most `MAX_LAYER` characters; a longer one (an archive
 bomb) is read up to there, which is the only bound.
 
-Edge cases: a null text is empty and stays null when redacted; bytes that are no UTF-8 text, or hold control characters, are
-no layer; repeated rows are scanned alike; other columns are kept, also one that bears the name of a result, since all
+Edge cases: a null text is empty and stays null when redacted; repeated rows are scanned alike; other columns are kept, also one that bears the name of a result, since all
 results stand in one struct (`OUT`).
 """
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cached_property
 
 import numpy as np
@@ -51,6 +50,15 @@ SHORTEST_VALUE = 6
 PERCENT_ESCAPE = re.compile(r"%[0-9A-Fa-f]{2}")
 ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\u\{([0-9A-Fa-f]{1,6})\}")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+SHORT_ESCAPE = re.compile(r"""\\[abfnrtv0/'"\\]""")
+ANY_ESCAPE = re.compile(ESCAPE.pattern + r"""|\\([abfnrtv0/'"\\])""")
+SHORT = dict(zip("abfnrtv0", "\a\b\f\n\r\t\v\0", strict=True))
+
+# Where gzip, bzip2, xz and zlib begin, in bytes as characters.
+MAGIC = re.compile("\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\0|x[\x01\x5e\x9c\xda]")
+BLANK = re.compile(r"[\x20\t\r\n]")
+WIDE = re.compile(r"(?:[^\x00]\x00{1,3}){3,}[^\x00]?")
+MORE = re.compile(rf"%[0-9A-Fa-f]{{2}}|\\[ux]|{MAGIC.pattern}|{WIDE.pattern}")
 
 # All that a match which holds the edge of a token can take in beside it.
 REACH = re.compile(r"""[A-Za-z0-9+/_.=-]*[\x20"':=]*[A-Za-z0-9+/_.=-]*""")
@@ -86,10 +94,14 @@ class Layer:
     def found(self) -> Iterator[Span]:
         return ((*self.place(s, e), kind) for s, e, kind in find(self.text) if s < self.hi and e > self.lo)
 
+    def beside(self, start: int, end: int) -> tuple[int, int]:
+        """start:end with as much of the text on both sides as a rule can reach."""
+        behind = len(self.text) - start
+        return start + behind - REACH.match(self.turned, behind).end(), REACH.match(self.text, end).end()
+
     def put(self, start: int, end: int, text: str, starts: np.ndarray, ends: np.ndarray) -> Layer:
-        """`text` in the place of start:end, with as much of the text on both sides as a rule can reach."""
-        left = start - REACH.match(self.turned, len(self.text) - start).end() + len(self.text) - start
-        right = REACH.match(self.text, end).end()
+        """`text` in the place of start:end, with what stands beside it."""
+        left, right = self.beside(start, end)
         return Layer(
             self.text[left:start] + text + self.text[end:right],
             np.concatenate([self.starts[left:start], starts, self.starts[end:right]]),
@@ -99,101 +111,114 @@ class Layer:
         )
 
 
-def _readable(raw: bytes) -> str | None:
-    """The bytes as text; None when they are no UTF-8 or hold control characters."""
+def _inflate(raw: memoryview) -> tuple[bytes, int | None] | None:
+    """What compressed bytes hold, up to MAX_LAYER, and how many they are, None without an end; None when they are none."""
     try:
-        text = raw.decode()
-    except UnicodeDecodeError:
+        if raw[:2] == b"\x1f\x8b":
+            d = zlib.decompressobj(31)
+        elif raw[:1] == b"x":
+            d = zlib.decompressobj()
+        else:
+            d = bz2.BZ2Decompressor() if raw[:3] == b"BZh" else lzma.LZMADecompressor()
+        out = d.decompress(raw, MAX_LAYER)
+        return out, len(raw) - len(d.unused_data) if d.eof else None
+    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
         return None
-    return None if not text or re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text) else text
 
 
-def _from_bytes(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> Layer | None:
-    """A layer of bytes, each with its span; a character has the spans of all its bytes."""
-    text = _readable(raw)
-    if text is None:
-        return None
-    if len(text) == len(raw):
-        return Layer(text, starts, ends)
-    first = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
-    return Layer(text, starts[first], np.maximum.reduceat(ends, first))
+def _inflated(layer: Layer) -> Iterator[Layer]:
+    raw = None
+    for m in MAGIC.finditer(layer.text, max(layer.lo - 9, 0), min(layer.hi + 9, len(layer.text))):
+        if m.start() >= layer.hi or m.end() <= layer.lo:
+            continue
+        raw = raw or memoryview(layer.text.encode("latin-1", "replace"))
+        made = _inflate(raw[m.start() :])
+        if made is None or not made[0]:
+            continue
+        end = m.start() + made[1] if made[1] else _broken_end(layer, m.end())
+        text, (start, stop) = made[0].decode("latin-1"), (int(layer.starts[m.start() : end].min()), int(layer.ends[m.start() : end].max()))
+        yield layer.put(m.start(), end, text, np.full(len(text), start), np.full(len(text), stop))
 
 
-def _inflate(raw: bytes) -> bytes | None:
-    """What compressed bytes hold, up to MAX_LAYER; None when they are not compressed."""
-    try:
-        if raw[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(raw, MAX_LAYER)
-        if raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] << 8 | raw[1]) % 31 == 0:
-            return zlib.decompressobj().decompress(raw, MAX_LAYER)
-        if raw[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(raw, MAX_LAYER)
-        if raw[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(raw, MAX_LAYER)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        pass
-    return None
+def _broken_end(layer: Layer, at: int) -> int:
+    """Where bytes without an end stop: at the first blank that is written plainly, or with the token they came from."""
+    for m in BLANK.finditer(layer.text, at):
+        if layer.ends[m.start()] - layer.starts[m.start()] == 1:
+            return m.start()
+    return len(layer.text)
+
 
+def _wide(layer: Layer) -> Iterator[Layer]:
+    """The text of UTF-16 and UTF-32: the zeros between its characters left out."""
+    if "\0" in layer.text and WIDE.search(layer.text):
+        zeros = [(k, k + 1) for m in WIDE.finditer(layer.text) for k in range(m.start(), m.end()) if layer.text[k] == "\0"]
+        yield _replaced(layer, [(a - 1, b) for a, b in zeros], WIDE.sub(lambda m: m.group().replace("\0", ""), layer.text))
 
-def _replaced(layer: Layer, escape: re.Pattern, char) -> Layer:
-    """The whole text with a character in the place of each escape."""
+
+def _replaced(layer: Layer, spans: Iterable[tuple[int, int]], text: str) -> Layer:
+    """The whole text with a character in the place of each span."""
     whole = np.ones(len(layer.text), bool)
-    for m in escape.finditer(layer.text):
-        whole[m.start() + 1 : m.end()] = False
+    for start, end in spans:
+        whole[start + 1 : end] = False
     first = np.flatnonzero(whole)
     last = np.append(first[1:], len(layer.text)) - 1
     lo, hi = np.searchsorted(first, [layer.lo, layer.hi]).tolist()
-    return Layer(escape.sub(char, layer.text), layer.starts[first], layer.ends[last], lo, hi)
+    return Layer(text, layer.starts[first], layer.ends[last], lo, hi)
+
+
+def _unescaped(layer: Layer, escape: re.Pattern, char) -> Layer:
+    return _replaced(layer, (m.span() for m in escape.finditer(layer.text)), escape.sub(char, layer.text))
 
 
 def _percent(layer: Layer) -> Iterator[Layer]:
     # a byte is a character: the rules know ASCII alone, and bytes above it part words as the letters they stand for do
     if "%" in layer.text and PERCENT_ESCAPE.search(layer.text):
-        yield _replaced(layer, PERCENT_ESCAPE, lambda m: chr(int(m.group()[1:], 16)))
+        yield _unescaped(layer, PERCENT_ESCAPE, lambda m: chr(int(m.group()[1:], 16)))
 
 
 def _code(m: re.Match) -> str:
+    if m.lastindex == 4:
+        return SHORT.get(m.group(4), m.group(4))
     code = int(m.group(1) or m.group(2) or m.group(3), 16)
     return "\ufffd" if code > 0x10FFFF or 0xD800 <= code < 0xE000 else chr(code)
 
 
 def _unicode(layer: Layer) -> Iterator[Layer]:
     if ("\\u" in layer.text or "\\x" in layer.text) and ESCAPE.search(layer.text):
-        yield _replaced(layer, ESCAPE, _code)
+        yield _unescaped(layer, ESCAPE, _code)
+        if SHORT_ESCAPE.search(layer.text):  # bytes and strings as programs write them, every character of which counts
+            yield _unescaped(layer, ANY_ESCAPE, _code)
 
 
 def _base64(layer: Layer) -> Iterator[Layer]:
     for m in BASE64.finditer(layer.text):
         if m.start() >= layer.hi or m.end() <= layer.lo:
             continue
-        token = m.group()
-        body = token.rstrip("=").replace("-", "+").replace("_", "/")
+        body = m.group().rstrip("=").replace("-", "+").replace("_", "/")
         if len(body) % 4 == 1:
             continue
-        try:
-            raw = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        inner = _inflate(raw)
-        if inner is not None:
-            while inner is not None and (deeper := _inflate(inner)) is not None and deeper != inner:
-                inner = deeper
-            text = _readable(inner)
-            if text:
-                start, end = layer.place(m.start(), m.end())
-                yield layer.put(m.start(), m.end(), text, np.full(len(text), start), np.full(len(text), end))
+        raw = base64.b64decode(body + "=" * (-len(body) % 4))
+        left, right = layer.beside(m.start(), m.end())
+        text = raw.decode("latin-1")
+        if not _matters(layer.text[left : m.start()], text, layer.text[m.end() : right]):
             continue
         # byte k comes from the characters that hold its first and its last bit
         k = np.arange(len(raw))
         low, high = m.start() + 8 * k // 6, m.start() + (8 * k + 7) // 6
         ends = np.maximum(layer.ends[low], layer.ends[high])
         ends[-1] = max(ends[-1], layer.ends[m.end() - 1])  # with the padding
-        made = _from_bytes(raw, np.minimum(layer.starts[low], layer.starts[high]), ends)
-        if made:
-            yield layer.put(m.start(), m.end(), made.text, made.starts, made.ends)
+        yield layer.put(m.start(), m.end(), text, np.minimum(layer.starts[low], layer.starts[high]), ends)
+
 
+def _matters(left: str, text: str, right: str) -> bool:
+    """Whether a layer can hold a finding or a token; most bytes of mere words hold neither."""
+    whole = left + text + right
+    lo, hi = len(left), len(left) + len(text)
+    return bool(MORE.search(whole) or ENCODED.search(whole, max(lo - 15, 0), hi + 15) or any(s < hi and e > lo for s, e, _ in find(whole)))
 
-DECODERS = (_percent, _unicode, _base64)
+
+TOKENS = (_percent, _unicode, _base64)
+BYTES = (_inflated, _wide)  # of what has been decoded
 # A text without these has no layers; most texts are done after one look.
 ENCODED = re.compile(r"%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f{]|\\x[0-9A-Fa-f]|[A-Za-z0-9+/_-]{16}")
 
@@ -208,8 +233,10 @@ def scan(text: str) -> tuple[list[Span], list[Span]]:
         seen = set()
         while work:
             layer = work.pop()
-            for decode in DECODERS:
+            for decode in TOKENS + BYTES if seen else TOKENS:
                 for made in decode(layer):
+                    if not made.text:
+                        continue
                     mark = (hashlib.blake2b(made.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), int(made.starts[0]), int(made.ends[-1]), made.lo, made.hi)
                     if mark in seen or made.text == layer.text:
                         continue
