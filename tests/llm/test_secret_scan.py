@@ -138,3 +138,25 @@ def test_unreadable_bytes_bar_no_layer():
         if inner:
             assert (*located(text, inner), "assign") in spans(text), token
         assert any(k == "assign" for _, _, k in spans(text)) and all(a <= s and e <= b for s, e, _ in spans(text)), token
+
+
+def test_base64_at_any_place_and_in_lines():
+    b64 = lambda x: base64.b64encode(x).decode()
+    dice = random.Random(4)
+    noise = " ".join(f"w{dice.random()}" for _ in range(300)).encode()
+    lines = lambda t, n, br: br.join(t[k : k + n] for k in range(0, len(t), n))
+    token = b64(b"password=hunter2secret")
+    forms = [f"{p}{token}" for p in ("example.com/cb/", "id_", "a-", "ab_", "abc/", "x/y-z_", "abcdefghijklmnopqrs/")]
+    for br in ("\n", "\r\n", "\n  ", "\\n"):
+        forms += [lines(b64(noise[:k] + b" " + SECRET.encode() + b" " + noise), 76, br) for k in (40, 41, 45, 52, 53, 54, 55)]
+        forms += [lines(b64(gzip.compress(noise + SECRET.encode())), 64, br)]
+    for form in forms:
+        text = f"é before {form} after"
+        a, b = located(text, form)
+        found = spans(text)
+        assert any(k == "assign" for _, _, k in found) and all(a <= s and e <= b for s, e, _ in found), form
+    text = f"go to example.com/cb/{token} now"
+    assert (*located(text, token), "assign") in spans(text)
+    wrapped = lines(b64(b"x" * 45 + b" password=hunter2secret " + b"x" * 45), 64, "\n")
+    (a, b, _), = spans(wrapped)
+    assert a == (46 * 8 // 6) + (46 * 8 // 6) // 64 and "\n" in wrapped[a:b] and b - a < 34

@@ -2,7 +2,8 @@
 
 A text is scanned as it stands; then it is decoded to layers, which are scanned and searched for tokens in turn, until no
 layer is new. Percent and Unicode escapes make one layer each, the whole text with its escapes put in place. A base64 token,
-and compressed bytes in what any of them gave, make a layer of their content between what stands on both sides, as far as a
+in one line or in several, at each of the four places where its first group can begin, and compressed bytes in what any of
+them gave, make a layer of their content between what stands on both sides, as far as a
 rule that holds the edge can reach. So a key and its value are found together, however each is written. Decoded bytes are
 read as one character each, for the rules know ASCII alone; no byte bars a layer, and the zeros of UTF-16 are left out. A layer is known by the
 digest of its content and the part of the text it came from, so cycles end and a layer that occurs twice is found at both
@@ -18,7 +19,7 @@ results stand in one struct (`OUT`).
 """
 from __future__ import annotations
 
-import base64
+import binascii
 import bz2
 import hashlib
 import lzma
@@ -62,6 +63,10 @@ MORE = re.compile(rf"%[0-9A-Fa-f]{{2}}|\\[ux]|{MAGIC.pattern}|{WIDE.pattern}")
 
 # All that a match which holds the edge of a token can take in beside it.
 REACH = re.compile(r"""[A-Za-z0-9+/_.=-]*[\x20"':=]*[A-Za-z0-9+/_.=-]*""")
+# Base64 in lines; a line break may be written as an escape.
+LINE_BREAK = re.compile(r"(?:\r?\n|(?:\\r)?\\n)[\x20\t]*")
+UNBROKEN = re.compile(r"[A-Za-z0-9+/_-]+")
+WRAPPED = re.compile(rf"{BASE64.pattern.removesuffix('={0,2}')}+(?:{LINE_BREAK.pattern}+{UNBROKEN.pattern}+)+={{0,2}}")
 
 Span = tuple[int, int, str]
 
@@ -191,23 +196,35 @@ def _unicode(layer: Layer) -> Iterator[Layer]:
 
 
 def _base64(layer: Layer) -> Iterator[Layer]:
-    for m in BASE64.finditer(layer.text):
-        if m.start() >= layer.hi or m.end() <= layer.lo:
-            continue
-        body = m.group().rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
-            continue
-        raw = base64.b64decode(body + "=" * (-len(body) % 4))
-        left, right = layer.beside(m.start(), m.end())
-        text = raw.decode("latin-1")
-        if not _matters(layer.text[left : m.start()], text, layer.text[m.end() : right]):
-            continue
-        # byte k comes from the characters that hold its first and its last bit
-        k = np.arange(len(raw))
-        low, high = m.start() + 8 * k // 6, m.start() + (8 * k + 7) // 6
-        ends = np.maximum(layer.ends[low], layer.ends[high])
-        ends[-1] = max(ends[-1], layer.ends[m.end() - 1])  # with the padding
-        yield layer.put(m.start(), m.end(), text, np.minimum(layer.starts[low], layer.starts[high]), ends)
+    for form in (BASE64, WRAPPED):
+        for m in form.finditer(layer.text):
+            if m.start() >= layer.hi or m.end() <= layer.lo:
+                continue
+            body = m.group().rstrip("=")
+            at = None
+            if form is WRAPPED:
+                at = np.concatenate([np.arange(*r.span()) for r in UNBROKEN.finditer(LINE_BREAK.sub(lambda x: " " * len(x.group()), body))]) + m.start()
+                body = LINE_BREAK.sub("", body)
+            body = body.replace("-", "+").replace("_", "/")
+            # the run may begin with a part of what stands before the token, so all four alignments are read
+            for skip in range(4):
+                size = len(body) - skip
+                size -= size % 4 == 1
+                raw = binascii.a2b_base64(body[skip : skip + size] + "=" * (-size % 4))
+                if not raw:
+                    continue
+                place = at if at is not None else np.arange(m.start(), m.start() + len(body))
+                start, end = int(place[skip]), m.end() if skip + size == len(body) else int(place[skip + size - 1]) + 1
+                left, right = layer.beside(start, end)
+                text = raw.decode("latin-1")
+                if not _matters(layer.text[left:start], text, layer.text[end:right]):
+                    continue
+                # byte k comes from the characters that hold its first and its last bit
+                k = np.arange(len(raw))
+                low, high = place[skip + 8 * k // 6], place[skip + (8 * k + 7) // 6]
+                ends = np.maximum(layer.ends[low], layer.ends[high])
+                ends[-1] = max(ends[-1], layer.ends[end - 1])  # with the padding
+                yield layer.put(start, end, text, np.minimum(layer.starts[low], layer.starts[high]), ends)
 
 
 def _matters(left: str, text: str, right: str) -> bool:
