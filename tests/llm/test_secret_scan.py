@@ -160,3 +160,25 @@ def test_base64_at_any_place_and_in_lines():
     wrapped = lines(b64(b"x" * 45 + b" password=hunter2secret " + b"x" * 45), 64, "\n")
     (a, b, _), = spans(wrapped)
     assert a == (46 * 8 // 6) + (46 * 8 // 6) // 64 and "\n" in wrapped[a:b] and b - a < 34
+
+
+def test_all_members_and_long_contents(monkeypatch):
+    import lzma
+    import zlib
+
+    b64 = lambda x: base64.b64encode(x).decode()
+    found = lambda x: any(k == "assign" for _, _, k in spans(f"see {b64(x)} after"))
+    for pack in (gzip.compress, bz2.compress, lzma.compress, zlib.compress):
+        one, two = pack(b"nothing " * 20_000), pack(b"more " + SECRET.encode())
+        assert found(one + two) and found(one + one + two) and not found(one + one), pack
+        assert found(pack(one + two)) and found(one + b"\0" * 8 + two), pack
+    monkeypatch.setattr(S, "CHUNK", 3000)
+    monkeypatch.setattr(S, "OVERLAP", 200)
+    monkeypatch.setattr(S, "PIECE", 700)
+    for at in (0, 2990, 3001, 30_000, 60_000):
+        long = b"a b, " * (at // 5) + "é".encode() + b" " * (at % 5) + SECRET.encode() + b", c d" * 9000
+        assert found(gzip.compress(long)) and found(bz2.compress(long)) and found(gzip.compress(gzip.compress(random.Random(1).randbytes(9000) + long))), at
+    dice = random.Random(3)
+    cut = gzip.compress(SECRET.encode() + bytes(dice.randrange(256) for _ in range(2000)))[:-300]
+    text = f"see {quote(cut)} after"
+    assert any(k == "assign" and 4 <= s and e <= len(text) - 6 for s, e, k in spans(text))

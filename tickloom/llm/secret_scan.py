@@ -11,8 +11,10 @@ places. Every layer keeps, for each of its characters, the span of the original
 is reported as the span of the original that holds it.
 
 `scanned` adds the findings of the three kinds to each row; `redacted` replaces them in the text. Rows are independent, so
-nothing is shuffled and whole texts are read. An inflated layer is at most `MAX_LAYER` characters; a longer one (an archive
-bomb) is read up to there, which is the only bound.
+nothing is shuffled and whole texts are read. Compressed bytes are read to the end of their last member. Content of more than
+`CHUNK` characters is scanned in chunks that overlap by `OVERLAP`; a token in it that is longer than a chunk is decoded in
+parts, and of compressed bytes longer than a chunk that do not begin it only those of their first chunk are inflated, which
+is the only bound.
 
 Edge cases: a null text is empty and stays null when redacted; repeated rows are scanned alike; other columns are kept, also one that bears the name of a result, since all
 results stand in one struct (`OUT`).
@@ -26,7 +28,9 @@ import lzma
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from contextlib import suppress
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,7 +41,9 @@ from .common import text_of
 
 OUT = "_tl_secrets"
 KINDS = ("assign", "access", "hex")
-MAX_LAYER = 1 << 26
+CHUNK, OVERLAP = 1 << 24, 1 << 20  # characters of an inflated layer
+FEED, PIECE = 1 << 16, 1 << 20  # bytes in and out of a decompressor at a time
+NESTED = 200
 
 ASSIGN = re.compile(
     r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]"""
@@ -104,9 +110,12 @@ class Layer:
         behind = len(self.text) - start
         return start + behind - REACH.match(self.turned, behind).end(), REACH.match(self.text, end).end()
 
-    def put(self, start: int, end: int, text: str, starts: np.ndarray, ends: np.ndarray) -> Layer:
-        """`text` in the place of start:end, with what stands beside it."""
+    def put(self, start: int, end: int, text: str, starts: np.ndarray, ends: np.ndarray, first: bool = True, last: bool = True) -> Layer:
+        """`text` in the place of start:end, with what stands beside it; a chunk has only the neighbour it adjoins."""
         left, right = self.beside(start, end)
+        left, right = left if first else start, right if last else end
+        if left == start and right == end:
+            return Layer(text, starts, ends)
         return Layer(
             self.text[left:start] + text + self.text[end:right],
             np.concatenate([self.starts[left:start], starts, self.starts[end:right]]),
@@ -116,41 +125,121 @@ class Layer:
         )
 
 
-def _inflate(raw: memoryview) -> tuple[bytes, int | None] | None:
-    """What compressed bytes hold, up to MAX_LAYER, and how many they are, None without an end; None when they are none."""
-    try:
-        if raw[:2] == b"\x1f\x8b":
-            d = zlib.decompressobj(31)
-        elif raw[:1] == b"x":
-            d = zlib.decompressobj()
-        else:
-            d = bz2.BZ2Decompressor() if raw[:3] == b"BZh" else lzma.LZMADecompressor()
-        out = d.decompress(raw, MAX_LAYER)
-        return out, len(raw) - len(d.unused_data) if d.eof else None
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
+def _opened(head: bytes):
+    """A decompressor for bytes that begin so, or None."""
+    if head[:3] == b"\x1f\x8b\x08":
+        return zlib.decompressobj(31)
+    if head[:2] in (b"x\x01", b"x^", b"x\x9c", b"x\xda"):
+        return zlib.decompressobj()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor() if head[:6] == b"\xfd7zXZ\0" else None
+
+
+class Members:
+    """What compressed members, one after the other, hold, in pieces of PIECE bytes at most; of a damaged one what precedes the fault.
+
+    When all is read, `fed` less the length of `rest` bytes were theirs, and `broken` tells whether the last has no end.
+    """
+
+    def __init__(self, source: Iterator[bytes]):
+        self.source, self.fed, self.rest, self.broken = source, 0, b"", False
+
+    def _read(self) -> bytes:
+        piece = next(self.source, b"")
+        self.fed += len(piece)
+        return piece
+
+    def __iter__(self) -> Iterator[bytes]:
+        while True:
+            while len(self.rest) < 6 and (piece := self._read()):
+                self.rest = (self.rest + piece).lstrip(b"\0")  # members may be padded
+            d = _opened(self.rest)
+            if d is None:
+                return
+            feed, self.rest = self.rest, b""
+            while not d.eof:
+                before = d.copy() if hasattr(d, "copy") else None
+                try:
+                    out = d.decompress(feed, PIECE)
+                except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+                    self.broken = True
+                    yield from _until_fault(before, feed)
+                    return
+                if out:
+                    yield out
+                feed = getattr(d, "unconsumed_tail", b"")
+                if not (out or feed or d.eof) and getattr(d, "needs_input", True):
+                    feed = self._read()
+                    if not feed:
+                        self.broken = True
+                        return
+            self.rest = d.unused_data.lstrip(b"\0")
+
+
+def _until_fault(d, feed: bytes) -> Iterator[bytes]:
+    """What zlib gives before the byte at which it fails."""
+    with suppress(zlib.error):
+        for k in range(len(feed) if d else 0):
+            yield d.decompress(feed[k : k + 1])
+
+
+def _slices(raw: memoryview) -> Iterator[bytes]:
+    return (bytes(raw[k : k + FEED]) for k in range(0, len(raw), FEED))
+
+
+def _pieces(raw: memoryview) -> Iterator[bytes]:
+    """The content of compressed bytes; if it is longer than a chunk and compressed again, the content of that."""
+    found = iter(Members(_slices(raw)))
+    for _ in range(NESTED):
+        head, size = [], 0
+        while size < CHUNK and (piece := next(found, None)) is not None:
+            head.append(piece)
+            size += len(piece)
+        again = size >= CHUNK and _opened(b"".join(head[:8])) is not None
+        found = chain(head, found)
+        if not again:
+            break
+        found = iter(Members(found))
+    return found
+
+
+def _chunks(pieces: Iterable[bytes]) -> Iterator[tuple[str, bool, bool]]:
+    """The bytes as texts of CHUNK characters or so, each with the last OVERLAP of the one before; whether it is the first, the last."""
+    held, first = bytearray(), True
+    for piece in pieces:
+        if len(held) >= CHUNK:
+            yield held.decode("latin-1"), first, False
+            held, first = held[-OVERLAP:], False
+        held += piece
+    if held:
+        yield held.decode("latin-1"), first, True
 
 
 def _inflated(layer: Layer) -> Iterator[Layer]:
-    raw = None
+    raw, done = None, 0
     for m in MAGIC.finditer(layer.text, max(layer.lo - 9, 0), min(layer.hi + 9, len(layer.text))):
-        if m.start() >= layer.hi or m.end() <= layer.lo:
+        if m.start() < done or m.start() >= layer.hi or m.end() <= layer.lo:
             continue
         raw = raw or memoryview(layer.text.encode("latin-1", "replace"))
-        made = _inflate(raw[m.start() :])
-        if made is None or not made[0]:
+        members = Members(_slices(raw[m.start() :]))
+        if not sum(map(len, members)):
             continue
-        end = m.start() + made[1] if made[1] else _broken_end(layer, m.end())
-        text, (start, stop) = made[0].decode("latin-1"), (int(layer.starts[m.start() : end].min()), int(layer.ends[m.start() : end].max()))
-        yield layer.put(m.start(), end, text, np.full(len(text), start), np.full(len(text), stop))
+        if members.broken:
+            end = _broken_end(layer, m.end())
+        else:
+            end = done = m.start() + members.fed - len(members.rest)
+        start, stop = layer.starts[m.start() : end].min(), layer.ends[m.start() : end].max()
+        for text, first, last in _chunks(_pieces(raw[m.start() :])):
+            yield layer.put(m.start(), end, text, np.broadcast_to(start, len(text)), np.broadcast_to(stop, len(text)), first, last)
 
 
 def _broken_end(layer: Layer, at: int) -> int:
     """Where bytes without an end stop: at the first blank that is written plainly, or with the token they came from."""
     for m in BLANK.finditer(layer.text, at):
         if layer.ends[m.start()] - layer.starts[m.start()] == 1:
-            return m.start()
-    return len(layer.text)
+            return min(m.start(), max(at, layer.hi))
+    return max(at, layer.hi)
 
 
 def _wide(layer: Layer) -> Iterator[Layer]:
@@ -240,26 +329,30 @@ BYTES = (_inflated, _wide)  # of what has been decoded
 ENCODED = re.compile(r"%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f{]|\\x[0-9A-Fa-f]|[A-Za-z0-9+/_-]{16}")
 
 
+def _decoded(layer: Layer, decoders: tuple) -> Iterator[Layer]:
+    return (made for decode in decoders for made in decode(layer) if made.text and made.text != layer.text)
+
+
 def scan(text: str) -> tuple[list[Span], list[Span]]:
     """Base findings, and all findings with those of the decoded layers; each sorted by start, then kind, then end."""
     base = find(text)
     every = set(base)
     if ENCODED.search(text):
-        places = np.arange(len(text) + 1)
-        work = [Layer(text, places[:-1], places[1:])]
+        places = np.arange(len(text) + 1, dtype=np.int32)
         seen = set()
+        # depth first, so that a long content is held a chunk at a time
+        work = [_decoded(Layer(text, places[:-1], places[1:]), TOKENS)]
         while work:
-            layer = work.pop()
-            for decode in TOKENS + BYTES if seen else TOKENS:
-                for made in decode(layer):
-                    if not made.text:
-                        continue
-                    mark = (hashlib.blake2b(made.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), int(made.starts[0]), int(made.ends[-1]), made.lo, made.hi)
-                    if mark in seen or made.text == layer.text:
-                        continue
-                    seen.add(mark)
-                    work.append(made)
-                    every.update(made.found())
+            made = next(work[-1], None)
+            if made is None:
+                work.pop()
+                continue
+            mark = (hashlib.blake2b(made.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), int(made.starts[0]), int(made.ends[-1]), made.lo, made.hi)
+            if mark in seen:
+                continue
+            seen.add(mark)
+            every.update(made.found())
+            work.append(_decoded(made, TOKENS + BYTES))
     order = lambda f: (f[0], KINDS.index(f[2]), f[1])
     return sorted(base, key=order), sorted(every, key=order)
 
