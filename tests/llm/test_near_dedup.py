@@ -129,3 +129,37 @@ def test_confirmed(left):
     assert set(map(frozenset, zip(p.tolist(), q.tolist()))) <= set(map(frozenset, want))
     ends = lambda ps: D.local_components(60, np.array([x for x, _ in ps], int), np.array([y for _, y in ps], int)).tolist()
     assert ends(want) == ends(list(zip(p.tolist(), q.tolist())))
+
+
+def at_threshold(rows, percent):
+    """The components of `brute` at another threshold, by all pairs."""
+    sets, root = [plain_set(t) for _, t in rows], {i: i for i, _ in rows}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for (x, s), (y, t) in combinations(zip((i for i, _ in rows), sets), 2):  # noqa: B905
+        if s and t and 100 * len(s & t) >= percent * len(s | t):
+            a, b = top(x), top(y)
+            root[max(a, b)] = min(a, b)
+    return sorted(((i, len(s), top(i)) for (i, _), s in zip(rows, sets)), key=repr)  # noqa: B905
+
+
+@pytest.mark.parametrize("percent", [60, 80, 95])
+def test_other_thresholds(spark, percent):
+    rows = family(1, 40, 6, 120, 0.07) + [(9000 + k, t) for k, (_, t) in enumerate(family(2, 30, 4, 30, 0.04))]
+    want = at_threshold(rows, percent)
+    assert want != brute(rows) and at_threshold(rows, 85) == brute(rows)
+    assert got(D.near_duplicates(table(spark, rows), percent=percent)) == want
+    assert sorted(r.doc_id for r in D.deduplicated(table(spark, rows), percent=percent).collect()) == sorted(i for i, _, c in want if i == c)
+
+
+def test_bands_fit_the_threshold():
+    assert D.fitted(85)[:2] == (20, 6)
+    for percent in (50, 60, 80, 85, 90, 99, 100):
+        bands, size, likely = D.fitted(percent)
+        assert bands * size <= D.K and (1 - (percent / 100) ** size) ** bands <= 1e-4 and likely < percent / 100
+    with pytest.raises(ValueError):
+        D.fitted(3)
