@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tickloom import schemas
+from tickloom.registry import QUERIES
 from tickloom.session import materialise, scratch_path, shared_dir, sql
 from tickloom.sources import files as FS
 from tickloom.sources import ingest as N
@@ -214,3 +215,11 @@ def test_session_settings(spark):
 
 def test_adhoc_sql(spark):
     assert sql(spark, "select sum(id) s from numbers", {"numbers": spark.range(5)}).first().s == 10
+
+
+def test_list_tables_query_has_every_symbol(spark, sf_dir, tmp_path):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    sixth = events.limit(1).withColumn("event_type", F.lit("refund"))
+    events.unionByName(sixth).write.parquet(str(tmp_path / "events.parquet"))
+    want = {f"quotes_{r.event_type}" for r in events.select("event_type").distinct().collect()} | {"quotes_refund"}
+    assert {r.tableName for r in QUERIES["list_tables"](spark, str(tmp_path)).collect()} == want

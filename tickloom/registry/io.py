@@ -217,7 +217,7 @@ def _backfill(s):
 def _list_tables(s):
     """One table per symbol, written and listed."""
     db = new_database(s)
-    for symbol in ("click", "error", "purchase", "signup", "view"):
+    for (symbol,) in s.quotes.where("symbol is not null").select("symbol").distinct().collect():
         T.append_or_create(s.quotes.where(F.col("symbol") == symbol), f"{db}.quotes_{symbol}")
     return T.list_tables(s.spark, db).select("tableName")
 
