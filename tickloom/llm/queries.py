@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embedding_dedup, langid, mixing, near_dedup, packing, quality_model, quality_rules, secret_scan, warc
-from .common import read, remainder
+from . import chat, embedding_dedup, langid, mixing, near_dedup, packing, periodic_runs, quality_model, quality_rules, secret_scan, warc
+from .common import read, remainder, text_of, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -151,3 +151,57 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def _sql_crc32(text: str) -> str:
+    """crc32 of a text of ASCII characters: each one enters the register, then eight shifts (-1) follow."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [ord(c), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "lambda r, b: case when b >= 0 then xor(r, b) else xor(r >> 1, 3988292384 * (r & 1)) end"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {steps}::bigint[]), {step}), 4294967295::bigint)"
+
+
+def damaged_words(docs: DataFrame) -> DataFrame:
+    """doc_id and text, the words of some texts repeated from a place on, both chosen by the id (null: the empty text)."""
+    number = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    # a generator keeps the words from being worked out at each use
+    held = docs.select("doc_id", text_of().alias("text"), number.alias("h"), F.explode(F.array(F.when(number % 10 == 0, words_of(text_of())))).alias("w"))
+    n, g = F.size("w"), F.expr("h div 10")
+    start = (g % n).cast("int")
+    period = (1 + F.floor((n - start) / (3 + g % 8))).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("w", start + 1, period), F.ceil((n - start) / period).cast("int"))), F.lit(1), n - start)
+    return held.select("doc_id", F.when(n > 0, F.array_join(F.concat(F.slice("w", F.lit(1), start), tail), " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query(f"""
+with d as (select row_number() over () rid, doc_id, {_sql_words("coalesce(text, '')")} w, {_sql_crc32("doc_id::varchar")} h from documents),
+a as (select *, case when len(w) > 0 then (h // 10) % len(w) end a from d),
+p as (select *, 1 + (len(w) - a) // (3 + (h // 10) % 8) p from a),
+t as materialized (select rid, doc_id, case when h % 10 = 0 and len(w) > 0
+  then list_concat(list_slice(w, 1, a), list_transform(range(a, len(w)), lambda i: w[1 + a + (i - a) % p])) else w end w from p),
+g as (select rid, i, list_slice(w, i + 1, i + 6) g from (select rid, w, unnest(range(0, len(w) - 5)) i from t)),
+l as (select x.rid, x.i, y.i - x.i q from g x join g y on x.rid = y.rid and x.g = y.g and y.i > x.i),
+s as (select rid, q, i - row_number() over (partition by rid, q order by i) k, i from l),
+m as (select rid, q, min(i) b, count(*) + 5 n from s group by rid, q, k having count(*) + 5 >= greatest(12 - q, q)),
+r as materialized (select rid, b, n + q n, min(q) q from m group by rid, b, n + q),
+o as (select rid, count(*) n_runs, first(b order by n desc, b, q) b, first(n order by n desc, b, q) n, first(q order by n desc, b, q) q,
+  string_agg(b || ',' || n || ',' || q || chr(10), '' order by b, q) runs from r group by rid),
+x as (select distinct rid, unnest(range(b + q, b + n)) i from r),
+c as (select rid, string_agg(w, ' ' order by i) t from (select rid, unnest(w) w, unnest(range(0, len(w))) i from t)
+  anti join x using (rid, i) group by rid)
+select doc_id, coalesce(n_runs, 0) n_runs, o.b "start", o.n "length", o.q period, 1000 * o.n // o.q exponent_milli,
+  sha256(coalesce(runs, '')) runs_sha256, sha256(coalesce(c.t, '')) collapsed_sha256
+from t left join o using (rid) left join c using (rid)
+""")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.judged(damaged_words(read(spark, sf_dir, "documents")))
+    runs = F.col(f"{periodic_runs.OUT}.runs")
+    best = periodic_runs.longest(runs)
+    lines = F.array_join(F.transform(runs, lambda r: F.concat(r.start, F.lit(","), r.length, F.lit(","), r.period, F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        *(best[name].alias(name) for name in ("start", "length", "period")),
+        F.floor(1000 * best.length / best.period).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2(F.col(f"{periodic_runs.OUT}.collapsed"), 256).alias("collapsed_sha256"),
+    )
