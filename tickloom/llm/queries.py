@@ -6,7 +6,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embedding_dedup, langid, mixing, near_dedup, packing, periodic_runs, quality_model, quality_rules, secret_scan, warc
+from . import (
+    chat, conversation_repair, embedding_dedup, langid, mixing, near_dedup, packing, periodic_runs, quality_model, quality_rules,
+    secret_scan, warc,
+)
 from .common import read, remainder, text_of, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,3 +208,58 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(lines, 256).alias("runs_sha256"),
         F.sha2(F.col(f"{periodic_runs.OUT}.collapsed"), 256).alias("collapsed_sha256"),
     )
+
+
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """conversations with some rows dropped, emptied, cut, repeated or given to the user, chosen by conv_id and turn; nulls are blanks."""
+    blank = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    fate = F.crc32(F.concat(blank("conv_id"), F.lit(":"), blank("turn")).cast("binary")) % 20
+    text = F.when(fate == 1, "").when(fate == 2, F.regexp_replace(blank("text"), "[.!?]", "")).otherwise(blank("text"))
+    left = turns.filter(fate != 0)
+    times = F.explode(F.array_repeat(F.lit(1), F.when(fate == 3, 2).otherwise(1)))
+    return left.select("conv_id", "turn", F.when(fate == 4, "user").otherwise(blank("role")).alias("role"), text.alias("text"), times.alias("time")).drop("time")
+
+
+_CLOSURE = "(0,0,0,''),(0,2,2,'I'),(0,3,4,'II'),(1,1,0,''),(1,2,2,'I'),(1,3,4,'II'),(2,2,0,''),(2,3,2,'I'),(3,3,0,''),(3,2,2,'I')"
+
+
+@query(f"""
+with recursive a as (select conv_id, turn, coalesce(role, ' ') r, coalesce(text, ' ') t,
+  {_sql_crc32("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 f from conversations),
+b as (select conv_id, turn, case f when 4 then 'user' else r end r, case f when 1 then '' when 2 then regexp_replace(t, '[.!?]', '', 'g') else t end t,
+  unnest(range(case f when 3 then 2 else 1 end)) from a where f <> 0),
+c as (select *, row_number() over (partition by conv_id order by turn nulls first, r, md5(t)) i from b),
+d as (select *, row_number() over (partition by conv_id, r, t order by i) n, regexp_matches(t, '[^\x20\x09-\x0D]') word,
+  regexp_matches(t, '[.!?][\x20\x09-\x0D]*$') closed, lag(left(r, 1)) over (partition by conv_id order by i) p from c),
+rows as materialized (select conv_id, turn, i, r, t, not word blank, word and n > 1 dup, word and n = 1 and not closed cut,
+  i > 1 and p || left(r, 1) not in ('su', 'ua', 'au') bad from d),
+steps as (select * from (values (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) v(p, x, q)),
+more as (select * from (values {_CLOSURE}) v(p, q, cost, audit)),
+edits as materialized (
+  select conv_id, i, s p, s q, 3 cost, 'D' audit from rows, (values (0), (1), (2), (3)) v(s)
+  union all select conv_id, i, p, q, cut::int, 'K' from rows join steps on x = left(r, 1) where not blank and not dup
+  union all select conv_id, i, p, q, 2 + cut::int, 'R' from rows, steps where x <> 's' and not blank and not dup),
+v as (select distinct conv_id, 0::bigint i, q s, cost::bigint cost, audit from rows, more where p = 0
+  union all select conv_id, i, s, cost, audit from (
+    select v.conv_id, e.i, m.q s, v.cost + e.cost + m.cost cost, v.audit || e.audit || m.audit audit,
+      row_number() over (partition by v.conv_id, m.q order by v.cost + e.cost + m.cost, v.audit || e.audit || m.audit) k
+    from v join edits e on e.conv_id is not distinct from v.conv_id and e.i = v.i + 1 and e.p = v.s join more m on m.p = e.q) where k = 1),
+g as (select conv_id, count(*) n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count(*) filter (blank) blank,
+  count(*) filter (dup) dup, count(*) filter (cut) cut, count(*) filter (bad) bad from rows group by conv_id),
+best as (select g.conv_id, first(v.cost order by v.cost, v.audit) cost, first(v.audit order by v.cost, v.audit) audit
+  from g join v on v.conv_id is not distinct from g.conv_id and v.i = g.n and v.s in (0, 3) group by g.conv_id),
+e as (select conv_id, unnest(string_split(audit, '')) x, unnest(range(1, len(audit) + 1)) k from best),
+f as (select *, sum((x <> 'I')::int) over w i, sum((x <> 'D')::int) over w o from e where x <> '' window w as (partition by conv_id order by k)),
+h as (select f.conv_id, k, x, o, r, t, bool_or(x = 'K' and o = 1 and left(r, 1) = 's') over (partition by f.conv_id) sys
+  from f left join rows on rows.conv_id is not distinct from f.conv_id and rows.i = f.i),
+s as (select conv_id, string_agg(case x when 'K' then r else case when (o + sys::int) % 2 = 1 then 'user' else 'assistant' end end || ':' ||
+  case x when 'I' then '' else t end, chr(10) order by k) t from h where x <> 'D' group by conv_id)
+select z.conv_id, cast(coalesce(gaps, 0) as bigint) gaps, coalesce(blank, 0) blank, coalesce(dup, 0) "duplicate", coalesce(cut, 0) truncated,
+  coalesce(bad, 0) illegal, coalesce(best.cost, 0) "cost", coalesce(best.audit, '') audit, sha256(coalesce(s.t, '')) repaired_sha256
+from (select distinct conv_id from conversations) z left join g on g.conv_id is not distinct from z.conv_id
+  left join best on best.conv_id is not distinct from z.conv_id left join s on s.conv_id is not distinct from z.conv_id
+""")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    turns = damaged_turns(conversations)
+    return conversation_repair.for_all(conversations, conversation_repair.digests(turns, conversation_repair.plans(turns)))
