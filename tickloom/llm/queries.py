@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat, conversation_repair, embedding_dedup, langid, mixing, near_dedup, packing, periodic_runs, quality_model, quality_rules,
-    secret_scan, warc,
+    chat, conversation_repair, embedding_dedup, langid, lm_scoring, mixing, near_dedup, packing, periodic_runs, quality_model,
+    quality_rules, secret_scan, warc,
 )
 from .common import read, remainder, text_of, words_of
 
@@ -263,3 +263,9 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = read(spark, sf_dir, "conversations")
     turns = damaged_turns(conversations)
     return conversation_repair.for_all(conversations, conversation_repair.digests(turns, conversation_repair.plans(turns)))
+
+
+@query()
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm_scoring.scored(read(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 7) != 2)
+    return found.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
