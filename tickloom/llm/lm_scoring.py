@@ -41,8 +41,8 @@ from pyspark.sql import functions as F
 from ..session import materialise
 from .common import runs, text_of, utf8
 
-CHUNK = 1 << 20
-RANGE = 1 << 21
+CHUNK = 1 << 19
+RANGE = 1 << 20
 FOLDS = 8
 ROUNDS = 200
 # Steps of an estimate's logarithm to the base of two, and what stands for an estimate of 0.
@@ -350,7 +350,7 @@ def scored(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "tex
         *(F.coalesce(F.sum(F.when(cond, F.col(f"train_{n}"))), F.lit(0)).alias(f"{of}_{n}")
           for of, cond in (("all", F.lit(True)), ("kept", ~F.col("deleted"))) for n in ("tokens", "docs")),
     ).first()
-    parts, groups = max(1, ceil(total.tokens / range_)), max(1, ceil(total.chunks / 8))
+    parts, groups = max(1, ceil(total.tokens / range_)), max(1, ceil(total.chunks / 4))
     answered = answers(requests(chunks, parts), parts)
     distinct = answered.agg(*(F.coalesce(F.sum(f"distinct_{n}"), F.lit(0)).alias(n) for n in ("all", "kept"))).first()
     deleted = deleted_counts(chunks, answered, groups, total.kept_tokens, total.kept_docs)
