@@ -1,10 +1,11 @@
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
 from tickloom.llm import mixing
+from tickloom.session import materialise
 
 
 def plain_targets(sizes, weights=(1, 2, 3), most=3):
@@ -83,3 +84,33 @@ def test_odd_rows(odd_docs, no_docs):
     want = sum(r.copies for r in rows)
     assert mix.count() == want
     assert mixing.decisions(mixing.numbered(no_docs)).collect() == [] and mixing.mixed(no_docs).collect() == []
+
+
+def test_mix_does_not_follow_the_cores(spark, tmp_path, monkeypatch):
+    """Files are split otherwise when the mix is read than when it was decided; columns bear names the operator uses."""
+    rows = [(k, f"w{k} " * (1 + k % 40), "a" if k % 3 else "b", k, k, k) for k in range(300)]
+    names = "doc_id bigint, text string, source string, copies bigint, _tl_row bigint, _tl_copies bigint"
+    spark.createDataFrame(rows, names).repartition(12).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    decided = {}
+
+    def note(df, name):
+        stored = materialise(df, name)
+        if name == "mix-copies":
+            decided.update({r[mixing.ROW]: r._tl_copies for r in stored.collect()})
+            spark.conf.set("spark.sql.files.minPartitionNum", "16")
+        elif name == "mix-rows":
+            spark.conf.set("spark.sql.files.minPartitionNum", "2")
+            decided["rows"] = stored
+        return stored
+
+    monkeypatch.setattr(mixing, "materialise", note)
+    try:
+        mix = mixing.mixed(docs)
+        assert mix.columns == docs.columns
+        got = Counter(r.doc_id for r in mix.collect())
+        want = {r._tl_doc.doc_id: decided.get(r[mixing.ROW], 0) for r in decided["rows"].collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert got == Counter({k: n for k, n in want.items() if n}) and len(got) > 100
+    assert all(r.copies == r._tl_row == r._tl_copies == r.doc_id for r in mix.collect())

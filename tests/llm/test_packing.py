@@ -1,6 +1,6 @@
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -97,3 +97,24 @@ def test_words_give_the_ids_of_the_whole_text(odd_docs):
     texts += ["J\u030c A.\u0338 b", "J\u01f0 \u212aelvin. caf\u00c9, CAF\u00c9. x.\ty,\nz;\x0bq! r? 9. $. !. ... ."]
     for t, ids in zip(texts, words.of([t.encode() for t in texts])):
         assert np.frombuffer(ids, "<u4").tolist() == whole_ids(t)[:-1]
+
+
+def test_narrow_ids(spark, odd_docs):
+    """Ids of 16 bits give the same sequences; a piece with a larger id keeps 32."""
+    pieces = packing.tokenized(odd_docs)
+    narrow = packing.packed(pieces, narrow=True)
+    assert all(len(r.ids) == 2 * r.length for r in narrow.collect())
+    texts = Counter(tuple(r.ids) for r in packing.sequences(narrow).collect())
+    assert texts == Counter(tuple(r.ids) for r in packing.sequences(packing.packed(pieces)).collect())
+    large = np.array([70_000, 1, 0], "<u4").tobytes()
+    made = spark.createDataFrame([(1, 0, 0, 3, large), (2, 0, 0, 1, b"\0\0\0\0")], packing.PIECES)
+    rows = packing.sequences(packing.packed(made, narrow=True)).collect()
+    assert len(rows) == 1 and rows[0].ids == [70_000, 1, 0, 0]
+
+
+def test_ranks_in_many_tasks(spark):
+    rows = [(k, 0, 0, 1 + k * k % 7, None) for k in range(3000)]
+    made = spark.createDataFrame(rows, packing.PIECES).repartition(7)
+    placed = packing.packed(made, 16).collect()
+    assert len({(r.sequence_id, r.offset) for r in placed}) == 3000
+    assert len(check_places(placed)) <= -(-sum(r[3] for r in rows) // 16) * 1.01 + 1

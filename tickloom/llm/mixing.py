@@ -13,7 +13,7 @@ repeated or null id would make too large is divided by row, so no id fills a tas
 
 Edge cases: a null or empty text has size 0 and is taken as often as its source's rate says, which adds no words; a null
 source is a source; a source without words has target 0; repeated rows are decided one by one; an empty table gives an
-empty result; other columns are kept by `mixed`.
+empty result; other columns are kept by `mixed`, whatever their names.
 """
 from __future__ import annotations
 
@@ -172,14 +172,20 @@ def decisions(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = M
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """`docs`, a stored table, with a row number that every reading gives again."""
+    """`docs` with a row number that holds within one job; what is to be read again has to be stored with it, as in `mixed`."""
     return docs.withColumn(ROW, F.monotonically_increasing_id())
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """The mix: every row of the stored table `docs` as often as it is taken."""
-    kept = [f"`{c}`" for c in docs.columns]
-    rows = numbered(docs)
-    taken = materialise(decisions(rows, weights, most).filter("copies > 0").select(ROW, "copies"), "mix-copies")
-    joined = rows.join(taken, ROW)
-    return joined.withColumn("_tl_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*kept)
+    """The mix: every row of `docs` as often as it is taken.
+
+    Rows are stored with their number, since a number that is worked out anew follows how files are split, and that follows
+    the cores there are. They stand in one struct, so no column's name matters. Decisions are as many as rows, too many to be
+    sent everywhere, so rows and decisions meet by number at every size.
+    """
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_tl_doc")
+    stored = materialise(docs.select(F.monotonically_increasing_id().alias(ROW), whole), "mix-rows")
+    known = stored.select(ROW, *(F.col(f"_tl_doc.{c}").alias(c) for c in ("doc_id", "source", "text")))
+    taken = materialise(decisions(known, weights, most).filter("copies > 0").select(ROW, F.col("copies").alias("_tl_copies")), "mix-copies")
+    joined = stored.join(taken.hint("shuffle_hash"), ROW)
+    return joined.select("_tl_doc", F.explode(F.sequence(F.lit(1), "_tl_copies"))).select("_tl_doc.*")

@@ -5,8 +5,9 @@
 2. The lengths of all pieces are counted; at most `size` counts reach the driver, whatever the number of pieces.
 3. `best_fit` places counts, longest first, each into the sequences with the least room that is enough. The plan is a list
    of slots: so many ranks of a length go to consecutive sequences at one offset. Its size depends on `size` alone.
-4. `packed` ranks the pieces of each length and looks every rank up in the plan. Ranks need no group to be gathered: rows
-   are ranked within the parts in which they were stored, and the parts' counts are summed along the parts.
+4. `packed` ranks the pieces of each length and looks every rank up in the plan. Ranks need no group to be gathered: each
+   task counts its pieces of every length as it stores them, and the tasks' counts are summed along the tasks. Ids are stored
+   and sent with 16 bits where they fit.
 
 Edge cases: a null or empty text is one piece, the closing id; rows are pieces of their own however often they repeat; an
 empty table gives no pieces; other columns are not read. Which of several pieces of equal length takes which slot of that
@@ -21,8 +22,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import materialise
 from .common import arrow_rows, list_array, utf8
@@ -181,10 +184,48 @@ def _leave(room: dict[int, list[tuple[int, int]]], left: int, first: int, many:
         room.setdefault(left, []).append((first, many))
 
 
-def packed(pieces: DataFrame, size: int = SIZE) -> DataFrame:
-    """`pieces`, which have a `length` of 1 to `size`, with `sequence_id` and `offset` (where in it the piece begins)."""
+def _narrow(ids: bytes | None) -> bytes | None:
+    """16 bits an id where all ids of a piece allow it."""
+    if ids is None:
+        return None
+    wide = np.frombuffer(ids, "<u4")
+    return wide.astype("<u2").tobytes() if wide.size and wide.max() < 1 << 16 else ids
+
+
+def _wide(ids: bytes | None, length: int) -> bytes | None:
+    return np.frombuffer(ids, "<u2").astype("<u4").tobytes() if ids is not None and len(ids) == 2 * length else ids
+
+
+def _counted(pieces: DataFrame, size: int) -> DataFrame:
+    """`pieces` stored with their task and their place among the task's pieces of equal length; ids narrow."""
+    columns = pieces.columns
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seen = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
+        for batch in batches:
+            lengths = batch.column("length").to_numpy()
+            order = np.argsort(lengths, kind="stable")
+            ordered = lengths[order]
+            first = np.searchsorted(ordered, ordered)
+            nth = np.empty(len(lengths), np.int64)
+            nth[order] = np.arange(len(lengths)) - first + seen[ordered]
+            seen += np.bincount(lengths, minlength=size + 1)
+            if "ids" in columns:
+                at = batch.schema.get_field_index("ids")
+                batch = batch.set_column(at, "ids", pa.array([_narrow(x) for x in batch.column(at).to_pylist()], pa.binary()))
+            batch = batch.append_column("_tl_part", pa.array(np.full(len(lengths), part, np.int64)))
+            yield batch.append_column("_tl_nth", pa.array(nth))
+
+    return materialise(pieces.mapInArrow(count, StructType([*pieces.schema.fields]).add("_tl_part", "long").add("_tl_nth", "long")), "pieces")
+
+
+def packed(pieces: DataFrame, size: int = SIZE, narrow: bool = False) -> DataFrame:
+    """`pieces`, which have a `length` of 1 to `size`, with `sequence_id` and `offset` (where in it the piece begins).
+
+    With `narrow`, ids that fit have 16 bits, as `sequences` takes them too.
+    """
     columns = pieces.columns
-    stored = materialise(pieces.withColumns({"_tl_part": F.spark_partition_id(), "_tl_at": F.monotonically_increasing_id()}), "pieces")
+    stored = _counted(pieces, size)
     counts = materialise(stored.groupBy("length", "_tl_part").agg(F.count(F.lit(1)).alias("_tl_n")), "lengths")
     histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("_tl_n")).collect()}  # at most `size` rows
     plan, _ = best_fit(histogram, size)
@@ -192,17 +233,19 @@ def packed(pieces: DataFrame, size: int = SIZE) -> DataFrame:
         "length", "_tl_part",
         (F.sum("_tl_n").over(Window.partitionBy("length").orderBy("_tl_part")) - F.col("_tl_n")).alias("_tl_before"),
     )
-    within = F.row_number().over(Window.partitionBy("_tl_part", "length").orderBy("_tl_at")) - 1
-    ranked = stored.withColumn("_tl_rank", within).join(before, ["_tl_part", "length"])
-    ranked = ranked.select(*columns, (F.col("_tl_before") + F.col("_tl_rank")).alias("_tl_rank"))
+    ranked = stored.join(before, ["_tl_part", "length"]).select(*columns, (F.col("_tl_before") + F.col("_tl_nth")).alias("_tl_rank"))
     schema = ranked.drop("_tl_rank").schema.add("sequence_id", "long").add("offset", "long")
     starts = plan[:, 0] << 44 | plan[:, 1]
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ranks = batch.column("_tl_rank").to_numpy()
-            slot = np.searchsorted(starts, batch.column("length").to_numpy() << 44 | ranks, side="right") - 1
+            ranks, lengths = batch.column("_tl_rank").to_numpy(), batch.column("length")
+            slot = np.searchsorted(starts, lengths.to_numpy() << 44 | ranks, side="right") - 1
             batch = batch.drop_columns(["_tl_rank"])
+            if "ids" in columns and not narrow:
+                at = batch.schema.get_field_index("ids")
+                ids = [_wide(x, n) for x, n in zip(batch.column(at).to_pylist(), lengths.to_pylist(), strict=True)]
+                batch = batch.set_column(at, "ids", pa.array(ids, pa.binary()))
             batch = batch.append_column("sequence_id", pa.array(plan[slot, 3] + ranks - plan[slot, 1]))
             yield batch.append_column("offset", pa.array(plan[slot, 4]))
 
@@ -223,7 +266,8 @@ def sequences(placed: DataFrame) -> DataFrame:
             rows, pieces = batch.column("pieces").flatten(), batch.column("pieces")
             offsets = pa.array(pieces.offsets.to_numpy() - pieces.offsets[0].as_py(), pa.int32())
             column = {f.name: rows.field(k) for k, f in enumerate(rows.type)}
-            ids = np.frombuffer(b"".join(column["ids"].to_pylist()), "<u4").astype(np.int32)
+            ids = [_wide(x, n) for x, n in zip(column["ids"].to_pylist(), column["length"].to_pylist(), strict=True)]
+            ids = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
             names = ["doc_id", "piece", "offset", "length"]
             kept = pa.StructArray.from_arrays([column[n] for n in names], names)
             yield pa.RecordBatch.from_arrays(
