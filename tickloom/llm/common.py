@@ -1,7 +1,7 @@
 """Helpers shared by the operators: word rules, tables, Arrow columns and hashing of keys."""
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,17 @@ def remainder(column: Column, by: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % by
 
 
+_TABLE: dict = {}
+
+
+def worker_table(kind: str, make: Callable[[], dict]) -> dict:
+    """A table that the tasks of a Python worker share. A worker keeps the table of one kind, that which it used last."""
+    if kind not in _TABLE:
+        _TABLE.clear()
+        _TABLE[kind] = make()
+    return _TABLE[kind]
+
+
 def smallest_hashes(hash_: str, rows: int, of: int) -> Column:
     """A filter that some twice `rows` of `of` rows pass, those with the smallest hashes.
 

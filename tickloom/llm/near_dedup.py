@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import arrow_rows, list_array, runs, text_of, utf8
+from .common import arrow_rows, list_array, runs, text_of, utf8, worker_table
 from .components import components
 from .embedding_dedup import local_components
 
@@ -84,10 +84,9 @@ class WordHashes(dict):
         return made
 
 
-@lru_cache(1)
 def word_hashes() -> WordHashes:
     """One table per Python worker, which the tasks it runs one after the other share."""
-    return WordHashes()
+    return worker_table("shingle words", WordHashes)
 
 
 def shingles(text: bytes, hashes: WordHashes) -> np.ndarray:

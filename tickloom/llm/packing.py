@@ -18,7 +18,6 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..session import materialise
-from .common import arrow_rows, list_array, utf8
+from .common import arrow_rows, list_array, utf8, worker_table
 
 SIZE = 2048
 # Words kept with their ids by each Python worker; some 120 MB. A word beyond is encoded again.
@@ -108,10 +107,9 @@ class WordIds(dict):
         return [b"".join(map(self.__getitem__, words)) for words in split]
 
 
-@lru_cache(1)
 def word_ids(path: str) -> WordIds:
     """One table per Python worker, which the tasks it runs one after the other share."""
-    return WordIds(path)
+    return worker_table(f"ids of {path}", lambda: WordIds(path))
 
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
