@@ -1,6 +1,7 @@
 """Helpers shared by the operators: word rules, tables, Arrow columns and hashing of keys."""
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,16 +35,32 @@ def remainder(column: Column, by: int) -> Column:
 
 
 _TABLE: dict = {}
+_IDLE: list[threading.Timer] = []
+IDLE_SECONDS = 5
 
 
 def worker_table(kind: str, make: Callable[[], dict]) -> dict:
-    """A table that the tasks of a Python worker share. A worker keeps the table of one kind, that which it used last."""
+    """A table that the tasks of a Python worker share; to be asked for with each batch.
+
+    A worker keeps the table of one kind, that which it used last, and none once it has been idle for a few seconds.
+    """
     if kind not in _TABLE:
         _TABLE.clear()
         _TABLE[kind] = make()
+    while _IDLE:
+        _IDLE.pop().cancel()
+    timer = threading.Timer(IDLE_SECONDS, _give_back)
+    timer.daemon = True
+    timer.start()
+    _IDLE.append(timer)
     return _TABLE[kind]
 
 
+def _give_back() -> None:
+    _TABLE.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def smallest_hashes(hash_: str, rows: int, of: int) -> Column:
     """A filter that some twice `rows` of `of` rows pass, those with the smallest hashes.
 
