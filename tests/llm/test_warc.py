@@ -84,3 +84,37 @@ def test_validation():
         assert word in warc.parse(bad)["problem"]
     assert warc.parse(warc.record("revisit", 1, "u", b"p", None, "d"))["problem"]
     assert hashlib.sha1(b"").hexdigest() and warc.digest(b"") == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
+
+
+def test_bytes_on_disk(spark):
+    """The dictionary's skippable frame comes first, then one frame a record, and nothing around them."""
+    manifest = warc.write_archives(pages(spark, ROWS), scratch_path(spark, "warc-raw")).collect()
+    for row in manifest:
+        with open(row.path.removeprefix("file://").removeprefix("file:"), "rb") as f:
+            raw = f.read()
+        assert len(raw) == row.bytes
+        magic, length = struct.unpack("<II", raw[:8])
+        assert magic == warc.SKIPPABLE
+        at, frames, learned = 8 + length, 0, zstandard.ZstdDecompressor().decompressobj().decompress(raw[8 : 8 + length])
+        unpacker = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(learned))
+        while at < len(raw):
+            assert raw[at : at + 4] == warc.FRAME_MAGIC
+            one = unpacker.decompressobj()
+            content = one.decompress(raw[at:])
+            assert one.eof and content.startswith(b"WARC/1.1")
+            at, frames = len(raw) - len(one.unused_data), frames + 1
+        assert frames == row.records
+
+
+def test_archive_of_another_maker(spark, tmp_path):
+    """Hostile headers are a row each, and what stands behind them is read."""
+    good = warc.record("response", 1, "u", b"payload", None, "d")
+    length = good.split(b"Content-Length: ")[1].split(b"\r\n")[0]
+    bad = [good.replace(b"Content-Length: " + length, b"Content-Length: " + x, 1) for x in ("²".encode(), b"--5", b"9" * 30, b"-1", b"")]
+    far = good.replace(b":1>", b":99999999999999999999>")
+    path = str(tmp_path / "other.warc.zst")
+    with open(path, "wb") as f:
+        f.write(archive([good, *bad, far, good]))
+    rows = warc.read_archives(spark.createDataFrame([(path,)], "path string")).orderBy("place").collect()
+    assert len(rows) == len(bad) + 3 and [r.problem is None for r in rows] == [True, *[False] * len(bad), True, True]
+    assert rows[0].page_id == rows[-1].page_id == 1 and rows[-2].page_id is None and bytes(rows[-1].payload) == b"payload"

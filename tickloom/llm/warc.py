@@ -13,12 +13,14 @@ fails keeps what could be read and says in `problem` what is wrong; a damaged fr
 Edge cases: a null payload is empty; a null url has no target header, and control characters in urls are percent-encoded;
 a null id is written as an empty id, never answers for others, and revisits the smallest id where there is one; rows that
 repeat the smallest id are responses too; payloads below the smallest revisit size are always responses; an empty table
-gives no archives; other columns are not read.
+gives no archives; other columns are not read. A record is held whole, so a very long payload costs its task a few times
+its size; numbers in headers count up to 64 bits, in ASCII digits.
 """
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -41,6 +43,7 @@ VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 ARCHIVE_BYTES = 32 << 20
+TASK_BYTES = 128 << 20
 CHUNK = 1 << 20
 DICTIONARY_BYTES = 64 << 10
 # The dictionary is fitted on the heads of so many pages. It changes the size of the archives, not their content.
@@ -117,7 +120,7 @@ def write_archives(pages: DataFrame, folder: str, smallest: int = 0, date: str =
                 for page_id, url, payload, first in zip(ids, urls, utf8(part.column("html")), firsts, strict=True):
                     if out is None:
                         name = f"{base}/{uuid.uuid4().hex}.warc.zst"
-                        out, records, size = store.open_output_stream(name), 0, 0
+                        out, records, size = store.open_output_stream(name, compression=None), 0, 0
                         if learned:
                             head = zstandard.ZstdCompressor(level=9).compress(learned)
                             size += out.write(struct.pack("<II", SKIPPABLE, len(head)) + head)
@@ -202,7 +205,7 @@ def parse(raw: bytes) -> dict:
             return row | {"problem": f"header line {line[:80]!r}"}
         fields[name.lower()] = value.strip()
     missing = [k for k in ("warc-type", "warc-record-id", "warc-date", "content-length") if k not in fields]
-    if missing or not fields["content-length"].isdigit():
+    if missing or _number(fields["content-length"]) is None:
         return row | {"problem": "headers missing or malformed: " + ", ".join(missing or ["content-length"])}
     row |= {"kind": fields["warc-type"], "record_id": fields["warc-record-id"], "url": fields.get("warc-target-uri"), "date": fields["warc-date"]}
     row["page_id"], row["refers_to"] = _page(fields["warc-record-id"]), _page(fields.get("warc-refers-to", ""))
@@ -214,7 +217,7 @@ def parse(raw: bytes) -> dict:
     if row["kind"] not in ("response", "revisit"):
         return row
     told = [v.strip() for k, _, v in (x.partition(":") for x in http.decode("latin-1").split("\r\n")[1:]) if k.strip().lower() == "content-length"]
-    if not mark or not told or not told[0].isdigit():
+    if not mark or not told or _number(told[0]) is None:
         return row | {"problem": "HTTP headers without a length"}
     row["payload_bytes"] = int(told[0])
     if row["kind"] == "revisit":
@@ -225,9 +228,20 @@ def parse(raw: bytes) -> dict:
     return row | {"problem": None if digest(payload) == row["digest"] else "payload digest differs"}
 
 
+_DIGITS = re.compile(r"-?[0-9]{1,19}")
+
+
+def _number(text: str) -> int | None:
+    """A number of ASCII digits within 64 bits, not negative."""
+    found = int(text) if _DIGITS.fullmatch(text) else -1
+    return found if 0 <= found < 1 << 63 else None
+
+
 def _page(name: str) -> int | None:
+    """The page that a record's name tells; none for names of other makers or beyond 64 bits."""
     number = name.strip("<>").removeprefix(ID)
-    return int(number) if number.lstrip("-").isdigit() else None
+    found = int(number) if _DIGITS.fullmatch(number) else None
+    return found if found is not None and -(1 << 63) <= found < 1 << 63 else None
 
 
 def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
@@ -243,7 +257,7 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
         place = -1
         try:
             store, name = fs.FileSystem.from_uri(path)
-            with store.open_input_stream(name) as stream:
+            with store.open_input_stream(name, compression=None) as stream:
                 for place, raw in enumerate(frames(stream)):
                     row = parse(raw) | {"path": path, "place": place}
                     yield row if payloads else row | {"payload": None}
@@ -263,8 +277,11 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
         yield pa.RecordBatch.from_pylist(held, schema=schema)
 
     listed = archives.select(F.col("path").cast("string"))
-    # a task for each archive, which adaptive execution would put together for the few bytes of their names
-    return listed.repartition(max(1, listed.count())).mapInArrow(read, RECORDS)
+    size = F.sum("bytes") if "bytes" in archives.columns else F.count("*") * ARCHIVE_BYTES
+    found = archives.agg(F.count("*").alias("n"), F.coalesce(size, F.lit(0)).alias("bytes")).first()
+    # tasks by the archives' bytes; adaptive execution would put them all together for the few bytes of their names
+    tasks = max(-(-found.bytes // TASK_BYTES), min(found.n, archives.sparkSession.sparkContext.defaultParallelism), 1)
+    return listed.repartition(int(tasks)).mapInArrow(read, RECORDS)
 
 
 def round_trip(pages: DataFrame, smallest: int = 0) -> DataFrame:
