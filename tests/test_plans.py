@@ -89,3 +89,34 @@ def test_python_runs_only_where_named(spark, sf_dir, key):
 def test_no_pairwise_joins(spark, sf_dir, key):
     plan = explain_plan(entry.queries()[key](spark, sf_dir), "simple")
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_drift_counts_without_copies_of_rows(inputs, monkeypatch):
+    """Each histogram reads one column; the counts of all bins come from one aggregate of two rows."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from tickloom.operators import evaluation as V
+
+    plans, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: plans.append(explain_plan(self, "formatted")) or collect(self))
+    cols = ["f_ret_1", "f_vol_20", "f_range_5"]
+    plan = explain_plan(V.feature_drift_psi(inputs.features, inputs.features, cols), "simple")
+    plans = [p for p in plans if "ReadSchema" in p]
+    assert len(plans) == 2 and not any("Expand" in p or "Generate" in p for p in plans)
+    for p in plans:
+        schemas = re.findall(r"ReadSchema: struct<([^>]*)>", p)
+        assert len(schemas) == len(cols) and all(sum(c in s for c in cols) == 1 for s in schemas)
+    assert "Join" not in plan and "Expand" not in plan and "Window" not in plan
+
+
+def test_scan_shuffles_its_rows_once(inputs):
+    from tickloom.operators import risk as R
+    from tickloom.registry.risk_options import _port
+
+    port = _port(inputs)
+    plan = R.equity_curve(port)
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    final = text.split("Initial Plan")[0]
+    assert final.count("Scan parquet") == 1 and "ReusedExchange" in final
+    assert "Join" not in explain_plan(R.max_drawdown(port), "simple")

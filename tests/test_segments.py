@@ -6,8 +6,9 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tickloom.plans.quantiles import exact_quantiles, value_segment
-from tickloom.plans.segments import Slices, over_rows, over_time, positions, running
+from tickloom.operators import risk as R
+from tickloom.plans.quantiles import column_quantiles, exact_quantiles, value_segment
+from tickloom.plans.segments import Slices, over_rows, over_time, positions, running, scanned
 
 FEW = settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 ROWS = st.lists(
@@ -163,3 +164,79 @@ def test_slices_stay_near_the_target(spark, keys):
     assert out.where("prev is null").count() == 1
     assert sizes[0].agg(F.max("count")).first()[0] <= target + 37  # a slot of an hour holds 36 rows, and one row is lent
     assert sizes[0].count() >= n // target
+
+
+@FEW
+@given(ROWS, st.sampled_from([1, 7, 1000]))
+def test_scanned(spark, rows, width):
+    """A running sum and its peak, per key, against windows on windows."""
+    df = frame(spark, rows)
+    plain = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("s", F.sum(F.coalesce("v", F.lit(0))).over(plain)).withColumn("peak", F.max("s").over(plain))
+    scan = scanned(
+        df, ["k"], ["t"], F.floor(F.col("t") / width).cast("long"),
+        lambda d, upto: d.withColumn("own", F.sum(F.coalesce("v", F.lit(0))).over(upto)).withColumn("top", F.max("own").over(upto)),
+        {"_all": F.sum(F.coalesce("v", F.lit(0))), "_top": F.max("own")},
+        [
+            lambda earlier, upto: {"_before": F.coalesce(F.sum("_all").over(earlier), F.lit(0))},
+            lambda earlier, upto: {"_peak": F.max(F.col("_before") + F.col("_top")).over(earlier)},
+        ],
+    )
+    got = scan.joined({"s": F.col("_before") + F.col("own"), "peak": F.greatest("_peak", F.col("_before") + F.col("top"))})
+    same(got.select(*want.columns), want)
+
+
+RETURNS = st.lists(st.tuples(st.integers(0, 12), st.one_of(st.none(), st.floats(-0.5, 0.5).map(lambda x: round(x, 3)))), min_size=1, max_size=40)
+
+
+@FEW
+@given(RETURNS)
+def test_risk_scans(spark, steps):
+    """Equity, drawdown and loss streaks over gaps of hours and days, NULL returns among them, against plain loops."""
+    ts, rows = 0, []
+    for gap, r in steps:
+        ts += 3600 * (1 + gap * gap)
+        rows.append((ts, r))
+    port = spark.createDataFrame(rows, "t BIGINT, r DOUBLE").select(F.timestamp_seconds("t").alias("ts"), "r", F.lit(0.5).alias("exposure"), F.lit(None).cast("double").alias("slippage"))
+    log, peak, total, streak, known, want = 0.0, -np.inf, 0.0, 0, False, []
+    for _, r in rows:
+        if r is not None:
+            log, total, known = log + np.log1p(r), total + r, True
+            peak = max(peak, log)
+            streak = streak + 1 if r < 0 else 0
+        want.append((np.exp(log), 1 - np.exp(log - peak), total, streak) if known else (None,) * 4)
+    curve = R.equity_curve(port).orderBy("ts").collect()
+    gate = R.risk_gate(port).orderBy("ts").collect()
+    for c, g, w in zip(curve, gate, want, strict=True):
+        got = (c.equity, c.drawdown, g.cum_ret, g.loss_streak)
+        assert got == w if w[0] is None else got == pytest.approx(w, abs=1e-12)
+    worst = R.max_drawdown(port).first()[0]
+    assert worst is None if not known else worst == pytest.approx(max(w[1] for w in want if w[0] is not None), abs=1e-12)
+
+
+DOUBLES = st.one_of(st.none(), st.floats(allow_nan=True, allow_infinity=True), st.sampled_from([0.0, -0.0, 1.0, 1.0000001, -1.0]))
+
+
+@FEW
+@given(st.lists(st.tuples(DOUBLES, DOUBLES), min_size=1, max_size=50), st.sampled_from([1, 3, 1 << 20]))
+def test_column_quantiles(spark, rows, limit):
+    """Rank selection, also through narrower and narrower slices, against the sorted column."""
+    df = spark.createDataFrame(rows, "a DOUBLE, `b.c` DOUBLE")
+    probs = [0.0, 0.1, 0.5, 0.77, 1.0]
+    got = column_quantiles(df, ["a", "b.c"], probs, limit)
+    for i, name in enumerate(["a", "b.c"]):
+        values = sorted((r[i] for r in rows if r[i] is not None), key=lambda v: (v != v, 0 if v != v else v))
+        for p, q in zip(probs, got[name], strict=True):
+            if not values:
+                assert q is None
+                continue
+            rank = (len(values) - 1) * p
+            lo, hi, f = values[int(np.floor(rank))], values[int(np.ceil(rank))], rank - np.floor(rank)
+            w = lo if lo == hi or not f else lo + (hi - lo) * f
+            assert (q != q and w != w) or q == pytest.approx(w)
+
+
+def test_column_quantiles_of_close_values(spark):
+    """Values that share every slice but the narrowest."""
+    df = spark.range(3000).select((1 + F.col("id") * 1e-13).alias("a"))
+    assert column_quantiles(df, ["a"], [0.5], 10)["a"] == [pytest.approx(1 + 1499.5e-13, abs=1e-15)]

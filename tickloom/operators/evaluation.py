@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..plans.quantiles import exact_quantiles, value_segment
+from ..plans.quantiles import column_quantiles, value_segment
 from ..plans.segments import running
 from ..schemas import ENTITY
 
@@ -130,36 +130,30 @@ def auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
 def feature_drift_psi(
     baseline: DataFrame, current: DataFrame, cols: Sequence[str], bins: int = 10, floor: float = 1e-6
 ) -> DataFrame:
-    """Population stability index per feature over baseline quantile bins, shares floored."""
-
-    def long(df: DataFrame) -> DataFrame:
-        pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])
-        return df.select(F.inline(pairs)).where("value is not null")
-
-    probs = [i / bins for i in range(1, bins)]
-    quantiles = exact_quantiles(long(baseline), ["feature"], "value", probs)
-    edges = quantiles.select("feature", F.array(*[f"q{i}" for i in range(len(probs))]).alias("edges"))
-
-    both = long(baseline).withColumn("_cur", F.lit(0)).unionByName(long(current).withColumn("_cur", F.lit(1)))
-    # one row of edges per feature column
-    binned = both.join(F.broadcast(edges), "feature").select(
-        "feature", "_cur", F.size(F.filter("edges", lambda e: F.col("value") > e)).alias("bin")
-    )
-    # one row per feature with the counts of all bins side by side
-    in_bin = lambda i, cur: F.count(F.when((F.col("bin") == i) & (F.col("_cur") == cur), 1))
-    wide = binned.groupBy("feature").agg(
-        *[in_bin(i, cur).alias(f"n{cur}_{i}") for i in range(bins) for cur in (0, 1)],
-        *[F.count(F.when(F.col("_cur") == cur, 1)).alias(f"all{cur}") for cur in (0, 1)],
-    )
-
-    def share(i: int, cur: int) -> Column:
-        return F.greatest(F.coalesce(_ratio(F.col(f"n{cur}_{i}"), F.col(f"all{cur}")), F.lit(0.0)), F.lit(floor))
-
-    psi = F.lit(0.0)
-    for i in range(bins):
-        p, q = share(i, 0), share(i, 1)
-        psi = psi + (p - q) * F.ln(p / q)
-    return wide.select("feature", psi.alias("psi"))
+    """Population stability index per feature over baseline quantile bins, shares floored.
+
+    The edges are a few numbers per feature and stand in the plan; one aggregate then counts, for all features at once, the
+    values above each edge. Features without baseline values have no row.
+    """
+    found = column_quantiles(baseline, cols, [i / bins for i in range(1, bins)])
+    edges = {c: e for c, e in found.items() if e[0] is not None}
+    schema = "feature STRING, psi DOUBLE"
+    if not edges:
+        return baseline.sparkSession.createDataFrame([], schema)
+
+    value = lambda c: F.col(f"`{c}`").cast("double")
+    above = [F.array(F.count(value(c)), *[F.count(F.when(value(c) > e, 1)) for e in edges[c]], F.lit(0)) for c in edges]
+    both = baseline.select(*edges, F.lit(0).alias("_cur")).unionByName(current.select(*edges, F.lit(1).alias("_cur")))
+    counts = both.groupBy("_cur").agg(*[n.alias(f"_n{i}") for i, n in enumerate(above)])  # two rows
+    each = counts.select("_cur", F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_n{i}").alias("n")) for i, c in enumerate(edges)])))
+    sides = each.groupBy("feature").agg(*[F.max(F.when(F.col("_cur") == cur, F.col("n"))).alias(f"_n{cur}") for cur in (0, 1)])
+
+    def share(n: Column, k: Column) -> Column:
+        return F.greatest(F.coalesce(_ratio(F.get(n, k) - F.get(n, k + 1), F.get(n, F.lit(0))), F.lit(0.0)), F.lit(floor))
+
+    shares = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda k: F.struct(share(F.col("_n0"), k).alias("p"), share(F.col("_n1"), k).alias("q")))
+    psi = F.aggregate(shares, F.lit(0.0), lambda total, x: total + (x.p - x.q) * F.ln(x.p / x.q))
+    return sides.select("feature", psi.alias("psi"))
 
 
 def dataset_fingerprint(df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:

@@ -1,17 +1,17 @@
 """Strategy returns and risk figures.
 
 Input rows hold (entity, ts, position, ret). A portfolio has one row per ts, the mean over entities, so everything
-cumulative runs on a series as long as the number of bars and is still cut into days by `running`.
+cumulative runs on a series as long as the number of bars and is still cut into days, by `scanned`.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..plans.quantiles import exact_quantiles
-from ..plans.segments import DAY, over_rows, running, time_segment
+from ..plans.quantiles import column_quantiles
+from ..plans.segments import DAY, Scan, over_rows, scanned, time_segment
 from ..schemas import ENTITY
 
 
@@ -47,23 +47,47 @@ def sharpe(port: DataFrame, periods: int = 252) -> DataFrame:
     return port.agg(ratio.alias("sharpe"))
 
 
+def _plus(own: Column, carried: Column) -> Column:
+    """The sum of what is known; NULL while nothing is."""
+    return F.when(own.isNotNull() | carried.isNotNull(), F.coalesce(own, F.lit(0.0)) + F.coalesce(carried, F.lit(0.0)))
+
+
+def _equity(port: DataFrame) -> Scan:
+    """Log return and its peak within each day, and both as they stand at the day's start."""
+
+    def local(rows: DataFrame, upto: WindowSpec) -> DataFrame:
+        logs = rows.withColumn("_log", F.log1p("r"))
+        return logs.withColumn("_sum", F.sum("_log").over(upto)).withColumn("_peak", F.max("_sum").over(upto))
+
+    state = {
+        "_all": F.sum("_log"), "_top": F.max("_sum"), "_low": F.min("_sum"), "_fall": F.max(F.col("_peak") - F.col("_sum")),
+    }
+    carry = [
+        lambda earlier, upto: {"_before": F.sum("_all").over(earlier)},
+        lambda earlier, upto: {"_peak_before": F.max(_plus(F.col("_top"), F.col("_before"))).over(earlier)},
+    ]
+    return scanned(port, [], ["ts"], time_segment("ts"), local, state, carry)
+
+
 def equity_curve(port: DataFrame) -> DataFrame:
     """Running log return, its running maximum, and the drawdown below that maximum."""
-    day = time_segment("ts")
-    cum = running(port, [], ["ts"], day, {"cum_log": ("sum", F.log1p("r"))})
-    top = running(cum, [], ["ts"], day, {"peak_log": ("max", F.col("cum_log"))})
-    return top.select(
+    log = _plus(F.col("_sum"), F.col("_before"))
+    peak = F.greatest(F.when(F.col("_peak").isNotNull(), _plus(F.col("_peak"), F.col("_before"))), F.col("_peak_before"))
+    rows = _equity(port).joined({"cum_log": log, "peak_log": peak})
+    return rows.select(
         "ts", F.exp("cum_log").alias("equity"), (1.0 - F.exp(F.col("cum_log") - F.col("peak_log"))).alias("drawdown")
     )
 
 
 def max_drawdown(port: DataFrame) -> DataFrame:
-    return equity_curve(port).agg(F.max("drawdown").alias("max_drawdown"))
+    """The largest fall below an earlier peak, from one row per day: the fall within it, or from a peak before it to its low."""
+    fall = F.greatest(F.col("_fall"), F.col("_peak_before") - _plus(F.col("_low"), F.col("_before")))
+    return _equity(port).states.agg((1.0 - F.exp(-F.max(fall))).alias("max_drawdown"))
 
 
 def cvar(port: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """Mean of the returns at or below the alpha quantile."""
-    cut = exact_quantiles(port, [], "r", [alpha]).scalar()  # one row
+    """Mean of the returns at or below the alpha quantile, which is selected by rank first."""
+    cut = F.lit(column_quantiles(port, ["r"], [alpha])["r"][0]).cast("double")
     tail = port.where(F.col("r") <= cut)
     return tail.agg(F.avg("r").alias("cvar"), F.count(F.lit(1)).alias("n")).select(cut.alias("var"), "cvar", "n")
 
@@ -110,15 +134,32 @@ def risk_gate(
 ) -> DataFrame:
     """Per time: cumulative return, consecutive losses, exposure and slippage, each against its limit.
 
-    Consecutive losses are the losses so far minus the losses counted at the last time without one.
+    Consecutive losses are the losses so far minus the losses counted at the last time without one; a day without such a time
+    continues the streak of the days before.
     """
-    day = time_segment("ts")
-    lost = (F.col("r") < 0).cast("long")
-    step = running(port, [], ["ts"], day, {"cum_ret": ("sum", F.col("r")), "_losses": ("sum", lost)})
-    base = {"_base": ("last", F.when(~(F.col("r") < 0), F.col("_losses")))}
-    step = running(step, [], ["ts"], day, base)
-    streak = F.col("_losses") - F.coalesce("_base", F.lit(0))
-    out = step.select("ts", "r", "cum_ret", streak.alias("loss_streak"), "exposure", "slippage")
+    lost = F.col("r") < 0
+
+    def local(rows: DataFrame, upto: WindowSpec) -> DataFrame:
+        sums = {"_sum": F.sum("r").over(upto), "_losses": F.sum(lost.cast("long")).over(upto)}
+        return rows.withColumns(sums).withColumn("_base", F.last(F.when(~lost, F.col("_losses")), ignorenulls=True).over(upto))
+
+    state = {
+        "_all": F.sum("r"), "_lost": F.sum(lost.cast("long")), "_ends": F.max((~lost).cast("int")),
+        "_tail": F.coalesce(F.max("_losses"), F.lit(0)) - F.coalesce(F.max("_base"), F.lit(0)),
+    }
+    carry = [
+        lambda earlier, upto: {
+            "_before": F.sum("_all").over(earlier), "_known": F.max("_lost").over(earlier).isNotNull(),
+            "_run": F.coalesce(F.sum("_ends").over(upto), F.lit(0)),
+        },
+        lambda earlier, upto: {"_streak": F.sum("_tail").over(Window.partitionBy("_key", "_run").orderBy("_seg"))},
+        lambda earlier, upto: {"_streak_before": F.coalesce(F.last("_streak").over(earlier), F.lit(0))},
+    ]
+    here = F.when(F.col("_base").isNotNull(), F.col("_losses") - F.col("_base")).otherwise(F.coalesce("_losses", F.lit(0)) + F.col("_streak_before"))
+    streak = F.when(F.col("_losses").isNotNull() | F.col("_known"), here)
+    scan = scanned(port, [], ["ts"], time_segment("ts"), local, state, carry)
+    step = scan.joined({"cum_ret": _plus(F.col("_sum"), F.col("_before")), "loss_streak": streak})
+    out = step.select("ts", "r", "cum_ret", "loss_streak", "exposure", "slippage")
     flags = {
         "loss_hit": F.col("cum_ret") < loss_limit,
         "streak_hit": F.col("loss_streak") >= streak_limit,

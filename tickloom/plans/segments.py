@@ -7,6 +7,7 @@ decides the run time. The helpers here cut every key into segments and give each
 * `over_rows`  - frames counted in rows (lag, lead, rolling rows)
 * `over_time`  - frames counted in time (range frames)
 * `running`    - frames that reach back to the first or forward to the last row (running sum, fill forward, ...)
+* `scanned`    - values that follow from the state at the end of earlier segments, as running peaks and streaks do
 * `positions`  - row number within the key
 
 `segment` is either a column that never decreases along the order (a day number, a price bucket, ...) or `Slices`, which
@@ -259,3 +260,47 @@ def running(
     out = keyed.withColumns(own).join(carry, ["_seg", "_key"], "left").withColumns(merged)
     scratch = [f"_{t}{i}" for i in range(len(specs)) for t in "lc"]
     return _unpacked(out.drop(*scratch), keys, df.columns)
+
+
+@dataclass(frozen=True)
+class Scan:
+    """A scan over segments: `rows` with their local columns, and one row of `states` for each segment, which carries what
+    the segments before it amount to."""
+
+    rows: DataFrame
+    states: DataFrame
+    keys: tuple[str, ...]
+    columns: tuple[str, ...]
+
+    def joined(self, outputs: dict[str, Column]) -> DataFrame:
+        """Every row with `outputs`, which may name local and carried columns."""
+        both = self.rows.join(self.states, ["_seg", "_key"], "left").withColumns(outputs)
+        return _unpacked(both.select("_key", *self.columns, *outputs), self.keys, [*self.keys, *self.columns])
+
+
+def scanned(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    segment: Column,
+    local: Callable[[DataFrame, WindowSpec], DataFrame],
+    state: dict[str, Column],
+    carry: Sequence[Callable[[WindowSpec, WindowSpec], dict[str, Column]]],
+) -> Scan:
+    """An associative scan with a state of several values.
+
+    `local` adds columns from the rows of the own segment up to each row; `state` reduces a segment to one row; each step
+    of `carry` adds columns to those rows, from windows over the earlier segments and over those up to the own one. Rows are
+    shuffled once, by key and segment, where the reduction needs the same columns as the rows; else the columns it needs are
+    shuffled once more for it.
+    """
+    keyed = _keyed(df, keys, segment)
+    within = Window.partitionBy("_seg", "_key").orderBy(*_order(order)).rowsBetween(Window.unboundedPreceding, 0)
+    rows = local(keyed, within)
+    states = rows.groupBy("_seg", "_key").agg(*[e.alias(n) for n, e in state.items()])
+    line = Window.partitionBy("_key").orderBy("_seg")
+    earlier, upto = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(Window.unboundedPreceding, 0)
+    for step in carry:
+        states = states.withColumns(step(earlier, upto))
+    kept = [c for c in rows.columns if c not in ("_key", "_seg", "_cut")]
+    return Scan(rows, states, tuple(keys), tuple(kept))
