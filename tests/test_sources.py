@@ -223,3 +223,64 @@ def test_list_tables_query_has_every_symbol(spark, sf_dir, tmp_path):
     events.unionByName(sixth).write.parquet(str(tmp_path / "events.parquet"))
     want = {f"quotes_{r.event_type}" for r in events.select("event_type").distinct().collect()} | {"quotes_refund"}
     assert {r.tableName for r in QUERIES["list_tables"](spark, str(tmp_path)).collect()} == want
+
+
+def test_files_of_one_name_stay_apart(spark, tmp_path):
+    """Two folders below one root hold a file of the same name; both load, and a second run loads neither."""
+    for day, n in (("d1", 3), ("d2", 5)):
+        (tmp_path / day).mkdir()
+        body = "".join(f"<TICK_CALL><tcnt>{i}</tcnt><c>1.5</c></TICK_CALL>" for i in range(n))
+        (tmp_path / day / "ticks.xml").write_text(f"<DocumentElement>{body}</DocumentElement>")
+    read = [
+        X.add_provenance(X.read_xml(spark, str(tmp_path / d / "ticks.xml"), "TICK_CALL", "tcnt BIGINT, c DOUBLE"), "CALL", root=str(tmp_path))
+        for d in ("d1", "d2")
+    ]
+    sums = N.file_checksums(spark, str(tmp_path))
+    assert {r.src_file for r in sums.collect()} == {"d1/ticks.xml", "d2/ticks.xml"}
+    nothing = spark.createDataFrame([], N.MANIFEST)
+    first, loaded = N.idempotent_ingest(read[0], nothing, sums)
+    assert first.count() == 3
+    both = read[0].unionByName(read[1])
+    second, more = N.idempotent_ingest(both, loaded, sums)
+    assert {r.src_file for r in second.collect()} == {"d2/ticks.xml"}
+    assert N.idempotent_ingest(both, loaded.unionByName(more), sums)[0].count() == 0
+
+
+def test_bronze_parses_each_file_once(spark, tmp_path, monkeypatch):
+    """Each kind is parsed into one stored table, which both appends read; a damaged row keeps its text."""
+    for name, tag in (("tc", "TICK_CALL"), ("tp", "TICK_PUT"), ("cc", "CODE_CALL"), ("cp", "CODE_PUT")):
+        (tmp_path / f"{name}.xml").write_text(f"<D><{tag}><tcnt>7</tcnt><code>A</code></{tag}><{tag}><tcnt>x7</tcnt><lastday>no</lastday></{tag}></D>")
+    stored, keep = [], X.materialise
+    monkeypatch.setattr(X, "materialise", lambda df, name, by: stored.append((name, by)) or keep(df, name, by))
+    spark.sql("CREATE DATABASE IF NOT EXISTS once_db LOCATION '" + str(tmp_path / "db") + "'")
+    T.create_tables(spark, "once_db", ["bronze_ticks", "bronze_codes"])
+    X.ingest_bronze(spark, *[str(tmp_path / f"{n}.xml") for n in ("tc", "tp", "cc", "cp")], "once_db", root=str(tmp_path))
+    assert stored == [("staged-ticks", ["damaged"]), ("staged-codes", ["damaged"])]
+    assert spark.table("once_db.bronze_ticks").count() == 4 and spark.table("once_db.bronze_codes").count() == 4
+    kept = spark.table("once_db.bronze_quarantine").collect()
+    assert sorted({(r.kind, r.src_file) for r in kept}) == [("codes", "cc.xml"), ("codes", "cp.xml"), ("ticks", "tc.xml"), ("ticks", "tp.xml")]
+    spark.sql("DROP DATABASE once_db CASCADE")
+
+
+def test_broken_lines_are_never_rows(spark, tmp_path):
+    lines = ['{"event_time": "2025-01-01T00:00:00", "level": "INFO", "message": "a"}', '{"event_time": "2025', "plain", '{"level": "WARN"}', ""]
+    (tmp_path / "x.json").write_text("\n".join(lines))
+    rows = FS.read_raw_json(spark, str(tmp_path)).collect()
+    assert sorted(r._corrupt_record for r in rows if r._corrupt_record) == sorted(lines[1:3])
+    assert FS.read_raw_json(spark, str(tmp_path), keep_corrupt=False).count() == 2
+    spark.sql("CREATE DATABASE IF NOT EXISTS lines_db LOCATION '" + str(tmp_path / "db") + "'")
+    T.create_tables(spark, "lines_db", ["raw_logs"])
+    FS.ingest_logs(spark, str(tmp_path / "x.json"), "lines_db")
+    assert sorted(r.level for r in spark.table("lines_db.raw_logs").collect()) == ["INFO", "WARN"]
+    kept = sorted(r.reason for r in spark.table("lines_db.log_quarantine").collect())
+    assert kept == ["broken JSON", "broken JSON", "no event time"]
+    spark.sql("DROP DATABASE lines_db CASCADE")
+
+
+def test_objects_keep_their_bytes(spark, tmp_path):
+    import gzip
+
+    packed = gzip.compress(b"content " * 50)
+    (tmp_path / "x.gz").write_bytes(packed)
+    row = FS.fetch_objects(spark.createDataFrame([(str(tmp_path / "x.gz"),)], "s3_path STRING")).first()
+    assert bytes(row.content) == packed and row.error is None

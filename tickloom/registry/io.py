@@ -18,9 +18,9 @@ TAGS = {"CALL": "TICK_CALL", "PUT": "TICK_PUT"}
 STAMP = dt.datetime(2024, 2, 1)
 
 
-def _tick_xml(s, side: str) -> str:
+def _tick_xml(s, side: str, path: str | None = None) -> str:
     """Ticks of one side as XML with Korean local times that carry their offset."""
-    path = scratch_path(s.spark, f"xml-{side.lower()}")
+    path = path or scratch_path(s.spark, f"xml-{side.lower()}")
     local = F.from_utc_timestamp("tdate", "Asia/Seoul")
     rows = s.ticks.where(F.col("side") == side).withColumns(
         {
@@ -55,6 +55,38 @@ def _detect(s):
     return rows.groupBy(F.lit(tag).alias("row_tag")).agg(F.count("tcnt").alias("n"))
 
 
+_SIDES = "select * exclude (side), strftime(tdate + interval 9 hour, '%Y%m%d')::integer idate, " \
+    "strftime(tdate + interval 9 hour, '%H%M%S')::integer itime, side from {ticks_v}"
+
+
+@query("read_xml_sides", _SIDES, "c o h l oi")
+def _read_sides(s):
+    """Both sides, each by its own row tag."""
+    sides = [X.read_xml(s.spark, _tick_xml(s, side), tag, TICK_XML).withColumn("side", F.lit(side)) for side, tag in TAGS.items()]
+    return sides[0].unionByName(sides[1]).drop("_corrupt_record")
+
+
+@query("detect_row_tags", "select 'TICK_' || side row_tag, count(*) n from {ticks_v} group by 1")
+def _detect_sides(s):
+    paths = [_tick_xml(s, side) for side in TAGS]
+    rows = [X.read_xml(s.spark, p, tag, TICK_XML).withColumn("row_tag", F.lit(tag)) for p in paths for tag in [X.detect_row_tag(s.spark, p)]]
+    return rows[0].unionByName(rows[1]).groupBy("row_tag").agg(F.count("tcnt").alias("n"))
+
+
+@query(
+    "add_provenance_sides",
+    "select tcnt, side, timestamp '2024-02-01 00:00:00' ingest_ts, lower(side) folder from {ticks_v}",
+)
+def _provenance_sides(s):
+    """Files of both sides below one root, told apart by their path."""
+    root = scratch_path(s.spark, "xml-root")
+    rows = [
+        X.add_provenance(X.read_xml(s.spark, _tick_xml(s, side, f"{root}/{side.lower()}"), tag, TICK_XML), side, STAMP, root)
+        for side, tag in TAGS.items()
+    ]
+    return rows[0].unionByName(rows[1]).select("tcnt", "side", "ingest_ts", F.split_part("src_file", F.lit("/"), F.lit(1)).alias("folder"))
+
+
 query(
     "add_provenance",
     "select tcnt, 'PUT' side, timestamp '2024-02-01 00:00:00' ingest_ts, true has_file from {ticks_v} where side = 'PUT'",
@@ -94,7 +126,7 @@ def _log_texts(s):
 def _write_json(s):
     path = scratch_path(s.spark, "raw-logs")
     FS.write_raw_json(_log_texts(s), path, F.substring("event_time", 1, 10))
-    return FS.read_raw_json(s.spark, path, f"{LOG_JSON}, date DATE")
+    return FS.read_raw_json(s.spark, path, f"{LOG_JSON}, date DATE", keep_corrupt=False)
 
 
 @query(
@@ -110,6 +142,26 @@ def _load_logs(s):
     return s.spark.table(f"{db}.raw_logs").drop("ingest_time")
 
 
+@query(
+    "ingest_logs",
+    "select 'raw_logs' as \"table\", \"level\" what, count(*) n from {logs_v} where length(message) % 7 > 0 group by 2 union all "
+    "select 'log_quarantine', 'broken JSON', count(*) from {logs_v} where length(message) % 7 = 0 having count(*) > 0",
+)
+def _ingest_logs(s):
+    """Log lines of which some lack their end; both tables by level and by reason."""
+    path, db = scratch_path(s.spark, "raw-lines"), new_database(s)
+    line = F.to_json(F.struct("event_time", "level", "message", "meta"))
+    cut = F.when(F.length("message") % 7 == 0, F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
+    _log_texts(s).select(cut.alias("value")).write.text(path)
+    T.create_tables(s.spark, db, ["raw_logs"])
+    FS.ingest_logs(s.spark, path, db)
+    sound, kept = s.spark.table(f"{db}.raw_logs"), s.spark.table(f"{db}.log_quarantine")
+    each = sound.select(F.lit("raw_logs").alias("table"), F.col("level").alias("what")).unionByName(
+        kept.select(F.lit("log_quarantine").alias("table"), F.col("reason").alias("what"))
+    )
+    return each.groupBy("table", "what").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _filed(s):
     """Ticks as if loaded from one file per instrument code."""
     return s.ticks.withColumn("src_file", F.concat("code", F.lit(".xml")))

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -9,9 +10,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import LOG_JSON
-from .tables import gathered
+from ..session import materialise
+from .tables import append, append_or_create, gathered
 
 # MIME type per file extension.
 MIME = {
@@ -37,12 +40,19 @@ def write_raw_json(df: DataFrame, base: str, date: str | Column) -> None:
 CORRUPT = "_corrupt_record"
 
 
-def read_raw_json(spark: SparkSession, path: str, schema: str = LOG_JSON, keep_corrupt: bool = False) -> DataFrame:
-    """JSON lines; with `keep_corrupt` a line that is no JSON object keeps its text in `_corrupt_record`."""
-    if not keep_corrupt:
-        return spark.read.schema(schema).json(path)
+def read_raw_json(spark: SparkSession, path: str, schema: str = LOG_JSON, keep_corrupt: bool = True) -> DataFrame:
+    """JSON lines; a line that is no JSON object keeps its text in `_corrupt_record`, or is left out without `keep_corrupt`.
+
+    Columns of `schema` that name a folder level take their value from there.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
     row = F.from_json("value", f"{schema}, {CORRUPT} STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return spark.read.text(path).where(F.trim("value") != "").select(row.alias("_r")).select("_r.*")
+    rows = lines.select(row.alias("_r"), *[F.col(c).alias(f"_of_{c}") for c in lines.columns if c != "value"])
+    kinds = T.StructType.fromDDL(schema).fields
+    cols = [F.col(f"_of_{f.name}").cast(f.dataType).alias(f.name) if f"_of_{f.name}" in rows.columns else F.col(f"_r.{f.name}") for f in kinds]
+    if keep_corrupt:
+        return rows.select(*cols, f"_r.{CORRUPT}")
+    return rows.where(F.col(f"_r.{CORRUPT}").isNull()).select(*cols)
 
 
 def damaged_logs(raw: DataFrame) -> DataFrame:
@@ -70,6 +80,20 @@ def load_logs_bronze(raw: DataFrame) -> DataFrame:
     ).select("event_time", "level", "message", "meta", "ingest_time")
 
 
+def ingest_logs(spark: SparkSession, path: str, database: str) -> None:
+    """Append the JSON lines below `path` to `raw_logs`, and those that are broken or have no event time to `log_quarantine`.
+
+    Lines are parsed once, into a stored table split by what becomes of them; both appends read their own part of it. A line
+    without an event time goes to both tables, since its other fields are sound.
+    """
+    raw = read_raw_json(spark, path)
+    timeless = F.try_to_timestamp(F.col("event_time")).isNull()
+    fate = F.when(F.col(CORRUPT).isNotNull(), "broken").when(timeless, "timeless").otherwise("sound")
+    staged = materialise(raw.withColumn("fate", fate), "staged-logs", ["fate"])
+    append(load_logs_bronze(staged.where("fate <> 'broken'").drop("fate")), f"{database}.raw_logs")
+    append_or_create(damaged_logs(staged.where("fate <> 'sound'").drop("fate")), f"{database}.log_quarantine")
+
+
 def read_text_logs(spark: SparkSession, services: dict[str, str | list[str]]) -> DataFrame:
     """Lines of plain log files of several services, with service and file path."""
     out = None
@@ -110,11 +134,15 @@ def qualified(spark: SparkSession, path: str) -> str:
     return str(named.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(named).toString())
 
 
-def below(spark: SparkSession, root: str) -> Column:
+def below(spark: SparkSession, root: str, path: Column | None = None) -> Column:
     """Path of a scanned file below `root`; its bare name when `root` is a pattern or the file itself."""
+    path = F.col("path") if path is None else path
     prefix = qualified(spark, root).rstrip("/") + "/"
-    rest = F.substring(F.col("path"), F.lit(len(prefix) + 1), F.length("path"))
-    return F.when(F.startswith(F.col("path"), F.lit(prefix)), rest).otherwise(F.element_at(F.split("path", "/"), -1))
+    # some scans write a local address with one slash, some with three
+    path = F.regexp_replace(path, "^file:/+", "file:/")
+    prefix = re.sub("^file:/+", "file:/", prefix)
+    rest = F.substring(path, F.lit(len(prefix) + 1), F.length(path))
+    return F.when(F.startswith(path, F.lit(prefix)), rest).otherwise(F.element_at(F.split(path, "/"), -1))
 
 
 def mime_of(path: str) -> Column:
@@ -196,7 +224,7 @@ def fetch_objects(meta: DataFrame, path: str = "s3_path") -> DataFrame:
                 clients[store], name = fs.FileSystem.from_uri(uri)
             else:
                 name = rest if scheme in ("s3", "gs") else "/" + rest.partition("/")[2] if mark else uri
-            return clients[store].open_input_stream(name)
+            return clients[store].open_input_stream(name, compression=None)  # else names ending in .gz are unpacked
 
         for pdf in batches:
             content, error, start, held = [], [], 0, 0

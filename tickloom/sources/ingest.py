@@ -4,13 +4,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import below
+
 MANIFEST = "src_file STRING, checksum STRING, max_tcnt BIGINT, row_count BIGINT"
 
 
 def file_checksums(spark: SparkSession, path: str) -> DataFrame:
-    """MD5 per file."""
+    """MD5 per file, named by its path below `path`, so that files of one name in several folders stay apart."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("src_file"), F.md5("content").alias("checksum"))
+    return files.select(below(spark, path).alias("src_file"), F.md5("content").alias("checksum"))
 
 
 def file_summary(rows: DataFrame, checksums: DataFrame | None = None) -> DataFrame:

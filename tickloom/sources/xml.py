@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import instant
 from ..schemas import CODE_XML, TICK_XML
+from ..session import materialise
+from .files import below
 from .tables import append, append_or_create
 
 
@@ -53,18 +55,22 @@ def read_xml(spark: SparkSession, paths: str | list[str], row_tag: str, schema:
     return rows.select(*typed, F.coalesce("_corrupt_record", text).alias("_corrupt_record"))
 
 
-def add_provenance(df: DataFrame, side: str, ingest_ts: dt.datetime | None = None) -> DataFrame:
-    """Source file name, option side and one ingest time for the whole run; apply directly to a file scan."""
+def add_provenance(df: DataFrame, side: str, ingest_ts: dt.datetime | None = None, root: str | None = None) -> DataFrame:
+    """Source file, option side and one ingest time for the whole run; apply directly to a file scan.
+
+    The file's name is its path below `root`, which tells files of one name in several folders apart; bare without a root.
+    """
     stamp = F.current_timestamp() if ingest_ts is None else instant(ingest_ts)
-    return df.withColumns({"src_file": F.col("_metadata.file_name"), "side": F.lit(side), "ingest_ts": stamp})
+    name = F.col("_metadata.file_name") if root is None else below(df.sparkSession, root, F.col("_metadata.file_path"))
+    return df.withColumns({"src_file": name, "side": F.lit(side), "ingest_ts": stamp})
 
 
 def bronze_rows(
-    spark: SparkSession, call: str, put: str, schema: str, ingest_ts: dt.datetime | None = None
+    spark: SparkSession, call: str, put: str, schema: str, ingest_ts: dt.datetime | None = None, root: str | None = None
 ) -> DataFrame:
     """Both sides of one kind of file, by column name. Each file has its own row tag."""
     sides = [
-        add_provenance(read_xml(spark, path, detect_row_tag(spark, path), schema), side, ingest_ts)
+        add_provenance(read_xml(spark, path, detect_row_tag(spark, path), schema), side, ingest_ts, root)
         for path, side in ((call, "CALL"), (put, "PUT"))
     ]
     return sides[0].unionByName(sides[1])
@@ -78,14 +84,16 @@ def ingest_bronze(
     code_put: str,
     database: str,
     ingest_ts: dt.datetime | None = None,
+    root: str | None = None,
 ) -> None:
     """Append the ticks and codes of four files to `bronze_ticks` and `bronze_codes`.
 
-    A row with a field that does not parse keeps its other fields there, and its text goes to `bronze_quarantine` too.
+    A row with a field that does not parse keeps its other fields there, and its text goes to `bronze_quarantine` too. Files
+    are parsed once, into a stored table split by whether the row is damaged.
     """
-    ticks = bronze_rows(spark, tick_call, tick_put, TICK_XML, ingest_ts)
-    codes = bronze_rows(spark, code_call, code_put, CODE_XML, ingest_ts)
-    for kind, rows in (("ticks", ticks), ("codes", codes)):
-        append(rows.drop("_corrupt_record"), f"{database}.bronze_{kind}")
-        damaged = rows.where("_corrupt_record is not null")
-        append_or_create(damaged.select(F.lit(kind).alias("kind"), "src_file", "side", "ingest_ts", "_corrupt_record"), f"{database}.bronze_quarantine")
+    for kind, call, put, schema in (("ticks", tick_call, tick_put, TICK_XML), ("codes", code_call, code_put, CODE_XML)):
+        parsed = bronze_rows(spark, call, put, schema, ingest_ts, root)
+        rows = materialise(parsed.withColumn("damaged", F.col("_corrupt_record").isNotNull()), f"staged-{kind}", ["damaged"])
+        append(rows.drop("_corrupt_record", "damaged"), f"{database}.bronze_{kind}")
+        damaged = rows.where("damaged").select(F.lit(kind).alias("kind"), "src_file", "side", "ingest_ts", "_corrupt_record")
+        append_or_create(damaged, f"{database}.bronze_quarantine")
