@@ -138,6 +138,20 @@ def test_fill_gaps_interpolates(spark):
     assert values(B.fill_gaps(df, 60, "linear"), "c", "grid_ts") == [1.0, 2.0, 3.0, 4.0]
 
 
+@pytest.mark.parametrize("method", ["ffill", "linear"])
+def test_long_gaps_are_cut_into_spans(spark, method):
+    """Spans of any length give the same grid; a gap of ten million steps is filled by several tasks."""
+    df = bars(spark, [1.0, 4.0, 2.0, 9.0], [0, 3, 60, 61])
+    want = sorted(map(tuple, B.fill_gaps(df, 60, method).collect()), key=repr)
+    for span in (1, 2, 7, 56, 57, 58):
+        assert sorted(map(tuple, B.fill_gaps(df, 60, method, span).collect()), key=repr) == want
+    steps = 10_000_000
+    grid = B.fill_gaps(bars(spark, [1.0, 3.0], [0, steps]), 60, method)
+    parts = grid.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.max("c").alias("top")).collect()
+    assert sum(r.n for r in parts) == steps + 1 and sum(r.n > steps // 10 for r in parts) > 1
+    assert max(r.top for r in parts) == 3.0
+
+
 def test_max_favourable_return_looks_strictly_ahead(spark):
     got = values(X.max_favourable_return(bars(spark, [10.0, 12.0, 11.0], [0, 20, 41])), "max_fav_ret")
     assert got[0] == pytest.approx(0.2) and got[1:] == [None, None]

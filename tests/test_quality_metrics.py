@@ -194,6 +194,21 @@ def test_fingerprint_ignores_order_but_sees_duplicates(spark):
     assert fp(a).feature_hash != V.dataset_fingerprint(a, ["w"]).first().feature_hash
 
 
+def test_fingerprint_of_plain_text(spark):
+    """The value follows from MD5 over the documented text of each row."""
+    import hashlib
+
+    rows = [("x", 1.25, None, 3), (None, -0.0000004, dt.datetime(2024, 1, 2, 3, 4, 5, 6), 4), ("x", 1.25, None, 3), ("y", float("nan"), None, None), ("z", 2e15, None, -1)]
+    df = spark.createDataFrame(rows, "b STRING, a DOUBLE, t TIMESTAMP, n BIGINT")
+    texts = ["1250000\x1fx\x1f3\x1f~", "0\x1f~\x1f4\x1f1704164645000006", "1250000\x1fx\x1f3\x1f~", "nan\x1fy\x1f~\x1f~", "2.000000000e+15\x1fz\x1f-1\x1f~"]
+    digests = [hashlib.md5(t.encode()).hexdigest() for t in texts]
+    lanes = [sum(int(d[8 * i : 8 * i + 8], 16) for d in digests) % 2**32 for i in range(4)]
+    got = V.dataset_fingerprint(df, ["a"]).first()
+    assert got.data_snapshot_id == "-".join(f"{x:08x}" for x in lanes) + "-5" and got.rows == 5
+    assert V.dataset_fingerprint(df.limit(0), []).first().data_snapshot_id == "00000000-00000000-00000000-00000000-0"
+
+
+
 def test_runs(spark):
     log = lambda *a, **k: V.log_metrics(spark, *a, **k)
     m = log("r1", "exp", "gold", {"sharpe": 2.0, "dd": 0.1}, logged_at=T0)

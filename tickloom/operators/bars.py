@@ -132,11 +132,16 @@ def hourly_volatility(features: DataFrame) -> DataFrame:
     )
 
 
-def fill_gaps(bars: DataFrame, interval_s: int, method: str = "ffill") -> DataFrame:
+# Steps of the grid that one row is filled with where it stands.
+SPAN = 10_000
+
+
+def fill_gaps(bars: DataFrame, interval_s: int, method: str = "ffill", span: int = SPAN) -> DataFrame:
     """Regular grid per entity between its first and last bar; gaps carry the last close or a linear value.
 
     Every bar spans the grid from itself to the next bar, so the grid is generated next to the data: no join with a
-    grid, and an entity with many bars is spread over its time segments.
+    grid, and an entity with many bars is spread over its time segments. A gap of more than `span` steps is first cut into
+    spans, which are dealt to all tasks and filled there, so no row becomes more than `span` rows in one place.
     """
     def compute(rows: DataFrame, w) -> DataFrame:
         return rows.withColumn("_next_ts", F.lead("bar_ts").over(w)).withColumn("_next_c", F.lead("c").over(w))
@@ -150,10 +155,16 @@ def fill_gaps(bars: DataFrame, interval_s: int, method: str = "ffill") -> DataFr
         after=1,
     )
     t0, t1 = F.unix_seconds("bar_ts"), F.unix_seconds("_next_ts")
-    step = F.lit(interval_s).cast("long")
-    grid = spaced.withColumn(
-        "_t", F.explode(F.sequence(t0, F.greatest(F.coalesce(t1 - step, t0), t0), step))
-    )
+    step, length = F.lit(interval_s).cast("long"), F.lit(interval_s * span).cast("long")
+    # the last second at which the grid has a point of this bar
+    spaced = spaced.withColumn("_end", F.greatest(F.coalesce(t1 - step, t0), t0))
+    short = F.coalesce(F.col("_end") - t0 < length, F.lit(True))
+    near = spaced.where(short).withColumn("_from", t0)
+    # a number of tasks, since adaptive execution would put the few bytes of the spans together
+    tasks = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    far = spaced.where(~short).withColumn("_from", F.explode(F.sequence(t0, F.col("_end"), length))).repartition(tasks, *ENTITY, "_from")
+    last = F.least(F.col("_end"), F.col("_from") + length - step)
+    grid = near.unionByName(far).withColumn("_t", F.explode(F.sequence(F.col("_from"), last, step)))
     if method == "ffill":
         value = F.col("c")
     else:

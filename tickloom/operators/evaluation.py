@@ -156,17 +156,41 @@ def feature_drift_psi(
     return sides.select("feature", psi.alias("psi"))
 
 
+def row_text(df: DataFrame, places: int = 6) -> Column:
+    """A row as text that any engine can repeat: columns by name, parted by the character 31, `~` for NULL.
+
+    Floating numbers are counts of 10^-places, rounded half up (from 10^12 on in scientific form with nine places); instants
+    are microseconds since 1970; nested values are JSON; everything else is its plain text.
+    """
+    texts = []
+    for f in sorted(df.schema.fields, key=lambda f: f.name):
+        c, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
+        if kind in ("double", "float"):
+            x = c.cast("double")
+            scaled = F.floor(x * float(10**places) + 0.5).cast("string")
+            text = F.when(F.isnan(x), "nan").when(F.abs(x) < 1e12, scaled).otherwise(F.lower(F.format_string("%.9e", x)))
+        elif kind in ("timestamp", "timestamp_ntz"):
+            text = F.unix_micros(c.cast("timestamp")).cast("string")
+        elif kind in ("array", "map", "struct"):
+            text = F.to_json(F.struct(c))
+        else:
+            text = c.cast("string")
+        texts.append(F.coalesce(text, F.lit("~")))
+    return F.concat_ws("\x1f", *texts)
+
+
 def dataset_fingerprint(df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
-    """Row count and order-independent hashes of the rows, and a hash of the feature list."""
-    h = F.xxhash64(*sorted(df.columns))
-    one = df.select(h.alias("_h")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.bit_xor("_h").alias("_x"),
-        F.sum(F.pmod("_h", F.lit(2**31))).alias("_s"),  # xor alone would miss pairs of equal rows
-    )
-    snapshot = F.concat_ws("-", F.hex("_x"), F.hex("_s"), "rows")
+    """Row count, an order-independent hash of the rows, and a hash of the feature list.
+
+    Each row's MD5 is cut into four numbers of 32 bits, which are added up over the rows modulo 2^32. Sums see repeated rows,
+    need no order, and are reduced in every task.
+    """
+    digest = F.md5(row_text(df).cast("binary"))
+    lanes = [F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("decimal(20,0)").alias(f"_{i}") for i in range(4)]
+    one = df.select(*lanes).agg(F.count(F.lit(1)).alias("rows"), *[F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_{i}") for i in range(4)])
+    parts = [F.format_string("%08x", F.pmod(F.col(f"_{i}"), F.lit(2**32)).cast("long")) for i in range(4)]
     return one.select(
-        "rows", snapshot.alias("data_snapshot_id"), F.sha2(F.lit(",".join(feature_cols)), 256).alias("feature_hash")
+        "rows", F.concat_ws("-", *parts, "rows").alias("data_snapshot_id"), F.sha2(F.lit(",".join(feature_cols)), 256).alias("feature_hash")
     )
 
 

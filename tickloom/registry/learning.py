@@ -267,4 +267,16 @@ def _daily_runs(s):
     return daily.unpivot(["run_id", "step"], ["rmse", "mean_ret"], "key", "value")
 
 
-query("dataset_fingerprint")(lambda s: V.dataset_fingerprint(s.training, FEATURE_COLS))
+_TEXT = {
+    "VARCHAR": "{c}", "BIGINT": "{c}::varchar", "DATE": "strftime({c}, '%Y-%m-%d')", "TIMESTAMP": "epoch_us({c})::varchar",
+    "DOUBLE": "(floor({c} * 1e6 + 0.5))::bigint::varchar",
+}
+_KINDS = {**dict.fromkeys(FEATURE_COLS, "DOUBLE"), "y_fwd_ret_5": "DOUBLE", "asof_ts": "TIMESTAMP", "trade_date": "DATE",
+          "ymcode": "VARCHAR", "side": "VARCHAR", "code": "VARCHAR", "strike": "BIGINT"}
+_ROW = " || chr(31) || ".join(f"coalesce({_TEXT[k].format(c=c)}, '~')" for c, k in sorted(_KINDS.items()))
+_LANES = " || '-' || ".join(f"format('{{:08x}}', (sum(('0x' || substr(h, {8 * i + 1}, 8))::bigint) % 4294967296)::bigint)" for i in range(4))
+query(
+    "dataset_fingerprint",
+    f"select count(*) as rows, {_LANES} || '-' || count(*) data_snapshot_id, sha256('{','.join(FEATURE_COLS)}') feature_hash from "
+    f"(select md5({_ROW}) h from {{training_v}})",
+)(lambda s: V.dataset_fingerprint(s.training, FEATURE_COLS))
