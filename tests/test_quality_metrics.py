@@ -294,3 +294,42 @@ def test_surface_is_linear_between_known_strikes(spark):
     got = {r.strike: r.iv for r in O.iv_surface(df).collect()}
     assert got[80] is None and got[95] == pytest.approx(0.25) and got[120] == pytest.approx(0.4 + 0.5 * 10 / 2390)
     assert got[1500] == pytest.approx(0.4 + 0.5 * 1390 / 2390)
+
+
+def test_best_round_waits():
+    errors = [5.0, 4.0, 4.5, 4.4, 3.0, 3.1, 3.2, 3.3, 2.0]
+    assert L.best_round(errors, 3) == (4, True)  # a poor round before better ones does not end it, three in a row do
+    assert L.best_round(errors, 1) == (1, True) and L.best_round(errors, 4) == (8, False) and L.best_round([1.0], 1) == (0, False)
+
+
+def test_fit_with_patience(spark, monkeypatch):
+    """Rounds double until patience runs out, and the ensemble is cut at its best round."""
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.regression import GBTRegressionModel
+
+    rng = np.random.default_rng(1)
+    rows = spark.createDataFrame([(Vectors.dense(*map(float, v)), float(v[0] + 0.1 * v[1])) for v in rng.normal(size=(300, 3))], ["features_vec", "y"]).coalesce(1).cache()
+    real, asked = GBTRegressionModel.evaluateEachIteration, []
+    curve = [9.0, 8.0, 8.5, 8.4] + [7.0 - 0.1 * k for k in range(30)] + [6.0] * 60
+
+    def errors(model, valid, loss):
+        asked.append(model.getNumTrees)
+        assert len(real(model, valid, loss)) == model.getNumTrees
+        return curve[: model.getNumTrees]
+
+    monkeypatch.setattr(GBTRegressionModel, "evaluateEachIteration", errors)
+    gbt = L._boosted("y", 100, 7, maxDepth=2)
+    model, found = L.fit_with_patience(gbt, rows, rows, patience=3, max_iter=100)
+    assert asked == [26, 52] and model.getNumTrees == 34 and len(found) == 52
+    whole = gbt.copy({gbt.maxIter: 34}).fit(rows)
+    got, want = ([r.prediction for r in m.transform(rows).collect()] for m in (model, whole))
+    assert got == pytest.approx(want)
+    few, _ = L.fit_with_patience(gbt, rows, rows, patience=3, max_iter=4)
+    assert few.getNumTrees == 2
+
+
+def test_boosted_classifier(spark):
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(*map(float, v), int(v[0] > 0.3)) for v in rng.normal(size=(300, 2))], "a DOUBLE, b DOUBLE, label INT")
+    rate = lambda cut: L.train_boosted_classifier(df, "label", ["a", "b"], rounds=5, cut=cut).transform(df).agg({"prediction": "avg"}).first()[0]
+    assert rate(0.5) == pytest.approx(df.agg({"label": "avg"}).first()[0], abs=0.03) and rate(0.05) >= rate(0.5) >= rate(0.97)

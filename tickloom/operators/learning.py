@@ -6,12 +6,13 @@ import random
 from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalars import decide
@@ -95,8 +96,9 @@ def _assembler(cols: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(cols), outputCol="features_vec", handleInvalid="skip")
 
 
-# Rounds at most; validation rows end a fit long before.
+# Rounds at most, and rounds without a better validation error that end a fit.
 MAX_ROUNDS = 2000
+PATIENCE = 50
 
 
 def _boosted(y: str, max_iter: int, seed: int, **params) -> GBTRegressor:
@@ -106,18 +108,65 @@ def _boosted(y: str, max_iter: int, seed: int, **params) -> GBTRegressor:
     )
 
 
+def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
+    """The round with the least error before `patience` rounds in a row brought none, and whether they did."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return best, True
+    return best, False
+
+
+def first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The ensemble of a model's first `rounds` trees."""
+    jvm, gateway = SparkSession.active()._jvm, SparkContext._active_spark_context._gateway
+    whole, kinds = model._java_obj, jvm.org.apache.spark.ml.regression
+    trees, weights = gateway.new_array(kinds.DecisionTreeRegressionModel, rounds), gateway.new_array(jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = whole.trees()[i], whole.treeWeights()[i]
+    cut = GBTRegressionModel(kinds.GBTRegressionModel(model.uid, trees, weights, whole.numFeatures()))
+    return cut.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+
+
+def fit_with_patience(
+    gbt: GBTRegressor, rows: DataFrame, valid: DataFrame, patience: int = PATIENCE, max_iter: int = MAX_ROUNDS
+) -> tuple[GBTRegressionModel, list[float]]:
+    """The ensemble up to its best round on `valid`, and the error after each round that was fitted.
+
+    MLlib ends a fit at the first poor round, so rounds are fitted without that rule, the error of the ensemble after each of
+    them is taken, and while patience has not run out the fit is repeated with twice the rounds; the same seed gives the same
+    first trees. Without validation rows all errors are missing and one round stays.
+    """
+    rounds = min(max_iter, 2 * patience + 20)
+    while True:
+        model = gbt.copy({gbt.maxIter: rounds}).fit(rows)
+        errors = list(model.evaluateEachIteration(valid, "squared"))
+        best, ended = best_round(errors, patience)
+        if ended or rounds >= max_iter:
+            return first_rounds(model, best + 1), errors
+        rounds = min(max_iter, 2 * rounds)
+
+
 def train_regressor(
     training: DataFrame,
     y: str = "y_fwd_ret_5",
     cols: Sequence[str] = FEATURE_COLS,
     max_iter: int = MAX_ROUNDS,
     seed: int = 42,
+    patience: int = PATIENCE,
     **params,
 ) -> PipelineModel:
-    """Boosted regression trees on the ordered split; stops early when the validation rows stop improving."""
-    split = ordered_split(training).withColumn("is_valid", F.col("part") == "valid")
-    gbt = _boosted(y, max_iter, seed, validationIndicatorCol="is_valid", **params)
-    return Pipeline(stages=[_assembler(cols), gbt]).fit(split)
+    """Boosted regression trees on the ordered split, cut at the round after which `patience` rounds bring nothing better.
+
+    The split is stored as vectors once, since every round reads it.
+    """
+    assembler = _assembler(cols)
+    split = assembler.transform(ordered_split(training)).select("features_vec", y, (F.col("part") == "valid").alias("is_valid"))
+    rows = materialise(split, "regressor-rows", ["is_valid"])
+    model, _ = fit_with_patience(_boosted(y, max_iter, seed, **params), rows.where("not is_valid"), rows.where("is_valid"), patience, max_iter)
+    return PipelineModel(stages=[assembler, model])
 
 
 def random_search(
@@ -128,11 +177,14 @@ def random_search(
     max_iter: int = MAX_ROUNDS,
     seed: int = 42,
     parallelism: int = 4,
+    patience: int | None = None,
 ) -> tuple[DataFrame, PipelineModel]:
     """Trials with sampled parameters scored by RMSE on the validation part, and the best one refitted on all rows.
 
     Learning rate is drawn log-uniformly from 0.001 to 0.2. Each trial is a distributed fit that stops when the validation
-    rows stop improving; the refit takes the rounds of the best one. `parallelism` trials share the cluster.
+    rows stop improving: by MLlib's rule, at the first round that improves too little, or with `patience` as in
+    `train_regressor`, which takes many more rounds, hundreds at small learning rates. The refit takes the rounds of the best
+    trial. `parallelism` trials share the cluster.
     """
     spark = training.sparkSession
     rng = random.Random(seed)
@@ -153,7 +205,12 @@ def random_search(
     score = RegressionEvaluator(labelCol=y, metricName="rmse")
 
     def trial(i: int) -> tuple:
-        fitted = gbt.copy({gbt.getParam(k): v for k, v in draws[i].items()}).fit(rows)
+        drawn = gbt.copy({gbt.getParam(k): v for k, v in draws[i].items()})
+        if patience is None:
+            fitted = drawn.fit(rows)
+        else:
+            drawn.clear(drawn.validationIndicatorCol)
+            fitted, _ = fit_with_patience(drawn, rows.where("not is_valid"), valid, patience, max_iter)
         return (i, float(score.evaluate(fitted.transform(valid))), *draws[i].values(), fitted.getNumTrees)
 
     with ThreadPool(min(parallelism, n_trials)) as pool:
@@ -178,6 +235,16 @@ def train_classifier(
     return Pipeline(stages=[_assembler(cols), forest]).fit(df)
 
 
+def train_boosted_classifier(
+    df: DataFrame, label: str, cols: Sequence[str], rounds: int = 50, depth: int = 5, cut: float = 0.5, seed: int = 42
+) -> PipelineModel:
+    """Boosted trees for two classes; 1 is predicted where its probability is above `cut`."""
+    boosted = GBTClassifier(
+        featuresCol="features_vec", labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=0.1, seed=seed
+    )
+    return Pipeline(stages=[_assembler(cols), boosted.setThresholds([1 - cut, cut])]).fit(df)
+
+
 def score_with(model: PipelineModel) -> Callable[[DataFrame], DataFrame]:
     """A scorer for `batch_score` from a fitted pipeline."""
     return lambda df: model.transform(df).withColumn("pred", F.col("prediction")).drop("features_vec", "prediction")

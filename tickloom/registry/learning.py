@@ -190,6 +190,15 @@ def _classifier(s):
     return V.classification_metrics(held_out.withColumn("prediction", F.col("prediction").cast("int")))
 
 
+@query("train_classifier_boosted")
+def _boosted_classifier(s):
+    """Hold-out metrics of the boosted trees, cut at 0.5, on the same split as the forest's."""
+    rows = L.random_split(s.training.withColumn("label", (F.col("y_fwd_ret_5") > 0).cast("int")), [*ENTITY, "asof_ts"])
+    model = L.train_boosted_classifier(rows.where("part = 'train'"), "label", FEATURE_COLS, rounds=20)
+    held_out = model.transform(rows.where("part = 'valid'"))
+    return V.classification_metrics(held_out.withColumn("prediction", F.col("prediction").cast("int")))
+
+
 @query("batch_score_model")
 def _score(s):
     model = L.train_regressor(s.training)
