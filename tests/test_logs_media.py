@@ -147,3 +147,44 @@ def test_filters_that_are_absent_restrict_nothing(spark):
     assert Q.dashboard_filters(df).count() == 1
     assert Q.dashboard_filters(df, symbol=["b"]).count() == 0
     assert Q.dashboard_filters(df, date_from=T0.date(), date_to=T0.date()).count() == 1
+
+
+SAID = [
+    "Order FAILED: timeout", "preorder order-failed", "e-mail sent to Ärger", "ärger e mail", None, "", "the the of", "of", "THE", "x\ny the\tof",
+    "order failed", "order  failed", "naïve 日本語 text", "日本語", "a_b a1 1a", "!!! ???", "order" * 3,
+] + [f"the common words of row {i} and of row {i % 7}" for i in range(200)]
+
+
+def test_index_finds_what_the_scan_finds(spark, tmp_path):
+    df = spark.createDataFrame([(i % 150, m, "x") for i, m in enumerate(SAID)], "id INT, message STRING, word STRING").repartition(3)
+    G.build_search_index(df, "message", str(tmp_path / "i"), 8)
+    queries = [["order"], ["the", "of"], ["e-mail"], ["order failed"], ["Ärger", "mail"], ["日本語"], ["a_b"], ["missing"], ["the", "missing"], ["???"],
+               ["!!!", "order"], ["row 5"], ["row", "common", "77"], ["failed:"], ["ORDER"], ["-failed"]]
+    for terms in queries:
+        for mode in ("all", "any"):
+            got = sorted(map(repr, G.search_index(spark, str(tmp_path / "i"), terms, mode).collect()))
+            assert got == sorted(map(repr, G.search_messages(df, terms, mode).collect())), (terms, mode)
+
+
+def test_index_reads_few_buckets(spark, tmp_path, monkeypatch):
+    """One bucket of each table for a rare word; a join where more rows are found than are looked up by number."""
+    df = spark.createDataFrame([(i, m) for i, m in enumerate(SAID)], "id INT, message STRING")
+    path = str(tmp_path / "i")
+    G.build_search_index(df, "message", path, 8)
+    found = G.search_index(spark, path, ["timeout", "order"])
+    parts = {f.split("_part=")[1].split("/")[0] for f in found.inputFiles()}
+    assert found.count() == 1 and len(parts) == 8  # listed; the filter on the part prunes them:
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "_part" in plan.split("PartitionFilters: [")[1].split("]")[0] and "Join" not in plan
+    held = G._intersected(spark, path, {(r.bucket, r.word) for r in spark.read.parquet(f"{path}/frequency").where("word = 'timeout'").collect()},
+                          {(r.bucket, r.word): r.n for r in spark.read.parquet(f"{path}/frequency").collect()})
+    assert "bucket" in held._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    monkeypatch.setattr(G, "FEW", 10)
+    many = G.search_index(spark, path, ["the", "of"])
+    assert many.count() == G.search_messages(df, ["the", "of"]).count() > 10
+    assert "Join" in many._jdf.queryExecution().executedPlan().toString()
+
+
+def test_index_of_no_rows(spark, tmp_path):
+    G.build_search_index(logs(spark, []), "message", str(tmp_path / "i"))
+    assert G.search_index(spark, str(tmp_path / "i"), ["the"]).count() == 0

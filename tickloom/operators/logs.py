@@ -2,11 +2,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import re
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import time_range
 
@@ -67,6 +70,84 @@ def search_messages(df: DataFrame, terms: Sequence[str], mode: str = "all", colu
     return df.where(cond)
 
 
+# Rows looked up by number; more are found by a join.
+FEW = 1000
+# A term this many times as frequent as the rarest one is left to the final test.
+COMMON = 20
+POSTINGS = "word STRING, _row BIGINT, bucket INT"
+FREQUENCY = "word STRING, n BIGINT, bucket INT"
+
+
+def _tokens(text: Column) -> Column:
+    """Distinct words of a text in lower case."""
+    return F.array_distinct(F.array_remove(F.split(F.lower(text), rf"(?:(?!{LETTER}).)+|\n+"), ""))
+
+
+def _bucket(value: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(buckets)).cast("int")
+
+
+def build_search_index(docs: DataFrame, column: str, path: str, buckets: int = 64) -> None:
+    """Write the rows, and which words stand in which of them, below `path` for `search_index`.
+
+    Three tables: `rows` with a number each, parted by its hash; `postings` (word, row), parted by the word's hash and sorted by
+    word; `frequency`, the number of rows per word. A bucket with a very frequent word becomes several files.
+    """
+    spark = docs.sparkSession
+    if {"_row", "_part"} & set(docs.columns):
+        raise ValueError("columns _row and _part are the index's own")
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    numbered = numbered.withColumn("_part", _bucket(F.col("_row"), buckets))
+    # numbers are given once: what follows reads the written rows
+    numbered.hint("rebalance", "_part").sortWithinPartitions("_part", "_row").write.partitionBy("_part").parquet(f"{path}/rows")
+    rows = spark.read.schema(numbered.schema).parquet(f"{path}/rows")
+    words = rows.select(F.explode(_tokens(F.col(f"`{column}`"))).alias("word"), "_row").withColumn("bucket", _bucket(F.col("word"), buckets))
+    words.hint("rebalance", "bucket").sortWithinPartitions("bucket", "word", "_row").write.partitionBy("bucket").parquet(f"{path}/postings")
+    counts = spark.read.schema(POSTINGS).parquet(f"{path}/postings").groupBy("bucket", "word").agg(F.count(F.lit(1)).alias("n"))
+    counts.hint("rebalance", "bucket").sortWithinPartitions("bucket", "word").write.partitionBy("bucket").parquet(f"{path}/frequency")
+    spark.createDataFrame([(column, buckets, numbered.schema.json())], "column STRING, buckets INT, rows STRING").coalesce(1).write.parquet(f"{path}/about")
+
+
+def search_index(spark: SparkSession, path: str, terms: Sequence[str], mode: str = "all") -> DataFrame:
+    """The rows that `search_messages` finds among those indexed, for any terms.
+
+    The words of a term bound the rows it can stand in. Of words that all have to be there the rarest come first and their
+    rows are intersected; much more frequent ones need no look-up, since the found rows are tested against their text in the
+    end. Only buckets of looked-up words are read, and of the rows, where few are found, only the parts that hold them. A term
+    without any word has every row tested.
+    """
+    about = spark.read.parquet(f"{path}/about").first()
+    rows = spark.read.schema(T.StructType.fromJson(json.loads(about.rows))).parquet(f"{path}/rows")
+    each = spark.createDataFrame([(i, t) for i, t in enumerate(terms)], "i INT, term STRING")
+    each = each.select("i", F.explode(_tokens(F.col("term"))).alias("word"))
+    asked = each.withColumn("bucket", _bucket(F.col("word"), about.buckets)).collect()  # the words of the query
+    found = lambda df: search_messages(df, terms, mode, about.column).drop("_row", "_part")
+    needed = [{(r.bucket, r.word) for r in asked if r.i == i} for i in range(len(terms))]
+    needed = [set().union(*needed)] if mode == "all" else needed
+    if not all(needed):
+        return found(rows)
+    count = spark.read.schema(FREQUENCY).parquet(f"{path}/frequency")
+    count = count.where(F.col("bucket").isin(sorted({b for n in needed for b, _ in n})) & F.col("word").isin(sorted({w for n in needed for _, w in n})))
+    known = {(r.bucket, r.word): r.n for r in count.collect()}
+    places = [_intersected(spark, path, words, known) for words in needed if words <= set(known)]
+    if not places:
+        return found(rows.where(F.lit(False)))
+    numbers = reduce(DataFrame.unionByName, places).distinct()
+    few = [r._row for r in numbers.limit(FEW + 1).collect()]
+    if len(few) > FEW:
+        return found(rows.join(numbers, "_row", "left_semi"))
+    parts = spark.createDataFrame([(n,) for n in few], "n BIGINT").select(_bucket(F.col("n"), about.buckets).alias("part")).distinct().collect()
+    return found(rows.where(F.col("_part").isin([r.part for r in parts]) & F.col("_row").isin(few)))
+
+
+def _intersected(spark: SparkSession, path: str, words: set[tuple[int, str]], known: dict[tuple[int, str], int]) -> DataFrame:
+    """Numbers of the rows that hold the rarer ones of the words."""
+    order = sorted(words, key=lambda w: (known[w], w))
+    postings = spark.read.schema(POSTINGS).parquet(f"{path}/postings")
+    held = [postings.where((F.col("bucket") == b) & (F.col("word") == w)).select("_row") for b, w in order if known[b, w] <= COMMON * known[order[0]]]
+    return reduce(lambda x, y: x.join(y, "_row", "left_semi"), held)
+
+
 def log_level_counts(logs: DataFrame, levels: Sequence[str] = ("INFO", "WARN", "ERROR")) -> DataFrame:
     return logs.where(F.col("level").isin(list(levels))).groupBy("level").agg(F.count(F.lit(1)).alias("n"))
 

@@ -9,6 +9,7 @@ from ..functions import scalars as S
 from ..operators import bi as Q
 from ..operators import logs as G
 from ..operators import media as M
+from ..session import scratch_path
 from .base import query
 from .quotes_bi import ASOF
 
@@ -57,6 +58,27 @@ query("search_messages", f"select doc_id, lang from documents where {_word('the'
 query("search_messages_any", f"select doc_id, lang from documents where {_word('the')} or {_word('un')}")(
     lambda s: G.search_messages(s.table("documents"), ["the", "un"], "any", "text").select("doc_id", "lang")
 )
+def _indexed(s) -> str:
+    """The index over the given texts, built once."""
+    path = scratch_path(s.spark, "search-index")
+    G.build_search_index(s.table("documents"), "text", path, 16)
+    return path
+
+
+@query("search_index", f"select doc_id, lang from documents where {_word('the')} and {_word('of')}")
+def _search_all(s):
+    return G.search_index(s.spark, _indexed(s), ["the", "of"]).select("doc_id", "lang")
+
+
+@query(
+    "search_index_any",
+    f"select doc_id, lang from documents where {_word('license')} or {_word('password')} or regexp_matches(lower(text), "
+    "'(^|[^\\p{L}\\p{N}])the[ ]of([^\\p{L}\\p{N}]|$)')",
+)
+def _search_any(s):
+    return G.search_index(s.spark, _indexed(s), ["license", "password", "the of"], "any").select("doc_id", "lang")
+
+
 query(
     "log_level_counts",
     f"select {LV}, count(*) n from {{logs_v}} where {LV} in ('INFO', 'WARN', 'ERROR') group by 1",
