@@ -123,6 +123,58 @@ def test_recent_window_rolls(spark, inputs, feed):
     assert got == {r.tcnt for r in want.collect()} and got
 
 
+def test_recent_window_rewrites_no_older_row(spark, inputs, feed):
+    """Files of the log stay as they are until their minute is dropped whole; a repeated batch changes nothing."""
+    import glob
+    import os
+
+    source = one_file_at_a_time(spark, feed, inputs.silver.schema).where("code <> 'flush'").select("tcnt", "ts")
+    state, seen = scratch_path(spark, "recent-log"), []
+    files = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{state.removeprefix('file:')}/log/*/*/*.parquet")}
+    real = M.run_batches
+
+    def watched(rows, step, checkpoint):
+        def noted(batch, batch_id):
+            step(batch, batch_id)
+            seen.append(files())
+            if batch_id == 1:
+                step(batch, batch_id)
+                seen[-1] = files()
+
+        real(rows, noted, checkpoint)
+
+    M.run_batches = watched
+    try:
+        M.recent_window(source, "ts", 600, state, scratch_path(spark, "recent-log-check"))
+    finally:
+        M.run_batches = real
+    assert len(seen) >= BATCHES
+    for before, after in zip(seen[1:], seen[2:]):
+        kept = set(before) & set(after)
+        assert all(before[f] == after[f] for f in kept)
+    newest = inputs.silver.agg(F.max("ts")).first()[0]
+    minutes = {int(f.split("tl_minute=")[1].split("/")[0]) for f in seen[-1]}
+    assert min(minutes) >= int((newest - dt.timedelta(minutes=600)).replace(tzinfo=dt.timezone.utc).timestamp() // 60)
+    want = inputs.silver.where(F.col("ts") > F.lit(newest - dt.timedelta(minutes=600))).count()
+    assert M.latest_state(spark, state, source.schema).count() == want
+
+
+def test_ingest_keeps_each_key_once_in_state(spark, inputs):
+    rows = inputs.events.select("event_id", "ts").limit(100)
+    feed = scratch_path(spark, "s-feed")
+    rows.unionByName(rows).unionByName(rows).repartition(3).write.parquet(feed)
+    stream = E.stream_ingest(spark.readStream.schema("event_id BIGINT, ts TIMESTAMP").parquet(feed), ["event_id"], "ts", "900 days")
+    run = stream.writeStream.format("noop").option("checkpointLocation", scratch_path(spark, "s-check")).trigger(availableNow=True).start()
+    run.awaitTermination()
+    states = [s for p in run.recentProgress for s in p["stateOperators"]]
+    assert len(run.lastProgress["stateOperators"]) == 1 and max(s["numRowsTotal"] for s in states) == 100
+
+
+def test_copies_within_a_batch(spark):
+    rows = spark.createDataFrame([(1, None, "a"), (1, None, "b"), (None, 2.5, "c"), (None, 2.5, "d"), (1, 2.5, "e")], "k INT, v DOUBLE, w STRING").coalesce(1)
+    assert [r.w for r in E.without_copies(rows, ["k", "v"]).collect()] == ["a", "c", "e"]
+
+
 def test_ingest_drops_copies_and_survives_a_restart(spark, inputs):
     rows = inputs.events.select("event_id", "ts").orderBy("ts").limit(100)
     feed, out, check = (scratch_path(spark, n) for n in ("i-feed", "i-out", "i-check"))

@@ -1,6 +1,10 @@
 """Streaming ingestion, late data and alerts."""
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -8,18 +12,26 @@ from ..operators.logs import error_bursts
 from .run import Versions, run_batches
 
 
-def stream_ingest(raw: DataFrame, keys: list[str], ts: str, watermark: str = "1 hour", salts: int = 8) -> DataFrame:
+def without_copies(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The first row of each key in every Arrow batch of a task; stateless."""
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.table({**{f"k{i}": batch.column(k) for i, k in enumerate(keys)}, "at": pa.array(np.arange(batch.num_rows))})
+            places = table.group_by([f"k{i}" for i in range(len(keys))]).aggregate([("at", "min")]).column("at_min")
+            yield batch.take(np.sort(places.to_numpy()))
+
+    return rows.mapInArrow(first, rows.schema)
+
+
+def stream_ingest(raw: DataFrame, keys: list[str], ts: str, watermark: str = "1 hour") -> DataFrame:
     """Rows of a raw stream, each key once: copies that arrive within the watermark are dropped.
 
-    The file source and its checkpoint give every file exactly once; state holds the keys inside the watermark. The
-    copies of one key are first dropped in `salts` separate tasks, so that a key with very many copies does not meet in
-    one task; `salts=1` leaves that step out.
+    The file source and its checkpoint give every file exactly once; state holds the keys inside the watermark, each once. The
+    copies of one key are first dropped within each task's batches, without state, so that a key with very many copies
+    does not meet in one task.
     """
-    rows = raw.withWatermark(ts, watermark)
-    if salts > 1:
-        salted = rows.withColumn("_salt", F.floor(F.rand() * salts))
-        rows = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
-    return rows.dropDuplicatesWithinWatermark(keys)
+    return without_copies(raw, keys).withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys)
 
 
 def stream_error_bursts(

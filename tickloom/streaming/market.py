@@ -5,12 +5,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..functions.scalars import decide, feature_key, one_value
+from ..functions.scalars import decide, feature_key
 from ..operators.bars import bar_aggregates, tick_order
 from ..operators.features import features
 from ..schemas import ENTITY
-from .run import Versions, run_batches
+from .run import Versions, folders, run_batches
 
 LOOKBACK = 20  # bars before a new one that its features read
 
@@ -53,28 +54,52 @@ def stream_features(bars: DataFrame, out: str, state: str, checkpoint: str, bar_
     run_batches(bars, step, checkpoint)
 
 
+MINUTE = 60_000_000
+# Columns and folders of the log of recent rows.
+_LOG = "tl_minute BIGINT, tl_batch BIGINT"
+
+
 def recent_window(rows: DataFrame, ts: str, minutes: float, state: str, checkpoint: str) -> None:
-    """Keep the rows of the last minutes of stream time in `state/window`, in one folder per micro-batch, the two newest."""
-    arrived, kept = Versions(rows.sparkSession, f"{state}/rows", 2), Versions(rows.sparkSession, f"{state}/window", 2)
-    schema = rows.schema
+    """Keep the rows of the last minutes of stream time below `state`, for `latest_state`.
+
+    A micro-batch appends its own rows to the log, in folders by minute of stream time, and deletes the folders of minutes that
+    have left the window; rows of earlier batches are not touched. A repeated batch overwrites what it wrote. Rows without a
+    time are not kept.
+    """
+    newest = Versions(rows.sparkSession, f"{state}/newest", 2)
+    log, reach = f"{state}/log", int(minutes * MINUTE)
+    number = F.floor(F.unix_micros(ts) / MINUTE)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        new = arrived.write(batch, batch_id)
-        before = kept.read_before(batch_id, schema)
-        known = new if before is None else new.unionByName(before)
-        age = F.unix_micros(one_value(known, F.max(ts))) - F.unix_micros(ts)
-        kept.write(known.where(age < int(minutes * 60_000_000)), batch_id)
+        before = newest.read_before(batch_id, _NEWEST)
+        last = before.first().newest if before is not None else None  # one row
+        now = newest.write(batch.agg(F.greatest(F.max(ts), F.lit(last).cast("timestamp")).alias("newest"), F.lit(reach).cast("long").alias("reach"), F.lit(ts).alias("ts")), batch_id).first().newest
+        if now is None:
+            return
+        edge = F.unix_micros(F.lit(now)) - reach
+        recent = batch.where(F.unix_micros(ts) > edge).withColumns({"tl_minute": number, "tl_batch": F.lit(batch_id).cast("long")})
+        writer = recent.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("tl_minute", "tl_batch").parquet(log)
+        oldest = batch.sparkSession.range(1).select(F.floor(edge / MINUTE)).first()[0]
+        for name, delete in folders(batch.sparkSession, log):
+            if name.startswith("tl_minute=") and int(name.partition("=")[2]) < oldest:
+                delete()
 
     run_batches(rows, step, checkpoint)
 
 
+_NEWEST = "newest TIMESTAMP, reach BIGINT, ts STRING"
+
+
 def latest_state(spark: SparkSession, state: str, schema) -> DataFrame:
-    """Rows of the newest window."""
-    state = f"{state}/window"
-    last = spark.read.option("basePath", state).parquet(state).agg(F.max("batch")).first()[0]
+    """The rows of the window; minutes outside of it are not read."""
+    known = spark.read.schema(f"{_NEWEST}, batch BIGINT").option("basePath", f"{state}/newest").parquet(f"{state}/newest")
+    last = known.where("newest is not null").orderBy(F.desc("batch")).first()
     if last is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{state}/batch={last}")
+    edge = F.unix_micros(F.lit(last.newest)) - last.reach
+    log = spark.read.schema(StructType([*schema.fields, *StructType.fromDDL(_LOG).fields])).parquet(f"{state}/log")
+    return log.where((F.col("tl_minute") >= F.floor(edge / MINUTE)) & (F.unix_micros(last.ts) > edge)).drop("tl_minute", "tl_batch")
 
 
 def stream_score(features_stream: DataFrame, scorer: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -36,6 +36,16 @@ def collect_stream(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def folders(spark: SparkSession, path: str) -> list[tuple[str, Callable[[], None]]]:
+    """Names of the folders directly below `path`, each with a function that deletes it."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(root):
+        return []
+    found = [f.getPath() for f in store.listStatus(root) if f.isDirectory()]
+    return [(p.getName(), lambda p=p: store.delete(p, True)) for p in found]
+
+
 class Versions:
     """Stored rows of a `foreachBatch` job: one folder per micro-batch, so a repeated batch overwrites its own.
 
