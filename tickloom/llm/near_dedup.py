@@ -44,7 +44,7 @@ PERCENT = 85  # of the op4 contract; every function takes another
 BUCKET = 1024
 BLOCK_HASHES = 1 << 20  # shingles of the sets that meet in one block, on average
 PIVOTS = 16
-REMEMBERED = 600_000
+REMEMBERED = 150_000
 LONG_WORD = 64
 _SEEDS = np.random.default_rng(5).integers(0, 1 << 63, (2, K), np.uint64)
 _FACTORS, _OFFSETS = (_SEEDS[0] << np.uint64(1)) | np.uint64(1), _SEEDS[1]
