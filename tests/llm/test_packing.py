@@ -112,6 +112,17 @@ def test_narrow_ids(spark, odd_docs):
     assert len(rows) == 1 and rows[0].ids == [70_000, 1, 0, 0]
 
 
+def test_places_counted_while_cutting(odd_docs):
+    """Pieces that come with their places give the same sequences as those that are counted later."""
+    whole = Counter(tuple(r.ids) for r in packing.sequences(packing.packed(packing.tokenized(odd_docs))).collect())
+    for narrow in (False, True):
+        placed = packing.packed(packing.tokenized(odd_docs, ranked=True, narrow=narrow), narrow=narrow)
+        assert placed.columns == [*(c.split()[0] for c in packing.PIECES.split(", ")), "sequence_id", "offset"]
+        check_places(placed.collect())
+        got = Counter(tuple(r.ids) for r in packing.sequences(placed).collect())
+        assert sum(map(len, got.elements())) == sum(map(len, whole.elements())) and len(list(got.elements())) == len(list(whole.elements()))
+
+
 def test_ranks_in_many_tasks(spark):
     rows = [(k, 0, 0, 1 + k * k % 7, None) for k in range(3000)]
     made = spark.createDataFrame(rows, packing.PIECES).repartition(7)

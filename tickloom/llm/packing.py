@@ -113,14 +113,38 @@ def word_ids(path: str) -> WordIds:
 
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
+# The task that cut a piece, and the piece's place among those of its length there.
+PLACES = "_tl_part bigint, _tl_nth bigint"
 
 
-def tokenized(docs: DataFrame, path: str | None = None, size: int = SIZE, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Pieces of the documents: doc_id, piece, start, length, ids (unsigned 32-bit integers, little-endian)."""
+class _Counter:
+    """Places of a task's pieces among those of equal length."""
+
+    def __init__(self, size: int):
+        self.part, self.seen = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
+
+    def columns(self, lengths: np.ndarray) -> list[pa.Array]:
+        order = np.argsort(lengths, kind="stable")
+        ordered = lengths[order]
+        nth = np.empty(len(lengths), np.int64)
+        nth[order] = np.arange(len(lengths)) - np.searchsorted(ordered, ordered) + self.seen[ordered]
+        self.seen += np.bincount(lengths, minlength=len(self.seen))
+        return [pa.array(np.full(len(lengths), self.part, np.int64)), pa.array(nth)]
+
+
+def tokenized(
+    docs: DataFrame, path: str | None = None, size: int = SIZE, key: str = "doc_id", text: str = "text", ranked: bool = False, narrow: bool = False
+) -> DataFrame:
+    """Pieces of the documents: doc_id, piece, start, length, ids (unsigned 32-bit integers, little-endian).
+
+    With `ranked` the columns of `PLACES` follow, which spare `packed` a pass; with `narrow` ids that fit have 16 bits.
+    """
     path = path or vocabulary()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
+        names = ["doc_id", "piece", "start", "length", "ids"]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+        counter = _Counter(size) if ranked else None
         for batch in batches:
             for rows in arrow_rows(batch, SLICE):
                 words = word_ids(path)
@@ -129,11 +153,15 @@ def tokenized(docs: DataFrame, path: str | None = None, size: int = SIZE, key: s
                     ids += b"\0\0\0\0"
                     for piece, at in enumerate(range(0, len(ids), 4 * size)):
                         part = ids[at : at + 4 * size]
-                        for column, value in zip(out, (key_, piece, at // 4, len(part) // 4, part), strict=True):
+                        for column, value in zip(out, (key_, piece, at // 4, len(part) // 4, _narrow(part) if narrow else part), strict=True):
                             column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
+                columns = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
+                if counter:
+                    columns += counter.columns(np.array(out[3], np.int64))
+                yield pa.RecordBatch.from_arrays(columns, names=names + ["_tl_part", "_tl_nth"][: 2 * ranked])
 
-    return docs.select(F.col(f"`{key}`").cast("long"), F.col(f"`{text}`").cast("string")).mapInArrow(cut, PIECES)
+    slim = docs.select(F.col(f"`{key}`").cast("long"), F.col(f"`{text}`").cast("string"))
+    return slim.mapInArrow(cut, f"{PIECES}, {PLACES}" if ranked else PIECES)
 
 
 def best_fit(counts: dict[int, int], size: int = SIZE) -> tuple[np.ndarray, int]:
@@ -195,26 +223,19 @@ def _wide(ids: bytes | None, length: int) -> bytes | None:
 
 
 def _counted(pieces: DataFrame, size: int) -> DataFrame:
-    """`pieces` stored with their task and their place among the task's pieces of equal length; ids narrow."""
+    """`pieces` with the columns of `PLACES`; ids narrow."""
     columns = pieces.columns
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seen = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
+        counter = _Counter(size)
         for batch in batches:
-            lengths = batch.column("length").to_numpy()
-            order = np.argsort(lengths, kind="stable")
-            ordered = lengths[order]
-            first = np.searchsorted(ordered, ordered)
-            nth = np.empty(len(lengths), np.int64)
-            nth[order] = np.arange(len(lengths)) - first + seen[ordered]
-            seen += np.bincount(lengths, minlength=size + 1)
+            places = counter.columns(batch.column("length").to_numpy())
             if "ids" in columns:
                 at = batch.schema.get_field_index("ids")
                 batch = batch.set_column(at, "ids", pa.array([_narrow(x) for x in batch.column(at).to_pylist()], pa.binary()))
-            batch = batch.append_column("_tl_part", pa.array(np.full(len(lengths), part, np.int64)))
-            yield batch.append_column("_tl_nth", pa.array(nth))
+            yield batch.append_column("_tl_part", places[0]).append_column("_tl_nth", places[1])
 
-    return materialise(pieces.mapInArrow(count, StructType([*pieces.schema.fields]).add("_tl_part", "long").add("_tl_nth", "long")), "pieces")
+    return pieces.mapInArrow(count, StructType([*pieces.schema.fields]).add("_tl_part", "long").add("_tl_nth", "long"))
 
 
 def packed(pieces: DataFrame, size: int = SIZE, narrow: bool = False) -> DataFrame:
@@ -222,8 +243,8 @@ def packed(pieces: DataFrame, size: int = SIZE, narrow: bool = False) -> DataFra
 
     With `narrow`, ids that fit have 16 bits, as `sequences` takes them too.
     """
-    columns = pieces.columns
-    stored = _counted(pieces, size)
+    columns = [c for c in pieces.columns if c not in ("_tl_part", "_tl_nth")]
+    stored = materialise(pieces if "_tl_nth" in pieces.columns else _counted(pieces, size), "pieces")
     counts = materialise(stored.groupBy("length", "_tl_part").agg(F.count(F.lit(1)).alias("_tl_n")), "lengths")
     histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("_tl_n")).collect()}  # at most `size` rows
     plan, _ = best_fit(histogram, size)

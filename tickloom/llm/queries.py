@@ -62,7 +62,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.tokenized(read(spark, sf_dir, "documents"))
+    pieces = packing.tokenized(read(spark, sf_dir, "documents"), ranked=True)
     slim = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.packed(slim).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
