@@ -32,7 +32,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens, with the ids of the documents in them."""
-    return packing.sequences(packing.packed(packing.tokenized(docs), narrow=True))
+    return packing.sequences(packing.packed(packing.tokenized(docs, ranked=True, narrow=True), narrow=True))
 
 
 STAGES = [
