@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import threading
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,29 +36,30 @@ def remainder(column: Column, by: int) -> Column:
 
 
 _TABLE: dict = {}
-_IDLE: list[threading.Timer] = []
+_USED = [0.0]
 IDLE_SECONDS = 5
 
 
 def worker_table(kind: str, make: Callable[[], dict]) -> dict:
-    """A table that the tasks of a Python worker share; to be asked for with each batch.
+    """A table that the tasks of a Python worker share; to be asked for again with each batch.
 
     A worker keeps the table of one kind, that which it used last, and none once it has been idle for a few seconds.
     """
+    _USED[0] = time.monotonic()
     if kind not in _TABLE:
         _TABLE.clear()
         _TABLE[kind] = make()
-    while _IDLE:
-        _IDLE.pop().cancel()
-    timer = threading.Timer(IDLE_SECONDS, _give_back)
-    timer.daemon = True
-    timer.start()
-    _IDLE.append(timer)
+        threading.Thread(target=_give_back, args=(_TABLE[kind],), daemon=True).start()
     return _TABLE[kind]
 
 
-def _give_back() -> None:
-    _TABLE.clear()
+def _give_back(table: dict) -> None:
+    """Wait until the worker is idle, then let go of the table, if it is still the one in use."""
+    while any(t is table for t in _TABLE.values()):
+        if time.monotonic() - _USED[0] > IDLE_SECONDS:
+            _TABLE.clear()
+        time.sleep(1)
+    del table
     pa.default_memory_pool().release_unused()
 
 
