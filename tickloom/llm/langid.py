@@ -5,9 +5,11 @@ of languages are counted over all training documents: tasks count what they read
 keeps the `TOP` n-grams of each. A document's own `TOP` n-grams are compared to each language by the out-of-place distance,
 the sum over the document's n-grams of the difference in rank, or `TOP` where the language lacks the n-gram.
 
-Only letters count, in lower case; everything else parts words. Ties in frequency go to the smaller code.
+Letters count, in lower case, and the combining marks that follow one, so that a word of a script that writes vowels as marks
+stays whole; everything else parts words. A character has 21 bits, so three of any script fit into one 63-bit code. Ties in
+frequency go to the smaller code. Texts are not normalised: a letter with a mark and its composed form are different n-grams.
 
-Edge cases: a null text, or one without letters, is `und` with score 0; when nothing is there to learn from, every text is
+Edge cases: a null text, or one without letters (marks alone are none), is `und` with score 0; when nothing is there to learn from, every text is
 `und`; rows whose language is null are not learned from but predicted; repeated rows count as often as they stand there;
 other columns are kept by `predicted`, also one that bears the name of a result, since results stand in one struct (`OUT`).
 """
@@ -30,27 +32,42 @@ from .common import text_of
 OUT = "_tl_lang"
 TOP = 400
 UNKNOWN = "und"
-# Stands where a shorter n-gram has no character.
-NONE = 0xFFFF
+BITS = 21
+# Stands where a shorter n-gram has no character; no code point is so high.
+NONE = (1 << BITS) - 1
+# Set in the table of characters where one counts only behind a letter.
+MARK = np.uint32(1 << 31)
 # A task hands its counts on after so many characters, so that what it holds stays small.
 CHARS = 2 << 20
 
 
 @lru_cache(1)
 def letters() -> np.ndarray:
-    """For each code point: 16 bits of its lower-case letter, 0 where it is no letter."""
-    table = np.zeros(sys.maxunicode + 1, np.uint16)
+    """For each code point: its lower-case letter, a combining mark with `MARK`, 0 where it is neither."""
+    table = np.zeros(sys.maxunicode + 1, np.uint32)
     for code in range(sys.maxunicode + 1):
         c = chr(code)
-        if c.isalpha() and unicodedata.category(c)[0] == "L":
-            table[code] = ord(c.lower()[0]) & 0xFFFF or 1
+        if c.isalpha():
+            table[code] = ord(c.lower()[0])
+        elif unicodedata.category(c) in ("Mn", "Mc"):
+            table[code] = code | MARK
     return table
 
 
+def _joined(codes: np.ndarray) -> np.ndarray:
+    """Marks behind a letter, other marks between, as characters; those behind anything else as 0."""
+    marks = codes >= MARK
+    if not marks.any():
+        return codes
+    base = np.maximum.accumulate(np.where(marks, -1, np.arange(len(codes))))
+    held = (base >= 0) & (codes[base] != 0)
+    return np.where(marks, np.where(held, codes & ~MARK, 0), codes)
+
+
 def letter_codes(text: str) -> np.ndarray:
-    """Letters with single blanks (0) between words and at both ends; empty where there is no letter."""
-    codes = letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
-    codes = np.concatenate([[np.uint16(0)], codes, [np.uint16(0)]])
+    """Letters and their marks with single blanks (0) between words and at both ends; one blank where there is no letter."""
+    codes = _joined(letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)])
+    codes = np.concatenate([[np.uint32(0)], codes, [np.uint32(0)]])
     return codes[np.concatenate([[True], (codes[1:] != 0) | (codes[:-1] != 0)])].astype(np.int64)
 
 
@@ -58,12 +75,12 @@ def grams(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams of `letter_codes` in ascending order, and how often each occurs."""
     if len(codes) < 3:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    pairs = codes[:-1] << 16 | codes[1:]
-    triples = pairs[:-1] << 16 | codes[2:]
+    pairs = codes[:-1] << BITS | codes[1:]
+    triples = pairs[:-1] << BITS | codes[2:]
     # a blank stands at the ends of an n-gram only, and never alone
     triples = triples[codes[1:-1] != 0]
-    singles = codes[codes != 0] | NONE << 16 | NONE << 32
-    every = np.concatenate([triples, pairs | NONE << 32, singles])
+    singles = codes[codes != 0] | NONE << BITS | NONE << 2 * BITS
+    every = np.concatenate([triples, pairs | NONE << 2 * BITS, singles])
     every.sort()
     new = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
     return every[new], np.diff(np.append(new, len(every)))
