@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import random
 import re
+import zlib
 from urllib.parse import quote
 
 from tickloom.llm import secret_scan as S
@@ -123,6 +124,58 @@ def test_encoded_value_behind_a_plain_key():
         assert S.mask_spans(text, S.scan(text)[1]) == text[:a] + "[assign]" + text[b:]
 
 
+def test_escapes_of_forms_and_programs():
+    texts = {
+        "password%u003Dhunter2secret": "password%u003Dhunter2secret", "password+%3D+hunter2secret&x=1": "password+%3D+hunter2secret",
+        "password\\U0000003dhunter2secret": "password\\U0000003dhunter2secret", "password\\75hunter2secret": "password\\75hunter2secret",
+        "\\160assword\\075hunter2secret": "\\160assword\\075hunter2secret", "a+b password%25u003Dhunter2secret": "password%25u003Dhunter2secret",
+        "password%2B%3Dx+%253D+password+%253D+hunter2secret": "password+%253D+hunter2secret",
+    }
+    for text, want in texts.items():
+        text = f"é {text} after"
+        assert (*located(text, want), "assign") in spans(text), text
+    for clean in ("C:\\2024\\10\\notes", "one + two is 50%25 of six", "\\frac{1}{2} \\1 \\12 \\777", "%u12 %uzzzz %", "\\U00110000 \\ud800"):
+        assert S.scan(clean) == ([], []), clean
+
+
+def test_chains_of_escapes_take_linear_time():
+    import time
+
+    for chain, tail in (("%" + "25" * 50_000, "3d"), ("\\" + "u005c" * 20_000, "u003d"), ("\\" + "134" * 30_000, "75"), ("\\" + "x5c" * 30_000, "x3D")):
+        began = time.time()
+        text = f"é password{chain}{tail}hunter2secret after"
+        assert (2, len(text) - 6, "assign") in spans(text)
+        assert time.time() - began < 5
+    for k in range(1, 6):  # whatever ends the chain, all of it is decoded
+        for tail in ("", "2", "3", "zz", "u00", "u003d", "3d"):
+            text = plain_text = "a%" + "25" * k + tail
+            while (decoded := re.sub("%u([0-9a-f]{4})|%([0-9a-f]{2})", lambda m: chr(int(m[1] or m[2], 16)), plain_text)) != plain_text:
+                plain_text = decoded
+            places = S.np.arange(len(text) + 1)
+            layer = S.Layer(text, places[:-1], places[1:])
+            while made := next(S._percent(layer), None):
+                layer = made
+            assert layer.text == plain_text
+
+
+def test_deflate_of_any_form():
+    b64 = lambda x: base64.b64encode(x).decode()
+    dice = random.Random(6)
+    for text in (SECRET, SECRET + " " + " ".join(f"w{dice.random()}" for _ in range(2000))):
+        for window in (-15, -9, *range(9, 16)):
+            for level in (0, 1, 6, 9):
+                c = zlib.compressobj(level, zlib.DEFLATED, window)
+                token = b64(c.compress(text.encode()) + c.flush())
+                whole = f"see {token} after"
+                a, b = located(whole, token.rstrip("="))
+                assert any(k == "assign" and a <= s and e <= b + 2 for s, e, k in spans(whole)), (window, level)
+    for junk in (b"", b"\x03\x00", b"\x01\x00\x00\xff\xff", bytes(40), bytes(dice.randrange(256) for _ in range(400))):
+        assert list(S._raw_deflate(junk)) == []
+    c = zlib.compressobj(9, zlib.DEFLATED, -15)
+    packed = c.compress(b"a" * 3_000_000) + c.flush()
+    assert sum(map(len, S._raw_deflate(packed))) == 3_000_000 and not list(S._raw_deflate(packed + b"x")) and not list(S._raw_deflate(packed[:-1]))
+
+
 def test_unreadable_bytes_bar_no_layer():
     b64 = lambda x: base64.b64encode(x).decode()
     packed = gzip.compress(SECRET.encode())

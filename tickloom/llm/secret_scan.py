@@ -1,9 +1,12 @@
-"""Secret scans with a recursive decoding worklist.
+r"""Secret scans with a recursive decoding worklist.
 
 A text is scanned as it stands; then it is decoded to layers, which are scanned and searched for tokens in turn, until no
-layer is new. Percent and Unicode escapes make one layer each, the whole text with its escapes put in place. A base64 token,
+layer is new. Percent escapes (%41 and %u0041) and those of programs (Unicode, hexadecimal, octal) make one layer each, the whole
+text with its escapes put in place, and percent escapes one more in which each + is a blank, as forms write it. A sign that was
+escaped over and over, %252541 or \u005cu0041, is put in place at once. A base64 token,
 in one line or in several, at each of the four places where its first group can begin, and compressed bytes in what any of
-them gave, make a layer of their content between what stands on both sides, as far as a
+them gave (gzip, zlib with any window, bzip2, xz; raw deflate, which has no mark, where it is all of the token at one of the four
+places), make a layer of their content between what stands on both sides, as far as a
 rule that holds the edge can reach. So a key and its value are found together, however each is written. Decoded bytes are
 read as one character each, for the rules know ASCII alone; no byte bars a layer, and the zeros of UTF-16 are left out. A layer is known by the
 digest of its content and the part of the text it came from, so cycles end and a layer that occurs twice is found at both
@@ -54,18 +57,25 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 SHORTEST_VALUE = 6
 
-PERCENT_ESCAPE = re.compile(r"%[0-9A-Fa-f]{2}")
-ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\u\{([0-9A-Fa-f]{1,6})\}")
+# An escape whose first sign was escaped in turn, however often, is one escape.
+PERCENT_ESCAPE = re.compile(r"%(?:25)*(?:([0-9A-Fa-f]{2})|u([0-9A-Fa-f]{4}))")
+FORM_ESCAPE = re.compile(rf"{PERCENT_ESCAPE.pattern}|\+")
+ESCAPE = re.compile(
+    r"\\(?:u005[cC]|U0000005[cC]|u\{0*5[cC]\}|x5[cC]|134)*"
+    r"(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2})|u\{([0-9A-Fa-f]{1,6})\}|([0-3][0-7]{2}|[0-7]{1,2}))"
+)
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
-SHORT_ESCAPE = re.compile(r"""\\[abfnrtv0/'"\\]""")
-ANY_ESCAPE = re.compile(ESCAPE.pattern + r"""|\\([abfnrtv0/'"\\])""")
-SHORT = dict(zip("abfnrtv0", "\a\b\f\n\r\t\v\0", strict=True))
+SHORT_ESCAPE = re.compile(r"""\\[abfnrtv/'"\\]""")
+ANY_ESCAPE = re.compile(ESCAPE.pattern + r"""|\\([abfnrtv/'"\\])""")
+SHORT = dict(zip("abfnrtv", "\a\b\f\n\r\t\v", strict=True))
 
+# The two bytes at which zlib begins, for each size of its window (RFC 1950).
+ZLIB = {bytes((size, flags)) for size in range(0x08, 0x79, 0x10) for flags in range(256) if (size << 8 | flags) % 31 == 0 and not flags & 0x20}
 # Where gzip, bzip2, xz and zlib begin, in bytes as characters.
-MAGIC = re.compile("\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\0|x[\x01\x5e\x9c\xda]")
+MAGIC = re.compile("\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\0|" + "|".join(re.escape(z.decode("latin-1")) for z in sorted(ZLIB)))
 BLANK = re.compile(r"[\x20\t\r\n]")
 WIDE = re.compile(r"(?:[^\x00]\x00{1,3}){3,}[^\x00]?")
-MORE = re.compile(rf"%[0-9A-Fa-f]{{2}}|\\[ux]|{MAGIC.pattern}|{WIDE.pattern}")
+MORE = re.compile(rf"%u?[0-9A-Fa-f]{{2}}|\\[uUx0-7]|{MAGIC.pattern}|{WIDE.pattern}")
 
 # All that a match which holds the edge of a token can take in beside it.
 REACH = re.compile(r"""[A-Za-z0-9+/_.=-]*[\x20"':=]*[A-Za-z0-9+/_.=-]*""")
@@ -129,7 +139,7 @@ def _opened(head: bytes):
     """A decompressor for bytes that begin so, or None."""
     if head[:3] == b"\x1f\x8b\x08":
         return zlib.decompressobj(31)
-    if head[:2] in (b"x\x01", b"x^", b"x\x9c", b"x\xda"):
+    if head[:2] in ZLIB:
         return zlib.decompressobj()
     if head[:3] == b"BZh":
         return bz2.BZ2Decompressor()
@@ -184,6 +194,20 @@ def _until_fault(d, feed: bytes) -> Iterator[bytes]:
             yield d.decompress(feed[k : k + 1])
 
 
+def _raw_deflate(raw: bytes) -> Iterator[bytes]:
+    """What bytes hold that are one whole raw deflate stream, in pieces of PIECE bytes at most; nothing if they are not."""
+    for keep in (False, True):  # read once to its end, for no sign tells such a stream before
+        d, feed, size = zlib.decompressobj(-zlib.MAX_WBITS), raw, 0
+        with suppress(zlib.error):
+            while not d.eof and (out := d.decompress(feed, PIECE)):
+                size += len(out)
+                feed = d.unconsumed_tail
+                if keep:
+                    yield out
+        if not d.eof or d.unused_data or not size:
+            return
+
+
 def _slices(raw: memoryview) -> Iterator[bytes]:
     return (bytes(raw[k : k + FEED]) for k in range(0, len(raw), FEED))
 
@@ -267,18 +291,28 @@ def _unescaped(layer: Layer, escape: re.Pattern, char) -> Layer:
 def _percent(layer: Layer) -> Iterator[Layer]:
     # a byte is a character: the rules know ASCII alone, and bytes above it part words as the letters they stand for do
     if "%" in layer.text and PERCENT_ESCAPE.search(layer.text):
-        yield _unescaped(layer, PERCENT_ESCAPE, lambda m: chr(int(m.group()[1:], 16)))
+        yield _unescaped(layer, PERCENT_ESCAPE, _byte)
+        if "+" in layer.text:
+            yield _unescaped(layer, FORM_ESCAPE, _byte)
 
 
-def _code(m: re.Match) -> str:
-    if m.lastindex == 4:
-        return SHORT.get(m.group(4), m.group(4))
-    code = int(m.group(1) or m.group(2) or m.group(3), 16)
+def _char(code: int) -> str:
     return "\ufffd" if code > 0x10FFFF or 0xD800 <= code < 0xE000 else chr(code)
 
 
+def _byte(m: re.Match) -> str:
+    return _char(int(m.group(m.lastindex), 16)) if m.lastindex else " "
+
+
+def _code(m: re.Match) -> str:
+    digits = m.group(m.lastindex)
+    if m.lastindex == 6:
+        return SHORT.get(digits, digits)
+    return _char(int(digits, 8 if m.lastindex == 5 else 16))
+
+
 def _unicode(layer: Layer) -> Iterator[Layer]:
-    if ("\\u" in layer.text or "\\x" in layer.text) and ESCAPE.search(layer.text):
+    if "\\" in layer.text and ESCAPE.search(layer.text):
         yield _unescaped(layer, ESCAPE, _code)
         if SHORT_ESCAPE.search(layer.text):  # bytes and strings as programs write them, every character of which counts
             yield _unescaped(layer, ANY_ESCAPE, _code)
@@ -305,6 +339,10 @@ def _base64(layer: Layer) -> Iterator[Layer]:
                 place = at if at is not None else np.arange(m.start(), m.start() + len(body))
                 start, end = int(place[skip]), m.end() if skip + size == len(body) else int(place[skip + size - 1]) + 1
                 left, right = layer.beside(start, end)
+                packed = _chunks(_raw_deflate(raw))
+                span = layer.starts[place[skip] : end].min(), layer.ends[place[skip] : end].max()
+                for text, first, last in packed:
+                    yield layer.put(start, end, text, np.broadcast_to(span[0], len(text)), np.broadcast_to(span[1], len(text)), first, last)
                 text = raw.decode("latin-1")
                 if not _matters(layer.text[left:start], text, layer.text[end:right]):
                     continue
@@ -326,7 +364,7 @@ def _matters(left: str, text: str, right: str) -> bool:
 TOKENS = (_percent, _unicode, _base64)
 BYTES = (_inflated, _wide)  # of what has been decoded
 # A text without these has no layers; most texts are done after one look.
-ENCODED = re.compile(r"%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f{]|\\x[0-9A-Fa-f]|[A-Za-z0-9+/_-]{16}")
+ENCODED = re.compile(r"%u?[0-9A-Fa-f]{2}|\\[uU][0-9A-Fa-f{]|\\x[0-9A-Fa-f]|\\[0-7]|[A-Za-z0-9+/_-]{16}")
 
 
 def _decoded(layer: Layer, decoders: tuple) -> Iterator[Layer]:
