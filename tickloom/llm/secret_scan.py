@@ -1,11 +1,11 @@
 r"""Secret scans with a recursive decoding worklist.
 
 A text is scanned as it stands; then it is decoded to layers, which are scanned and searched for tokens in turn, until no
-layer is new. Percent escapes (%41 and %u0041) and those of programs (Unicode, hexadecimal, octal) make one layer each, the whole
+layer is new. Percent escapes (%41 and %u0041) and those of programs (Unicode, hexadecimal, octal of two or three digits) make one layer each, the whole
 text with its escapes put in place, and percent escapes one more in which each + is a blank, as forms write it. A sign that was
 escaped over and over, %252541 or \u005cu0041, is put in place at once. A base64 token,
 in one line or in several, at each of the four places where its first group can begin, and compressed bytes in what any of
-them gave (gzip, zlib with any window, bzip2, xz; raw deflate, which has no mark, where it is all of the token at one of the four
+them gave (gzip, zlib, bzip2, xz, damaged ones as far as they go; zlib with a smaller window, if undamaged; raw deflate, which has no mark, where it is all of the token at one of the four
 places), make a layer of their content between what stands on both sides, as far as a
 rule that holds the edge can reach. So a key and its value are found together, however each is written. Decoded bytes are
 read as one character each, for the rules know ASCII alone; no byte bars a layer, and the zeros of UTF-16 are left out. A layer is known by the
@@ -62,20 +62,22 @@ PERCENT_ESCAPE = re.compile(r"%(?:25)*(?:([0-9A-Fa-f]{2})|u([0-9A-Fa-f]{4}))")
 FORM_ESCAPE = re.compile(rf"{PERCENT_ESCAPE.pattern}|\+")
 ESCAPE = re.compile(
     r"\\(?:u005[cC]|U0000005[cC]|u\{0*5[cC]\}|x5[cC]|134)*"
-    r"(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2})|u\{([0-9A-Fa-f]{1,6})\}|([0-3][0-7]{2}|[0-7]{1,2}))"
+    r"(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2})|u\{([0-9A-Fa-f]{1,6})\}|([0-3][0-7]{2}|[0-7]{2}))"
 )
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
-SHORT_ESCAPE = re.compile(r"""\\[abfnrtv/'"\\]""")
-ANY_ESCAPE = re.compile(ESCAPE.pattern + r"""|\\([abfnrtv/'"\\])""")
-SHORT = dict(zip("abfnrtv", "\a\b\f\n\r\t\v", strict=True))
+SHORT_ESCAPE = re.compile(r"""\\[abfnrtv0/'"\\]""")
+ANY_ESCAPE = re.compile(ESCAPE.pattern + r"""|\\([abfnrtv0/'"\\])""")
+SHORT = dict(zip("abfnrtv0", "\a\b\f\n\r\t\v\0", strict=True))
 
 # The two bytes at which zlib begins, for each size of its window (RFC 1950).
 ZLIB = {bytes((size, flags)) for size in range(0x08, 0x79, 0x10) for flags in range(256) if (size << 8 | flags) % 31 == 0 and not flags & 0x20}
+# These alone begin a damaged stream; the others occur in any bytes, so theirs must have an end and the right sum.
+USUAL = {b"x\x01", b"x^", b"x\x9c", b"x\xda"}
 # Where gzip, bzip2, xz and zlib begin, in bytes as characters.
 MAGIC = re.compile("\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\0|" + "|".join(re.escape(z.decode("latin-1")) for z in sorted(ZLIB)))
 BLANK = re.compile(r"[\x20\t\r\n]")
 WIDE = re.compile(r"(?:[^\x00]\x00{1,3}){3,}[^\x00]?")
-MORE = re.compile(rf"%u?[0-9A-Fa-f]{{2}}|\\[uUx0-7]|{MAGIC.pattern}|{WIDE.pattern}")
+MORE = re.compile(rf"%u?[0-9A-Fa-f]{{2}}|\\(?:[uUx]|[0-7]{{2}})|{MAGIC.pattern}|{WIDE.pattern}")
 
 # All that a match which holds the edge of a token can take in beside it.
 REACH = re.compile(r"""[A-Za-z0-9+/_.=-]*[\x20"':=]*[A-Za-z0-9+/_.=-]*""")
@@ -149,11 +151,12 @@ def _opened(head: bytes):
 class Members:
     """What compressed members, one after the other, hold, in pieces of PIECE bytes at most; of a damaged one what precedes the fault.
 
-    When all is read, `fed` less the length of `rest` bytes were theirs, and `broken` tells whether the last has no end.
+    When all is read, `fed` less the length of `rest` bytes were theirs, `whole` of them had an end, and `broken` tells whether the
+    last has none.
     """
 
     def __init__(self, source: Iterator[bytes]):
-        self.source, self.fed, self.rest, self.broken = source, 0, b"", False
+        self.source, self.fed, self.rest, self.whole, self.broken = source, 0, b"", 0, False
 
     def _read(self) -> bytes:
         piece = next(self.source, b"")
@@ -184,6 +187,7 @@ class Members:
                     if not feed:
                         self.broken = True
                         return
+            self.whole += 1
             self.rest = d.unused_data.lstrip(b"\0")
 
 
@@ -249,6 +253,8 @@ def _inflated(layer: Layer) -> Iterator[Layer]:
         members = Members(_slices(raw[m.start() :]))
         if not sum(map(len, members)):
             continue
+        if not members.whole and (begin := bytes(raw[m.start() : m.start() + 2])) in ZLIB and begin not in USUAL:
+            continue
         if members.broken:
             end = _broken_end(layer, m.end())
         else:
@@ -364,7 +370,7 @@ def _matters(left: str, text: str, right: str) -> bool:
 TOKENS = (_percent, _unicode, _base64)
 BYTES = (_inflated, _wide)  # of what has been decoded
 # A text without these has no layers; most texts are done after one look.
-ENCODED = re.compile(r"%u?[0-9A-Fa-f]{2}|\\[uU][0-9A-Fa-f{]|\\x[0-9A-Fa-f]|\\[0-7]|[A-Za-z0-9+/_-]{16}")
+ENCODED = re.compile(r"%u?[0-9A-Fa-f]{2}|\\[uU][0-9A-Fa-f{]|\\x[0-9A-Fa-f]|\\[0-7]{2}|[A-Za-z0-9+/_-]{16}")
 
 
 def _decoded(layer: Layer, decoders: tuple) -> Iterator[Layer]:
