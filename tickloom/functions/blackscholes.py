@@ -4,16 +4,16 @@ from __future__ import annotations
 import numpy as np
 
 # Rational approximation of the normal distribution (Hart 1968, double precision).
-_P = [3.52624965998911e-02, 0.700383064443688, 6.37396220353165, 33.912866078383, 112.079291497871,
-      221.213596169931, 220.206867912376]
-_Q = [8.83883476483184e-02, 1.75566716318264, 16.064177579207, 86.7807322029461, 296.564248779674,
-      637.333633378831, 793.826512519948, 440.413735824752]
+P = [3.52624965998911e-02, 0.700383064443688, 6.37396220353165, 33.912866078383, 112.079291497871,
+     221.213596169931, 220.206867912376]
+Q = [8.83883476483184e-02, 1.75566716318264, 16.064177579207, 86.7807322029461, 296.564248779674,
+     637.333633378831, 793.826512519948, 440.413735824752]
 
 
 def norm_cdf(x: np.ndarray) -> np.ndarray:
     a = np.abs(x)
     density = np.exp(-0.5 * a * a)
-    near = density * np.polyval(_P, a) / np.polyval(_Q, a)
+    near = density * np.polyval(P, a) / np.polyval(Q, a)
     tail = a + 0.65
     for k in (4, 3, 2, 1):
         tail = a + k / tail

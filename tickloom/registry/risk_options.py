@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import blackscholes as bs
 from ..operators import options as O
 from ..operators import risk as R
 from ..schemas import ENTITY
@@ -124,7 +125,59 @@ def _known(s):
     )
 
 
-@query("implied_vol_greeks")
+def _polynomial(factors, x):
+    value = f"{factors[0]!r}::double"
+    for c in factors[1:]:
+        value = f"({value} * abs({x}) + {c!r}::double)"
+    return value
+
+
+def _cdf(x):
+    """SQL of the normal distribution at `x`."""
+    near = f"{_polynomial(bs.P, x)} / {_polynomial(bs.Q, x)}"
+    tail = f"(abs({x}) + 0.65::double)"
+    for k in (4, 3, 2, 1):
+        tail = f"(abs({x}) + {k} / {tail})"
+    density = f"exp(-0.5::double * ({x}) * ({x}))"
+    upper = f"(case when abs({x}) < 7.07106781186547 then {density} * ({near}) else {density} / {tail} / 2.506628274631::double end)"
+    return f"(case when {x} > 0 then 1 - {upper} else {upper} end)"
+
+
+def _price(vol):
+    d1 = f"((lsk + (0.03::double + 0.5::double * {vol} * {vol}) * t) / ({vol} * root))"
+    d2 = f"({d1} - {vol} * root)"
+    return f"(su * {_cdf(d1)} - disc * {_cdf(d2)} + case when side = 'CALL' then 0 else disc - su end)"
+
+
+# Bisection in SQL, all rows at once; a row without a volatility between the bounds carries NULL through it.
+_OPTIONS = (
+    f"select {E_}, bar_ts, c price, strike + c * case when side = 'CALL' then 0.8::double else -0.8::double end underlying, "
+    "date_diff('day', trade_date, date '2024-06-30') / 365::double t_years from {bars_v}"
+)
+_BOUND = (
+    f"select *, {_price('1e-4::double')} <= price and {_price('5::double')} >= price known from (select *, ln(su / strike) lsk, "
+    "sqrt(t) root, strike * exp(-0.03::double * t) disc from (select *, case when good then underlying end su, "
+    "case when good then t_years end t from (select *, price > 0 and underlying > 0 and strike > 0 and t_years > 0 "
+    f"and side in ('CALL', 'PUT') good from ({_OPTIONS}))))"
+)
+_STEP = f"select *, {_price('mid')} < price low from (select *, 0.5::double * (lo + hi) mid from bisected where n < 60)"
+_VOLS = (
+    f"with recursive bisected as (select *, 0 n, 1e-4::double lo, 5::double hi from ({_BOUND}) union all select * exclude "
+    "(n, lo, hi, mid, low), n + 1, case when low then mid else lo end, case when low then hi else mid end "
+    f"from ({_STEP})) select *, (lsk + (0.03::double + 0.5::double * iv * iv) * t) / (iv * root) d1 from (select *, "
+    "case when known then 0.5::double * (lo + hi) end iv from bisected where n = 60)"
+)
+_VEGA = "su * exp(-0.5::double * d1 * d1) / sqrt(2 * pi())"
+_D2 = "(d1 - iv * root)"
+
+
+@query(
+    "implied_vol_greeks",
+    f"select {E_}, bar_ts, price, underlying, t_years, iv, {_cdf('d1')} - case when side = 'CALL' then 0 else 1 end delta, "
+    f"{_VEGA} / (su * su * iv * root) gamma, {_VEGA} * root vega, -{_VEGA} * iv / (2 * root) + 0.03::double * disc * case when "
+    f"side = 'CALL' then -{_cdf(_D2)} else {_cdf('(-' + _D2 + ')')} end theta from ({_VOLS})",
+    "price underlying t_years iv delta gamma vega theta",
+)
 def _greeks(s):
     """Bars priced against an underlying 80 % of the premium in the money, expiring at the end of June."""
     away = F.col("c") * F.when(F.col("side") == "CALL", 0.8).otherwise(-0.8)
