@@ -1,6 +1,8 @@
 """Quality rules, metric functions, evaluation, risk and options on small inputs."""
 import datetime as dt
 import math
+import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -41,6 +43,34 @@ def test_rate_sees_only_its_window(spark):
     assert got == [None, 10 / 300, 20 / 300, None]
 
 
+def test_rate_against_every_window_summed_up(spark):
+    rng = random.Random(5)
+    points = [(s, rng.choice([None, 0, 5, rng.randrange(1000)])) for s in sorted(rng.sample(range(-40_000, 40_000), 300))]
+    rows = [("m", "i", {}, T0 + dt.timedelta(seconds=s), None if v is None else float(v)) for s, v in points]
+    timeless = [("m", "i", {}, None, 7.0)] * 3  # peers of each other: no time, so one window
+    schema = "metric STRING, instance STRING, labels MAP<STRING,STRING>, ts TIMESTAMP, value DOUBLE"
+    values = [r[4] for r in rows]
+    steps = [None] + [None if b is None else b if a is not None and b < a else b - a if a is not None else None for a, b in zip(values, values[1:])]
+    for window in (7, 300, 5000):
+        want = []
+        for s, _ in points:
+            inside = [d for (u, _), d in zip(points, steps) if s - window <= u <= s]
+            known = [d for d in inside if d is not None]
+            want.append((sum(known) - (inside[0] or 0)) / window if len(inside) > 1 and known else None)
+        out = M.counter_rate(spark.createDataFrame(rows + timeless, schema), window).orderBy("ts").collect()
+        assert [r.rate for r in out if r.ts is None] == [0.0] * 3
+        assert [r.rate for r in out if r.ts is not None] == pytest.approx(want)
+
+
+def test_rate_passes_once_over_its_rows(spark):
+    """A frame that starts a time before each row is summed up anew for every row; all frames here start at a first row."""
+    plan = M.counter_rate(samples(spark, [(0, 100), (60, 130)]), 21600)._jdf.queryExecution().executedPlan().toString()
+    frames = re.findall(r"specifiedwindowframe\((\w+), ([^,]+),", plan)
+    assert {start for _, start in frames} <= {"unboundedpreceding$()", "-1"}, frames
+    assert not [f for f in frames if f[0] == "RangeFrame" and not f[1].startswith("unbounded")]
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_series_are_told_apart_by_labels(spark):
     df = samples(spark, [(0, 0), (60, 30)], {"cpu": "0"}).unionByName(samples(spark, [(0, 500), (60, 560)], {"cpu": "1"}))
     assert sorted(r.rate for r in M.counter_rate(df).where("rate is not null").collect()) == [0.1, 0.2]

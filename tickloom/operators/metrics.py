@@ -1,7 +1,7 @@
 """Metric samples: counter rates, utilisation, sustained alerts."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, WindowSpec
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..plans.segments import over_time, running, time_segment
@@ -19,15 +19,41 @@ def counter_rate(samples: DataFrame, window_s: int = 300) -> DataFrame:
 
     A value below its predecessor is a counter reset and counts in full. Only steps between two samples inside the
     window count, without extrapolation to the window edges; NULL with fewer than two samples.
+
+    A frame of time costs Spark a pass over its rows for every row. Time is cut into blocks as long as the window
+    instead, so a window holds the end of one block and the start of the next: two running figures, each from one pass.
     """
+    width = window_s * US
 
     def compute(rows: DataFrame, w: WindowSpec) -> DataFrame:
         prev = F.lag("value").over(w)
         step = F.when(F.col("value") >= prev, F.col("value") - prev).when(prev.isNotNull(), F.col("value"))
-        frame = w.rangeBetween(-window_s * US, 0)
-        rows = rows.withColumn("_step", step)
-        inside = F.sum("_step").over(frame) - F.coalesce(F.first("_step").over(frame), F.lit(0.0))
-        return rows.withColumn("rate", F.when(F.count(F.lit(1)).over(frame) >= 2, inside / float(window_s)))
+        block = F.coalesce(F.col("_us") - F.pmod("_us", F.lit(width)), F.lit(0))
+        rows = rows.withColumns({"_step": step, "_rn": F.row_number().over(w), "_block": block})
+        start = Window.partitionBy("_seg", "_key", "_block")
+        upto = start.orderBy("_us")  # rows of one time are peers
+        rows = rows.withColumn("_first", F.first("_step").over(start.orderBy("_us", "_rn")))
+        rows = rows.withColumns({"_sum": F.sum("_step").over(upto), "_n": F.count(F.lit(1)).over(upto)})
+
+        # each row once more, at the time where its window begins, to ask for what the block there holds from then on
+        asks = F.when(F.col("_home"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+        rows = rows.withColumn("_asks", F.explode(asks))
+        back = F.when(F.col("_asks"), F.lit(width)).otherwise(F.lit(0))
+        rows = rows.withColumns({"_block": F.col("_block") - back, "_at": F.col("_us") - back})
+        onward = start.orderBy(F.col("_at").desc(), "_asks", F.col("_rn").desc()).rowsBetween(Window.unboundedPreceding, 0)
+        sample = F.when(~F.col("_asks"), F.struct("_step"))
+        rows = rows.withColumns(
+            {
+                "_end_sum": F.sum(sample["_step"]).over(onward),
+                "_end_n": F.count(sample).over(onward),
+                "_end_first": F.last(sample, ignorenulls=True).over(onward),
+            }
+        ).where("_asks")
+        known = F.col("_end_sum").isNotNull() | F.col("_sum").isNotNull()
+        total = F.when(known, F.coalesce("_end_sum", F.lit(0)) + F.coalesce("_sum", F.lit(0)))
+        first = F.when(F.col("_end_n") > 0, F.col("_end_first._step")).otherwise(F.col("_first"))
+        inside = total - F.coalesce(first, F.lit(0.0))
+        return rows.withColumn("rate", F.when(F.col("_end_n") + F.col("_n") >= 2, inside / float(window_s)))
 
     keyed = series_key(samples)
     out = over_time(
