@@ -194,6 +194,34 @@ def test_binaries(spark, tmp_path):
     assert got[3].content is None and got[3].error is not None
 
 
+def test_small_files_share_tasks(spark, tmp_path):
+    src, raw = tmp_path / "src", tmp_path / "raw"
+    src.mkdir()
+    for i in range(700):
+        (src / f"{i}.png").write_bytes(b"%d" % i)
+    few = 4 * spark.sparkContext.defaultParallelism
+    assert FS.scan_binaries(spark, str(src)).rdd.getNumPartitions() <= few
+    assert FS.copy_binaries_to_raw(spark, str(src), str(raw), "2024-02-01").count() == 700
+    assert sorted(p.name for p in raw.iterdir()) == ["images"]  # no part of a file is left
+    folder = raw / "images/2024-02-01"
+    assert {p.name: p.read_bytes() for p in folder.iterdir()} == {f"{i}.png": b"%d" % i for i in range(700)}
+    spread = FS.scan_binaries(spark, str(src)).rdd.glom().map(len).collect()
+    assert sum(spread) == 700 and max(spread) < 350
+
+
+def test_one_task_writes_a_bounded_number_of_objects(spark, tmp_path, monkeypatch):
+    from tickloom.registry import io
+    from tickloom.sources.adapters import Inputs
+
+    spark.range(300).selectExpr("id doc_id", "string(id) text").write.parquet(str(tmp_path / "documents.parquet"))
+    tasks = []
+    write = FS.write_objects
+    monkeypatch.setattr(io, "FILES_OF_A_TASK", 10)
+    monkeypatch.setattr(FS, "write_objects", lambda df, base: (tasks.append(df.rdd.getNumPartitions()), write(df, base))[1])
+    base = io._objects(Inputs(spark, str(tmp_path)))
+    assert tasks == [30] and FS.scan_binaries(spark, base).count() == 300
+
+
 def test_fetch_splits_large_batches(spark, tmp_path, monkeypatch):
     for i in range(5):
         (tmp_path / f"{i}").write_bytes(b"x" * 10)

@@ -347,14 +347,19 @@ def _text_logs(s):
     return rows.select("service", "message", F.col("file_path").contains("/tickloom/text-").alias("has_path"))
 
 
+FILES_OF_A_TASK = 5_000
+
+
 def _objects(s) -> str:
     """Every document as one file, named like its catalogue row; written once per session."""
     name = F.concat(F.lit("docs/"), "doc_id", F.when(F.col("doc_id") % 3 != 0, ".png").otherwise(".txt"))
     base = scratch_path(s.spark, "objects")
 
     def build():
-        rows = s.table("documents").select(name.alias("name"), F.col("text").cast("binary").alias("content"))
-        return FS.write_objects(rows.repartition(s.spark.sparkContext.defaultParallelism), base)
+        docs = s.table("documents")
+        rows = docs.select(name.alias("name"), F.col("text").cast("binary").alias("content"))
+        tasks = max(s.spark.sparkContext.defaultParallelism, docs.count() // FILES_OF_A_TASK)
+        return FS.write_objects(rows.repartition(tasks), base)
 
     listing = s.stored("object_listing", build)
     return listing.select(F.expr("substring_index(path, '/', size(split(path, '/')) - 1)")).first()[0]

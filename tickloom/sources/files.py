@@ -29,6 +29,8 @@ MIME = {
     "pdf": "application/pdf",
 }
 FLUSH_BYTES = 64 * 1024 * 1024
+# Tasks of Spark's scan of small files that one task here takes.
+SCANS = 32
 
 
 def write_raw_json(df: DataFrame, base: str, date: str | Column) -> None:
@@ -124,8 +126,12 @@ def read_power_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_binaries(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """Files below `path`. Spark counts 4 MB for opening a file and so gives a task some thirty small ones, less work than
+    starting it; `SCANS` of its tasks make one here, as long as there are several for each core."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
+    files = (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
+    tasks = files.select("path").rdd.getNumPartitions()
+    return files.coalesce(max(1, tasks // SCANS, min(tasks, 4 * spark.sparkContext.defaultParallelism)))
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -175,23 +181,31 @@ def write_objects(df: DataFrame, base: str) -> DataFrame:
     """
     base = qualified(df.sparkSession, base)
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         target, root = fs.FileSystem.from_uri(base)
-        for pdf in batches:
-            out = []
-            for name, content in zip(pdf["name"], pdf["content"]):
-                path = f"{root}/{name}"
-                part = f"{root}/_{uuid.uuid4().hex}.part"
-                target.create_dir(os.path.dirname(path), recursive=True)
-                with target.open_output_stream(part) as stream:
-                    stream.write(bytes(content))
+        # a hidden folder for each task: tasks that make files in one folder wait for each other
+        parts, made = f"{root}/_{uuid.uuid4().hex}", set()
+        target.create_dir(parts, recursive=True)
+        for batch in batches:
+            paths, lengths = [], []
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                path, data = f"{root}/{name}", bytes(content.as_py())
+                folder = os.path.dirname(path)
+                if folder not in made:
+                    target.create_dir(folder, recursive=True)
+                    made.add(folder)
+                part = f"{parts}/{len(paths)}"
+                with target.open_output_stream(part, compression=None) as stream:
+                    stream.write(data)
                 target.move(part, path)
-                out.append((path, len(content)))
-            yield pd.DataFrame(out, columns=["path", "length"])
+                paths.append(path)
+                lengths.append(len(data))
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(lengths, pa.int64())], names=["path", "length"])
+        target.delete_dir(parts)
 
-    return df.select("name", "content").mapInPandas(write, "path STRING, length BIGINT")
+    return df.select("name", "content").mapInArrow(write, "path STRING, length BIGINT")
 
 
 def copy_binaries_to_raw(spark: SparkSession, path: str, raw_base: str, date: str) -> DataFrame:
