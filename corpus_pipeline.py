@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import mixing, near_dedup, packing, quality_rules, secret_scan
-from tickloom.llm.common import read
+from tickloom.llm.common import read, small_batches
 from tickloom.session import scratch_path
 
 
@@ -16,11 +16,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    small_batches(spark)
     return near_dedup.deduplicated(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced; n_chars follows the text."""
+    small_batches(spark)
     clean = secret_scan.redacted(docs)
     return clean.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else clean
 
@@ -32,6 +34,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens, with the ids of the documents in them."""
+    small_batches(spark)
     return packing.sequences(packing.packed(packing.tokenized(docs, ranked=True, narrow=True), narrow=True))
 
 

@@ -93,3 +93,25 @@ def test_odd_rows(spark, odd_docs, no_docs):
             stage(spark, docs, "").write.parquet(path)
             docs = spark.read.parquet(path)
             assert name == "best_fit_packing" or docs.columns == columns
+
+
+def test_texts_go_to_python_in_small_batches(spark, tmp_path):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    import corpus_pipeline
+    from tickloom.llm import common
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('x', 4000)").alias("text"))
+    for _, stage in corpus_pipeline.STAGES[1:3]:
+        stage(spark, docs.limit(1), "")
+        assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == common.BATCH
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    rows = docs.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in rows) == 4000 and max(r.size for r in rows) < 8_000_000
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")

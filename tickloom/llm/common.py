@@ -20,6 +20,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+BATCH = "4m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python in batches of 4 MB, not of Spark's 64 MB, of which each task holds several, on both sides."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
+
+
 def text_of(name: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
