@@ -222,6 +222,75 @@ def test_one_task_writes_a_bounded_number_of_objects(spark, tmp_path, monkeypatc
     assert tasks == [30] and FS.scan_binaries(spark, base).count() == 300
 
 
+def odd_files(top):
+    """Files with odd names, hidden ones, links and an empty one."""
+    names = ["a.png", "b.gz", "_hid", "_hid=1", ".dot", "x._COPYING_", "_metadata", "d/a", "d/e/a", "_d/a", "_d=1/a", ".e/a", "_metadata_d/a", "f._COPYING_/a", "sp ace/a b", "p%20/a%41", "q#r"]
+    for name in names:
+        (top / name).parent.mkdir(parents=True, exist_ok=True)
+        (top / name).write_bytes(name.encode() * 9)
+    (top / "empty").write_bytes(b"")
+    (top / "link").symlink_to(top / "a.png")
+    (top / "folder").symlink_to(top / "d")
+    (top / "nothing").symlink_to(top / "gone")
+    (top / "itself").symlink_to(top / "itself")
+
+
+def test_copies_know_no_files_on_the_driver(spark, tmp_path, monkeypatch):
+    src, raw = tmp_path / "src", tmp_path / "raw"
+    src.mkdir()
+    for i in range(300):
+        (src / f"{i}.png").write_bytes(b"%d" % i)
+    monkeypatch.setattr(FS, "COPY_FILES", 10)
+    copied = FS.copy_binaries_to_raw(spark, str(src), str(raw), "2024-02-01")
+    assert len(copied.inputFiles()) <= 2  # the listing, a stored table
+    assert copied.rdd.getNumPartitions() == 30
+    assert not raw.exists()  # nothing is copied before an action
+    assert {(r.path, r.length) for r in copied.collect()} == {(f"{raw}/images/2024-02-01/{i}.png", len(str(i))) for i in range(300)}
+    assert {p.name: p.read_bytes() for p in (raw / "images/2024-02-01").iterdir()} == {f"{i}.png": b"%d" % i for i in range(300)}
+    monkeypatch.setattr(FS, "COPY_FILES", 5_000)
+    monkeypatch.setattr(FS, "COPY_BYTES", 20)  # 790 bytes
+    assert FS.copy_binaries_to_raw(spark, str(src), str(raw), "2024-02-01").rdd.getNumPartitions() == 39
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_listing_finds_what_the_scan_finds(spark, tmp_path, monkeypatch, mounted):
+    src, raw = tmp_path / "src", tmp_path / "raw"
+    odd_files(src)
+    want = {r.name for r in FS.scan_binaries(spark, str(src)).select(FS.below(spark, str(src)).alias("name")).collect()}
+    assert {"link", "folder/e/a", "_d=1/a", "p%20/a%41"} < want and not {"empty", "_hid", "_d/a"} & want
+    if not mounted:
+
+        def reached(address):
+            def reach():
+                from pyarrow import fs
+
+                return fs.SubTreeFileSystem("/", fs.LocalFileSystem()), address.removeprefix("file:")
+
+            return reach
+
+        monkeypatch.setattr(FS, "reached", reached)
+        for link in ("nothing", "itself"):
+            (src / link).unlink()
+    monkeypatch.setattr(FS, "PIECE", 7)
+    monkeypatch.setattr(FS, "COPY_FILES", 2)
+    assert {(r.name, r.length) for r in FS.list_names(spark, str(src)).collect()} == {(n, (src / n).stat().st_size) for n in want}
+    assert FS.copy_binaries_to_raw(spark, str(src), str(raw), "d").count() == len(want)
+    found = {str(p.relative_to(raw / "images/d")): p.read_bytes() for p in (raw / "images/d").rglob("*") if p.is_file()}
+    assert found == {n: (src / n).read_bytes() for n in want}
+
+
+def test_copies_of_patterns_files_and_empty_folders(spark, tmp_path):
+    src, raw = tmp_path / "src", tmp_path / "raw"
+    odd_files(src)
+    (tmp_path / "none").mkdir()
+    assert [r.length for r in FS.copy_binaries_to_raw(spark, f"{src}/*.png", str(raw), "p").collect()] == [45]
+    assert [r.length for r in FS.copy_binaries_to_raw(spark, f"{src}/a.png", str(raw), "f").collect()] == [45]
+    assert (raw / "images/p/a.png").read_bytes() == (raw / "images/f/a.png").read_bytes() == b"a.png" * 9
+    assert FS.copy_binaries_to_raw(spark, str(tmp_path / "none"), str(raw), "n").count() == 0
+    with pytest.raises(AnalysisException):
+        FS.copy_binaries_to_raw(spark, str(tmp_path / "missing"), str(raw), "n")
+
+
 def test_fetch_splits_large_batches(spark, tmp_path, monkeypatch):
     for i in range(5):
         (tmp_path / f"{i}").write_bytes(b"x" * 10)

@@ -1,10 +1,13 @@
 """JSON, text, CSV and binary files."""
 from __future__ import annotations
 
+import errno
 import os
 import re
+import stat
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
@@ -31,6 +34,11 @@ MIME = {
 FLUSH_BYTES = 64 * 1024 * 1024
 # Tasks of Spark's scan of small files that one task here takes.
 SCANS = 32
+# Files or folders and bytes that one listing or copying task takes, and bytes that it holds of a file at a time.
+COPY_FILES, COPY_BYTES, PIECE = 5_000, 1 << 30, 8 << 20
+# Names that Spark's file sources pass over, of folders and of files.
+HIDDEN_FOLDER = re.compile(r"_(?!common_metadata|metadata)[^=]*\Z|\.|.*\._COPYING_\Z", re.DOTALL)
+HIDDEN_FILE = re.compile(r"_[^=]*\Z|\.|.*\._COPYING_\Z", re.DOTALL)
 
 
 def write_raw_json(df: DataFrame, base: str, date: str | Column) -> None:
@@ -140,6 +148,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return str(named.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(named).toString())
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return named.getFileSystem(spark._jsc.hadoopConfiguration()).isDirectory(named)
+
+
 def below(spark: SparkSession, root: str, path: Column | None = None) -> Column:
     """Path of a scanned file below `root`; its bare name when `root` is a pattern or the file itself."""
     path = F.col("path") if path is None else path
@@ -174,8 +187,88 @@ def catalogue_binaries(spark: SparkSession, path: str, source: str, tag: str, ch
     return scan_binaries(spark, path).select(*cols)
 
 
-def write_objects(df: DataFrame, base: str) -> DataFrame:
-    """Write each row's `content` to `base/name` from the tasks; gives path and length, lazily.
+def store_of(address: str) -> str:
+    """Scheme and, where it has one, host or bucket of a full address."""
+    return re.match("[^:]+:(//[^/]*)?", address)[0]
+
+
+def reached(address: str) -> Callable[[], tuple]:
+    """What gives a task the file system of a full address and the path there."""
+    mounted = store_of(address) == "file:"
+
+    def reach() -> tuple:
+        from pyarrow import fs
+
+        # a name may have signs that an address may not
+        return (fs.LocalFileSystem(), address.removeprefix("file:").rstrip("/")) if mounted else fs.FileSystem.from_uri(address)
+
+    return reach
+
+
+def tasks_for(spark: SparkSession, n: int) -> int:
+    """Tasks for so many files or folders: several for each core, and a bounded number of them in each."""
+    return max(n // COPY_FILES, min(n, 4 * spark.sparkContext.defaultParallelism))
+
+
+def list_names(spark: SparkSession, folder: str) -> DataFrame:
+    """The files that `scan_binaries` finds below `folder`, by their path below it, with their length, in stored tables.
+
+    Tasks list the folders of one level after the other and pass on what they find as they go. Spark's file sources give all
+    names to the driver, which holds several objects for each file until the scan has ended. In a store that is not mounted,
+    a task holds the entries of one folder at a time.
+    """
+    reach = reached(qualified(spark, folder))
+    hidden_folder, hidden_file = HIDDEN_FOLDER.match, HIDDEN_FILE.match
+
+    def local(top: str) -> Iterator[tuple[str, bool, int]]:
+        with os.scandir(top) as found:
+            for entry in found:
+                try:
+                    held = entry.stat()
+                except OSError as e:  # a link to nothing or to itself, or a file that has gone
+                    if e.errno not in (errno.ENOENT, errno.ELOOP):
+                        raise
+                    continue
+                yield entry.name, stat.S_ISDIR(held.st_mode), held.st_size
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, root = reach()
+
+        def remote(top: str) -> Iterator[tuple[str, bool, int]]:
+            for info in store.get_file_info(fs.FileSelector(top)):
+                yield info.base_name, info.type == fs.FileType.Directory, info.size or 0
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(lengths, pa.int64())], names=["name", "length"])
+
+        entries = local if isinstance(store, fs.LocalFileSystem) else remote
+        names, lengths = [], []
+        for at in (at for batch in batches for at in batch.column(0).to_pylist()):
+            for name, inner, length in entries(f"{root}/{at}"):
+                if inner and not hidden_folder(name):
+                    names.append(f"{at}{name}/")
+                    lengths.append(None)
+                elif not inner and length and not hidden_file(name):
+                    names.append(f"{at}{name}")
+                    lengths.append(length)
+                if len(names) == COPY_FILES:
+                    yield rows()
+                    names, lengths = [], []
+        yield rows()
+
+    files, folders, tasks = [], spark.range(1).select(F.lit("").alias("name")), 1
+    while tasks:
+        level = materialise(folders.repartition(tasks, "name").mapInArrow(walk, "name STRING, length BIGINT"), "listing")
+        files.append(level.where("length is not null"))
+        folders = level.where("length is null").select("name")
+        tasks = tasks_for(spark, folders.count())
+    return reduce(DataFrame.unionByName, files)
+
+
+def placed(df: DataFrame, base: str, contents: Callable[[pa.RecordBatch], Iterator[tuple[str, Iterable[bytes]]]]) -> DataFrame:
+    """Write the names and pieces that `contents` gives for the rows to `base/name` from the tasks; gives path and length, lazily.
 
     A file appears under its name only when complete, so a repeated task or a lost executor leaves no partial file.
     """
@@ -190,28 +283,72 @@ def write_objects(df: DataFrame, base: str) -> DataFrame:
         target.create_dir(parts, recursive=True)
         for batch in batches:
             paths, lengths = [], []
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                path, data = f"{root}/{name}", bytes(content.as_py())
+            for name, pieces in contents(batch):
+                path, length = f"{root}/{name}", 0
                 folder = os.path.dirname(path)
                 if folder not in made:
                     target.create_dir(folder, recursive=True)
                     made.add(folder)
                 part = f"{parts}/{len(paths)}"
                 with target.open_output_stream(part, compression=None) as stream:
-                    stream.write(data)
+                    for piece in pieces:
+                        stream.write(piece)
+                        length += len(piece)
                 target.move(part, path)
                 paths.append(path)
-                lengths.append(len(data))
+                lengths.append(length)
             yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(lengths, pa.int64())], names=["path", "length"])
         target.delete_dir(parts)
 
-    return df.select("name", "content").mapInArrow(write, "path STRING, length BIGINT")
+    return df.mapInArrow(write, "path STRING, length BIGINT")
+
+
+def write_objects(df: DataFrame, base: str) -> DataFrame:
+    """Write each row's `content` to `base/name`, as `placed` does."""
+
+    def contents(batch: pa.RecordBatch) -> Iterator[tuple[str, Iterable[bytes]]]:
+        for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            yield name, [bytes(content.as_py())]
+
+    return placed(df.select("name", "content"), base, contents)
+
+
+def copy_objects(names: DataFrame, source: str, base: str, folder: str) -> DataFrame:
+    """Copy the files of a stored listing of `source` to `base/folder/name` from the tasks, as `placed` does.
+
+    The tasks read the files themselves, in pieces, and get a bounded share of the files and of their bytes.
+    """
+    spark = names.sparkSession
+    reach = reached(qualified(spark, source))
+    files, size = names.agg(F.count("name"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    tasks = max(1, size // COPY_BYTES, tasks_for(spark, files))
+
+    def contents(batch: pa.RecordBatch) -> Iterator[tuple[str, Iterable[bytes]]]:
+        store, root = reach()
+
+        def pieces(path: str) -> Iterator[bytes]:
+            with store.open_input_stream(path, compression=None) as stream:  # else names ending in .gz are unpacked
+                while piece := stream.read(PIECE):
+                    yield piece
+
+        for name in batch.column(0).to_pylist():
+            yield f"{folder}/{name}", pieces(f"{root}/{name}")
+
+    return placed(names.select("name").repartition(tasks, "name"), base, contents)
 
 
 def copy_binaries_to_raw(spark: SparkSession, path: str, raw_base: str, date: str) -> DataFrame:
     """Copy files unchanged to `raw_base/images/<date>/`, with their path below `path`; one row per copied file once an
-    action runs."""
-    name = F.concat(F.lit(f"images/{date}/"), below(spark, path))
+    action runs.
+
+    Folders that the tasks can reach, which are mounted ones and those of the store they write to, are listed and read by
+    tasks. Patterns, single files and other stores go through Spark's scan, whose listing the driver holds.
+    """
+    source, folder = qualified(spark, path), f"images/{date}"
+    known = store_of(source) in ("file:", store_of(qualified(spark, raw_base)))
+    if known and not re.search(r"[][{}*?\\]", path) and is_folder(spark, path):
+        return copy_objects(list_names(spark, path), path, raw_base, folder)
+    name = F.concat(F.lit(f"{folder}/"), below(spark, path))
     return write_objects(scan_binaries(spark, path).select(name.alias("name"), "content"), raw_base)
 
 
